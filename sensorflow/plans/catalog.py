@@ -8,19 +8,38 @@ cap is the feature (the preview).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorflow.functions.features import with_movement
-from sensorflow.operators.wide import wide_readings
+from sensorflow.functions import payload as PL
+from sensorflow.functions.cleaning import clean_readings
+from sensorflow.functions.features import movement_flag, movement_label, search_document, \
+    with_movement
+from sensorflow.functions.time import epoch_to_timestamp, text_to_epoch_ms
+from sensorflow.operators import analytics as A
+from sensorflow.operators import quality as Q
+from sensorflow.operators.model import LinearModel, accuracy, score, with_label
+from sensorflow.operators.wide import union_frames, wide_readings
 from sensorflow.plans import oracle as O
+from sensorflow.plans.publish import publish_frame
+from sensorflow.plans.views import register_views
+from sensorflow.schema import PREDICTION_FIELDS
 from sensorflow.sources import events as ev
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLE: dict[str, str] = {}
 
+# Fixed parameters of the registered queries.
+FIXED_MODEL = LinearModel(intercept=0.3, weights=(0.004, -0.003, 0.002, -0.005))
+FIXED_NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
+FILTER_FROM = dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc)
+FILTER_TO = dt.datetime(2024, 1, 21, tzinfo=dt.timezone.utc)
+WINDOW_SECONDS = 4 * 86400
+
 
 def register(name: str, sql: str | None):
     def deco(fn: QueryFn) -> QueryFn:
@@ -31,16 +50,402 @@ def register(name: str, sql: str | None):
     return deco
 
 
+# ---- shared inputs --------------------------------------------------------
+
+def _readings(spark, sf_dir):
+    return ev.readings(spark, sf_dir)
+
+
+def _clean(spark, sf_dir, keep_raw=False):
+    return clean_readings(ev.raw_readings(spark, sf_dir), keep_raw=keep_raw)
+
+
 def _wide(spark, sf_dir, **kw):
-    return wide_readings(ev.readings(spark, sf_dir), **kw)
+    return wide_readings(_readings(spark, sf_dir), **kw)
+
+
+def _wide_v2(spark, sf_dir):
+    """Version-2 wide rows from raw text: no rounding, incomplete rows kept."""
+    return wide_readings(_clean(spark, sf_dir), round_digits=None, drop_incomplete=False)
+
+
+def _scored(spark, sf_dir):
+    return score(with_label(_wide(spark, sf_dir)), FIXED_MODEL)
+
+
+WIDE = f"WITH {O.READINGS_CTE}, {O.wide_cte()}"
+WIDE_V2 = f"WITH {O.RAW_CTE}, {O.wide_cte('clean', rounded=False, complete=False, name='wide2')}"
+SCORED = WIDE + """,
+scored AS (
+  SELECT *, CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END AS label,
+    1.0 / (1.0 + exp(-(0.3 + 0.004 * co2 - 0.003 * light + 0.002 * temp - 0.005 * humidity)))
+      AS probability
+  FROM wide),
+pred AS (
+  SELECT *, CASE WHEN probability > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM scored)"""
+FLAG = "CASE WHEN {p} > 0 THEN 'movement' ELSE 'no_movement' END"
 
 
-# --- J1: five-way inner join, version-1 semantics (round 6, complete rows) --
-@register("wide_join", f"WITH {O.READINGS_CTE}, {O.wide_cte()} SELECT * FROM wide")
+def _sql_text(col):
+    return O.text_time(col)
+
+
+# ---- J1 / J2: the wide reading ------------------------------------------
+
+@register("wide_join", f"{WIDE} SELECT * FROM wide")
 def q_wide_join(spark, sf_dir):
+    """Five-way inner join, version-1 output."""
     return _wide(spark, sf_dir)
 
 
+@register("wide_using", f"{WIDE_V2} SELECT * FROM wide2")
+def q_wide_using(spark, sf_dir):
+    """Version-2 output (no rounding, no completeness filter) from raw text."""
+    return _wide_v2(spark, sf_dir)
+
+
+@register("wide_raw", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
+def q_wide_raw(spark, sf_dir):
+    """P1, P3, J1, F1 on text with spaces, nulls and bad numbers."""
+    return wide_readings(_clean(spark, sf_dir))
+
+
+@register("wide_latest", f"""WITH {O.READINGS_CTE},
+latest AS (SELECT room, sensor, ts_min_bignt, arg_max(sensor_value, event_id) AS sensor_value
+           FROM readings GROUP BY room, sensor, ts_min_bignt),
+{O.wide_cte('latest')} SELECT * FROM wide""")
+def q_wide_latest(spark, sf_dir):
+    """Q4 keep-latest + conditional aggregate: one shuffle, skew-safe."""
+    return _wide(spark, sf_dir, how="latest", order_col="event_id")
+
+
+@register("wide_salted", f"{WIDE} SELECT * FROM wide")
+def q_wide_salted(spark, sf_dir):
+    """J1 with hot (room, instant) keys spread over salt buckets; the
+    threshold is low so that the fixture really exercises the salting."""
+    return _wide(spark, sf_dir, row_id="event_id", hot_key_rows=8)
+
+
+# ---- P1-P3, P5-P7: cleaning and time ------------------------------------
+
+@register("clean_readings", f"WITH {O.RAW_CTE} SELECT * FROM clean")
+def q_clean_readings(spark, sf_dir):
+    return _clean(spark, sf_dir)
+
+
+@register("time_columns", f"""{WIDE}
+SELECT ts_min_bignt, event_ts_min, ts_min_bignt * 1000 AS event_ms,
+  ts_min_bignt * 1000 AS parsed_ms, CAST(1706745600000 AS BIGINT) AS bad_text_ms FROM wide""")
+def q_time_columns(spark, sf_dir):
+    """P5 text, P6 timestamp (as epoch ms), P7 parse with a fixed fallback."""
+    w = _wide(spark, sf_dir)
+    return w.select(
+        "ts_min_bignt", "event_ts_min",
+        F.unix_millis(epoch_to_timestamp("ts_min_bignt")).alias("event_ms"),
+        text_to_epoch_ms("event_ts_min", FIXED_NOW).alias("parsed_ms"),
+        text_to_epoch_ms(F.concat(F.lit("x"), F.col("event_ts_min")), FIXED_NOW)
+        .alias("bad_text_ms"))
+
+
+# ---- payloads -----------------------------------------------------------
+
+_CSV_VALUE = ("concat_ws(',', {p}event_ts_min, CAST({p}ts_min_bignt AS VARCHAR), {p}room, "
+              "CAST({p}co2 AS VARCHAR), CAST({p}light AS VARCHAR), CAST({p}temp AS VARCHAR), "
+              "CAST({p}humidity AS VARCHAR), CAST({p}pir AS VARCHAR))")
+
+
+@register("csv_messages", f"""{WIDE}
+SELECT room || '-' || CAST(ts_min_bignt AS VARCHAR) AS key, {_CSV_VALUE.format(p='')} AS value
+FROM wide""")
+def q_csv_messages(spark, sf_dir):
+    """P17, P18, P9, K4 payload: key and delimited value."""
+    return PL.to_messages(_wide(spark, sf_dir))
+
+
+@register("index_documents", f"""{WIDE_V2}
+SELECT ts_min_bignt * 1000 AS event_ts_min, coalesce(co2, 0.0) AS co2,
+  coalesce(humidity, 0.0) AS humidity, coalesce(light, 0.0) AS light,
+  coalesce(temp, 0.0) AS temperature, room, coalesce(pir, 0.0) AS pir,
+  {FLAG.format(p='pir')} AS if_movement
+FROM wide2""")
+def q_index_documents(spark, sf_dir):
+    """Index stream in batch form: delimited payload -> P13 parse -> P7 ->
+    P19 flag -> P14 document (nulls -> 0.0)."""
+    msgs = PL.to_messages(_wide_v2(spark, sf_dir), with_key=False)
+    parsed = PL.time_to_epoch_ms(PL.parse_payload(msgs, "csv"), FIXED_NOW)
+    return search_document(with_movement(parsed))
+
+
+@register("json_fields", f"{WIDE_V2} SELECT * FROM wide2")
+def q_json_fields(spark, sf_dir):
+    """P16 build + P15 parse: JSON text is not compared, parsed fields are."""
+    msgs = PL.to_messages(_wide_v2(spark, sf_dir), "json", with_key=False)
+    return PL.parse_payload(msgs, "json")
+
+
+@register("payload_quarantine", f"""{WIDE_V2}
+SELECT * FROM (
+  SELECT room, ts_min_bignt,
+    nullif(concat_ws(',', CASE WHEN co2 IS NULL THEN 'co2' END,
+      CASE WHEN light IS NULL THEN 'light' END, CASE WHEN temp IS NULL THEN 'temp' END,
+      CASE WHEN humidity IS NULL THEN 'humidity' END, CASE WHEN pir IS NULL THEN 'pir' END), '')
+      AS reason
+  FROM wide2) q WHERE reason IS NOT NULL""")
+def q_payload_quarantine(spark, sf_dir):
+    """Q3: parsed messages with a missing or unparsable field, with reason."""
+    msgs = PL.to_messages(_wide_v2(spark, sf_dir), with_key=False)
+    _, bad = PL.quarantine(PL.parse_payload(msgs, "csv"))
+    return bad.select("room", "ts_min_bignt", "reason")
+
+
+@register("movement_flags", f"""{WIDE_V2}
+SELECT room, ts_min_bignt, pir, {FLAG.format(p='pir')} AS if_movement,
+  CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END AS label FROM wide2""")
+def q_movement_flags(spark, sf_dir):
+    """P19, P20 with null motion readings (null -> no movement, 0.0)."""
+    return _wide_v2(spark, sf_dir).select(
+        "room", "ts_min_bignt", "pir", movement_flag("pir").alias("if_movement"),
+        movement_label("pir").alias("label"))
+
+
+@register("publish_messages", f"""{WIDE}
+SELECT room AS key, concat_ws(';', event_ts_min, CAST(ts_min_bignt AS VARCHAR), room,
+  CAST(co2 AS VARCHAR), CAST(light AS VARCHAR), CAST(temp AS VARCHAR),
+  CAST(humidity AS VARCHAR)) AS value
+FROM wide, (SELECT unnest(range(1, 3)) AS replay) r""")
+def q_publish_messages(spark, sf_dir):
+    """Exclude columns (absent names ignored), key column, separator,
+    repeat twice (U2), repeatable shuffle (O3)."""
+    return publish_frame(_wide(spark, sf_dir), sep=";", exclude=("pir", "not_a_column"),
+                         key_col="room", repeat=2, shuffle_seed=7)
+
+
+# ---- model: closed form with fixed coefficients --------------------------
+
+@register("scored", f"""{SCORED}
+SELECT event_ts_min, ts_min_bignt, room, co2, light, temp, humidity, label, prediction,
+  round(probability, 6) AS confidence FROM pred""")
+def q_scored(spark, sf_dir):
+    """Probability of movement and predicted class."""
+    s = _scored(spark, sf_dir)
+    return s.select("event_ts_min", "ts_min_bignt", "room", "co2", "light", "temp", "humidity",
+                    "label", "prediction", F.round("confidence", 6).alias("confidence"))
+
+
+@register("accuracy", f"""{SCORED}
+SELECT CAST(count(*) AS BIGINT) AS total,
+  CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS accuracy_pct
+FROM pred""")
+def q_accuracy(spark, sf_dir):
+    """In-sample accuracy."""
+    a = accuracy(_scored(spark, sf_dir))
+    return a.withColumn("accuracy_pct", F.round("accuracy_pct", 6))
+
+
+@register("class_counts", f"""{SCORED}
+SELECT prediction, CAST(count(*) AS BIGINT) AS n FROM pred GROUP BY prediction""")
+def q_class_counts(spark, sf_dir):
+    """A3, F2."""
+    return A.class_counts(_scored(spark, sf_dir))
+
+
+@register("routed_predictions", f"""{SCORED}
+SELECT CASE WHEN prediction = 1.0 THEN 'activity' ELSE 'no_activity' END AS route,
+  event_ts_min, room, co2, light, temp, humidity, prediction,
+  round(probability, 6) AS confidence FROM pred""")
+def q_routed_predictions(spark, sf_dir):
+    """K5 batch form: prediction message fields (P9, P10) with their route."""
+    from sensorflow.streaming.routing import with_route
+    s = with_route(_scored(spark, sf_dir))
+    return s.select("route", *[F.round(c, 6).alias(c) if c == "confidence" else F.col(c)
+                               for c in PREDICTION_FIELDS])
+
+
+@register("windowed_accuracy", f"""{SCORED}
+SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
+  CAST(count(*) AS BIGINT) AS total,
+  CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS accuracy_pct
+FROM pred GROUP BY 1""")
+def q_windowed_accuracy(spark, sf_dir):
+    """A9 batch form."""
+    return A.windowed_accuracy(_scored(spark, sf_dir), WINDOW_SECONDS)
+
+
+# ---- analytics ----------------------------------------------------------
+
+@register("motion_distribution", f"""{WIDE},
+c AS (SELECT {FLAG.format(p='pir')} AS if_movement, CAST(count(*) AS BIGINT) AS n
+      FROM wide GROUP BY 1)
+SELECT if_movement, n, round(n / sum(n) OVER (), 6) AS share FROM c""")
+def q_motion_distribution(spark, sf_dir):
+    """A5."""
+    return A.motion_distribution(with_movement(_wide(spark, sf_dir)))
+
+
+@register("sensor_hourly", f"""WITH {O.READINGS_CTE}
+SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, sensor,
+  CAST(count(*) AS BIGINT) AS n, round(avg(sensor_value), 6) AS avg_value,
+  min(sensor_value) AS min_value, max(sensor_value) AS max_value
+FROM readings GROUP BY 1, 2""")
+def q_sensor_hourly(spark, sf_dir):
+    """A6 on long readings: hourly event-time windows per sensor."""
+    return A.sensor_windows(_readings(spark, sf_dir), "1 hour")
+
+
+@register("env_windows", f"""{WIDE}
+SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
+  {_sql_text(f'floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS}')} AS window_start_text,
+  CAST(count(*) AS BIGINT) AS n,
+  round(avg(co2), 6) AS avg_co2, min(co2) AS min_co2, max(co2) AS max_co2,
+  round(avg(temp), 6) AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
+  round(avg(humidity), 6) AS avg_humidity, min(humidity) AS min_humidity,
+  max(humidity) AS max_humidity
+FROM wide GROUP BY 1, 2""")
+def q_env_windows(spark, sf_dir):
+    """A6 on wide rows: 4-day tumbling windows."""
+    return A.env_windows(_wide(spark, sf_dir), WINDOW_SECONDS)
+
+
+@register("room_stats", f"""{WIDE}
+SELECT room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
+  round(avg(light), 6) AS avg_light, round(avg(temp), 6) AS avg_temp,
+  round(avg(humidity), 6) AS avg_humidity,
+  round(avg(CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END), 6) AS movement_rate
+FROM wide GROUP BY room""")
+def q_room_stats(spark, sf_dir):
+    """A7."""
+    return A.room_stats(_wide(spark, sf_dir))
+
+
+@register("movement_by_hour", f"""WITH {O.READINGS_CTE}
+SELECT room, CAST(hour(ts) AS INTEGER) AS hour, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(CASE WHEN sensor_value > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_movement,
+  round(avg(CASE WHEN sensor_value > 0 THEN 1.0 ELSE 0.0 END), 6) AS movement_rate
+FROM readings WHERE sensor = 'pir' GROUP BY 1, 2""")
+def q_movement_by_hour(spark, sf_dir):
+    """Motion readings by room and hour of day."""
+    r = _readings(spark, sf_dir)
+    return A.movement_by_hour(r.filter(F.col("sensor") == "pir"))
+
+
+@register("stage_counts", f"""WITH {O.RAW_CTE}, {O.wide_cte()}
+SELECT 'readings' AS stage, CAST(count(*) AS BIGINT) AS n FROM readings
+UNION ALL SELECT 'parsed', CAST(count(*) AS BIGINT) FROM clean
+  WHERE ts_min_bignt IS NOT NULL AND sensor_value IS NOT NULL
+UNION ALL SELECT 'wide', CAST(count(*) AS BIGINT) FROM wide""")
+def q_stage_counts(spark, sf_dir):
+    """A1: rows read, parsed and merged."""
+    r = _readings(spark, sf_dir)
+    c = _clean(spark, sf_dir).dropna(subset=["ts_min_bignt", "sensor_value"])
+    w = wide_readings(r)
+    return union_frames([A.row_count(r, "n").select(F.lit("readings").alias("stage"), "n"),
+                         A.row_count(c, "n").select(F.lit("parsed").alias("stage"), "n"),
+                         A.row_count(w, "n").select(F.lit("wide").alias("stage"), "n")])
+
+
+# ---- filters, order, sets ------------------------------------------------
+
+@register("time_filter", f"""{WIDE}
+SELECT * FROM wide
+WHERE ts_min_bignt >= {int(FILTER_FROM.timestamp())} AND ts_min_bignt < {int(FILTER_TO.timestamp())}""")
+def q_time_filter(spark, sf_dir):
+    """half-open time range."""
+    return A.room_time_filter(_wide(spark, sf_dir), start=FILTER_FROM, end=FILTER_TO)
+
+
+@register("series_sorted", f"{WIDE} SELECT * FROM wide")
+def q_series_sorted(spark, sf_dir):
+    """O1: rooms kept together and in time order (no global sort)."""
+    return A.sorted_series(_wide(spark, sf_dir))
+
+
+@register("preview", f"""{WIDE}
+SELECT * FROM wide ORDER BY room, ts_min_bignt, event_ts_min, co2, light, temp, humidity, pir
+LIMIT 5""")
+def q_preview(spark, sf_dir):
+    """O2: five-row preview in a fixed order."""
+    return A.preview(_wide(spark, sf_dir), 5)
+
+
+@register("replayed", f"""{WIDE}
+SELECT wide.*, r.replay FROM wide, (SELECT CAST(unnest(range(1, 4)) AS INTEGER) AS replay) r""")
+def q_replayed(spark, sf_dir):
+    """The data set three times, numbered."""
+    from sensorflow.operators.wide import repeat_rows
+    return repeat_rows(_wide(spark, sf_dir), 3)
+
+
+@register("union_sources", f"""WITH {O.RAW_CTE},
+{O.wide_cte('readings', name='w1')}, {O.wide_cte('clean', name='w2')}
+SELECT 'events' AS source, * FROM w1 UNION ALL SELECT 'raw_text' AS source, * FROM w2""")
+def q_union_sources(spark, sf_dir):
+    """Union by name of wide rows from two sources, duplicates kept."""
+    a = _wide(spark, sf_dir).select(F.lit("events").alias("source"), "*")
+    b = wide_readings(_clean(spark, sf_dir)).select(F.lit("raw_text").alias("source"), "*")
+    return union_frames([a, b])
+
+
+# ---- data quality -------------------------------------------------------
+
+@register("completeness", f"""WITH {O.RAW_CTE}
+SELECT r.room, r.sensor, CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(sum(CASE WHEN r.ts_raw IS NULL OR trim(r.ts_raw) = '' THEN 1 ELSE 0 END) AS BIGINT)
+    AS n_missing_ts,
+  CAST(sum(CASE WHEN NOT (r.ts_raw IS NULL OR trim(r.ts_raw) = '') AND c.ts_min_bignt IS NULL
+    THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_ts,
+  CAST(sum(CASE WHEN r.value_raw IS NULL OR trim(r.value_raw) = '' THEN 1 ELSE 0 END) AS BIGINT)
+    AS n_missing_value,
+  CAST(sum(CASE WHEN NOT (r.value_raw IS NULL OR trim(r.value_raw) = '')
+    AND c.sensor_value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_bad_value
+FROM raw_readings r JOIN clean c USING (event_id) GROUP BY r.room, r.sensor""")
+def q_completeness(spark, sf_dir):
+    """Q1: missing and unparsable values per room and sensor."""
+    return Q.completeness(_clean(spark, sf_dir, keep_raw=True))
+
+
+@register("missing_sensors", f"""WITH {O.READINGS_CTE},
+grid AS (SELECT DISTINCT room, ts_min_bignt FROM readings),
+s AS (SELECT unnest(['co2', 'humidity', 'light', 'pir', 'temperature']) AS missing_sensor)
+SELECT g.room, g.ts_min_bignt, s.missing_sensor FROM grid g, s
+WHERE NOT EXISTS (SELECT 1 FROM readings r WHERE r.room = g.room
+  AND r.ts_min_bignt = g.ts_min_bignt AND r.sensor = s.missing_sensor)""")
+def q_missing_sensors(spark, sf_dir):
+    """Q2: (room, instant) cells lacking a sensor."""
+    return Q.missing_sensors(_readings(spark, sf_dir))
+
+
+@register("duplicate_keys", f"""WITH {O.READINGS_CTE}
+SELECT room, ts_min_bignt, sensor, CAST(count(*) AS BIGINT) AS n FROM readings
+GROUP BY 1, 2, 3 HAVING count(*) > 1""")
+def q_duplicate_keys(spark, sf_dir):
+    """Q4: keys with more than one reading."""
+    return Q.duplicate_keys(_readings(spark, sf_dir))
+
+
+@register("latest_readings", f"""WITH {O.READINGS_CTE}
+SELECT room, ts_min_bignt, sensor, max(event_id) AS event_id,
+  arg_max(sensor_value, event_id) AS sensor_value FROM readings GROUP BY 1, 2, 3""")
+def q_latest_readings(spark, sf_dir):
+    """Q4 keep-latest: one reading per (room, instant, sensor)."""
+    return Q.keep_latest(_readings(spark, sf_dir), "event_id")
+
+
+# ---- SQL surface --------------------------------------------------------
+
+@register("views_sql", f"""{WIDE}
+SELECT event_ts_min, co2, humidity, light, temp, room, pir, {FLAG.format(p='pir')} AS if_movement
+FROM wide""")
+def q_views_sql(spark, sf_dir):
+    """The flag query as SQL over registered views."""
+    register_views(spark, _readings(spark, sf_dir))
+    return spark.sql("""
+        SELECT event_ts_min, co2, humidity, light, temp, room, pir,
+               CASE WHEN pir > 0.0 THEN 'movement' ELSE 'no_movement' END AS if_movement
+        FROM sensor_wide""")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> long readings -> five-way join -> movement flag."""
     return with_movement(_wide(spark, sf_dir))
