@@ -54,7 +54,7 @@ def test_one_class_refused(wide):
 
 
 def test_null_feature_skipped_and_counted(spark, wide):
-    one_null = with_null.limit(1).withColumn("co2", F.lit(None).cast("double"))
+    one_null = wide.limit(1).withColumn("co2", F.lit(None).cast("double"))
     data = wide.unionByName(one_null)
     rep = M.fit(data)
     assert rep.skipped_rows == 1
