@@ -17,12 +17,14 @@ Strategies
   aggregation, so a hot key never gathers its rows in one task. Same result
   as ``join`` when the (room, instant, sensor) keys are unique.
 
-Hot keys in ``join``: pass ``hot_key_rows`` to split every key with more
-readings than that across salt buckets. The first side is spread over the
-buckets by a row id; the other sides of hot keys are copied to each bucket.
-Which keys are hot is computed by a partial aggregate; the hot-key table has
-at most ``rows / hot_key_rows`` entries, and it is broadcast only when its
-counted size is under ``broadcast_max_keys``.
+Hot keys in ``join``: AQE splits skewed partitions of the first join only
+(the later joins read its output, not a shuffle). Pass ``row_id`` and
+``hot_key_rows`` to split every key with more readings than that across salt
+buckets: per hot key, the sensor with most rows is spread over the buckets by
+a hash of the row id, the other sensors' rows are copied to each bucket.
+Which keys are hot is found by a partial aggregate; the hot-key table is
+capped to the hottest ``max_hot_keys`` (a proven broadcast bound), and keys
+beyond the cap are joined unsalted, so the result is always exact.
 """
 
 from __future__ import annotations
@@ -62,32 +64,49 @@ def join_sensors(long: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(KEY), "inner"), sides)
 
 
-def hot_keys(long: DataFrame, hot_key_rows: int, max_buckets: int = 256) -> DataFrame:
-    """Keys with more than ``hot_key_rows`` readings and their bucket count."""
-    return (long.groupBy(*KEY).count()
-                .filter(F.col("count") > hot_key_rows)
-                .select(*KEY, F.least(F.ceil(F.col("count") / hot_key_rows),
-                                      F.lit(max_buckets)).cast("int").alias("_buckets")))
+def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
+             max_buckets: int = 256) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` readings: bucket count and the
+    sensor with most rows there (the side that is split; the others are
+    copied per bucket).
+
+    At most ``max_hot_keys`` keys, the hottest first, so the table has a
+    fixed size bound and can always be broadcast. Keys beyond the bound are
+    joined unsalted, so results stay exact."""
+    if hot_key_rows < 1:
+        raise ValueError("hot_key_rows must be >= 1")
+    per_sensor = long.groupBy(*KEY, "sensor").agg(F.count(F.lit(1)).alias("n"))
+    per_key = per_sensor.groupBy(*KEY).agg(
+        F.sum("n").alias("total"),
+        F.max(F.struct(F.col("n"), F.col("sensor"))).alias("_top"))
+    hot = (per_key.filter(F.col("total") > hot_key_rows)
+                  .orderBy(F.col("total").desc())
+                  .limit(max_hot_keys))
+    return hot.select(
+        *KEY,
+        F.least(F.ceil(F.col("_top.n") / hot_key_rows), F.lit(max_buckets)).cast("int")
+        .alias("_buckets"),
+        F.col("_top.sensor").alias("_split"))
 
 
 def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
-                        broadcast_max_keys: int = 100_000, max_buckets: int = 256) -> DataFrame:
-    """J1 with hot keys split over salt buckets; same rows as ``join_sensors``."""
-    hot = hot_keys(long, hot_key_rows, max_buckets)
-    n_hot = hot.count()  # size check before any broadcast
-    if n_hot == 0:
-        return join_sensors(long)
-    hot_side = F.broadcast(hot) if n_hot <= broadcast_max_keys else hot
-    tagged = long.join(hot_side, list(KEY), "left")
+                        max_hot_keys: int = 10_000, max_buckets: int = 256) -> DataFrame:
+    """J1 with hot keys split over salt buckets; same rows as ``join_sensors``.
+
+    For a hot key, rows of its largest sensor get one bucket each (hash of
+    ``row_id``); rows of the other four sensors are copied to every bucket.
+    Every output row is still produced exactly once. Cold keys have one
+    bucket and pass through unchanged."""
+    hot = F.broadcast(hot_keys(long, hot_key_rows, max_hot_keys, max_buckets))
+    tagged = long.join(hot, list(KEY), "left")
     buckets = F.coalesce(F.col("_buckets"), F.lit(1))
-    first, *rest = JOIN_ORDER
-    sides = [tagged.filter(F.col("sensor") == first).select(
-        *KEY, F.pmod(F.xxhash64(F.col(row_id)), buckets.cast("long")).cast("int").alias("_salt"),
-        F.col("sensor_value").alias(WIDE_NAME[first]))]
-    for s in rest:
-        sides.append(tagged.filter(F.col("sensor") == s).select(
-            *KEY, F.explode(F.sequence(F.lit(0), buckets - 1)).alias("_salt"),
-            F.col("sensor_value").alias(WIDE_NAME[s])))
+    own = F.array(F.pmod(F.xxhash64(F.col(row_id)), buckets.cast("long")).cast("int"))
+    salts = F.when(F.col("sensor") == F.col("_split"), own) \
+        .otherwise(F.sequence(F.lit(0), buckets - 1))
+    salted = tagged.select(*KEY, "sensor", "sensor_value", F.explode(salts).alias("_salt"))
+    sides = [salted.filter(F.col("sensor") == s)
+                   .select(*KEY, "_salt", F.col("sensor_value").alias(WIDE_NAME[s]))
+             for s in JOIN_ORDER]
     joined = reduce(lambda a, b: a.join(b, [*KEY, "_salt"], "inner"), sides)
     return joined.drop("_salt")
 
