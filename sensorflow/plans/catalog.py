@@ -39,6 +39,7 @@ FIXED_NOW = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 FILTER_FROM = dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc)
 FILTER_TO = dt.datetime(2024, 1, 21, tzinfo=dt.timezone.utc)
 WINDOW_SECONDS = 4 * 86400
+HOLDOUT_FROM = dt.datetime(2024, 1, 23, tzinfo=dt.timezone.utc)
 
 
 def register(name: str, sql: str | None):
@@ -446,6 +447,87 @@ def q_views_sql(spark, sf_dir):
         FROM sensor_wide""")
 
 
+# ---- through files and streams (written under the shared checkpoint folder)
+
+@register("file_tree_wide", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
+def q_file_tree_wide(spark, sf_dir):
+    """S1, S2, P1, P3, J1, F1 through real files: the raw text readings are
+    written as a CSV tree partitioned by room and sensor, then read back."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.sensor_files import read_raw_hive_tree, write_raw_hive_tree
+    root = scratch_path(spark, "sensor-tree")
+    write_raw_hive_tree(ev.raw_readings(spark, sf_dir), root)
+    return wide_readings(clean_readings(read_raw_hive_tree(spark, root)))
+
+
+@register("long_table_wide", f"{WIDE} SELECT * FROM wide")
+def q_long_table_wide(spark, sf_dir):
+    """D3 layout: long readings stored partitioned by sensor; each join side
+    reads only its sensor's folder."""
+    from sensorflow.plans.ingest import read_long_table, write_long_table
+    from sensorflow.session import scratch_path
+    path = scratch_path(spark, "long-table")
+    write_long_table(_readings(spark, sf_dir).drop("ts"), path)
+    return wide_readings(read_long_table(spark, path))
+
+
+@register("stream_index_documents", ORACLE["index_documents"])
+def q_stream_index_documents(spark, sf_dir):
+    """Entry point B on a drained file stream: equals the batch form."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.index_stream import start_index_stream
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "index-stream")
+    PL.to_messages(_wide_v2(spark, sf_dir), with_key=False).write.text(f"{base}/inbox")
+    q, _ = start_index_stream(read_messages(spark, "text", f"{base}/inbox"), f"{base}/docs",
+                              f"{base}/checkpoint", trigger={"availableNow": True}, now=FIXED_NOW)
+    run_available(q)
+    return read_batches(spark, f"{base}/docs").drop("batch_id")
+
+
+@register("stream_routed_predictions", ORACLE["routed_predictions"])
+def q_stream_routed_predictions(spark, sf_dir):
+    """Entry point C on a drained stream of JSON messages, routed by class."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.scoring import start_scoring_stream
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "scoring-stream")
+    PL.to_messages(_wide(spark, sf_dir), "json").write.json(f"{base}/inbox")
+    q, _ = start_scoring_stream(read_messages(spark, "json", f"{base}/inbox"), FIXED_MODEL,
+                                f"{base}/routes", f"{base}/checkpoint", payload_format="json",
+                                trigger={"availableNow": True})
+    run_available(q)
+    out = read_batches(spark, f"{base}/routes")
+    return out.select("route", *[F.round(c, 6).alias(c) if c == "confidence" else F.col(c)
+                                 for c in PREDICTION_FIELDS])
+
+
+@register("holdout_accuracy", f"""{SCORED}
+SELECT CAST(count(*) AS BIGINT) AS total,
+  CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+  round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0 / count(*), 6) AS accuracy_pct
+FROM pred WHERE ts_min_bignt >= {int(HOLDOUT_FROM.timestamp())}""")
+def q_holdout_accuracy(spark, sf_dir):
+    """M3 with a time-based hold-out (rows from the cutoff on)."""
+    from sensorflow.operators.model import time_split
+    _, test = time_split(with_label(_wide(spark, sf_dir)), int(HOLDOUT_FROM.timestamp()))
+    a = accuracy(score(test, FIXED_MODEL))
+    return a.withColumn("accuracy_pct", F.round("accuracy_pct", 6))
+
+
+@register("room_windows", f"""{WIDE}
+SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
+  room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
+  round(avg(temp), 6) AS avg_temp, round(avg(humidity), 6) AS avg_humidity
+FROM wide GROUP BY 1, 2""")
+def q_room_windows(spark, sf_dir):
+    """E2 in batch form: per room and 4-day window."""
+    from sensorflow.streaming.event_time import windowed_metrics, with_event_time
+    return windowed_metrics(with_event_time(_wide(spark, sf_dir)), "4 days", "2 days")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> long readings -> five-way join -> movement flag."""
     return with_movement(_wide(spark, sf_dir))

@@ -30,6 +30,9 @@ def write_wide_table(wide: DataFrame, path: str, mode: str = "overwrite",
     ``mode='append'`` adds (K2's incremental form). With ``partition_by``
     and dynamic partition overwrite, only the partitions present in
     ``wide`` are replaced."""
+    if partition_by:
+        # Few files per folder; AQE splits a hot partition value over tasks.
+        wide = wide.hint("rebalance", *partition_by)
     w = wide.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
@@ -51,3 +54,18 @@ def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def read_wide_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def write_long_table(long: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Long readings as Parquet partitioned by sensor (five folders). The wide
+    join's per-sensor sides then read only their own folder: one pass over
+    the data for all five sides. Within a folder, rows are clustered by
+    (room, instant) so Parquet statistics can skip row groups for room or
+    time filters."""
+    (long.repartitionByRange("sensor", "room", "ts_min_bignt")
+         .sortWithinPartitions("sensor", "room", "ts_min_bignt")
+         .write.mode(mode).partitionBy("sensor").parquet(path))
+
+
+def read_long_table(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

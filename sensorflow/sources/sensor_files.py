@@ -21,6 +21,30 @@ def sensor_file_glob(root: str) -> str:
     return f"{root.rstrip('/')}/*/*.csv"
 
 
+HIVE_SCHEMA = "ts_min_bignt string, sensor_value string, room string, sensor string"
+
+
+def read_raw_hive_tree(spark: SparkSession, root: str, sensors=SENSORS) -> DataFrame:
+    """The same readings stored as ``<root>/room=<room>/sensor=<sensor>/*.csv``
+    (what ``partitionBy("room", "sensor")`` writes). Room and sensor are
+    partition columns, kept as text; filters on them prune folders."""
+    df = spark.read.schema(HIVE_SCHEMA).option("sep", ",").option("header", False).csv(root)
+    return (df.filter(F.col("sensor").isin(list(sensors)))
+              .select("room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
+                      F.col("sensor_value").alias("value_raw")))
+
+
+def write_raw_hive_tree(raw: DataFrame, root: str) -> None:
+    """Raw text readings (``room, sensor, ts_raw, value_raw``) as a CSV tree
+    partitioned by room and sensor, one distributed write. The rebalance hint
+    lets AQE group each folder's rows into few files and split a hot
+    (room, sensor) over several tasks."""
+    (raw.select("ts_raw", "value_raw", "room", "sensor")
+        .hint("rebalance", "room", "sensor")
+        .write.mode("overwrite").partitionBy("room", "sensor").option("header", False)
+        .csv(root))
+
+
 def read_raw_tree(spark: SparkSession, root: str, sensors=SENSORS,
                   with_line_order: bool = False) -> DataFrame:
     """S1 + S2: ``room, sensor, ts_raw, value_raw, source_file`` for every
