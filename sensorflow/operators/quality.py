@@ -61,10 +61,9 @@ def duplicate_keys(long: DataFrame, key=(*KEY, "sensor")) -> DataFrame:
 
 def keep_latest(long: DataFrame, order_col: str, key=(*KEY, "sensor")) -> DataFrame:
     """Q4 keep-latest: one reading per key, the one with the largest
-    ``order_col``. ``max(struct)`` aggregates partially on the map side, so
-    a hot key costs one row per task, never its whole group."""
-    agg = long.groupBy(*key).agg(
-        F.max(F.struct(F.col(order_col).alias("o"), F.col("sensor_value").alias("v")))
-        .alias("_latest"))
-    return agg.select(*key, F.col("_latest.o").alias(order_col),
-                      F.col("_latest.v").alias("sensor_value"))
+    ``order_col`` (ties: any one of them). ``max_by`` aggregates partially on
+    the map side, so a hot key costs one row per task, never its whole
+    group."""
+    return long.groupBy(*key).agg(
+        F.max(F.col(order_col)).alias(order_col),
+        F.max_by(F.col("sensor_value"), F.col(order_col)).alias("sensor_value"))

@@ -12,10 +12,11 @@ Strategies
   side is shuffled once on the key and the joins reuse that partitioning
   (5 exchanges, no re-shuffle between joins). A broadcast is left to Spark's
   size-checked planner and AQE's runtime statistics.
-``latest``: keep the latest reading per (room, instant, sensor) (Q4), then
-  one conditional aggregate per key. One shuffle with map-side partial
-  aggregation, so a hot key never gathers its rows in one task. Same result
-  as ``join`` when the (room, instant, sensor) keys are unique.
+``latest``: keep the latest reading per (room, instant, sensor) (Q4) and
+  pivot in the same conditional aggregate (``max_by`` per sensor). One
+  shuffle with map-side partial aggregation, so a hot key never gathers its
+  rows in one task. Same result as ``join`` when the (room, instant, sensor)
+  keys are unique.
 
 Hot keys in ``join``: AQE splits skewed partitions of the first join only
 (the later joins read its output, not a shuffle). Pass ``row_id`` and
@@ -114,19 +115,23 @@ def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
 def latest_per_sensor_wide(long: DataFrame, order_col: str) -> DataFrame:
     """Q4 keep-latest + conditional aggregate in one grouped pass.
 
-    For each sensor, ``max(struct(order, value))`` over that sensor's rows
-    picks the reading with the largest ``order_col``. Rows of other sensors
-    give null structs, which ``max`` ignores. Inner semantics: the key is
-    kept only when all five sensors are present.
+    For each sensor, ``max_by(value, order)`` over that sensor's rows (other
+    rows give a null order, which ``max_by`` ignores) picks the reading with
+    the largest ``order_col``; a count of the sensor's rows tells presence.
+    With a primitive order column the buffers are primitive, so Spark runs a
+    hash aggregate with map-side partial aggregation. Inner semantics: the
+    key is kept only when all five sensors are present.
     """
-    aggs = [F.max(F.when(F.col("sensor") == s,
-                         F.struct(F.col(order_col).alias("o"), F.col("sensor_value").alias("v"))))
-            .alias(f"_{WIDE_NAME[s]}") for s in SENSORS]
+    aggs = []
+    for s in SENSORS:
+        is_s = F.col("sensor") == s
+        aggs.append(F.max_by(F.col("sensor_value"), F.when(is_s, F.col(order_col)))
+                    .alias(WIDE_NAME[s]))
+        aggs.append(F.count(F.when(is_s, F.lit(1))).alias(f"_n_{WIDE_NAME[s]}"))
     grouped = long.filter(F.col("room").isNotNull() & F.col("ts_min_bignt").isNotNull()) \
         .groupBy(*KEY).agg(*aggs)
-    present = reduce(lambda a, b: a & b, [F.col(f"_{WIDE_NAME[s]}").isNotNull() for s in SENSORS])
-    return grouped.filter(present).select(
-        *KEY, *[F.col(f"_{c}.v").alias(c) for c in READING_COLUMNS])
+    present = reduce(lambda a, b: a & b, [F.col(f"_n_{WIDE_NAME[s]}") > 0 for s in SENSORS])
+    return grouped.filter(present).select(*KEY, *READING_COLUMNS)
 
 
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
