@@ -43,17 +43,14 @@ def round_columns(df: DataFrame, cols, digits: int | None = 6) -> DataFrame:
                        for c in df.columns])
 
 
-def any_null(cols) -> Column:
-    """True when any of ``cols`` is null or NaN (the test behind F1)."""
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() | F.isnan(F.col(c))
-                                       if _numeric_guess(c) else F.col(c).isNull()
-                                       for c in cols])
+def complete(cols) -> Column:
+    """True when none of the numeric ``cols`` is null or NaN: the test behind
+    F1 as a conjunction, so the optimizer can push each part to the input
+    that holds the column."""
+    return reduce(lambda a, b: a & b,
+                  [F.col(c).isNotNull() & ~F.isnan(F.col(c)) for c in cols])
 
 
-def _numeric_guess(c: str) -> bool:
-    return c in ("co2", "light", "temp", "humidity", "pir", "sensor_value")
-
-
-def drop_incomplete(df: DataFrame) -> DataFrame:
+def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
     """drop rows with any null (or NaN) column, as ``dropna('any')``."""
-    return df.dropna(how="any")
+    return df.dropna(how="any", subset=list(subset) if subset else None)

@@ -35,8 +35,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.cleaning import drop_incomplete as _drop_incomplete
-from sensorflow.functions.cleaning import round_columns
+from sensorflow.functions.cleaning import complete, round_columns
 from sensorflow.functions.time import epoch_to_text
 from sensorflow.schema import KEY, READING_COLUMNS, SENSORS, WIDE_COLUMNS, WIDE_NAME
 
@@ -50,12 +49,17 @@ def _side(long: DataFrame, sensor: str) -> DataFrame:
 
 
 def _finish(joined: DataFrame, round_digits: int | None, drop_incomplete: bool) -> DataFrame:
+    if drop_incomplete:
+        # F1. Room and instant cannot be null after the inner join (null keys
+        # never match) and the text time is derived from the instant, so
+        # "no null column" is "no null or NaN reading". Stated on the
+        # readings, each test is pushed into its own join side, before the
+        # shuffle.
+        joined = joined.filter(complete(READING_COLUMNS))
     out = joined.select(
         epoch_to_text("ts_min_bignt").alias("event_ts_min"),
         "ts_min_bignt", "room", *READING_COLUMNS)
     out = round_columns(out, READING_COLUMNS, round_digits)
-    if drop_incomplete:
-        out = _drop_incomplete(out)
     return out.select(*WIDE_COLUMNS)
 
 

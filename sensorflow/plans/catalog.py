@@ -337,12 +337,16 @@ UNION ALL SELECT 'parsed', CAST(count(*) AS BIGINT) FROM clean
   WHERE ts_min_bignt IS NOT NULL AND sensor_value IS NOT NULL
 UNION ALL SELECT 'wide', CAST(count(*) AS BIGINT) FROM wide""")
 def q_stage_counts(spark, sf_dir):
-    """A1: rows read, parsed and merged."""
-    r = _readings(spark, sf_dir)
-    c = _clean(spark, sf_dir).dropna(subset=["ts_min_bignt", "sensor_value"])
-    w = wide_readings(r)
-    return union_frames([A.row_count(r, "n").select(F.lit("readings").alias("stage"), "n"),
-                         A.row_count(c, "n").select(F.lit("parsed").alias("stage"), "n"),
+    """A1: rows read, parsed and merged; read and parsed in one pass."""
+    c = _clean(spark, sf_dir)
+    parsed_ok = (F.col("ts_min_bignt").isNotNull() & F.col("sensor_value").isNotNull())
+    counts = c.agg(F.count(F.lit(1)).alias("readings"),
+                   F.count(F.when(parsed_ok, F.lit(1))).alias("parsed"))
+    long_form = counts.select(F.explode(F.array(
+        F.struct(F.lit("readings").alias("stage"), F.col("readings").alias("n")),
+        F.struct(F.lit("parsed").alias("stage"), F.col("parsed").alias("n")))).alias("s"))
+    w = wide_readings(_readings(spark, sf_dir))
+    return union_frames([long_form.select("s.stage", "s.n"),
                          A.row_count(w, "n").select(F.lit("wide").alias("stage"), "n")])
 
 

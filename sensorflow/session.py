@@ -33,6 +33,7 @@ def build_session(master: str | None = None, app: str = "sensorflow",
     conf.update({
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("SENSORFLOW_DRIVER_MEMORY", "8g"),
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import parse_payload, time_to_epoch_ms
+from sensorflow.functions.time import text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS
 from sensorflow.streaming.sinks import BatchDirSink, start
 
@@ -26,10 +27,16 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
     """P12 -> P13/P15 -> P7 -> P19 -> P14.
 
     ``time_as='epoch_ms'`` follows the first version (text time parsed to
-    epoch ms, unparsable -> ``now``); ``'text'`` keeps the text time."""
+    epoch ms, unparsable -> ``now``); ``'timestamp'`` follows the second
+    (a timestamp, null when unparsable); ``'text'`` keeps the text."""
     parsed = parse_payload(messages, payload_format)
     if time_as == "epoch_ms":
         parsed = time_to_epoch_ms(parsed, now)
+    elif time_as == "timestamp":
+        parsed = parsed.withColumn(
+            "event_ts_min", F.timestamp_seconds(text_to_epoch_seconds("event_ts_min")))
+    elif time_as != "text":
+        raise ValueError(f"unknown time_as {time_as!r}")
     return search_document(with_movement(parsed), fill_value=fill_value)
 
 

@@ -90,3 +90,11 @@ def test_doc_id_stable(spark):
     docs = index_documents(_msgs(spark, GOLDEN + GOLDEN[:1]), "csv", now=NOW)
     ids = [r.doc_id for r in with_doc_id(docs).collect()]
     assert ids[0] == ids[3] and len(set(ids)) == 3
+
+
+def test_document_time_forms(spark):
+    msgs = _msgs(spark, GOLDEN[:1] + ["xx,1,413,1.0,1.0,1.0,1.0,1.0"])
+    ts = index_documents(msgs, "csv", time_as="timestamp").collect()
+    assert ts[0].event_ts_min.timestamp() == 1377555131 and ts[1].event_ts_min is None
+    text = index_documents(msgs, "csv", time_as="text").collect()
+    assert text[0].event_ts_min == "2013-08-26 22:12:11"
