@@ -70,7 +70,7 @@ def join_sensors(long: DataFrame) -> DataFrame:
 
 
 def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
-             max_buckets: int = 256) -> DataFrame:
+             max_buckets: int = 1024) -> DataFrame:
     """Keys with more than ``hot_key_rows`` readings: bucket count and the
     sensor with most rows there (the side that is split; the others are
     copied per bucket).
@@ -95,7 +95,7 @@ def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
 
 
 def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
-                        max_hot_keys: int = 10_000, max_buckets: int = 256) -> DataFrame:
+                        max_hot_keys: int = 10_000, max_buckets: int = 1024) -> DataFrame:
     """J1 with hot keys split over salt buckets; same rows as ``join_sensors``.
 
     For a hot key, rows of its largest sensor get one bucket each (hash of
@@ -138,20 +138,27 @@ def latest_per_sensor_wide(long: DataFrame, order_col: str) -> DataFrame:
     return grouped.filter(present).select(*KEY, *READING_COLUMNS)
 
 
+# A key with more readings than this is split over salt buckets.
+HOT_KEY_ROWS = 1_000_000
+
+
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
                   drop_incomplete: bool = True, order_col: str | None = None,
-                  row_id: str | None = None, hot_key_rows: int | None = None) -> DataFrame:
+                  row_id: str | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
+                  max_hot_keys: int = 10_000, max_buckets: int = 1024) -> DataFrame:
     """Long readings -> wide rows ``event_ts_min, ts_min_bignt, room, co2,
     light, temp, humidity, pir``.
 
     ``round_digits=6, drop_incomplete=True`` is version 1 of the reference;
     ``round_digits=None, drop_incomplete=False`` is version 2.
+
+    With ``row_id`` (a column that tells the rows of one key apart), the join
+    splits keys with more than ``hot_key_rows`` readings over salt buckets;
+    ``hot_key_rows=None`` or no ``row_id`` gives the plain join chain.
     """
     if how == "join":
-        if hot_key_rows:
-            if not row_id:
-                raise ValueError("hot_key_rows needs a row_id column to spread rows")
-            joined = join_sensors_salted(long, row_id, hot_key_rows)
+        if row_id and hot_key_rows:
+            joined = join_sensors_salted(long, row_id, hot_key_rows, max_hot_keys, max_buckets)
         else:
             joined = join_sensors(long)
     elif how == "latest":

@@ -62,12 +62,14 @@ def _clean(spark, sf_dir, keep_raw=False):
 
 
 def _wide(spark, sf_dir, **kw):
+    kw.setdefault("row_id", "event_id")  # hot keys are salted (none at test scale)
     return wide_readings(_readings(spark, sf_dir), **kw)
 
 
 def _wide_v2(spark, sf_dir):
     """Version-2 wide rows from raw text: no rounding, incomplete rows kept."""
-    return wide_readings(_clean(spark, sf_dir), round_digits=None, drop_incomplete=False)
+    return wide_readings(_clean(spark, sf_dir), round_digits=None, drop_incomplete=False,
+                         row_id="event_id")
 
 
 def _scored(spark, sf_dir):
@@ -108,7 +110,7 @@ def q_wide_using(spark, sf_dir):
 @register("wide_raw", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
 def q_wide_raw(spark, sf_dir):
     """P1, P3, J1, F1 on text with spaces, nulls and bad numbers."""
-    return wide_readings(_clean(spark, sf_dir))
+    return wide_readings(_clean(spark, sf_dir), row_id="event_id")
 
 
 @register("wide_latest", f"""WITH {O.READINGS_CTE},
@@ -345,7 +347,7 @@ def q_stage_counts(spark, sf_dir):
     long_form = counts.select(F.explode(F.array(
         F.struct(F.lit("readings").alias("stage"), F.col("readings").alias("n")),
         F.struct(F.lit("parsed").alias("stage"), F.col("parsed").alias("n")))).alias("s"))
-    w = wide_readings(_readings(spark, sf_dir))
+    w = _wide(spark, sf_dir)
     return union_frames([long_form.select("s.stage", "s.n"),
                          A.row_count(w, "n").select(F.lit("wide").alias("stage"), "n")])
 
@@ -388,7 +390,8 @@ SELECT 'events' AS source, * FROM w1 UNION ALL SELECT 'raw_text' AS source, * FR
 def q_union_sources(spark, sf_dir):
     """Union by name of wide rows from two sources, duplicates kept."""
     a = _wide(spark, sf_dir).select(F.lit("events").alias("source"), "*")
-    b = wide_readings(_clean(spark, sf_dir)).select(F.lit("raw_text").alias("source"), "*")
+    b = wide_readings(_clean(spark, sf_dir), row_id="event_id") \
+        .select(F.lit("raw_text").alias("source"), "*")
     return union_frames([a, b])
 
 
@@ -461,7 +464,8 @@ def q_file_tree_wide(spark, sf_dir):
     from sensorflow.sources.sensor_files import read_raw_hive_tree, write_raw_hive_tree
     root = scratch_path(spark, "sensor-tree")
     write_raw_hive_tree(ev.raw_readings(spark, sf_dir), root)
-    return wide_readings(clean_readings(read_raw_hive_tree(spark, root)))
+    long = clean_readings(read_raw_hive_tree(spark, root, with_line_order=True))
+    return wide_readings(long, row_id="line_order")
 
 
 @register("long_table_wide", f"{WIDE} SELECT * FROM wide")
@@ -472,7 +476,7 @@ def q_long_table_wide(spark, sf_dir):
     from sensorflow.session import scratch_path
     path = scratch_path(spark, "long-table")
     write_long_table(_readings(spark, sf_dir).drop("ts"), path)
-    return wide_readings(read_long_table(spark, path))
+    return wide_readings(read_long_table(spark, path), row_id="event_id")
 
 
 @register("stream_index_documents", ORACLE["index_documents"])

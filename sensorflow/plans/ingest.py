@@ -13,15 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sensorflow.operators.wide import wide_readings
 from sensorflow.schema import WIDE_SCHEMA
-from sensorflow.sources.sensor_files import read_tree
+from sensorflow.functions.cleaning import clean_readings
+from sensorflow.sources.sensor_files import read_raw_tree
 
 
 def build_wide(spark: SparkSession, root: str, version: int = 1, **wide_options) -> DataFrame:
-    """Version 1: round to 6 digits, drop incomplete rows. Version 2: neither."""
+    """Version 1: round to 6 digits, drop incomplete rows. Version 2: neither.
+
+    Each line's file position is its row id, so keys with very many readings
+    are split over salt buckets (``hot_key_rows=None`` turns that off)."""
     opts = {"round_digits": 6, "drop_incomplete": True} if version == 1 else \
         {"round_digits": None, "drop_incomplete": False}
     opts.update(wide_options)
-    return wide_readings(read_tree(spark, root), **opts)
+    opts.setdefault("row_id", "line_order")
+    long = clean_readings(read_raw_tree(spark, root, with_line_order=True))
+    return wide_readings(long, **opts)
 
 
 def write_wide_table(wide: DataFrame, path: str, mode: str = "overwrite",

@@ -24,14 +24,24 @@ def sensor_file_glob(root: str) -> str:
 HIVE_SCHEMA = "ts_min_bignt string, sensor_value string, room string, sensor string"
 
 
-def read_raw_hive_tree(spark: SparkSession, root: str, sensors=SENSORS) -> DataFrame:
+def read_raw_hive_tree(spark: SparkSession, root: str, sensors=SENSORS,
+                       with_line_order: bool = False) -> DataFrame:
     """The same readings stored as ``<root>/room=<room>/sensor=<sensor>/*.csv``
     (what ``partitionBy("room", "sensor")`` writes). Room and sensor are
     partition columns, kept as text; filters on them prune folders."""
     df = spark.read.schema(HIVE_SCHEMA).option("sep", ",").option("header", False).csv(root)
-    return (df.filter(F.col("sensor").isin(list(sensors)))
-              .select("room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
-                      F.col("sensor_value").alias("value_raw")))
+    df = df.filter(F.col("sensor").isin(list(sensors)))
+    cols = ["room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
+            F.col("sensor_value").alias("value_raw")]
+    if with_line_order:
+        cols.append(_line_order())
+    return df.select(*cols)
+
+
+def _line_order():
+    return F.struct(F.col("_metadata.file_path").alias("file"),
+                    F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("row")).alias("line_order")
 
 
 def write_raw_hive_tree(raw: DataFrame, root: str) -> None:
@@ -65,8 +75,7 @@ def read_raw_tree(spark: SparkSession, root: str, sensors=SENSORS,
             F.col("sensor_value").alias("value_raw"),
             path.alias("source_file")]
     if with_line_order:
-        cols.append(F.struct(F.col("_metadata.file_block_start").alias("block"),
-                             F.monotonically_increasing_id().alias("row")).alias("line_order"))
+        cols.append(_line_order())
     return df.select(*cols)
 
 
