@@ -140,6 +140,23 @@ def latest_per_sensor_wide(long: DataFrame, order_col: str) -> DataFrame:
 
 # A key with more readings than this is split over salt buckets.
 HOT_KEY_ROWS = 1_000_000
+# Inputs estimated below ``hot_key_rows * SMALL_INPUT_BYTES_PER_ROW`` bytes are
+# joined plainly: one task can then handle any key, hot or not.
+SMALL_INPUT_BYTES_PER_ROW = 16
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Spark's size estimate of ``df`` from the optimized plan's statistics
+    (file sizes for scans); ``None`` when unavailable."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - statistics are an optimization only
+        return None
+
+
+def _needs_salting(long: DataFrame, hot_key_rows: int) -> bool:
+    size = estimated_bytes(long)
+    return size is None or size > hot_key_rows * SMALL_INPUT_BYTES_PER_ROW
 
 
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
@@ -153,11 +170,13 @@ def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None =
     ``round_digits=None, drop_incomplete=False`` is version 2.
 
     With ``row_id`` (a column that tells the rows of one key apart), the join
-    splits keys with more than ``hot_key_rows`` readings over salt buckets;
-    ``hot_key_rows=None`` or no ``row_id`` gives the plain join chain.
+    splits keys with more than ``hot_key_rows`` readings over salt buckets,
+    unless Spark's size estimate shows the whole input is too small for any
+    key to matter; ``hot_key_rows=None`` or no ``row_id`` gives the plain join
+    chain. The rows are the same in every case.
     """
     if how == "join":
-        if row_id and hot_key_rows:
+        if row_id and hot_key_rows and _needs_salting(long, hot_key_rows):
             joined = join_sensors_salted(long, row_id, hot_key_rows, max_hot_keys, max_buckets)
         else:
             joined = join_sensors(long)
