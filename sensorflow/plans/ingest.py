@@ -14,19 +14,23 @@ from pyspark.sql import DataFrame, SparkSession
 from sensorflow.operators.wide import wide_readings
 from sensorflow.schema import WIDE_SCHEMA
 from sensorflow.functions.cleaning import clean_readings
-from sensorflow.sources.sensor_files import read_raw_tree
+from sensorflow.sources.sensor_files import read_raw_hive_tree, read_raw_tree
 
 
-def build_wide(spark: SparkSession, root: str, version: int = 1, **wide_options) -> DataFrame:
+def build_wide(spark: SparkSession, root: str, version: int = 1, layout: str = "folders",
+               **wide_options) -> DataFrame:
     """Version 1: round to 6 digits, drop incomplete rows. Version 2: neither.
 
     Each line's file position is its row id, so keys with very many readings
-    are split over salt buckets (``hot_key_rows=None`` turns that off)."""
+    are split over salt buckets (``hot_key_rows=None`` turns that off).
+    ``layout``: ``folders`` (``<room>/<sensor>.csv``) or ``hive``
+    (``room=<room>/sensor=<sensor>/*.csv``)."""
     opts = {"round_digits": 6, "drop_incomplete": True} if version == 1 else \
         {"round_digits": None, "drop_incomplete": False}
     opts.update(wide_options)
     opts.setdefault("row_id", "line_order")
-    long = clean_readings(read_raw_tree(spark, root, with_line_order=True))
+    reader = read_raw_hive_tree if layout == "hive" else read_raw_tree
+    long = clean_readings(reader(spark, root, with_line_order=True))
     return wide_readings(long, **opts)
 
 

@@ -1,0 +1,58 @@
+"""The five programs chained end to end on files derived from ``events``:
+ingest -> train -> publish -> scoring stream, and ingest -> index stream."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from sensorflow.operators import model as M
+from sensorflow.operators.wide import wide_readings
+from sensorflow.functions.cleaning import clean_readings
+from sensorflow.plans import jobs as J
+from sensorflow.sources import events as ev
+from sensorflow.sources.sensor_files import write_raw_hive_tree
+from sensorflow.streaming.sinks import read_batches, run_available
+
+from .conftest import SF_MID
+
+
+def test_pipeline_end_to_end(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    raw = ev.raw_readings(spark, SF_MID)
+    write_raw_hive_tree(raw, root)
+    table, csv, inbox = (str(tmp_path / n) for n in ("table", "csv", "inbox"))
+    wide = J.run_ingest(spark, root, table_path=table, csv_path=csv, layout="hive",
+                        messages_path=inbox, payload_format="json")
+    expected = wide_readings(clean_readings(raw), row_id="event_id")
+    assert sorted(map(tuple, spark.read.parquet(table).collect())) == \
+        sorted(map(tuple, expected.collect()))
+    wide.unpersist()
+
+    model_path = str(tmp_path / "model")
+    res = J.run_training(spark, table, model_path, holdout_from=dt.datetime(2024, 1, 23))
+    assert 0 <= res.accuracy_in_sample <= 100 and res.accuracy_holdout is not None
+    assert M.linear_of(M.load(model_path)) == res.fit.linear
+
+    routes = str(tmp_path / "routes")
+    q, sink = J.run_scoring_stream(spark, model_path, "json", inbox, routes,
+                                   payload_format="json", trigger={"availableNow": True})
+    run_available(q)
+    out = read_batches(spark, routes)
+    assert out.count() == expected.count()
+    counts = {r.route: r.n for r in J.routed_counts(out).collect()}
+    assert sum(counts.values()) == sink.metrics[-1]["rows"]
+
+    published = str(tmp_path / "published")
+    n = J.run_publish(spark, table, "text", published, exclude=("pir",), key_col="room",
+                      input_format="parquet")
+    assert n == expected.count() == spark.read.text(published).count()
+
+    docs = str(tmp_path / "docs")
+    q, _ = J.run_index_stream(spark, "text", published, docs, trigger={"availableNow": True},
+                              checkpoint=str(tmp_path / "ck_docs"))
+    run_available(q)
+    d = read_batches(spark, docs)
+    assert d.count() == n
+    # pir was excluded from the published rows: the 8th field is missing,
+    # so the document holds 0.0 and no movement.
+    assert d.filter(F.col("if_movement") == "movement").count() == 0
