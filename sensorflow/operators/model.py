@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
@@ -90,16 +89,13 @@ def fit(wide: DataFrame, max_iter: int = MAX_ITER) -> FitReport:
     if usable == 0 or pos == 0 or pos == usable:
         raise OneClassError(
             f"training data must hold both classes: {usable} usable rows, {pos} with movement")
-    # The optimizer passes over the data max_iter times; keep the narrow
-    # (4 doubles + label) frame in memory, spilling to disk when it is large.
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        pipe = Pipeline(stages=[assembler("skip"),
-                                LogisticRegression(featuresCol="features", labelCol="label",
-                                                   maxIter=max_iter)])
-        model = pipe.fit(data)
-    finally:
-        data.unpersist()
+    # The optimizer passes over the data about max_iter times. Its input (the
+    # assembler's output) is not cached, so LogisticRegression caches its own
+    # narrow instances (memory and disk) for the iterations and releases them.
+    pipe = Pipeline(stages=[assembler("skip"),
+                            LogisticRegression(featuresCol="features", labelCol="label",
+                                               maxIter=max_iter)])
+    model = pipe.fit(data)
     return FitReport(n, bad, pos, model, linear_of(model))
 
 

@@ -8,7 +8,8 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sensorflow.functions.payload import to_messages
@@ -28,13 +29,15 @@ def run_ingest(spark: SparkSession, root: str, table_path: str | None = None,
     """Entry point A: sensor files -> wide table (Parquet, optional CSV
     export) and, as the second version did, the rows as messages.
 
-    The wide frame is persisted only when it feeds more than one write."""
+    The join runs once: when the table is written, the other outputs read it
+    back (no cache of the whole result, no second join)."""
     wide = build_wide(spark, root, version=version, layout=layout)
     send = bool(messages_path) or messages_format == "kafka"
-    if sum((bool(table_path), bool(csv_path), send)) > 1:
-        wide = wide.persist()
     if table_path:
         write_wide_table(wide, table_path)
+        wide = spark.read.parquet(table_path)
+    elif csv_path and send:
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
     if csv_path:
         export_csv(wide, csv_path)
     if send:
@@ -74,16 +77,13 @@ def run_publish(spark: SparkSession, input_path: str, fmt: str, target: str | No
                 exclude=(), key_col: str | None = None, repeat: int = 1,
                 shuffle_seed: int | None = None, input_format: str | None = None) -> int:
     """The publisher: a table -> ``key, value`` messages in one write.
-    Returns the number of messages written."""
+    Returns the number of messages written, counted during the write."""
     table = read_table(spark, input_path, fmt=input_format, sep=sep)
     msgs = publish_frame(table, sep=message_sep, exclude=exclude, key_col=key_col,
-                         repeat=repeat, shuffle_seed=shuffle_seed).persist()
-    try:
-        n = msgs.count()
-        write_messages(msgs, fmt, target, options)
-    finally:
-        msgs.unpersist()
-    return n
+                         repeat=repeat, shuffle_seed=shuffle_seed)
+    obs = Observation("published")
+    write_messages(msgs.observe(obs, F.count(F.lit(1)).alias("n")), fmt, target, options)
+    return int(obs.get["n"])
 
 
 def run_index_stream(spark: SparkSession, source_format: str, source: str | None,
