@@ -21,6 +21,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.functions.cleaning import complete
 from sensorflow.functions.features import movement_label
 from sensorflow.schema import FEATURES
 
@@ -70,10 +71,7 @@ def assembler(handle_invalid: str = "skip") -> VectorAssembler:
 
 def training_summary(df: DataFrame) -> tuple[int, int, int]:
     """(rows, rows with a null/NaN feature, positive labels) in one pass."""
-    bad = None
-    for c in FEATURES:
-        t = F.col(c).isNull() | F.isnan(F.col(c))
-        bad = t if bad is None else (bad | t)
+    bad = ~complete(FEATURES)
     r = df.agg(F.count(F.lit(1)).alias("n"),
                F.sum(bad.cast("long")).alias("bad"),
                F.sum(F.when(~bad, F.col("label")).cast("long")).alias("pos")).first()
@@ -133,11 +131,7 @@ def score(df: DataFrame, model: PipelineModel | LinearModel, method: str = "expr
                    .drop("features", "rawPrediction"))
     lin = model if isinstance(model, LinearModel) else linear_of(model)
     if skip_invalid:
-        ok = None
-        for c in lin.features:
-            t = F.col(c).isNotNull() & ~F.isnan(F.col(c))
-            ok = t if ok is None else (ok & t)
-        df = df.filter(ok)
+        df = df.filter(complete(lin.features))
     p = lin.probability()
     return (df.withColumn("probability", p)
               .withColumn("prediction", F.when(F.col("probability") > lin.threshold, F.lit(1.0))
