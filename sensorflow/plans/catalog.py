@@ -80,12 +80,12 @@ WIDE = f"WITH {O.READINGS_CTE}, {O.wide_cte()}"
 WIDE_V2 = f"WITH {O.RAW_CTE}, {O.wide_cte('clean', rounded=False, complete=False, name='wide2')}"
 SCORED = WIDE + """,
 scored AS (
-  SELECT *, CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END AS label,
+  SELECT *, CASE WHEN pir > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
     1.0 / (1.0 + exp(-(0.3 + 0.004 * co2 - 0.003 * light + 0.002 * temp - 0.005 * humidity)))
       AS probability
   FROM wide),
 pred AS (
-  SELECT *, CASE WHEN probability > 0.5 THEN 1.0 ELSE 0.0 END AS prediction FROM scored)"""
+  SELECT *, CASE WHEN probability > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM scored)"""
 FLAG = "CASE WHEN {p} > 0 THEN 'movement' ELSE 'no_movement' END"
 
 
@@ -203,7 +203,7 @@ def q_payload_quarantine(spark, sf_dir):
 
 @register("movement_flags", f"""{WIDE_V2}
 SELECT room, ts_min_bignt, pir, {FLAG.format(p='pir')} AS if_movement,
-  CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END AS label FROM wide2""")
+  CASE WHEN pir > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label FROM wide2""")
 def q_movement_flags(spark, sf_dir):
     """P19, P20 with null motion readings (null -> no movement, 0.0)."""
     return _wide_v2(spark, sf_dir).select(
