@@ -29,11 +29,12 @@ def with_movement(df: DataFrame, pir: str = "pir") -> DataFrame:
 
 
 def search_document(df: DataFrame, fill_value: float | None = 0.0,
-                    time_col: str = "event_ts_min") -> DataFrame:
+                    time_col: str = "event_ts_min", keep=()) -> DataFrame:
     """Typed document row. Null readings become ``fill_value``
     (0.0 as in the reference; ``None`` keeps them null); ``temp`` is renamed
     ``temperature``; readings are floats in the index mapping, kept as double
-    here so no precision is lost before the sink."""
+    here so no precision is lost before the sink. ``keep`` carries extra
+    columns (e.g. a quarantine reason) through."""
     def reading(c):
         v = F.col(c).cast("double")
         return v if fill_value is None else F.coalesce(v, F.lit(float(fill_value)))
@@ -47,4 +48,4 @@ def search_document(df: DataFrame, fill_value: float | None = 0.0,
         "pir": reading("pir"),
         "if_movement": F.col("if_movement"),
     }
-    return df.select(*[cols[f].alias(f) for f in DOCUMENT_FIELDS])
+    return df.select(*[cols[f].alias(f) for f in DOCUMENT_FIELDS], *keep)

@@ -15,21 +15,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.features import search_document, with_movement
-from sensorflow.functions.payload import parse_payload, time_to_epoch_ms
+from sensorflow.functions.payload import null_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import text_to_epoch_seconds
-from sensorflow.schema import DOCUMENT_FIELDS
+from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
 from sensorflow.streaming.sinks import BatchDirSink, start
 
 
 def index_documents(messages: DataFrame, payload_format: str = "csv",
                     now: _dt.datetime | None = None, fill_value: float | None = 0.0,
-                    time_as: str = "epoch_ms") -> DataFrame:
+                    time_as: str = "epoch_ms", with_reason: bool = False) -> DataFrame:
     """P12 -> P13/P15 -> P7 -> P19 -> P14.
 
     ``time_as='epoch_ms'`` follows the first version (text time parsed to
     epoch ms, unparsable -> ``now``); ``'timestamp'`` follows the second
-    (a timestamp, null when unparsable); ``'text'`` keeps the text."""
+    (a timestamp, null when unparsable); ``'text'`` keeps the text.
+    ``with_reason`` adds ``reason``: the fields that were missing or
+    unparsable in the message (null when none), found before any fill."""
     parsed = parse_payload(messages, payload_format)
+    keep = ()
+    if with_reason:
+        parsed = parsed.withColumn("reason", null_reason(WIDE_COLUMNS))
+        keep = ("reason",)
     if time_as == "epoch_ms":
         parsed = time_to_epoch_ms(parsed, now)
     elif time_as == "timestamp":
@@ -37,7 +43,7 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
             "event_ts_min", F.timestamp_seconds(text_to_epoch_seconds("event_ts_min")))
     elif time_as != "text":
         raise ValueError(f"unknown time_as {time_as!r}")
-    return search_document(with_movement(parsed), fill_value=fill_value)
+    return search_document(with_movement(parsed), fill_value=fill_value, keep=keep)
 
 
 def with_doc_id(docs: DataFrame) -> DataFrame:
@@ -46,12 +52,24 @@ def with_doc_id(docs: DataFrame) -> DataFrame:
     return docs.withColumn("doc_id", F.sha2(F.to_json(F.struct(*DOCUMENT_FIELDS)), 256))
 
 
+def with_status(docs: DataFrame) -> DataFrame:
+    """``status`` = ``ok`` or ``quarantine`` from ``reason``."""
+    return docs.withColumn("status", F.when(F.col("reason").isNull(), F.lit("ok"))
+                           .otherwise(F.lit("quarantine")))
+
+
 def start_index_stream(messages: DataFrame, target: str, checkpoint: str,
                        payload_format: str = "csv", trigger: dict | None = None,
-                       now: _dt.datetime | None = None, query_name: str | None = None):
-    """Run the index pipeline on a stream into ``target/batch_id=N``."""
-    docs = index_documents(messages, payload_format, now=now)
-    sink = BatchDirSink(target)
+                       now: _dt.datetime | None = None, query_name: str | None = None,
+                       quarantine: bool = False):
+    """Run the index pipeline on a stream into ``target/batch_id=N``.
+
+    With ``quarantine``, every batch is still written once, partitioned by
+    ``status``: complete documents under ``status=ok``, rows with missing or
+    unparsable fields (and their ``reason``) under ``status=quarantine``."""
+    docs = index_documents(messages, payload_format, now=now, with_reason=quarantine)
+    sink = BatchDirSink(target, partition_by=("status",), transform=with_status) if quarantine \
+        else BatchDirSink(target)
     q = start(docs, sink, checkpoint, trigger=trigger or {"processingTime": "20 seconds"},
               query_name=query_name)
     return q, sink

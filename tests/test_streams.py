@@ -131,3 +131,20 @@ def test_windowed_metrics_stream_closed_windows_equal_batch(spark, tmp_path):
     emitted = _sorted(got)
     assert 0 < len(emitted) <= batch.count()
     assert set(emitted) <= set(_sorted(batch))
+
+
+def test_index_stream_quarantine_branch(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    good = "2013-08-26 22:12:11,1377555131,413,575.0,102.0,24.06,48.09,1.0"
+    rows = [good, "2013-08-26 22:12:11,1377555131,413,bad,102.0,24.06,48.09,1.0",
+            "2013-08-26 22:12:11,1377555131,413,575.0,102.0,24.06,48.09"]
+    spark.createDataFrame([(r,) for r in rows], "value string").write.text(inbox)
+    q, _ = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
+                              str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
+                              quarantine=True)
+    run_available(q)
+    out = read_batches(spark, str(tmp_path / "docs"))
+    by = {r.status: r["count"] for r in out.groupBy("status").count().collect()}
+    assert by == {"ok": 1, "quarantine": 2}
+    reasons = sorted(r.reason for r in out.filter("status = 'quarantine'").collect())
+    assert reasons == ["co2", "pir"]
