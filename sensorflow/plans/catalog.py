@@ -40,6 +40,7 @@ FILTER_FROM = dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc)
 FILTER_TO = dt.datetime(2024, 1, 21, tzinfo=dt.timezone.utc)
 WINDOW_SECONDS = 4 * 86400
 HOLDOUT_FROM = dt.datetime(2024, 1, 23, tzinfo=dt.timezone.utc)
+WATERMARK_SECONDS = 2 * 86400
 
 
 def register(name: str, sql: str | None):
@@ -536,6 +537,31 @@ def q_room_windows(spark, sf_dir):
     return windowed_metrics(with_event_time(_wide(spark, sf_dir)), "4 days", "2 days")
 
 
+@register("stream_room_windows", f"""{WIDE},
+w AS (
+  SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
+    room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
+    round(avg(temp), 6) AS avg_temp, round(avg(humidity), 6) AS avg_humidity
+  FROM wide GROUP BY 1, 2)
+SELECT * FROM w
+WHERE window_start + {WINDOW_SECONDS} <= (SELECT max(ts_min_bignt) FROM wide) - {WATERMARK_SECONDS}""")
+def q_stream_room_windows(spark, sf_dir):
+    """E2 on a drained stream: a window is emitted once the watermark
+    (latest event time minus the delay) has reached its end."""
+    from sensorflow.session import scratch_path
+    from sensorflow.streaming.event_time import windowed_metrics, with_event_time
+    from sensorflow.streaming.sinks import run_available, start
+    base = scratch_path(spark, "window-stream")
+    wide = _wide(spark, sf_dir)
+    wide.write.parquet(f"{base}/inbox")
+    stream = spark.readStream.schema(wide.schema).parquet(f"{base}/inbox")
+    agg = windowed_metrics(with_event_time(stream), "4 days", f"{WATERMARK_SECONDS} seconds")
+    q = start(agg, "parquet", f"{base}/checkpoint", trigger={"availableNow": True},
+              options={"path": f"{base}/out"})
+    run_available(q)
+    return spark.read.parquet(f"{base}/out")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> long readings -> five-way join -> movement flag."""
     return with_movement(_wide(spark, sf_dir))

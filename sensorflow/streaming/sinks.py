@@ -119,6 +119,26 @@ def read_batches(spark: SparkSession, target: str, fmt: str = "parquet") -> Data
     return spark.read.format(fmt).load(target)
 
 
+def compact_batches(spark: SparkSession, target: str, dest: str, first_batch: int | None = None,
+                    last_batch: int | None = None, fmt: str = "parquet",
+                    partition_by: tuple[str, ...] = ()) -> int:
+    """Rewrite a range of per-batch folders as one table with few, larger
+    files (frequent triggers leave many small ones). The batch range is a
+    partition filter, so only those folders are read; the rebalance hint
+    lets AQE size the output files. Returns the rows written (observed)."""
+    df = read_batches(spark, target, fmt)
+    if first_batch is not None:
+        df = df.filter(F.col("batch_id") >= first_batch)
+    if last_batch is not None:
+        df = df.filter(F.col("batch_id") <= last_batch)
+    cols = ("batch_id", *partition_by)
+    obs = Observation("compacted")
+    (df.hint("rebalance", *cols).observe(obs, F.count(F.lit(1)).alias("n"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*cols).format(fmt).save(dest))
+    return int(obs.get["n"])
+
+
 def class_count_metrics() -> list:
     """Observed per-batch counts of the two classes (A3 without extra jobs)."""
     return [F.count(F.lit(1)).alias("rows"),

@@ -148,3 +148,19 @@ def test_index_stream_quarantine_branch(spark, tmp_path):
     assert by == {"ok": 1, "quarantine": 2}
     reasons = sorted(r.reason for r in out.filter("status = 'quarantine'").collect())
     assert reasons == ["co2", "pir"]
+
+
+def test_compact_batches(spark, tmp_path):
+    from sensorflow.streaming.sinks import compact_batches
+    wide = wide_readings(ev.readings(spark, SF_SMALL))
+    docs = index_documents(PL.to_messages(wide, with_key=False), now=NOW).repartition(6)
+    sink = BatchDirSink(str(tmp_path / "t"))
+    for b in range(3):
+        sink(docs, b)
+    n = compact_batches(spark, str(tmp_path / "t"), str(tmp_path / "c"), first_batch=1)
+    assert n == 2 * wide.count()
+    back = read_batches(spark, str(tmp_path / "c"))
+    assert sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [1, 2]
+    files = [f for f in os.listdir(str(tmp_path / "c" / "batch_id=1")) if f.endswith(".parquet")]
+    before = [f for f in os.listdir(str(tmp_path / "t" / "batch_id=1")) if f.endswith(".parquet")]
+    assert len(files) < len(before)
