@@ -93,10 +93,23 @@ def fit(wide: DataFrame, max_iter: int = MAX_ITER) -> FitReport:
     pipe = Pipeline(stages=[assembler("skip"),
                             LogisticRegression(featuresCol="features", labelCol="label",
                                                maxIter=max_iter)])
-    model = pipe.fit(data)
+    model = _without_training_summary(pipe.fit(data), data.sparkSession)
     return FitReport(n, bad, pos, model, linear_of(model))
 
 
+def _without_training_summary(model: PipelineModel, spark) -> PipelineModel:
+    """The fitted model as saved and loaded again: the same coefficients,
+    without the in-memory training summary. The summary references the
+    training plan and the session; once the session has run an
+    ``observe()``, tasks of ``transform`` that capture the model can no
+    longer be serialized. The round trip writes a few numbers to the shared
+    checkpoint folder."""
+    from sensorflow.session import scratch_path
+    path = scratch_path(spark, "fitted-model")
+    save(model, path)
+    return load(path)
+
+
 def linear_of(model: PipelineModel) -> LinearModel:
     lr = model.stages[-1]
     return LinearModel(float(lr.intercept), tuple(float(x) for x in lr.coefficients.toArray()),
