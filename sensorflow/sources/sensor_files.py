@@ -96,7 +96,8 @@ def read_tree_stream(spark: SparkSession, root: str, sensors=SENSORS,
         F.regexp_extract(path, _PATH_RE, 1).alias("room"),
         F.regexp_extract(path, _PATH_RE, 2).alias("sensor"),
         F.col("ts_min_bignt").alias("ts_raw"),
-        F.col("sensor_value").alias("value_raw"))
+        F.col("sensor_value").alias("value_raw"),
+        path.alias("source_file"))
     return clean_readings(out.filter(F.col("sensor").isin(list(sensors))))
 
 

@@ -113,3 +113,25 @@ def test_room_filter_prunes_files(spark, tmp_path):
     plan = raw._jdf.queryExecution().executedPlan().toString()
     assert "file_path" in plan
     assert raw.count() == 10
+
+
+def test_tree_stream_equals_batch(spark, tmp_path):
+    from sensorflow.sources.sensor_files import read_tree_stream
+    from sensorflow.streaming.sinks import run_available, start
+    root = _tree(tmp_path)
+    stream = read_tree_stream(spark, root, max_files_per_trigger=3)
+    q = start(stream, "memory", str(tmp_path / "ck"), trigger={"availableNow": True},
+              query_name="tree_stream_out")
+    run_available(q)
+    got = sorted(tuple(r) for r in spark.table("tree_stream_out").collect())
+    want = sorted(tuple(r) for r in read_tree(spark, root).collect())
+    assert got == want and len(got) == 18
+
+
+def test_broker_format_without_connector_fails_clearly(spark):
+    import pytest
+    from sensorflow.sources.streams import read_messages
+    with pytest.raises(Exception) as info:
+        read_messages(spark, "kafka", options={"kafka.bootstrap.servers": "localhost:1",
+                                               "subscribe": "office-input"})
+    assert "kafka" in str(info.value).lower()
