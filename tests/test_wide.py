@@ -74,3 +74,21 @@ def test_repeat_rows(spark):
     out = repeat_rows(df, 4)
     assert out.count() == 12
     assert sorted(r.replay for r in out.filter("id = 0").collect()) == [1, 2, 3, 4]
+
+
+def test_pir_null_nan_zero_one(spark):
+    from sensorflow.functions.features import with_movement
+    rows = []
+    for key, pir in (("null", None), ("nan", float("nan")), ("zero", 0.0), ("one", 1.0)):
+        for s in SENSORS:
+            rows.append((key, s, 100, pir if s == "pir" else 1.0))
+    long = spark.createDataFrame(rows, "room string, sensor string, ts_min_bignt long, "
+                                       "sensor_value double")
+    v2 = with_movement(wide_readings(long, round_digits=None, drop_incomplete=False))
+    flags = {r.room: r.if_movement for r in v2.collect()}
+    # NaN > 0 is true in Spark: this is why F1 runs before the flag.
+    assert flags == {"null": "no_movement", "nan": "movement", "zero": "no_movement",
+                     "one": "movement"}
+    v1 = with_movement(wide_readings(long))
+    assert {r.room: r.if_movement for r in v1.collect()} == {"zero": "no_movement",
+                                                             "one": "movement"}
