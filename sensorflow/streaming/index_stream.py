@@ -18,20 +18,29 @@ from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import null_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
+from sensorflow.streaming.event_time import drop_replays, with_event_time
 from sensorflow.streaming.sinks import BatchDirSink, start
 
 
 def index_documents(messages: DataFrame, payload_format: str = "csv",
                     now: _dt.datetime | None = None, fill_value: float | None = 0.0,
-                    time_as: str = "epoch_ms", with_reason: bool = False) -> DataFrame:
+                    time_as: str = "epoch_ms", with_reason: bool = False,
+                    dedupe_delay: str | None = None) -> DataFrame:
     """P12 -> P13/P15 -> P7 -> P19 -> P14.
 
     ``time_as='epoch_ms'`` follows the first version (text time parsed to
     epoch ms, unparsable -> ``now``); ``'timestamp'`` follows the second
     (a timestamp, null when unparsable); ``'text'`` keeps the text.
     ``with_reason`` adds ``reason``: the fields that were missing or
-    unparsable in the message (null when none), found before any fill."""
+    unparsable in the message (null when none), found before any fill.
+    ``dedupe_delay`` (e.g. ``"2 days"``) drops messages whose eight fields
+    equal a message seen before, within that event-time delay (E1; on a
+    stream the state is bounded by the watermark)."""
     parsed = parse_payload(messages, payload_format)
+    if dedupe_delay:
+        parsed = (with_event_time(parsed.filter(F.col("ts_min_bignt").isNotNull()))
+                  .transform(lambda d: drop_replays(d, WIDE_COLUMNS, dedupe_delay))
+                  .drop("event_time"))
     keep = ()
     if with_reason:
         parsed = parsed.withColumn("reason", null_reason(WIDE_COLUMNS))
@@ -61,13 +70,14 @@ def with_status(docs: DataFrame) -> DataFrame:
 def start_index_stream(messages: DataFrame, target: str, checkpoint: str,
                        payload_format: str = "csv", trigger: dict | None = None,
                        now: _dt.datetime | None = None, query_name: str | None = None,
-                       quarantine: bool = False):
+                       quarantine: bool = False, dedupe_delay: str | None = None):
     """Run the index pipeline on a stream into ``target/batch_id=N``.
 
     With ``quarantine``, every batch is still written once, partitioned by
     ``status``: complete documents under ``status=ok``, rows with missing or
     unparsable fields (and their ``reason``) under ``status=quarantine``."""
-    docs = index_documents(messages, payload_format, now=now, with_reason=quarantine)
+    docs = index_documents(messages, payload_format, now=now, with_reason=quarantine,
+                           dedupe_delay=dedupe_delay)
     sink = BatchDirSink(target, partition_by=("status",), transform=with_status) if quarantine \
         else BatchDirSink(target)
     q = start(docs, sink, checkpoint, trigger=trigger or {"processingTime": "20 seconds"},

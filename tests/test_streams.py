@@ -164,3 +164,19 @@ def test_compact_batches(spark, tmp_path):
     files = [f for f in os.listdir(str(tmp_path / "c" / "batch_id=1")) if f.endswith(".parquet")]
     before = [f for f in os.listdir(str(tmp_path / "t" / "batch_id=1")) if f.endswith(".parquet")]
     assert len(files) < len(before)
+
+
+def test_index_stream_drops_resent_messages(spark, tmp_path):
+    wide = wide_readings(ev.readings(spark, SF_SMALL))
+    latest = wide_readings(keep_latest(ev.readings(spark, SF_SMALL), "event_id"),
+                           how="latest", order_col="event_id")
+    inbox = str(tmp_path / "inbox")
+    _drop_messages(spark, inbox, latest)
+    _drop_messages(spark, inbox, latest)  # re-ingested: the same rows again
+    q, _ = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
+                              str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
+                              dedupe_delay="2 days")
+    run_available(q)
+    out = read_batches(spark, str(tmp_path / "docs")).drop("batch_id")
+    assert out.count() == latest.count() < 2 * latest.count()
+    assert wide.count() >= latest.count()
