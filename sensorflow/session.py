@@ -24,6 +24,32 @@ RECOMMENDED_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB,
+                shuffle_expansion: float = 3.0, max_partitions: int = 200_000) -> dict:
+    """Settings sized for an input of ``input_bytes`` (compressed files).
+
+    Scan splits and shuffle partitions aim at ``partition_bytes`` each, so a
+    task's data fits executor memory; shuffled data is taken as
+    ``shuffle_expansion`` times the compressed input. AQE starts from that
+    partition count, merges small partitions and splits skewed ones. The
+    RocksDB state store keeps streaming state (E1, E2) off the JVM heap.
+    At 100 TB this gives 200,000 initial shuffle partitions (the cap)."""
+    shuffle = int(min(max_partitions,
+                      max(200, -(-int(input_bytes * shuffle_expansion) // partition_bytes))))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str | None = None, app: str = "sensorflow",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
