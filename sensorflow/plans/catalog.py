@@ -562,6 +562,34 @@ def q_stream_room_windows(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_windowed_accuracy", f"""{SCORED}
+SELECT * FROM (
+  SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
+    CAST(count(*) AS BIGINT) AS total,
+    CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
+    round(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) * 100.0 / count(*), 6)
+      AS accuracy_pct
+  FROM pred GROUP BY 1) a
+WHERE window_start + {WINDOW_SECONDS} <= (SELECT max(ts_min_bignt) FROM wide) - {WATERMARK_SECONDS}""")
+def q_stream_windowed_accuracy(spark, sf_dir):
+    """A9 on a drained stream of JSON messages: score, then accuracy per
+    closed event-time window."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.event_time import windowed_accuracy, with_event_time
+    from sensorflow.streaming.scoring import score_messages
+    from sensorflow.streaming.sinks import run_available, start
+    base = scratch_path(spark, "accuracy-stream")
+    PL.to_messages(_wide(spark, sf_dir), "json").write.json(f"{base}/inbox")
+    scored = with_label(score_messages(read_messages(spark, "json", f"{base}/inbox"),
+                                       FIXED_MODEL, "json"))
+    acc = windowed_accuracy(with_event_time(scored), "4 days", f"{WATERMARK_SECONDS} seconds")
+    q = start(acc, "parquet", f"{base}/checkpoint", trigger={"availableNow": True},
+              options={"path": f"{base}/out"})
+    run_available(q)
+    return spark.read.parquet(f"{base}/out")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> long readings -> five-way join -> movement flag."""
     return with_movement(_wide(spark, sf_dir))

@@ -42,3 +42,15 @@ def windowed_metrics(df: DataFrame, window: str = "4 days", delay: str = "2 days
     return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"),
                       *([F.col("room")] if by_room else []), "n", "avg_co2", "avg_temp",
                       "avg_humidity")
+
+
+def windowed_accuracy(scored: DataFrame, window: str = "4 days", delay: str = "2 days",
+                      time_col: str = "event_time", label: str = "label") -> DataFrame:
+    """A9 on a stream: share of correct predictions per event-time window,
+    emitted once the watermark has passed the window."""
+    hit = (F.col("prediction") == F.col(label)).cast("long")
+    agg = (scored.withWatermark(time_col, delay)
+                 .groupBy(F.window(F.col(time_col), window).alias("w"))
+                 .agg(F.count(F.lit(1)).alias("total"), F.sum(hit).alias("correct")))
+    return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"), "total", "correct",
+                      _r(F.col("correct") * 100.0 / F.col("total")).alias("accuracy_pct"))
