@@ -80,18 +80,25 @@ def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
     joined unsalted, so results stay exact."""
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be >= 1")
-    per_sensor = long.groupBy(*KEY, "sensor").agg(F.count(F.lit(1)).alias("n"))
-    per_key = per_sensor.groupBy(*KEY).agg(
-        F.sum("n").alias("total"),
-        F.max(F.struct(F.col("n"), F.col("sensor"))).alias("_top"))
-    hot = (per_key.filter(F.col("total") > hot_key_rows)
+    # One grouped pass: rows per sensor as conditional counts (primitive
+    # buffers, so a hash aggregate with map-side partial aggregation).
+    per_key = long.groupBy(*KEY).agg(
+        *[F.count(F.when(F.col("sensor") == s, F.lit(1))).alias(f"_n_{WIDE_NAME[s]}")
+          for s in SENSORS])
+    counts = [F.col(f"_n_{WIDE_NAME[s]}") for s in SENSORS]
+    total = reduce(lambda a, b: a + b, counts)
+    top = F.greatest(*counts)
+    split = reduce(lambda acc, s: acc.when(F.col(f"_n_{WIDE_NAME[s]}") == top, F.lit(s)),
+                   SENSORS[1:], F.when(counts[0] == top, F.lit(SENSORS[0])))
+    hot = (per_key.select(*KEY, total.alias("total"), top.alias("top"), split.alias("_split"))
+                  .filter(F.col("total") > hot_key_rows)
                   .orderBy(F.col("total").desc())
                   .limit(max_hot_keys))
     return hot.select(
         *KEY,
-        F.least(F.ceil(F.col("_top.n") / hot_key_rows), F.lit(max_buckets)).cast("int")
+        F.least(F.ceil(F.col("top") / hot_key_rows), F.lit(max_buckets)).cast("int")
         .alias("_buckets"),
-        F.col("_top.sensor").alias("_split"))
+        "_split")
 
 
 def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
