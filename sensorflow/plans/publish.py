@@ -30,13 +30,19 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None, sep: str
 
 
 def publish_frame(df: DataFrame, sep: str = ",", payload_format: str = "csv",
-                  exclude=(), key_col: str | None = None, repeat: int = 1,
+                  exclude=(), key_col: str | int | None = None, repeat: int = 1,
                   shuffle_seed: int | None = None, drop_incomplete: bool = True) -> DataFrame:
     """Messages for a table: F1, drop excluded columns (absent names ignored),
-    optional repeat and repeatable shuffle, then ``key, value``."""
+    optional repeat and repeatable shuffle, then ``key, value``.
+
+    ``key_col`` is a column name or a position among the published columns;
+    a position outside them (the reference used 1000) or ``None`` means the
+    stable business key (room and instant), since Spark rows have no index."""
     out = df.dropna(how="any") if drop_incomplete else df
     out = out.drop(*exclude)
     cols = list(out.columns)
+    if isinstance(key_col, int):
+        key_col = cols[key_col] if 0 <= key_col < len(cols) else None
     if repeat > 1:
         out = repeat_rows(out, repeat)
     if shuffle_seed is not None:

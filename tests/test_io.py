@@ -80,3 +80,11 @@ def test_no_local_paths_in_library():
             if f.endswith(".py") and f != "session.py":
                 text = open(os.path.join(dirpath, f)).read()
                 assert "/tmp" not in text and "tempfile" not in text, f
+
+
+def test_publish_key_by_position(spark):
+    wide = wide_readings(ev.readings(spark, SF_SMALL))
+    by_pos = publish_frame(wide, key_col=2).first()
+    assert by_pos.key == by_pos.value.split(",")[2]  # the room column
+    default = publish_frame(wide, key_col=1000).first()
+    assert default.key == f"{default.value.split(',')[2]}-{default.value.split(',')[1]}"
