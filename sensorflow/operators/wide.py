@@ -70,7 +70,7 @@ def join_sensors(long: DataFrame) -> DataFrame:
 
 
 def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
-             max_buckets: int = 1024) -> DataFrame:
+             max_buckets: int = 1024, max_copy_ratio: float = 1.0) -> DataFrame:
     """Keys with more than ``hot_key_rows`` readings: bucket count and the
     sensor with most rows there (the side that is split; the others are
     copied per bucket).
@@ -94,22 +94,27 @@ def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
                   .filter(F.col("total") > hot_key_rows)
                   .orderBy(F.col("total").desc())
                   .limit(max_hot_keys))
-    return hot.select(
-        *KEY,
-        F.least(F.ceil(F.col("top") / hot_key_rows), F.lit(max_buckets)).cast("int")
-        .alias("_buckets"),
-        "_split")
+    # Buckets: enough to bring the largest sensor's rows under the threshold
+    # per bucket, at most ``max_buckets``, and at most ``max_copy_ratio`` x
+    # (largest sensor's rows) / (other sensors' rows), so the copies of the
+    # other sensors never outweigh what the split saves.
+    others = F.greatest(F.col("total") - F.col("top"), F.lit(1))
+    buckets = F.least(F.ceil(F.col("top") / hot_key_rows), F.lit(max_buckets),
+                      F.greatest(F.floor(F.col("top") * float(max_copy_ratio) / others),
+                                 F.lit(1)))
+    return hot.select(*KEY, buckets.cast("int").alias("_buckets"), "_split")
 
 
 def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
-                        max_hot_keys: int = 10_000, max_buckets: int = 1024) -> DataFrame:
+                        max_hot_keys: int = 10_000, max_buckets: int = 1024,
+                        max_copy_ratio: float = 1.0) -> DataFrame:
     """J1 with hot keys split over salt buckets; same rows as ``join_sensors``.
 
     For a hot key, rows of its largest sensor get one bucket each (hash of
     ``row_id``); rows of the other four sensors are copied to every bucket.
     Every output row is still produced exactly once. Cold keys have one
     bucket and pass through unchanged."""
-    hot = F.broadcast(hot_keys(long, hot_key_rows, max_hot_keys, max_buckets))
+    hot = F.broadcast(hot_keys(long, hot_key_rows, max_hot_keys, max_buckets, max_copy_ratio))
     tagged = long.join(hot, list(KEY), "left")
     buckets = F.coalesce(F.col("_buckets"), F.lit(1))
     own = F.array(F.pmod(F.xxhash64(F.col(row_id)), buckets.cast("long")).cast("int"))
@@ -169,7 +174,8 @@ def _needs_salting(long: DataFrame, hot_key_rows: int) -> bool:
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
                   drop_incomplete: bool = True, order_col: str | None = None,
                   row_id: str | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
-                  max_hot_keys: int = 10_000, max_buckets: int = 1024) -> DataFrame:
+                  max_hot_keys: int = 10_000, max_buckets: int = 1024,
+                  max_copy_ratio: float = 1.0) -> DataFrame:
     """Long readings -> wide rows ``event_ts_min, ts_min_bignt, room, co2,
     light, temp, humidity, pir``.
 
@@ -184,7 +190,8 @@ def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None =
     """
     if how == "join":
         if row_id and hot_key_rows and _needs_salting(long, hot_key_rows):
-            joined = join_sensors_salted(long, row_id, hot_key_rows, max_hot_keys, max_buckets)
+            joined = join_sensors_salted(long, row_id, hot_key_rows, max_hot_keys, max_buckets,
+                                         max_copy_ratio)
         else:
             joined = join_sensors(long)
     elif how == "latest":
