@@ -56,3 +56,21 @@ def test_pipeline_end_to_end(spark, tmp_path):
     # pir was excluded from the published rows: the 8th field is missing,
     # so the document holds 0.0 and no movement.
     assert d.filter(F.col("if_movement") == "movement").count() == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from sensorflow.__main__ import main
+    root = str(tmp_path / "tree")
+    write_raw_hive_tree(ev.raw_readings(spark, SF_MID), root)
+    table, model, msgs, routes = (str(tmp_path / n) for n in ("t", "m", "msgs", "routes"))
+    assert main(["ingest", "--root", root, "--layout", "hive", "--table", table], spark) == 0
+    assert main(["train", "--table", table, "--model", model,
+                 "--holdout-from", "2024-01-23"], spark) == 0
+    assert main(["publish", "--input", table, "--input-format", "parquet", "--format", "text",
+                 "--target", msgs, "--key", "2", "--repeat", "2"], spark) == 0
+    assert main(["score-stream", "--source-format", "text", "--source", msgs,
+                 "--target", routes, "--model", model, "--available-now",
+                 "--checkpoint", str(tmp_path / "ck")], spark) == 0
+    out = [l for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
+    published = [__import__("json").loads(l) for l in out if '"publish"' in l][0]["messages"]
+    assert read_batches(spark, routes).count() == published == 2 * spark.read.parquet(table).count()
