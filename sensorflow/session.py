@@ -28,15 +28,17 @@ MB = 1024 * 1024
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB,
-                shuffle_expansion: float = 3.0, max_partitions: int = 200_000) -> dict:
+                shuffle_expansion: float = 1.0, max_partitions: int = 200_000) -> dict:
     """Settings sized for an input of ``input_bytes`` (compressed files).
 
-    Scan splits and shuffle partitions aim at ``partition_bytes`` each, so a
-    task's data fits executor memory; shuffled data is taken as
-    ``shuffle_expansion`` times the compressed input. AQE starts from that
-    partition count, merges small partitions and splits skewed ones. The
-    RocksDB state store keeps streaming state (E1, E2) off the JVM heap.
-    At 100 TB this gives 200,000 initial shuffle partitions (the cap)."""
+    Scan splits and shuffle partitions aim at ``partition_bytes`` each. The
+    shuffled bytes are taken as ``shuffle_expansion`` times the input: the
+    join sides carry three projected columns, about the compressed size of a
+    reading. The partition count is capped (map-output bookkeeping grows with
+    maps x partitions); at 100 TB the cap gives about 500 MB per partition,
+    which sort-based shuffles spill, and AQE splits skewed partitions and
+    merges small ones. The RocksDB state store keeps streaming state (E1, E2)
+    off the JVM heap."""
     shuffle = int(min(max_partitions,
                       max(200, -(-int(input_bytes * shuffle_expansion) // partition_bytes))))
     return {

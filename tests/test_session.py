@@ -12,7 +12,7 @@ def test_sizing_at_100_tb():
     small = sizing_conf(10 * 1024 * 1024)
     assert small["spark.sql.shuffle.partitions"] == "200"
     mid = sizing_conf(TB)
-    assert int(mid["spark.sql.shuffle.partitions"]) == 12288
+    assert int(mid["spark.sql.shuffle.partitions"]) == 4096
 
 
 def test_checkpoint_folder_from_session(spark):
