@@ -180,3 +180,15 @@ def test_index_stream_drops_resent_messages(spark, tmp_path):
     out = read_batches(spark, str(tmp_path / "docs")).drop("batch_id")
     assert out.count() == latest.count() < 2 * latest.count()
     assert wide.count() >= latest.count()
+
+
+def test_prediction_messages_json(spark):
+    from sensorflow.schema import PREDICTION_SCHEMA
+    from sensorflow.streaming.routing import prediction_messages
+    wide = wide_readings(ev.readings(spark, SF_SMALL))
+    scored = score(wide, MODEL)
+    msgs = prediction_messages(scored)
+    back = msgs.select("route", F.from_json("value", PREDICTION_SCHEMA).alias("m")) \
+        .select("route", "m.*")
+    expect = prediction_rows(scored)
+    assert _sorted(back.select(*expect.columns)) == _sorted(expect)
