@@ -76,12 +76,16 @@ def build_session(master: str | None = None, app: str = "sensorflow",
 
 
 def checkpoint_root(spark: SparkSession) -> str | None:
-    """The shared folder named by ``spark.checkpoint.dir``, if any."""
+    """The shared folder named by ``spark.checkpoint.dir``, if any (also the
+    directory set on the SparkContext, where the session has one)."""
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
         return value
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    return jdir.get() if jdir.isDefined() else None
+    try:
+        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        return jdir.get() if jdir.isDefined() else None
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no SparkContext
+        return None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -90,7 +94,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     root = checkpoint_root(spark)
     if not root:
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            pass
     return root
 
 
