@@ -79,11 +79,12 @@ def _scored(spark, sf_dir):
 
 WIDE = f"WITH {O.READINGS_CTE}, {O.wide_cte()}"
 WIDE_V2 = f"WITH {O.RAW_CTE}, {O.wide_cte('clean', rounded=False, complete=False, name='wide2')}"
-SCORED = WIDE + """,
+_MARGIN = " + ".join([repr(FIXED_MODEL.intercept)] +
+                     [f"({w!r}) * {c}" for c, w in zip(FIXED_MODEL.features, FIXED_MODEL.weights)])
+SCORED = WIDE + f""",
 scored AS (
   SELECT *, CASE WHEN pir > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label,
-    1.0 / (1.0 + exp(-(0.3 + 0.004 * co2 - 0.003 * light + 0.002 * temp - 0.005 * humidity)))
-      AS probability
+    1.0 / (1.0 + exp(-({_MARGIN}))) AS probability
   FROM wide),
 pred AS (
   SELECT *, CASE WHEN probability > 0.5 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS prediction FROM scored)"""
