@@ -54,23 +54,27 @@ def register(name: str, sql: str | None):
 
 # ---- shared inputs --------------------------------------------------------
 
-def _readings(spark, sf_dir):
-    return ev.readings(spark, sf_dir)
+def _readings(spark, sf_dir, by_type=False):
+    return ev.readings(spark, sf_dir, by_type)
 
 
-def _clean(spark, sf_dir, keep_raw=False):
-    return clean_readings(ev.raw_readings(spark, sf_dir), keep_raw=keep_raw)
+def _clean(spark, sf_dir, keep_raw=False, by_type=False):
+    return clean_readings(ev.raw_readings(spark, sf_dir, by_type), keep_raw=keep_raw)
 
 
+# The join inputs are read per event type, so each join side's scan filters
+# on its type; queries over all readings read them in one pass.
+
 def _wide(spark, sf_dir, **kw):
     kw.setdefault("row_id", "event_id")  # hot keys are salted (none at test scale)
-    return wide_readings(_readings(spark, sf_dir), **kw)
+    by_type = kw.get("how", "join") == "join"
+    return wide_readings(_readings(spark, sf_dir, by_type), **kw)
 
 
 def _wide_v2(spark, sf_dir):
     """Version-2 wide rows from raw text: no rounding, incomplete rows kept."""
-    return wide_readings(_clean(spark, sf_dir), round_digits=None, drop_incomplete=False,
-                         row_id="event_id")
+    return wide_readings(_clean(spark, sf_dir, by_type=True), round_digits=None,
+                         drop_incomplete=False, row_id="event_id")
 
 
 def _scored(spark, sf_dir):
@@ -112,7 +116,7 @@ def q_wide_using(spark, sf_dir):
 @register("wide_raw", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
 def q_wide_raw(spark, sf_dir):
     """P1, P3, J1, F1 on text with spaces, nulls and bad numbers."""
-    return wide_readings(_clean(spark, sf_dir), row_id="event_id")
+    return wide_readings(_clean(spark, sf_dir, by_type=True), row_id="event_id")
 
 
 @register("wide_latest", f"""WITH {O.READINGS_CTE},
@@ -393,7 +397,7 @@ SELECT 'events' AS source, * FROM w1 UNION ALL SELECT 'raw_text' AS source, * FR
 def q_union_sources(spark, sf_dir):
     """Union by name of wide rows from two sources, duplicates kept."""
     a = _wide(spark, sf_dir).select(F.lit("events").alias("source"), "*")
-    b = wide_readings(_clean(spark, sf_dir), row_id="event_id") \
+    b = wide_readings(_clean(spark, sf_dir, by_type=True), row_id="event_id") \
         .select(F.lit("raw_text").alias("source"), "*")
     return union_frames([a, b])
 

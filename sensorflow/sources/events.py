@@ -43,20 +43,38 @@ def _sensor_of(event_type) -> F.Column:
     return expr
 
 
-def readings_from_events(events: DataFrame) -> DataFrame:
-    """events -> ``event_id, ts, room, sensor, ts_min_bignt, sensor_value``."""
+def _reading_columns(sensor) -> list:
     et = F.col("event_type")
     seconds = epoch_seconds_of_ntz("ts")
-    return events.select(
+    return [
         F.col("event_id"),
         F.col("ts"),
         F.col("user_id").cast("string").alias("room"),
-        _sensor_of(et).alias("sensor"),
+        sensor.alias("sensor"),
         (F.floor(seconds / F.lit(INSTANT_SECONDS)) * F.lit(INSTANT_SECONDS)).cast("bigint")
         .alias("ts_min_bignt"),
         F.when((et == PIR_EVENT) & (F.col("value") <= PIR_ZERO_AT_OR_BELOW), F.lit(0.0))
         .otherwise(F.col("value")).alias("sensor_value"),
-    )
+    ]
+
+
+def readings_from_events(events: DataFrame, by_type: bool = False) -> DataFrame:
+    """events -> ``event_id, ts, room, sensor, ts_min_bignt, sensor_value``.
+
+    ``by_type=False``: one pass, the sensor computed per row (best when all
+    readings are read). ``by_type=True``: one selection per event type with a
+    literal sensor, unioned. A filter on the sensor (as each side of the wide
+    join has) then drops the other branches at planning time and reaches the
+    Parquet scan as ``event_type = ...``, so storage that is sorted or
+    partitioned by type is read only where needed."""
+    if not by_type:
+        return events.select(*_reading_columns(_sensor_of(F.col("event_type"))))
+    parts = [events.filter(F.col("event_type") == ev).select(*_reading_columns(F.lit(sensor)))
+             for ev, sensor in EVENT_SENSOR.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def raw_readings_from_readings(readings: DataFrame) -> DataFrame:
@@ -73,9 +91,9 @@ def raw_readings_from_readings(readings: DataFrame) -> DataFrame:
     )
 
 
-def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readings_from_events(load_table(spark, sf_dir, "events"))
+def readings(spark: SparkSession, sf_dir: str, by_type: bool = False) -> DataFrame:
+    return readings_from_events(load_table(spark, sf_dir, "events"), by_type)
 
 
-def raw_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_readings_from_readings(readings(spark, sf_dir))
+def raw_readings(spark: SparkSession, sf_dir: str, by_type: bool = False) -> DataFrame:
+    return raw_readings_from_readings(readings(spark, sf_dir, by_type))
