@@ -131,8 +131,8 @@ def score(df: DataFrame, model: PipelineModel | LinearModel, method: str = "expr
     """M2: add ``probability`` (P(movement)), ``prediction`` and
     ``confidence`` (= P(movement), as the reference defines it, P22).
 
-    Rows with a null feature are skipped (``skip_invalid``), as the
-    assembler's ``skip`` does.
+    Rows with a null or NaN feature are skipped (``skip_invalid``), as the
+    assembler's ``skip`` does, or kept with null probability and prediction.
     """
     if method == "transform":
         if not isinstance(model, PipelineModel):
@@ -143,11 +143,17 @@ def score(df: DataFrame, model: PipelineModel | LinearModel, method: str = "expr
                    .withColumn("probability", p1)
                    .drop("features", "rawPrediction"))
     lin = model if isinstance(model, LinearModel) else linear_of(model)
+    ok = complete(lin.features)
     if skip_invalid:
-        df = df.filter(complete(lin.features))
-    p = lin.probability()
+        df = df.filter(ok)
+        p = lin.probability()
+    else:
+        # Null (not 0.0, not NaN-as-1.0) for rows with a null or NaN feature.
+        p = F.when(ok, lin.probability())
     return (df.withColumn("probability", p)
-              .withColumn("prediction", F.when(F.col("probability") > lin.threshold, F.lit(1.0))
+              .withColumn("prediction",
+                          F.when(F.col("probability").isNull(), F.lit(None).cast("double"))
+                          .when(F.col("probability") > lin.threshold, F.lit(1.0))
                           .otherwise(F.lit(0.0)))
               .withColumn("confidence", F.col("probability")))
 

@@ -15,13 +15,16 @@ from sensorflow.schema import PREDICTION_FIELDS
 # The two targets of the reference's routing.
 ROUTE_POSITIVE = "activity"
 ROUTE_NEGATIVE = "no_activity"
+# Ours: rows that could not be scored (a null feature).
+ROUTE_INVALID = "invalid"
 
 
 def with_route(scored: DataFrame, positive: str = ROUTE_POSITIVE,
-               negative: str = ROUTE_NEGATIVE) -> DataFrame:
+               negative: str = ROUTE_NEGATIVE, invalid: str = ROUTE_INVALID) -> DataFrame:
     return scored.withColumn(
         "route", F.when(F.col("prediction") == 1.0, F.lit(positive))
-        .when(F.col("prediction") == 0.0, F.lit(negative)))
+        .when(F.col("prediction") == 0.0, F.lit(negative))
+        .otherwise(F.lit(invalid)))
 
 
 def prediction_messages(scored: DataFrame) -> DataFrame:

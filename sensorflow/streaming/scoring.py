@@ -13,33 +13,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.payload import parse_payload
-from sensorflow.operators.model import LinearModel, score
+from sensorflow.operators.model import LinearModel, linear_of, score
 from sensorflow.schema import PREDICTION_FIELDS
 from sensorflow.streaming.routing import with_route
 from sensorflow.streaming.sinks import BatchDirSink, class_count_metrics, start
 
 
 def score_messages(messages: DataFrame, model: PipelineModel | LinearModel,
-                   payload_format: str = "csv", method: str = "expression") -> DataFrame:
+                   payload_format: str = "csv", method: str = "expression",
+                   skip_invalid: bool = True) -> DataFrame:
     """Messages -> scored rows with ``prediction`` and ``confidence``.
-    Rows with a null feature are skipped."""
+    Rows with a null feature are skipped, or (``skip_invalid=False``, closed
+    form only) kept with a null prediction."""
     parsed = parse_payload(messages, payload_format)
-    return score(parsed, model, method=method)
+    return score(parsed, model, method=method, skip_invalid=skip_invalid)
 
 
-def prediction_rows(scored: DataFrame) -> DataFrame:
-    """The prediction message fields plus ``route``."""
+def prediction_rows(scored: DataFrame, keep_invalid: bool = False) -> DataFrame:
+    """The prediction message fields plus ``route``.
+    Rows without a prediction are dropped, or routed to ``invalid``."""
+    if not keep_invalid:
+        scored = scored.filter(F.col("prediction").isNotNull())
     return with_route(scored).select("route", *[F.col(c) for c in PREDICTION_FIELDS])
 
 
 def start_scoring_stream(messages: DataFrame, model, target: str, checkpoint: str,
                          payload_format: str = "csv", trigger: dict | None = None,
-                         query_name: str | None = None):
-    scored = score_messages(messages, model, payload_format)
-    sink = BatchDirSink(target, partition_by=("route",), transform=prediction_rows,
+                         query_name: str | None = None, invalid: str = "skip"):
+    """Score a stream; one write per batch partitioned by route.
+
+    ``invalid='skip'`` drops rows with a null feature (counted as
+    ``invalid`` in the batch metrics); ``'quarantine'`` writes them under
+    ``route=invalid`` in the same write."""
+    if invalid not in ("skip", "quarantine"):
+        raise ValueError(f"unknown invalid handling {invalid!r}")
+    lin = model if isinstance(model, LinearModel) else linear_of(model)
+    scored = score_messages(messages, lin, payload_format, skip_invalid=False)
+    keep = invalid == "quarantine"
+    sink = BatchDirSink(target, partition_by=("route",),
+                        transform=lambda b: prediction_rows(b, keep_invalid=keep),
                         observe=class_count_metrics)
-    # ``observe`` runs on the scored rows before the projection drops nothing
-    # it needs: ``prediction`` is part of the message.
     q = start(scored, sink, checkpoint, trigger=trigger or {"processingTime": "10 seconds"},
               query_name=query_name)
     return q, sink

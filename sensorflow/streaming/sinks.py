@@ -31,9 +31,9 @@ class BatchDirSink:
     """``foreachBatch`` callback writing each batch to its own folder.
 
     ``transform`` runs on the batch frame first; ``partition_by`` splits the
-    one write (e.g. by route). ``observe`` collects aggregate metrics during
-    that write, with no extra job; the last 1,000 batches are kept in
-    ``metrics``.
+    one write (e.g. by route). ``observe`` collects aggregate metrics over the
+    incoming rows during that write, with no extra job; the last 1,000
+    batches are kept in ``metrics``.
     """
 
     def __init__(self, target: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
@@ -48,11 +48,12 @@ class BatchDirSink:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
-        out = self.transform(batch) if self.transform else batch
         obs = None
         if self.observe:
+            # Observed on the incoming rows, before ``transform`` may drop some.
             obs = Observation(f"batch_{batch_id}")
-            out = out.observe(obs, *self.observe())
+            batch = batch.observe(obs, *self.observe())
+        out = self.transform(batch) if self.transform else batch
         w = out.write.mode("overwrite").format(self.fmt)
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -140,7 +141,9 @@ def compact_batches(spark: SparkSession, target: str, dest: str, first_batch: in
 
 
 def class_count_metrics() -> list:
-    """Observed per-batch counts of the two classes (A3 without extra jobs)."""
+    """Observed per-batch counts of the two classes and of rows that could not
+    be scored (a null feature; A3 without extra jobs)."""
     return [F.count(F.lit(1)).alias("rows"),
-            F.sum(F.when(F.col("prediction") == 1.0, 1).otherwise(0)).alias("movement"),
-            F.sum(F.when(F.col("prediction") == 0.0, 1).otherwise(0)).alias("no_movement")]
+            F.count(F.when(F.col("prediction") == 1.0, 1)).alias("movement"),
+            F.count(F.when(F.col("prediction") == 0.0, 1)).alias("no_movement"),
+            F.count(F.when(F.col("prediction").isNull(), 1)).alias("invalid")]

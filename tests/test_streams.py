@@ -192,3 +192,22 @@ def test_prediction_messages_json(spark):
         .select("route", "m.*")
     expect = prediction_rows(scored)
     assert _sorted(back.select(*expect.columns)) == _sorted(expect)
+
+
+def test_scoring_stream_counts_and_quarantines_invalid_rows(spark, tmp_path):
+    good = "2013-08-26 22:12:11,1377555131,413,575.0,102.0,24.06,48.09,1.0"
+    rows = [good, "2013-08-26 22:12:11,1377555131,413,bad,102.0,24.06,48.09,1.0",
+            "2013-08-26 22:12:11,1377555131,413,NaN,102.0,24.06,48.09,1.0"]
+    inbox = str(tmp_path / "inbox")
+    spark.createDataFrame([(r,) for r in rows], "value string").write.text(inbox)
+    for mode, expect in (("skip", {"activity"}), ("quarantine", {"activity", "invalid"})):
+        target = str(tmp_path / mode)
+        q, sink = start_scoring_stream(read_messages(spark, "text", inbox),
+                                       LinearModel(100.0, (0.0, 0.0, 0.0, 0.0)), target,
+                                       str(tmp_path / f"ck_{mode}"),
+                                       trigger={"availableNow": True}, invalid=mode)
+        run_available(q)
+        out = read_batches(spark, target)
+        assert {r.route for r in out.select("route").distinct().collect()} == expect
+        m = sink.metrics[-1]
+        assert (m["rows"], m["movement"], m["invalid"]) == (3, 1, 2)
