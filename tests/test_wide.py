@@ -94,3 +94,21 @@ def test_pir_null_nan_zero_one(spark):
     v1 = with_movement(wide_readings(long))
     assert {r.room: r.if_movement for r in v1.collect()} == {"zero": "no_movement",
                                                              "one": "movement"}
+
+
+def test_bucketed_long_table_joins_without_shuffle(spark, tmp_path):
+    from sensorflow.plans.ingest import read_long_table, write_long_table
+    from sensorflow.sources import events as ev
+    from .conftest import SF_SMALL
+    long = ev.readings(spark, SF_SMALL).drop("ts")
+    write_long_table(long, str(tmp_path / "long_b"), table="long_bucketed_test", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        wide = wide_readings(read_long_table(spark, table="long_bucketed_test"))
+        plan = wide._jdf.queryExecution().executedPlan().toString()
+        rows = _rows(wide)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS long_bucketed_test")
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 4
+    assert rows == _rows(wide_readings(long))
