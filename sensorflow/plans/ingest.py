@@ -81,7 +81,11 @@ def write_long_table(long: DataFrame, path: str, mode: str = "overwrite",
     if buckets:
         if not table:
             raise ValueError("bucketing needs a table name (bucket metadata lives in the catalog)")
-        (long.write.mode(mode).partitionBy("sensor")
+        # Shuffle partitions = buckets, so each task writes one file per bucket
+        # (not one per bucket per input task); AQE may still split a hot
+        # bucket over several tasks, which only adds files to that bucket.
+        (long.hint("rebalance", buckets, "room", "ts_min_bignt")
+             .write.mode(mode).partitionBy("sensor")
              .bucketBy(buckets, "room", "ts_min_bignt").sortBy("room", "ts_min_bignt")
              .option("path", path).saveAsTable(table))
         return

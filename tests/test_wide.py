@@ -1,6 +1,8 @@
 """Wide join strategies: salted = plain on a skewed key; latest = join on
 unique keys; plan shape (J1, Q4, U2)."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from sensorflow.operators import quality as Q
@@ -112,3 +114,6 @@ def test_bucketed_long_table_joins_without_shuffle(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS long_bucketed_test")
     assert "Exchange" not in plan and plan.count("SortMergeJoin") == 4
     assert rows == _rows(wide_readings(long))
+    files = [f for _, _, fs in os.walk(str(tmp_path / "long_b")) for f in fs
+             if f.endswith(".parquet")]
+    assert len(files) <= 5 * 4  # one file per bucket and sensor
