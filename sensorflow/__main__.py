@@ -15,6 +15,7 @@ import argparse
 import datetime as dt
 import json
 import sys
+import time
 
 
 def _options(pairs):
@@ -84,11 +85,14 @@ def parser() -> argparse.ArgumentParser:
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
+    from pyspark.sql import functions as F
+
     from sensorflow.plans import jobs as J
-    from sensorflow.streaming.sinks import run_available
+    from sensorflow.streaming.sinks import progress_frame, run_available
 
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sensorflow-{args.job}").getOrCreate()
+    t0 = time.time()
     if args.job == "ingest":
         J.run_ingest(spark, args.root, table_path=args.table, csv_path=args.csv,
                      version=args.version, layout=args.layout, messages_path=args.messages,
@@ -107,7 +111,9 @@ def main(argv=None, spark=None) -> int:
                           sep=args.sep, message_sep=args.message_sep, exclude=args.exclude,
                           key_col=key, repeat=args.repeat, shuffle_seed=args.shuffle_seed,
                           input_format=args.input_format)
-        print(json.dumps({"job": "publish", "messages": n}))
+        sec = time.time() - t0
+        print(json.dumps({"job": "publish", "messages": n, "seconds": round(sec, 3),
+                          "rows_per_second": round(n / sec, 1) if sec > 0 else None}))
     else:
         common = dict(source_options=_options(args.option), starting=args.starting,
                       max_per_trigger=args.max_per_trigger, trigger=_trigger(args),
@@ -122,7 +128,13 @@ def main(argv=None, spark=None) -> int:
             run_available(q)
         else:
             q.awaitTermination()
-        print(json.dumps({"job": args.job, "batches": len(q.recentProgress)}))
+        prog = progress_frame(spark, q).agg(F.count(F.lit(1)).alias("batches"),
+                                            F.sum("input_rows").alias("rows"),
+                                            F.sum("seconds").alias("seconds")).first()
+        rows, sec = int(prog.rows or 0), float(prog.seconds or 0.0)
+        print(json.dumps({"job": args.job, "batches": prog.batches, "rows": rows,
+                          "seconds": round(sec, 3),
+                          "rows_per_second": round(rows / sec, 1) if sec > 0 else None}))
     return 0
 
 
