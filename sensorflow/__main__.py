@@ -84,7 +84,6 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
-
     from pyspark.sql import functions as F
 
     from sensorflow.plans import jobs as J
