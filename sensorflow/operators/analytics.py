@@ -119,17 +119,27 @@ def room_time_filter(wide: DataFrame, rooms=None, start: _dt.datetime | int | No
     """rooms in a set, time in the half-open range [start, end).
 
     Plain comparisons on stored columns, so Parquet receives them as pushed
-    filters (and a room-partitioned table prunes folders)."""
+    filters. Where the table has an ``event_date`` partition column, the
+    same range is also stated on it, so whole day folders are skipped."""
     out = wide
     if rooms is not None:
         out = out.filter(F.col("room").isin(list(rooms)))
+    dated = "event_date" in wide.columns
     if start is not None:
         out = out.filter(F.col(ts_col) >= _epoch(start))
+        if dated:
+            out = out.filter(F.col("event_date") >= _day(_epoch(start)))
     if end is not None:
         out = out.filter(F.col(ts_col) < _epoch(end))
+        if dated:
+            out = out.filter(F.col("event_date") <= _day(_epoch(end)))
     return out
 
 
+def _day(seconds: int) -> _dt.date:
+    return _dt.datetime.fromtimestamp(seconds, _dt.timezone.utc).date()
+
+
 def _epoch(t) -> int:
     if isinstance(t, _dt.datetime):
         return int(t.replace(tzinfo=t.tzinfo or _dt.timezone.utc).timestamp())

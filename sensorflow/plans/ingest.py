@@ -10,6 +10,7 @@ tasks at once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorflow.operators.wide import wide_readings
 from sensorflow.schema import WIDE_SCHEMA
@@ -39,7 +40,11 @@ def write_wide_table(wide: DataFrame, path: str, mode: str = "overwrite",
     """D3 as Parquet. ``mode='overwrite'`` replaces the table;
     ``mode='append'`` adds (K2's incremental form). With ``partition_by``
     and dynamic partition overwrite, only the partitions present in
-    ``wide`` are replaced."""
+    ``wide`` are replaced. ``partition_by=("event_date",)`` adds that column
+    (UTC day of the instant): time-range filters then skip whole folders,
+    and the folder count grows with days, not with rooms."""
+    if "event_date" in partition_by and "event_date" not in wide.columns:
+        wide = with_event_date(wide)
     if partition_by:
         # Few files per folder; AQE splits a hot partition value over tasks.
         wide = wide.hint("rebalance", *partition_by)
@@ -49,6 +54,13 @@ def write_wide_table(wide: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def with_event_date(wide: DataFrame, ts_col: str = "ts_min_bignt") -> DataFrame:
+    """``event_date``: the UTC calendar day of the instant (zone-independent)."""
+    return wide.withColumn(
+        "event_date", F.to_date(F.timestamp_add("SECOND", F.col(ts_col),
+                                                F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))))
+
+
 def export_csv(wide: DataFrame, path: str, single_file: bool = False) -> None:
     """K1: CSV with header. ``single_file`` funnels all rows through one
     task (the reference's ``coalesce(1)``); only for small exports."""

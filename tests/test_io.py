@@ -88,3 +88,20 @@ def test_publish_key_by_position(spark):
     assert by_pos.key == by_pos.value.split(",")[2]  # the room column
     default = publish_frame(wide, key_col=1000).first()
     assert default.key == f"{default.value.split(',')[2]}-{default.value.split(',')[1]}"
+
+
+def test_day_partitioned_table_prunes_time_range(spark, tmp_path):
+    import datetime as dt
+    from sensorflow.operators.analytics import room_time_filter
+    from sensorflow.plans.ingest import write_wide_table
+    wide = wide_readings(ev.readings(spark, SF_SMALL))
+    out = str(tmp_path / "by_day")
+    write_wide_table(wide, out, partition_by=("event_date",))
+    table = spark.read.parquet(out)
+    lo, hi = dt.datetime(2024, 1, 9, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 21, tzinfo=dt.timezone.utc)
+    got = room_time_filter(table, start=lo, end=hi)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    want = room_time_filter(wide, start=lo, end=hi)
+    assert sorted(tuple(r) for r in got.drop("event_date").collect()) == \
+        sorted(tuple(r) for r in want.collect())
