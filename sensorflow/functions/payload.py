@@ -98,16 +98,27 @@ def time_to_epoch_ms(df: DataFrame, now: _dt.datetime | None = None,
     return df.withColumn(col, text_to_epoch_ms(col, now))
 
 
-def null_reason(cols) -> Column:
-    """Comma-separated names of the null fields; null when none is null."""
-    names = F.concat_ws(",", *[F.when(F.col(c).isNull(), F.lit(c)) for c in cols])
+def null_reason(cols, floating=()) -> Column:
+    """Comma-separated names of the null fields (NaN too for the
+    ``floating`` ones); null when none is."""
+    def bad(c):
+        t = F.col(c).isNull()
+        return (t | F.isnan(F.col(c))) if c in floating else t
+    names = F.concat_ws(",", *[F.when(bad(c), F.lit(c)) for c in cols])
     return F.when(names == "", F.lit(None).cast("string")).otherwise(names)
 
 
+def invalid_reason(df: DataFrame, cols=WIDE_COLUMNS) -> Column:
+    """``null_reason`` with NaN counted as missing for the float columns of
+    ``df`` (as F1 does)."""
+    types = dict(df.dtypes)
+    return null_reason(cols, floating={c for c in cols if types.get(c) in ("double", "float")})
+
+
 def quarantine(df: DataFrame, required=WIDE_COLUMNS) -> tuple[DataFrame, DataFrame]:
     """Q3: split into (good rows, bad rows with ``reason``). One expression,
     evaluated in both branches; persist the input if both are written."""
-    reason = null_reason(required)
+    reason = invalid_reason(df, required)
     tagged = df.withColumn("reason", reason)
     good = tagged.filter(F.col("reason").isNull()).drop("reason")
     bad = tagged.filter(F.col("reason").isNotNull())

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.features import search_document, with_movement
-from sensorflow.functions.payload import null_reason, parse_payload, time_to_epoch_ms
+from sensorflow.functions.payload import invalid_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
 from sensorflow.streaming.event_time import drop_replays, with_event_time
@@ -43,7 +43,7 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
                   .drop("event_time"))
     keep = ()
     if with_reason:
-        parsed = parsed.withColumn("reason", null_reason(WIDE_COLUMNS))
+        parsed = parsed.withColumn("reason", invalid_reason(parsed, WIDE_COLUMNS))
         keep = ("reason",)
     if time_as == "epoch_ms":
         parsed = time_to_epoch_ms(parsed, now)

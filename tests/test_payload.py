@@ -98,3 +98,9 @@ def test_document_time_forms(spark):
     assert ts[0].event_ts_min.timestamp() == 1377555131 and ts[1].event_ts_min is None
     text = index_documents(msgs, "csv", time_as="text").collect()
     assert text[0].event_ts_min == "2013-08-26 22:12:11"
+
+
+def test_nan_reading_is_quarantined(spark):
+    msgs = _msgs(spark, ["2013-08-26 22:12:11,1377555131,413,NaN,102.0,24.06,48.09,1.0"])
+    _, bad = PL.quarantine(PL.parse_payload(msgs, "csv"))
+    assert [r.reason for r in bad.collect()] == ["co2"]
