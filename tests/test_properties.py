@@ -84,3 +84,24 @@ def test_latest_matches_brute_force(spark, rows):
     want = sorted(_brute_join(_brute_latest(rows), False), key=_key)
     got = wide_readings(long, how="latest", order_col="rid", drop_incomplete=False)
     assert _spark_rows(got) == want
+
+
+wide_row = st.tuples(
+    st.sampled_from(["2013-08-26 22:12:11", "2024-01-01 00:00:00"]),
+    st.one_of(st.none(), st.integers(min_value=0, max_value=2_000_000_000)),
+    st.sampled_from(["413", "r 1", "x"]),
+    *[st.one_of(st.none(), st.floats(min_value=-1e6, max_value=1e6, allow_nan=False,
+                                     allow_infinity=False)) for _ in range(5)],
+)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(wide_row, min_size=1, max_size=20))
+def test_message_round_trip(spark, rows):
+    from sensorflow.functions import payload as PL
+    from sensorflow.schema import WIDE_SCHEMA
+    df = spark.createDataFrame(rows, WIDE_SCHEMA)
+    want = sorted((tuple(r) for r in df.collect()), key=_key)
+    for fmt in ("csv", "json"):
+        back = PL.parse_payload(PL.to_messages(df, fmt, with_key=False), fmt)
+        assert sorted((tuple(r) for r in back.collect()), key=_key) == want
