@@ -93,11 +93,13 @@ def main(argv=None, spark=None) -> int:
     spark = spark or SparkSession.builder.appName(f"sensorflow-{args.job}").getOrCreate()
     t0 = time.time()
     if args.job == "ingest":
-        J.run_ingest(spark, args.root, table_path=args.table, csv_path=args.csv,
-                     version=args.version, layout=args.layout, messages_path=args.messages,
-                     payload_format=args.payload_format, messages_format=args.messages_format,
-                     messages_options=_options(args.option))
-        print(json.dumps({"job": "ingest", "table": args.table}))
+        res = J.run_ingest(spark, args.root, table_path=args.table, csv_path=args.csv,
+                           version=args.version, layout=args.layout,
+                           messages_path=args.messages, payload_format=args.payload_format,
+                           messages_format=args.messages_format,
+                           messages_options=_options(args.option))
+        print(json.dumps({"job": "ingest", "table": args.table, "rows": res.rows,
+                          "seconds": res.seconds}))
     elif args.job == "train":
         hold = dt.datetime.fromisoformat(args.holdout_from) if args.holdout_from else None
         res = J.run_training(spark, args.table, args.model, holdout_from=hold)

@@ -6,6 +6,7 @@ a session, sets a master or deletes a target.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -22,28 +23,44 @@ from sensorflow.streaming.scoring import start_scoring_stream
 from sensorflow.streaming.sinks import checkpoint_for
 
 
+@dataclass
+class IngestResult:
+    wide: DataFrame
+    rows: int
+    seconds: float
+
+
 def run_ingest(spark: SparkSession, root: str, table_path: str | None = None,
                csv_path: str | None = None, version: int = 1, layout: str = "folders",
                messages_path: str | None = None, payload_format: str = "json",
-               messages_format: str = "json", messages_options: dict | None = None) -> DataFrame:
+               messages_format: str = "json", messages_options: dict | None = None
+               ) -> IngestResult:
     """Entry point A: sensor files -> wide table (Parquet, optional CSV
     export) and, as the second version did, the rows as messages.
 
     The join runs once: when the table is written, the other outputs read it
-    back (no cache of the whole result, no second join)."""
+    back (no cache of the whole result, no second join). The row count is
+    observed during the first write, not counted by another job."""
+    t0 = time.time()
     wide = build_wide(spark, root, version=version, layout=layout)
     send = bool(messages_path) or messages_format == "kafka"
+    if not table_path and csv_path and send:
+        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)  # two writes, no table to reread
+    obs = Observation("ingested")
+    counted = wide.observe(obs, F.count(F.lit(1)).alias("rows"))
+    written = False  # the first write goes through ``counted``
     if table_path:
-        write_wide_table(wide, table_path)
-        wide = spark.read.parquet(table_path)
-    elif csv_path and send:
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)
+        write_wide_table(counted, table_path)
+        wide, written = spark.read.parquet(table_path), True
     if csv_path:
-        export_csv(wide, csv_path)
+        export_csv(wide if written else counted, csv_path)
+        written = True
     if send:
-        write_messages(to_messages(wide, payload_format, with_key=False), messages_format,
-                       messages_path, messages_options, mode="append")
-    return wide
+        write_messages(to_messages(wide if written else counted, payload_format, with_key=False),
+                       messages_format, messages_path, messages_options, mode="append")
+        written = True
+    rows = int(obs.get["rows"]) if written else wide.count()
+    return IngestResult(wide, rows, round(time.time() - t0, 3))
 
 
 @dataclass

@@ -21,9 +21,11 @@ def test_pipeline_end_to_end(spark, tmp_path):
     raw = ev.raw_readings(spark, SF_MID)
     write_raw_hive_tree(raw, root)
     table, csv, inbox = (str(tmp_path / n) for n in ("table", "csv", "inbox"))
-    wide = J.run_ingest(spark, root, table_path=table, csv_path=csv, layout="hive",
-                        messages_path=inbox, payload_format="json")
+    res = J.run_ingest(spark, root, table_path=table, csv_path=csv, layout="hive",
+                       messages_path=inbox, payload_format="json")
+    wide = res.wide
     expected = wide_readings(clean_readings(raw), row_id="event_id")
+    assert res.rows == expected.count() and res.seconds > 0
     assert sorted(map(tuple, spark.read.parquet(table).collect())) == \
         sorted(map(tuple, expected.collect()))
     wide.unpersist()
@@ -74,3 +76,14 @@ def test_command_line(spark, tmp_path, capsys):
     out = [l for l in capsys.readouterr().out.splitlines() if l.startswith("{")]
     published = [__import__("json").loads(l) for l in out if '"publish"' in l][0]["messages"]
     assert read_batches(spark, routes).count() == published == 2 * spark.read.parquet(table).count()
+
+
+def test_ingest_csv_and_messages_without_table(spark, tmp_path):
+    root = str(tmp_path / "tree")
+    raw = ev.raw_readings(spark, SF_MID)
+    write_raw_hive_tree(raw, root)
+    res = J.run_ingest(spark, root, csv_path=str(tmp_path / "csv"), layout="hive",
+                       messages_path=str(tmp_path / "msgs"))
+    n = wide_readings(clean_readings(raw), row_id="event_id").count()
+    assert res.rows == n == spark.read.json(str(tmp_path / "msgs")).count()
+    res.wide.unpersist()
