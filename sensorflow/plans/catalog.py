@@ -501,6 +501,33 @@ def q_stream_index_documents(spark, sf_dir):
     return read_batches(spark, f"{base}/docs").drop("batch_id")
 
 
+@register("stream_index_quarantine", f"""{WIDE_V2}
+SELECT * FROM (
+  SELECT ts_min_bignt * 1000 AS event_ts_min, room, coalesce(co2, 0.0) AS co2,
+    coalesce(pir, 0.0) AS pir, {FLAG.format(p='pir')} AS if_movement,
+    nullif(concat_ws(',', CASE WHEN co2 IS NULL THEN 'co2' END,
+      CASE WHEN light IS NULL THEN 'light' END, CASE WHEN temp IS NULL THEN 'temp' END,
+      CASE WHEN humidity IS NULL THEN 'humidity' END, CASE WHEN pir IS NULL THEN 'pir' END), '')
+      AS reason
+  FROM wide2) q WHERE reason IS NOT NULL""")
+def q_stream_index_quarantine(spark, sf_dir):
+    """Q3 on the index stream: documents with missing or unparsable fields
+    land under ``status=quarantine`` of the same per-batch write."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.index_stream import start_index_stream
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "index-quarantine")
+    PL.to_messages(_wide_v2(spark, sf_dir), with_key=False).write.text(f"{base}/inbox")
+    q, _ = start_index_stream(read_messages(spark, "text", f"{base}/inbox"), f"{base}/docs",
+                              f"{base}/checkpoint", trigger={"availableNow": True},
+                              now=FIXED_NOW, quarantine=True)
+    run_available(q)
+    out = read_batches(spark, f"{base}/docs")
+    return out.filter(F.col("status") == "quarantine").select(
+        "event_ts_min", "room", "co2", "pir", "if_movement", "reason")
+
+
 @register("stream_routed_predictions", ORACLE["routed_predictions"])
 def q_stream_routed_predictions(spark, sf_dir):
     """Entry point C on a drained stream of JSON messages, routed by class."""

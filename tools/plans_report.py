@@ -18,7 +18,8 @@ sys.path.insert(0, ROOT)
 DETAIL = ("wide_join", "wide_salted", "wide_latest", "long_table_wide", "scored",
           "missing_sensors", "index_documents")
 SIDE_EFFECTS = {"file_tree_wide", "long_table_wide", "stream_index_documents",
-                "stream_routed_predictions", "stream_room_windows", "stream_windowed_accuracy"}
+                "stream_routed_predictions", "stream_room_windows", "stream_windowed_accuracy",
+                "stream_index_quarantine"}
 
 
 def summary(plan: str) -> dict:
