@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from sensorflow.schema import PREDICTION_FIELDS
 
-# The two targets of the reference's routing.
+# Route names (ours): the reference wrote predicted movement to an "activity"
+# target and the rest to a "no activity" target; "invalid" holds rows that
+# could not be scored.
 ROUTE_POSITIVE = "activity"
 ROUTE_NEGATIVE = "no_activity"
-# Ours: rows that could not be scored (a null feature).
 ROUTE_INVALID = "invalid"
 
 
