@@ -66,7 +66,7 @@ class BatchDirSink:
 
 def start(df: DataFrame, sink: Callable | str, checkpoint: str, trigger: dict | None = None,
           query_name: str | None = None, output_mode: str = "append",
-          options: dict | None = None) -> StreamingQuery:
+          options: dict | None = None, partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start a stream with a checkpoint and a trigger.
 
     ``sink`` is a ``foreachBatch`` callable or a format name (``console``,
@@ -81,6 +81,8 @@ def start(df: DataFrame, sink: Callable | str, checkpoint: str, trigger: dict |
         w = w.foreachBatch(sink)
     else:
         w = w.format(sink).options(**(options or {}))
+        if partition_by:
+            w = w.partitionBy(*partition_by)
     return w.start()
 
 

@@ -87,3 +87,25 @@ def test_ingest_csv_and_messages_without_table(spark, tmp_path):
     n = wide_readings(clean_readings(raw), row_id="event_id").count()
     assert res.rows == n == spark.read.json(str(tmp_path / "msgs")).count()
     res.wide.unpersist()
+
+
+def test_continuous_long_ingest_reads_each_file_once(spark, tmp_path):
+    import os
+    from sensorflow.plans.ingest import read_long_table
+    root = str(tmp_path / "rooms")
+
+    def write(room, ts):
+        os.makedirs(os.path.join(root, room), exist_ok=True)
+        for i, s in enumerate(("co2", "humidity", "light", "pir", "temperature")):
+            with open(os.path.join(root, room, f"{s}.csv"), "w") as f:
+                f.write(f"{ts},{i + 1}\n")
+
+    table, ck = str(tmp_path / "long"), str(tmp_path / "ck")
+    write("1", 100)
+    run_available(J.run_long_ingest_stream(spark, root, table, {"availableNow": True}, ck))
+    write("2", 200)
+    run_available(J.run_long_ingest_stream(spark, root, table, {"availableNow": True}, ck))
+    long = read_long_table(spark, table)
+    assert long.count() == 10
+    assert sorted(os.listdir(table))[:1] == ["_spark_metadata"]
+    assert wide_readings(long).count() == 2
