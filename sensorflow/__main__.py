@@ -3,6 +3,7 @@ same file under ``spark-submit``). The session comes from the environment
 (``getOrCreate``); no master or resource setting is made here.
 
     ingest        sensor files -> wide table (+ CSV export, + messages)
+    ingest-stream new sensor files -> long table, continuously
     train         wide table -> fitted model (+ in-sample / hold-out accuracy)
     publish       table -> key/value messages (file folder or broker topic)
     index-stream  messages -> search documents, one folder per micro-batch
@@ -47,6 +48,14 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--payload-format", choices=("csv", "json"), default="json")
     p.add_argument("--option", action="append", help="writer option key=value")
 
+    p = sub.add_parser("ingest-stream")
+    p.add_argument("--root", required=True)
+    p.add_argument("--table", required=True)
+    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--trigger", default="30 seconds")
+    p.add_argument("--available-now", action="store_true")
+    p.add_argument("--checkpoint")
+
     p = sub.add_parser("train")
     p.add_argument("--table", required=True)
     p.add_argument("--model", required=True)
@@ -84,10 +93,8 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
-    from pyspark.sql import functions as F
 
     from sensorflow.plans import jobs as J
-    from sensorflow.streaming.sinks import progress_frame, run_available
 
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sensorflow-{args.job}").getOrCreate()
@@ -100,6 +107,10 @@ def main(argv=None, spark=None) -> int:
                            messages_options=_options(args.option))
         print(json.dumps({"job": "ingest", "table": args.table, "rows": res.rows,
                           "seconds": res.seconds}))
+    elif args.job == "ingest-stream":
+        q = J.run_long_ingest_stream(spark, args.root, args.table, _trigger(args),
+                                     args.checkpoint, args.max_files_per_trigger)
+        _finish_stream(spark, q, args)
     elif args.job == "train":
         hold = dt.datetime.fromisoformat(args.holdout_from) if args.holdout_from else None
         res = J.run_training(spark, args.table, args.model, holdout_from=hold)
@@ -125,19 +136,27 @@ def main(argv=None, spark=None) -> int:
         else:
             q, _ = J.run_scoring_stream(spark, args.model, args.source_format, args.source,
                                         args.target, **common)
-        if args.available_now:
-            run_available(q)
-        else:
-            q.awaitTermination()
-        prog = progress_frame(spark, q).agg(F.count(F.lit(1)).alias("batches"),
-                                            F.sum("input_rows").alias("rows"),
-                                            F.sum("seconds").alias("seconds")).first()
-        rows, sec = int(prog.rows or 0), float(prog.seconds or 0.0)
-        print(json.dumps({"job": args.job, "batches": prog.batches, "rows": rows,
-                          "seconds": round(sec, 3),
-                          "rows_per_second": round(rows / sec, 1) if sec > 0 else None}))
+        _finish_stream(spark, q, args)
     return 0
 
 
+def _finish_stream(spark, q, args) -> None:
+    """Drain (``--available-now``) or run until stopped, then report."""
+    from pyspark.sql import functions as F
+
+    from sensorflow.streaming.sinks import progress_frame, run_available
+    if args.available_now:
+        run_available(q)
+    else:
+        q.awaitTermination()
+    prog = progress_frame(spark, q).agg(F.count(F.lit(1)).alias("batches"),
+                                        F.sum("input_rows").alias("rows"),
+                                        F.sum("seconds").alias("seconds")).first()
+    rows, sec = int(prog.rows or 0), float(prog.seconds or 0.0)
+    print(json.dumps({"job": args.job, "batches": prog.batches, "rows": rows,
+                      "seconds": round(sec, 3),
+                      "rows_per_second": round(rows / sec, 1) if sec > 0 else None}))
+
+
 if __name__ == "__main__":
     sys.exit(main())
