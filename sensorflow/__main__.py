@@ -50,6 +50,7 @@ def parser() -> argparse.ArgumentParser:
 
     p = sub.add_parser("ingest-stream")
     p.add_argument("--root", required=True)
+    p.add_argument("--layout", choices=("folders", "hive"), default="folders")
     p.add_argument("--table", required=True)
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--trigger", default="30 seconds")
@@ -109,7 +110,8 @@ def main(argv=None, spark=None) -> int:
                           "seconds": res.seconds}))
     elif args.job == "ingest-stream":
         q = J.run_long_ingest_stream(spark, args.root, args.table, _trigger(args),
-                                     args.checkpoint, args.max_files_per_trigger)
+                                     args.checkpoint, args.max_files_per_trigger,
+                                     layout=args.layout)
         _finish_stream(spark, q, args)
     elif args.job == "train":
         hold = dt.datetime.fromisoformat(args.holdout_from) if args.holdout_from else None

@@ -131,12 +131,13 @@ def run_scoring_stream(spark: SparkSession, model_path: str, source_format: str,
 def run_long_ingest_stream(spark: SparkSession, root: str, table_path: str,
                            trigger: dict | None = None, checkpoint: str | None = None,
                            max_files_per_trigger: int | None = None,
-                           name: str = "long_ingest"):
+                           name: str = "long_ingest", layout: str = "folders"):
     """Continuous ingest (W5 re-aimed): new sensor files -> the long table,
     partitioned by sensor, appended by a file sink. Each file is read once
     (the reference re-read every room every 30 s); the file sink's commit log
     makes a replayed batch invisible to readers of the table folder."""
-    long = read_tree_stream(spark, root, max_files_per_trigger=max_files_per_trigger)
+    long = read_tree_stream(spark, root, max_files_per_trigger=max_files_per_trigger,
+                            layout=layout)
     return start(long.drop("source_file"), "parquet", checkpoint_for(spark, name, checkpoint),
                  trigger=trigger or {"processingTime": "30 seconds"},
                  options={"path": table_path}, partition_by=("sensor",))

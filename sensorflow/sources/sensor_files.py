@@ -85,19 +85,27 @@ def read_tree(spark: SparkSession, root: str, sensors=SENSORS, keep_raw: bool =
 
 
 def read_tree_stream(spark: SparkSession, root: str, sensors=SENSORS,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    """The same tree as a file stream: each new file is read once."""
-    r = spark.readStream.schema(RAW_FILE_SCHEMA).option("sep", ",")
+                     max_files_per_trigger: int | None = None,
+                     layout: str = "folders") -> DataFrame:
+    """The same tree as a file stream: each new file is read once.
+    ``layout``: ``folders`` (``<room>/<sensor>.csv``) or ``hive``
+    (``room=<room>/sensor=<sensor>/*.csv``)."""
+    r = spark.readStream.option("sep", ",")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = r.csv(sensor_file_glob(root))
     path = F.col("_metadata.file_path")
-    out = df.select(
-        F.regexp_extract(path, _PATH_RE, 1).alias("room"),
-        F.regexp_extract(path, _PATH_RE, 2).alias("sensor"),
-        F.col("ts_min_bignt").alias("ts_raw"),
-        F.col("sensor_value").alias("value_raw"),
-        path.alias("source_file"))
+    if layout == "hive":
+        df = r.schema(HIVE_SCHEMA).csv(root)
+        out = df.select("room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
+                        F.col("sensor_value").alias("value_raw"), path.alias("source_file"))
+    else:
+        df = r.schema(RAW_FILE_SCHEMA).csv(sensor_file_glob(root))
+        out = df.select(
+            F.regexp_extract(path, _PATH_RE, 1).alias("room"),
+            F.regexp_extract(path, _PATH_RE, 2).alias("sensor"),
+            F.col("ts_min_bignt").alias("ts_raw"),
+            F.col("sensor_value").alias("value_raw"),
+            path.alias("source_file"))
     return clean_readings(out.filter(F.col("sensor").isin(list(sensors))))
 
 

@@ -66,8 +66,11 @@ def test_command_line(spark, tmp_path, capsys):
     write_raw_hive_tree(ev.raw_readings(spark, SF_MID), root)
     table, model, msgs, routes = (str(tmp_path / n) for n in ("t", "m", "msgs", "routes"))
     assert main(["ingest", "--root", root, "--layout", "hive", "--table", table], spark) == 0
-    assert main(["ingest-stream", "--root", root, "--table", str(tmp_path / "long"),
-                 "--available-now", "--checkpoint", str(tmp_path / "ck_long")], spark) == 0
+    assert main(["ingest-stream", "--root", root, "--layout", "hive",
+                 "--table", str(tmp_path / "long"), "--available-now",
+                 "--checkpoint", str(tmp_path / "ck_long")], spark) == 0
+    assert spark.read.parquet(str(tmp_path / "long")).count() == \
+        ev.raw_readings(spark, SF_MID).count()
     assert main(["train", "--table", table, "--model", model,
                  "--holdout-from", "2024-01-23"], spark) == 0
     assert main(["publish", "--input", table, "--input-format", "parquet", "--format", "text",
