@@ -19,16 +19,16 @@ def completeness(parsed: DataFrame, ts_raw: str = "ts_raw", value_raw: str = "va
 
     Expects raw text and the parsed columns side by side (``clean_readings``
     with ``keep_raw=True``)."""
-    def cnt(cond):
-        return F.sum(cond.cast("long")).alias
+    def count_if(cond, name):
+        return F.count(F.when(cond, F.lit(1))).alias(name)
     missing_ts = F.col(ts_raw).isNull() | (F.trim(F.col(ts_raw)) == "")
     missing_v = F.col(value_raw).isNull() | (F.trim(F.col(value_raw)) == "")
     return parsed.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_rows"),
-        cnt(missing_ts)("n_missing_ts"),
-        cnt(~missing_ts & F.col("ts_min_bignt").isNull())("n_bad_ts"),
-        cnt(missing_v)("n_missing_value"),
-        cnt(~missing_v & F.col("sensor_value").isNull())("n_bad_value"))
+        count_if(missing_ts, "n_missing_ts"),
+        count_if(~missing_ts & F.col("ts_min_bignt").isNull(), "n_bad_ts"),
+        count_if(missing_v, "n_missing_value"),
+        count_if(~missing_v & F.col("sensor_value").isNull(), "n_bad_value"))
 
 
 def missing_sensors(long: DataFrame, sensors=SENSORS, key=KEY) -> DataFrame:
