@@ -1,8 +1,8 @@
 """Data quality: completeness (Q1), missing sensors (Q2), duplicates (Q4).
 
 All are single grouped aggregates with partial aggregation; none gathers a
-group's rows. Q2 compares per key against the fixed five-sensor list with
-``array_except`` over a set that holds at most five names.
+group's rows. Q2 counts each expected sensor per key and lists those with no
+reading.
 """
 
 from __future__ import annotations
@@ -33,13 +33,18 @@ def completeness(parsed: DataFrame, ts_raw: str = "ts_raw", value_raw: str = "va
 
 def missing_sensors(long: DataFrame, sensors=SENSORS, key=KEY) -> DataFrame:
     """Q2: for every (room, instant) seen, the expected sensors with no
-    reading there. One row per (key, missing sensor)."""
-    present = (long.filter(F.col("sensor").isin(list(sensors)))
-                   .filter(F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull())
-                   .groupBy(*key).agg(F.collect_set("sensor").alias("_found")))
-    expected = F.array(*[F.lit(s) for s in sensors])
-    return present.select(*key, F.explode(F.array_except(expected, F.col("_found")))
-                          .alias("missing_sensor"))
+    reading there. One row per (key, missing sensor).
+
+    Rows per sensor are conditional counts (a hash aggregate with primitive
+    buffers); the missing names are then listed per key and exploded."""
+    counts = (long.filter(F.col(key[0]).isNotNull() & F.col(key[1]).isNotNull())
+                  .groupBy(*key)
+                  .agg(*[F.count(F.when(F.col("sensor") == s, F.lit(1))).alias(f"_n{i}")
+                         for i, s in enumerate(sensors)]))
+    missing = F.filter(F.array(*[F.when(F.col(f"_n{i}") == 0, F.lit(s))
+                                 for i, s in enumerate(sensors)]),
+                       lambda x: x.isNotNull())
+    return counts.select(*key, F.explode(missing).alias("missing_sensor"))
 
 
 def missing_sensor_files(found_files: DataFrame, sensors=SENSORS) -> DataFrame:
