@@ -50,10 +50,8 @@ def missing_sensors(long: DataFrame, sensors=SENSORS, key=KEY) -> DataFrame:
 def missing_sensor_files(found_files: DataFrame, sensors=SENSORS) -> DataFrame:
     """Q2 for a sensor-file tree: rooms lacking a sensor file
     (``found_files``: one row per room and sensor file found)."""
-    present = found_files.groupBy("room").agg(F.collect_set("sensor").alias("_found"))
-    expected = F.array(*[F.lit(s) for s in sensors])
-    return present.select("room", F.explode(F.array_except(expected, F.col("_found")))
-                          .alias("missing_sensor"))
+    return missing_sensors(found_files.withColumn("_k", F.lit(0)), sensors, key=("room", "_k")) \
+        .drop("_k")
 
 
 def duplicate_keys(long: DataFrame, key=(*KEY, "sensor")) -> DataFrame:
