@@ -117,3 +117,19 @@ def test_bucketed_long_table_joins_without_shuffle(spark, tmp_path):
     files = [f for _, _, fs in os.walk(str(tmp_path / "long_b")) for f in fs
              if f.endswith(".parquet")]
     assert len(files) <= 5 * 4  # one file per bucket and sensor
+
+
+def test_salting_gate_follows_size_estimate(spark):
+    from sensorflow.operators.wide import estimated_bytes
+    from sensorflow.sources import events as ev
+    from .conftest import SF_SMALL
+    long = ev.readings(spark, SF_SMALL)
+    size = estimated_bytes(long)
+    assert size and size > 0
+
+    def salted(rows):
+        plan = wide_readings(long, row_id="event_id", hot_key_rows=rows) \
+            ._jdf.queryExecution().executedPlan().toString()
+        return "TakeOrderedAndProject" in plan  # the hot-key table
+    assert salted(max(1, size // 32))          # input larger than rows * 16 bytes
+    assert not salted(size)                    # input smaller: plain join chain
