@@ -14,18 +14,24 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.payload import parse_payload
 from sensorflow.operators.model import LinearModel, linear_of, score
-from sensorflow.schema import PREDICTION_FIELDS
+from sensorflow.schema import PREDICTION_FIELDS, WIDE_COLUMNS
+from sensorflow.streaming.event_time import drop_replays, with_event_time
 from sensorflow.streaming.routing import with_route
 from sensorflow.streaming.sinks import BatchDirSink, class_count_metrics, start
 
 
 def score_messages(messages: DataFrame, model: PipelineModel | LinearModel,
                    payload_format: str = "csv", method: str = "expression",
-                   skip_invalid: bool = True) -> DataFrame:
+                   skip_invalid: bool = True, dedupe_delay: str | None = None) -> DataFrame:
     """Messages -> scored rows with ``prediction`` and ``confidence``.
     Rows with a null feature are skipped, or (``skip_invalid=False``, closed
-    form only) kept with a null prediction."""
+    form only) kept with a null prediction. ``dedupe_delay`` drops messages
+    equal to one seen before within that event-time delay (E1)."""
     parsed = parse_payload(messages, payload_format)
+    if dedupe_delay:
+        parsed = (with_event_time(parsed.filter(F.col("ts_min_bignt").isNotNull()))
+                  .transform(lambda d: drop_replays(d, WIDE_COLUMNS, dedupe_delay))
+                  .drop("event_time"))
     return score(parsed, model, method=method, skip_invalid=skip_invalid)
 
 
@@ -39,7 +45,8 @@ def prediction_rows(scored: DataFrame, keep_invalid: bool = False) -> DataFrame:
 
 def start_scoring_stream(messages: DataFrame, model, target: str, checkpoint: str,
                          payload_format: str = "csv", trigger: dict | None = None,
-                         query_name: str | None = None, invalid: str = "skip"):
+                         query_name: str | None = None, invalid: str = "skip",
+                         dedupe_delay: str | None = None):
     """Score a stream; one write per batch partitioned by route.
 
     ``invalid='skip'`` drops rows with a null feature (counted as
@@ -48,7 +55,8 @@ def start_scoring_stream(messages: DataFrame, model, target: str, checkpoint: st
     if invalid not in ("skip", "quarantine"):
         raise ValueError(f"unknown invalid handling {invalid!r}")
     lin = model if isinstance(model, LinearModel) else linear_of(model)
-    scored = score_messages(messages, lin, payload_format, skip_invalid=False)
+    scored = score_messages(messages, lin, payload_format, skip_invalid=False,
+                            dedupe_delay=dedupe_delay)
     keep = invalid == "quarantine"
     sink = BatchDirSink(target, partition_by=("route",),
                         transform=lambda b: prediction_rows(b, keep_invalid=keep),

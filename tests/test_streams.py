@@ -211,3 +211,17 @@ def test_scoring_stream_counts_and_quarantines_invalid_rows(spark, tmp_path):
         assert {r.route for r in out.select("route").distinct().collect()} == expect
         m = sink.metrics[-1]
         assert (m["rows"], m["movement"], m["invalid"]) == (3, 1, 2)
+
+
+def test_scoring_stream_drops_resent_messages(spark, tmp_path):
+    latest = wide_readings(keep_latest(ev.readings(spark, SF_SMALL), "event_id"),
+                           how="latest", order_col="event_id")
+    inbox = str(tmp_path / "inbox")
+    _drop_messages(spark, inbox, latest, fmt="json", payload_format="json")
+    _drop_messages(spark, inbox, latest, fmt="json", payload_format="json")
+    q, sink = start_scoring_stream(read_messages(spark, "json", inbox), MODEL,
+                                   str(tmp_path / "routes"), str(tmp_path / "ck"),
+                                   payload_format="json", trigger={"availableNow": True},
+                                   dedupe_delay="2 days")
+    run_available(q)
+    assert read_batches(spark, str(tmp_path / "routes")).count() == latest.count()
