@@ -87,8 +87,12 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--trigger", default="10 seconds")
         p.add_argument("--available-now", action="store_true")
         p.add_argument("--checkpoint")
+        p.add_argument("--dedupe-delay", help='drop re-sent messages within e.g. "2 days"')
         if name == "score-stream":
             p.add_argument("--model", required=True)
+            p.add_argument("--invalid", choices=("skip", "quarantine"), default="skip")
+        else:
+            p.add_argument("--quarantine", action="store_true")
     return ap
 
 
@@ -132,12 +136,13 @@ def main(argv=None, spark=None) -> int:
         common = dict(source_options=_options(args.option), starting=args.starting,
                       max_per_trigger=args.max_per_trigger, trigger=_trigger(args),
                       checkpoint=args.checkpoint, payload_format=args.payload_format)
+        common["dedupe_delay"] = args.dedupe_delay
         if args.job == "index-stream":
             q, _ = J.run_index_stream(spark, args.source_format, args.source, args.target,
-                                      **common)
+                                      quarantine=args.quarantine, **common)
         else:
             q, _ = J.run_scoring_stream(spark, args.model, args.source_format, args.source,
-                                        args.target, **common)
+                                        args.target, invalid=args.invalid, **common)
         _finish_stream(spark, q, args)
     return 0
 

@@ -108,24 +108,28 @@ def run_index_stream(spark: SparkSession, source_format: str, source: str | None
                      target: str, payload_format: str = "csv", source_options: dict | None = None,
                      starting: str = "latest", max_per_trigger: int | None = None,
                      trigger: dict | None = None, checkpoint: str | None = None,
-                     name: str = "index_stream"):
+                     name: str = "index_stream", quarantine: bool = False,
+                     dedupe_delay: str | None = None):
     """Entry point B: messages -> documents, one folder per micro-batch."""
     msgs = read_messages(spark, source_format, source, source_options, starting, max_per_trigger)
     return start_index_stream(msgs, target, checkpoint_for(spark, name, checkpoint),
-                              payload_format=payload_format, trigger=trigger, query_name=None)
+                              payload_format=payload_format, trigger=trigger,
+                              quarantine=quarantine, dedupe_delay=dedupe_delay)
 
 
 def run_scoring_stream(spark: SparkSession, model_path: str, source_format: str,
                        source: str | None, target: str, payload_format: str = "csv",
                        source_options: dict | None = None, starting: str = "latest",
                        max_per_trigger: int | None = None, trigger: dict | None = None,
-                       checkpoint: str | None = None, name: str = "scoring_stream"):
+                       checkpoint: str | None = None, name: str = "scoring_stream",
+                       invalid: str = "skip", dedupe_delay: str | None = None):
     """Entry point C, second half: score messages, route by class."""
     model = M.load(model_path)
     msgs = read_messages(spark, source_format, source, source_options, starting, max_per_trigger)
     return start_scoring_stream(msgs, M.linear_of(model), target,
                                 checkpoint_for(spark, name, checkpoint),
-                                payload_format=payload_format, trigger=trigger)
+                                payload_format=payload_format, trigger=trigger,
+                                invalid=invalid, dedupe_delay=dedupe_delay)
 
 
 def run_long_ingest_stream(spark: SparkSession, root: str, table_path: str,
