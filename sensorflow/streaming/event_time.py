@@ -28,6 +28,17 @@ def drop_replays(df: DataFrame, keys, delay: str = "2 days",
     return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def drop_resent(df: DataFrame, keys, delay: str, seconds_col: str = "ts_min_bignt") -> DataFrame:
+    """E1 on parsed messages: rows with an instant are de-duplicated within the
+    watermark delay; rows without one (unparsable) cannot be placed in event
+    time and pass through unchanged, so nothing is lost (they reach the
+    quarantine where there is one)."""
+    timed = df.filter(F.col(seconds_col).isNotNull())
+    untimed = df.filter(F.col(seconds_col).isNull())
+    kept = drop_replays(with_event_time(timed, seconds_col), keys, delay).drop("event_time")
+    return kept.unionByName(untimed)
+
+
 def windowed_metrics(df: DataFrame, window: str = "4 days", delay: str = "2 days",
                      time_col: str = "event_time", by_room: bool = True) -> DataFrame:
     """Per window (and room) counts and means, emitted when closed."""

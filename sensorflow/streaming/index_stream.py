@@ -18,7 +18,7 @@ from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import invalid_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
-from sensorflow.streaming.event_time import drop_replays, with_event_time
+from sensorflow.streaming.event_time import drop_resent
 from sensorflow.streaming.sinks import BatchDirSink, start
 
 
@@ -38,9 +38,7 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
     stream the state is bounded by the watermark)."""
     parsed = parse_payload(messages, payload_format)
     if dedupe_delay:
-        parsed = (with_event_time(parsed.filter(F.col("ts_min_bignt").isNotNull()))
-                  .transform(lambda d: drop_replays(d, WIDE_COLUMNS, dedupe_delay))
-                  .drop("event_time"))
+        parsed = drop_resent(parsed, WIDE_COLUMNS, dedupe_delay)
     keep = ()
     if with_reason:
         parsed = parsed.withColumn("reason", invalid_reason(parsed, WIDE_COLUMNS))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from sensorflow.functions.payload import parse_payload
 from sensorflow.operators.model import LinearModel, linear_of, score
 from sensorflow.schema import PREDICTION_FIELDS, WIDE_COLUMNS
-from sensorflow.streaming.event_time import drop_replays, with_event_time
+from sensorflow.streaming.event_time import drop_resent
 from sensorflow.streaming.routing import with_route
 from sensorflow.streaming.sinks import BatchDirSink, class_count_metrics, start
 
@@ -29,9 +29,7 @@ def score_messages(messages: DataFrame, model: PipelineModel | LinearModel,
     equal to one seen before within that event-time delay (E1)."""
     parsed = parse_payload(messages, payload_format)
     if dedupe_delay:
-        parsed = (with_event_time(parsed.filter(F.col("ts_min_bignt").isNotNull()))
-                  .transform(lambda d: drop_replays(d, WIDE_COLUMNS, dedupe_delay))
-                  .drop("event_time"))
+        parsed = drop_resent(parsed, WIDE_COLUMNS, dedupe_delay)
     return score(parsed, model, method=method, skip_invalid=skip_invalid)
 
 

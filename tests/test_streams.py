@@ -225,3 +225,17 @@ def test_scoring_stream_drops_resent_messages(spark, tmp_path):
                                    dedupe_delay="2 days")
     run_available(q)
     assert read_batches(spark, str(tmp_path / "routes")).count() == latest.count()
+
+
+def test_dedupe_keeps_messages_without_instant(spark, tmp_path):
+    inbox = str(tmp_path / "inbox")
+    good = "2013-08-26 22:12:11,1377555131,413,575.0,102.0,24.06,48.09,1.0"
+    no_ts = "2013-08-26 22:12:11,xx,413,575.0,102.0,24.06,48.09,1.0"
+    spark.createDataFrame([(good,), (good,), (no_ts,)], "value string").write.text(inbox)
+    q, _ = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
+                              str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
+                              quarantine=True, dedupe_delay="2 days")
+    run_available(q)
+    out = read_batches(spark, str(tmp_path / "docs"))
+    by = {r.status: r["count"] for r in out.groupBy("status").count().collect()}
+    assert by == {"ok": 1, "quarantine": 1}
