@@ -89,15 +89,15 @@ def checkpoint_root(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; create a scratch one only where
-    the session names none (local runs and tests)."""
+    """Return the shared checkpoint folder. Where the session names none, a
+    local master gets a scratch one (its executors run on this machine); a
+    cluster must name a shared folder itself."""
     root = checkpoint_root(spark)
     if not root:
+        if not spark.conf.get("spark.master", "").startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-            pass
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 
