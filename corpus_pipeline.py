@@ -10,15 +10,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorflow.llm import packing, secrets
+from sensorflow.llm import packing, quality, secrets, toxicity
 from sensorflow.llm.common import table
-from sensorflow.llm.queries import BPE_FILE, RANKS_FILE
+from sensorflow.llm.queries import (
+    BPE_FILE,
+    QUALITY_AT,
+    RANKS_FILE,
+    TOXIC_AT,
+    quality_model,
+    toxicity_model,
+)
 from sensorflow.session import scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored below the toxicity threshold stay."""
+    scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir), SCORE)
+    return scored.where(F.col(SCORE) < TOXIC_AT).select(docs.columns)
+
+
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents scored at the quality threshold or above stay."""
+    scored = quality.score_documents(docs, quality_model(spark, sf_dir), SCORE)
+    return scored.where(F.col(SCORE) >= QUALITY_AT).select(docs.columns)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
     return secrets.redact_documents(docs, RANKS_FILE)
@@ -29,7 +49,11 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, BPE_FILE)
 
 
+SCORE = "__score"
+
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxic),
+    ("quality_classifier", good),
     ("secret_scans", secret_scans),
     ("packing", pack),
 ]

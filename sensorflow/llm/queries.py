@@ -4,14 +4,58 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, packing, secrets
-from sensorflow.llm.common import table
+from sensorflow.llm import bpe, packing, quality, secrets, toxicity
+from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+#: Contract values: modulus and held-out remainder of the id's crc32, threshold.
+TOXIC_FOLD, TOXIC_AT = (4, 2), 0.3
+QUALITY_FOLD, QUALITY_AT = (3, 1), 0.5
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    sample = labelled_sample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+        "toxic", *TOXIC_FOLD, toxicity.TRAIN_ROWS,
+    )
+    return toxicity.fit(sample)
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Network:
+    sample = labelled_sample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"),
+        "quality", *QUALITY_FOLD, quality.TRAIN_ROWS,
+    )
+    return quality.fit(sample)
+
+
+def _scored(docs: DataFrame, fold: tuple[int, int], at: float) -> DataFrame:
+    mod, held_out = fold
+    return docs.select(
+        "doc_id",
+        (id_remainder(F.col("doc_id"), mod) == held_out).alias("held_out"),
+        "score",
+        (F.col("score") >= at).cast("int").alias("predicted"),
+    )
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_documents(docs, toxicity_model(spark, sf_dir))
+    return _scored(scored, TOXIC_FOLD, TOXIC_AT)
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score_documents(docs, quality_model(spark, sf_dir))
+    return _scored(scored, QUALITY_FOLD, QUALITY_AT)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -25,6 +69,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op3_quality": op3_quality,
     "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
