@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, packing, quality, secrets, toxicity
+from sensorflow.llm import bpe, language, packing, quality, secrets, toxicity
 from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +16,7 @@ RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Contract values: modulus and held-out remainder of the id's crc32, threshold.
 TOXIC_FOLD, TOXIC_AT = (4, 2), 0.3
 QUALITY_FOLD, QUALITY_AT = (3, 1), 0.5
+LANGUAGE_FOLD = (4, 2)
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
@@ -56,6 +57,15 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(scored, QUALITY_FOLD, QUALITY_AT)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    mod, held_out = LANGUAGE_FOLD
+    out = id_remainder(F.col("doc_id"), mod) == held_out
+    learned = language.fit(language.training_sample(docs, ~out))
+    found = language.identify_documents(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -71,6 +81,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_quality": op3_quality,
+    "op4_language": op4_language,
     "op7_bpe": op7_bpe,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
