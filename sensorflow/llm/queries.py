@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, language, packing, quality, secrets, toxicity
+from sensorflow.llm import bpe, fingerprints, language, packing, quality, secrets, toxicity
 from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -51,6 +51,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(scored, TOXIC_FOLD, TOXIC_AT)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_documents(docs, quality_model(spark, sf_dir))
@@ -80,6 +84,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_fingerprints": op2_fingerprints,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op7_bpe": op7_bpe,
