@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import packing, quality, secrets, toxicity
+from sensorflow.llm import near_dedup, packing, quality, secrets, toxicity
 from sensorflow.llm.common import table
 from sensorflow.llm.queries import (
     BPE_FILE,
@@ -39,6 +39,11 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(SCORE) >= QUALITY_AT).select(docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates stays."""
+    return near_dedup.deduplicate(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document stays; its secrets are replaced by a mark."""
     return secrets.redact_documents(docs, RANKS_FILE)
@@ -54,6 +59,7 @@ SCORE = "__score"
 STAGES: list[tuple[str, Stage]] = [
     ("toxicity", toxic),
     ("quality_classifier", good),
+    ("minhash_near_dedup", near_duplicates),
     ("secret_scans", secret_scans),
     ("packing", pack),
 ]

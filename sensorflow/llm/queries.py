@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, fingerprints, language, packing, quality, secrets, toxicity
+from sensorflow.llm import bpe, fingerprints, language, near_dedup, packing, quality, secrets, toxicity
 from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +74,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_FILE)
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -88,6 +92,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_language": op4_language,
     "op7_bpe": op7_bpe,
+    "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }
