@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ MIN_DOCS = 5
 MIN_Z = 6.0
 CACHED_WORDS = 300_000
 #: Labelled rows of each class a fit takes at most.
-TRAIN_ROWS = {0: 2500, 1: 1500}
+TRAIN_ROWS = {0: 2000, 1: 1000}
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -103,19 +104,13 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
     if share in (0.0, 1.0) or not len(y):
         share = min(max(share, 1e-6), 1 - 1e-6)
         return Model({}, math.log(share / (1 - share)))
-    bags: list[dict[str, float]] = []
     in_docs: Counter[str] = Counter()
-    for text, _ in sample:
-        counts = Counter(words(text))
-        total = sum(counts.values()) + NEUTRAL
-        bag: dict[str, float] = {}
-        for w, n in counts.items():
-            grams = subwords(w)
-            for g in grams:
-                bag[g] = bag.get(g, 0.0) + n / (total * len(grams))
-        bags.append(bag)
-        in_docs.update(bag.keys())
-    in_toxic: Counter[str] = Counter(g for bag, label in zip(bags, y) if label for g in bag)
+    in_toxic: Counter[str] = Counter()
+    for (text, _), label in zip(sample, y):
+        grams = {g for w in set(words(text)) for g in subwords(w)}
+        in_docs.update(grams)
+        if label:
+            in_toxic.update(grams)
     spread = share * (1 - share)
     columns = {
         g: i
@@ -127,9 +122,21 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
             )
         )
     }
-    rows = np.repeat(np.arange(len(bags)), [sum(g in columns for g in b) for b in bags])
-    cols = np.array([columns[g] for b in bags for g in b if g in columns], dtype=np.int64)
-    values = np.array([v for b in bags for g, v in b.items() if g in columns])
+    del in_docs, in_toxic
+    rows_of, cols_of, values_of = array("q"), array("q"), array("d")
+    for d, (text, _) in enumerate(sample):
+        counts = Counter(words(text))
+        total = sum(counts.values()) + NEUTRAL
+        bag: dict[int, float] = {}
+        for w, n in counts.items():
+            grams = subwords(w)
+            for g in grams:
+                if (c := columns.get(g)) is not None:
+                    bag[c] = bag.get(c, 0.0) + n / (total * len(grams))
+        rows_of.extend([d] * len(bag))
+        cols_of.extend(bag)
+        values_of.extend(bag.values())
+    rows, cols, values = map(np.array, (rows_of, cols_of, values_of))
     # embeddings are learned per unit of a subword's usual weight in a text
     usual = np.bincount(cols, values, minlength=len(columns))
     usual /= np.maximum(1, np.bincount(cols, minlength=len(columns)))
