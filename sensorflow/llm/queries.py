@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, fingerprints, language, near_dedup, packing, quality, secrets, toxicity
+from sensorflow.llm import bpe, fingerprints, language, near_dedup, packing, quality, secrets, topk, toxicity
 from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +70,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), BPE_FILE)
 
@@ -91,10 +95,31 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op6_topk": op6_topk,
     "op7_bpe": op7_bpe,
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_topk": """
+        WITH points AS (
+            SELECT DISTINCT CAST(vec_id AS BIGINT) AS vec_id,
+                   list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   max(CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT)) AS score
+            FROM points q JOIN points c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            WHERE q.vec_id % 20 = 0
+            GROUP BY ALL
+        ), ranked AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+            FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
+}
