@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorflow.llm import bpe, fingerprints, language, near_dedup, packing, quality, secrets, topk, toxicity
+from sensorflow.llm import (
+    bpe,
+    fingerprints,
+    language,
+    lm_scoring,
+    near_dedup,
+    packing,
+    quality,
+    secrets,
+    topk,
+    toxicity,
+)
 from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -70,6 +81,11 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), good)
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -95,6 +111,7 @@ QUERIES = {
     "op2_fingerprints": op2_fingerprints,
     "op3_quality": op3_quality,
     "op4_language": op4_language,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_topk": op6_topk,
     "op7_bpe": op7_bpe,
     "op8_near_dedup": op8_near_dedup,
