@@ -161,29 +161,18 @@ def encode_documents(documents: DataFrame, tokenizer_path: str, leaf: int = LEAF
     One scan and no shuffle; each row's text is encoded where it is read.
     """
     ship(documents.sparkSession)
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bpe = codec(tokenizer_path, leaf)
         shown = [str(i) for i in range(max(bpe.table) + 1)]
-        for batch in batches:
-            counts, digests, decoded = [], [], []
-            for text in batch["text"]:
-                ids = bpe.encode(text)
-                counts.append(len(ids))
-                digests.append(hashlib.sha256(",".join([shown[i] for i in ids]).encode()).hexdigest())
-                decoded.append(hashlib.sha256(bpe.decode(ids).encode()).hexdigest())
-            yield pd.DataFrame(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n_tokens": pd.Series(counts, dtype="int64"),
-                    "ids_sha256": pd.Series(digests, dtype="object"),
-                    "decoded_sha256": pd.Series(decoded, dtype="object"),
-                }
-            )
-
-    return docs.mapInPandas(
-        run,
-        f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-    )
+        for batch in texts:
+            rows = []
+            for text in batch:
+                ids = bpe.encode(text or "")
+                joined = ",".join([shown[i] for i in ids])
+                decoded = bpe.decode(ids)
+                rows.append((len(ids), *(hashlib.sha256(x.encode()).hexdigest() for x in (joined, decoded))))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return documents.select("doc_id", run("text").alias("coded")).select("doc_id", "coded.*")

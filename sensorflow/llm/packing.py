@@ -89,8 +89,10 @@ def pack_documents(
     """
     ship(documents.sparkSession)
     groups = max(1, -(-documents.count() // docs_per_group))
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    # ids pass through Python as text: nulls would turn numbers to doubles there
+    docs = documents.select(
+        F.col("doc_id").cast("string"), F.coalesce("text", F.lit("")).alias("text")
+    )
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = codec(tokenizer_path)
@@ -116,7 +118,7 @@ def pack_documents(
 
     pieces = docs.mapInPandas(
         cut,
-        f"doc_id {kind}, salt bigint, start bigint, length bigint, doc_tokens bigint,"
+        "doc_id string, salt bigint, start bigint, length bigint, doc_tokens bigint,"
         " crc bigint, ids binary",
     ).withColumn("group", F.pmod(F.xxhash64("doc_id", "salt"), F.lit(groups)))
 
@@ -143,8 +145,9 @@ def pack_documents(
             ],
         )
 
-    return pieces.groupBy("group").applyInPandas(
+    packed = pieces.groupBy("group").applyInPandas(
         pack,
-        f"doc_id {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
+        "doc_id string, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint,"
         " sequence_id bigint, offset bigint",
     )
+    return packed.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType))

@@ -99,30 +99,24 @@ def shown(spans: list[tuple[int, int, int]]) -> str:
 def scan_documents(documents: DataFrame, vocabulary_path: str, ratio: float = RATIO) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_random, base_sha256, spans per row; no shuffle."""
     ship(documents.sparkSession)
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    columns = ["n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(
+        "n_assign bigint, n_access bigint, n_hex bigint, n_random bigint,"
+        " base_sha256 string, spans string"
+    )
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         enc = vocabulary(vocabulary_path)
-        for batch in batches:
+        for batch in texts:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                spans = find_spans(text, enc, ratio)
+            for text in batch:
+                spans = find_spans(text or "", enc, ratio)
                 n = [sum(k == kind for _, k, _ in spans) for kind in range(len(KINDS))]
                 base = shown([s for s in spans if s[1] < 3])
-                rows.append((doc_id, *n, hashlib.sha256(base.encode()).hexdigest(), shown(spans)))
-            yield pd.DataFrame(
-                rows,
-                columns=[
-                    "doc_id", "n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"
-                ],
-            )
+                rows.append((*n, hashlib.sha256(base.encode()).hexdigest(), shown(spans)))
+            yield pd.DataFrame(rows, columns=columns)
 
-    return docs.mapInPandas(
-        run,
-        f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint,"
-        " base_sha256 string, spans string",
-    )
+    return documents.select("doc_id", run("text").alias("found")).select("doc_id", "found.*")
 
 
 def redact(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -143,15 +137,16 @@ def redact_documents(documents: DataFrame, vocabulary_path: str, ratio: float =
     where it is a column, recounted; null texts stay null."""
     ship(documents.sparkSession)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("string")
+    def run(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         enc = vocabulary(vocabulary_path)
-        for batch in batches:
-            batch["text"] = [
-                t if t is None else redact(t, find_spans(t, enc, ratio)) for t in batch["text"]
-            ]
-            yield batch
+        for batch in texts:
+            yield pd.Series(
+                [t if t is None else redact(t, find_spans(t, enc, ratio)) for t in batch],
+                dtype="object",
+            )
 
-    out = documents.mapInPandas(run, documents.schema)
+    out = documents.withColumn("text", run("text"))
     if "n_chars" in documents.columns:
         changed = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text"))
         out = out.withColumn("n_chars", changed.cast(documents.schema["n_chars"].dataType))
