@@ -55,7 +55,8 @@ def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[str]:
                 if len(held) > HELD:
                     yield pd.DataFrame({"word": list(held), "n": list(held.values())})
                     held.clear()
-        yield pd.DataFrame({"word": list(held), "n": list(held.values())}, columns=["word", "n"])
+        if held:
+            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
 
     counted = texts.select("text").where(F.col("text").isNotNull())
     top = (
