@@ -138,9 +138,9 @@ def fit(sample: list[tuple[str, int]], epochs: int = EPOCHS) -> Model:
         values_of.extend(bag.values())
     rows, cols, values = map(np.array, (rows_of, cols_of, values_of))
     # embeddings are learned per unit of a subword's usual weight in a text
-    usual = np.bincount(cols, values, minlength=len(columns))
-    usual /= np.maximum(1, np.bincount(cols, minlength=len(columns)))
-    values /= usual[cols]
+    uses = np.maximum(1, np.bincount(cols, minlength=len(columns)))
+    usual = np.bincount(cols, values, minlength=len(columns)) / uses
+    values = values / usual[cols]
 
     def dot(to: np.ndarray, of: np.ndarray, x: np.ndarray, n: int) -> np.ndarray:
         sums = [np.bincount(to, c[of] * values, minlength=n) for c in np.ascontiguousarray(x.T)]
