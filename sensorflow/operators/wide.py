@@ -19,13 +19,13 @@ Strategies
   keys are unique.
 
 Hot keys in ``join``: AQE splits skewed partitions of the first join only
-(the later joins read its output, not a shuffle). Pass ``row_id`` and
-``hot_key_rows`` to split every key with more readings than that across salt
-buckets: per hot key, the sensor with most rows is spread over the buckets by
-a hash of the row id, the other sensors' rows are copied to each bucket.
-Which keys are hot is found by a partial aggregate; the hot-key table is
-capped to the hottest ``max_hot_keys`` (a proven broadcast bound), and keys
-beyond the cap are joined unsalted, so the result is always exact.
+(the later joins read its output, not a shuffle). Ask for salting with
+``hot_key_rows``: every key with more readings than that is spread over a grid
+of salt buckets. Its largest sensor is dealt over the grid's rows, its second
+largest over the columns, the other sensors are copied to every bucket; so a
+key that is balanced over the sensors is split as well. Which keys are hot is
+found by a grouped count; their table is joined like any other (Spark's own
+size check decides on a broadcast).
 """
 
 from __future__ import annotations
@@ -69,62 +69,61 @@ def join_sensors(long: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.join(b, list(KEY), "inner"), sides)
 
 
-def hot_keys(long: DataFrame, hot_key_rows: int, max_hot_keys: int = 10_000,
-             max_buckets: int = 1024, max_copy_ratio: float = 1.0) -> DataFrame:
-    """Keys with more than ``hot_key_rows`` readings: bucket count and the
-    sensor with most rows there (the side that is split; the others are
-    copied per bucket).
-
-    At most ``max_hot_keys`` keys, the hottest first, so the table has a
-    fixed size bound and can always be broadcast. Keys beyond the bound are
-    joined unsalted, so results stay exact."""
+def hot_keys(long: DataFrame, hot_key_rows: int) -> DataFrame:
+    """Keys with more than ``hot_key_rows`` readings: their two largest sensors
+    and the parts each of these is dealt to, so that a part holds about a
+    fifth of ``hot_key_rows`` (five sensors meet in a bucket)."""
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be >= 1")
-    # One grouped pass: rows per sensor as conditional counts (primitive
-    # buffers, so a hash aggregate with map-side partial aggregation).
-    per_key = long.groupBy(*KEY).agg(
-        *[F.count(F.when(F.col("sensor") == s, F.lit(1))).alias(f"_n_{WIDE_NAME[s]}")
-          for s in SENSORS])
-    counts = [F.col(f"_n_{WIDE_NAME[s]}") for s in SENSORS]
-    total = reduce(lambda a, b: a + b, counts)
-    top = F.greatest(*counts)
-    split = reduce(lambda acc, s: acc.when(F.col(f"_n_{WIDE_NAME[s]}") == top, F.lit(s)),
-                   SENSORS[1:], F.when(counts[0] == top, F.lit(SENSORS[0])))
-    hot = (per_key.select(*KEY, total.alias("total"), top.alias("top"), split.alias("_split"))
-                  .filter(F.col("total") > hot_key_rows)
-                  .orderBy(F.col("total").desc())
-                  .limit(max_hot_keys))
-    # Buckets: enough to bring the largest sensor's rows under the threshold
-    # per bucket, at most ``max_buckets``, and at most ``max_copy_ratio`` x
-    # (largest sensor's rows) / (other sensors' rows), so the copies of the
-    # other sensors never outweigh what the split saves.
-    others = F.greatest(F.col("total") - F.col("top"), F.lit(1))
-    buckets = F.least(F.ceil(F.col("top") / hot_key_rows), F.lit(max_buckets),
-                      F.greatest(F.floor(F.col("top") * float(max_copy_ratio) / others),
-                                 F.lit(1)))
-    return hot.select(*KEY, buckets.cast("int").alias("_buckets"), "_split")
-
-
-def join_sensors_salted(long: DataFrame, row_id: str, hot_key_rows: int,
-                        max_hot_keys: int = 10_000, max_buckets: int = 1024,
-                        max_copy_ratio: float = 1.0) -> DataFrame:
+    # Each sensor's keys come from a filter of its own, so only its files are
+    # read; the counts are conditional counts of one grouped pass.
+    keys = reduce(lambda a, b: a.unionAll(b),
+                  [long.filter(F.col("sensor") == s).select(*KEY, "sensor") for s in SENSORS])
+    counts = [F.count(F.when(F.col("sensor") == s, F.lit(1))) for s in SENSORS]
+    sized = keys.groupBy(*KEY).agg(
+        F.count(F.lit(1)).alias("total"),
+        F.array(*[F.struct(n.alias("n"), F.lit(s).alias("sensor"))
+                  for n, s in zip(counts, SENSORS)]).alias("by_sensor"))
+    part = hot_key_rows / len(SENSORS)
+    ranked = F.sort_array("by_sensor", asc=False)
+    return (sized.filter(F.col("total") > hot_key_rows)
+                 .select(*KEY, ranked[0].alias("first"), ranked[1].alias("second"))
+                 .select(*KEY,
+                         F.col("first.sensor").alias("_row_sensor"),
+                         F.ceil(F.col("first.n") / part).alias("_rows"),
+                         F.col("second.sensor").alias("_column_sensor"),
+                         F.greatest(F.ceil(F.col("second.n") / part), F.lit(1)).alias("_columns")))
+
+
+def join_sensors_salted(long: DataFrame, hot_key_rows: int, row_id: str | None = None) -> DataFrame:
     """J1 with hot keys split over salt buckets; same rows as ``join_sensors``.
 
-    For a hot key, rows of its largest sensor get one bucket each (hash of
-    ``row_id``); rows of the other four sensors are copied to every bucket.
-    Every output row is still produced exactly once. Cold keys have one
-    bucket and pass through unchanged."""
-    hot = F.broadcast(hot_keys(long, hot_key_rows, max_hot_keys, max_buckets, max_copy_ratio))
-    tagged = long.join(hot, list(KEY), "left")
-    buckets = F.coalesce(F.col("_buckets"), F.lit(1))
-    own = F.array(F.pmod(F.xxhash64(F.col(row_id)), buckets.cast("long")).cast("int"))
-    salts = F.when(F.col("sensor") == F.col("_split"), own) \
-        .otherwise(F.sequence(F.lit(0), buckets - 1))
-    salted = tagged.select(*KEY, "sensor", "sensor_value", F.explode(salts).alias("_salt"))
-    sides = [salted.filter(F.col("sensor") == s)
-                   .select(*KEY, "_salt", F.col("sensor_value").alias(WIDE_NAME[s]))
-             for s in JOIN_ORDER]
-    joined = reduce(lambda a, b: a.join(b, [*KEY, "_salt"], "inner"), sides)
+    Each side is filtered to its sensor first; rows are dealt by a hash of
+    ``row_id`` or, without one, of a row number that is added after the filter
+    (so the filter reaches the scan). Every output row is produced once: the
+    two dealt sensors meet in one bucket, the others are copied to all. Other
+    keys have one bucket and pass through unchanged."""
+    hot = hot_keys(long, hot_key_rows)
+    rows, columns = (F.coalesce(F.col(c), F.lit(1)) for c in ("_rows", "_columns"))
+
+    def salted(sensor: str) -> DataFrame:
+        side = long.filter(F.col("sensor") == sensor)
+        own = F.col(row_id) if row_id else F.monotonically_increasing_id()
+        side = side.select(*KEY, F.col("sensor_value").alias(WIDE_NAME[sensor]), own.alias("_row"))
+        place = F.xxhash64("_row")
+
+        def dealt(to: str, parts):
+            return F.when(F.col(to) == sensor, F.array(F.pmod(place, parts))).otherwise(
+                F.sequence(F.lit(0).cast("bigint"), parts - 1))
+
+        grid = F.flatten(F.transform(
+            dealt("_row_sensor", rows),
+            lambda r: F.transform(dealt("_column_sensor", columns), lambda c: r * columns + c)))
+        return side.join(hot, list(KEY), "left").select(
+            *KEY, WIDE_NAME[sensor], F.explode(grid).alias("_salt"))
+
+    joined = reduce(lambda a, b: a.join(b, [*KEY, "_salt"], "inner"),
+                    [salted(s) for s in JOIN_ORDER])
     return joined.drop("_salt")
 
 
@@ -150,50 +149,22 @@ def latest_per_sensor_wide(long: DataFrame, order_col: str) -> DataFrame:
     return grouped.filter(present).select(*KEY, *READING_COLUMNS)
 
 
-# A key with more readings than this is split over salt buckets.
-HOT_KEY_ROWS = 1_000_000
-# Inputs estimated below ``hot_key_rows * SMALL_INPUT_BYTES_PER_ROW`` bytes are
-# joined plainly: one task can then handle any key, hot or not.
-SMALL_INPUT_BYTES_PER_ROW = 16
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Spark's size estimate of ``df`` from the optimized plan's statistics
-    (file sizes for scans); ``None`` when unavailable."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - statistics are an optimization only
-        return None
-
-
-def _needs_salting(long: DataFrame, hot_key_rows: int) -> bool:
-    size = estimated_bytes(long)
-    return size is None or size > hot_key_rows * SMALL_INPUT_BYTES_PER_ROW
-
-
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
                   drop_incomplete: bool = True, order_col: str | None = None,
-                  row_id: str | None = None, hot_key_rows: int | None = HOT_KEY_ROWS,
-                  max_hot_keys: int = 10_000, max_buckets: int = 1024,
-                  max_copy_ratio: float = 1.0) -> DataFrame:
+                  hot_key_rows: int | None = None, row_id: str | None = None) -> DataFrame:
     """Long readings -> wide rows ``event_ts_min, ts_min_bignt, room, co2,
     light, temp, humidity, pir``.
 
     ``round_digits=6, drop_incomplete=True`` is version 1 of the reference;
     ``round_digits=None, drop_incomplete=False`` is version 2.
 
-    With ``row_id`` (a column that tells the rows of one key apart), the join
-    splits keys with more than ``hot_key_rows`` readings over salt buckets,
-    unless Spark's size estimate shows the whole input is too small for any
-    key to matter; ``hot_key_rows=None`` or no ``row_id`` gives the plain join
-    chain. The rows are the same in every case.
+    ``hot_key_rows`` asks for the salted join: keys with more readings are
+    split (``row_id`` may name a column that tells the rows of a key apart).
+    The rows are the same with and without.
     """
     if how == "join":
-        if row_id and hot_key_rows and _needs_salting(long, hot_key_rows):
-            joined = join_sensors_salted(long, row_id, hot_key_rows, max_hot_keys, max_buckets,
-                                         max_copy_ratio)
-        else:
-            joined = join_sensors(long)
+        joined = join_sensors_salted(long, hot_key_rows, row_id) if hot_key_rows \
+            else join_sensors(long)
     elif how == "latest":
         if not order_col:
             raise ValueError("how='latest' needs order_col")

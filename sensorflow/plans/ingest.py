@@ -22,16 +22,14 @@ def build_wide(spark: SparkSession, root: str, version: int = 1, layout: str = "
                **wide_options) -> DataFrame:
     """Version 1: round to 6 digits, drop incomplete rows. Version 2: neither.
 
-    Each line's file position is its row id, so keys with very many readings
-    are split over salt buckets (``hot_key_rows=None`` turns that off).
-    ``layout``: ``folders`` (``<room>/<sensor>.csv``) or ``hive``
-    (``room=<room>/sensor=<sensor>/*.csv``)."""
+    Each join side reads its own sensor's files only. ``hot_key_rows`` splits
+    keys with more readings over salt buckets. ``layout``: ``folders``
+    (``<room>/<sensor>.csv``) or ``hive`` (``sensor=<sensor>/*.csv``)."""
     opts = {"round_digits": 6, "drop_incomplete": True} if version == 1 else \
         {"round_digits": None, "drop_incomplete": False}
     opts.update(wide_options)
-    opts.setdefault("row_id", "line_order")
     reader = read_raw_hive_tree if layout == "hive" else read_raw_tree
-    long = clean_readings(reader(spark, root, with_line_order=True))
+    long = clean_readings(reader(spark, root))
     return wide_readings(long, **opts)
 
 
@@ -74,10 +72,6 @@ def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(WIDE_SCHEMA).option("header", True).csv(path)
 
 
-def read_wide_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def write_long_table(long: DataFrame, path: str, mode: str = "overwrite",
                      table: str | None = None, buckets: int | None = None) -> None:
     """Long readings as Parquet partitioned by sensor (five folders). The wide

@@ -17,18 +17,24 @@ from sensorflow.schema import RAW_FILE_SCHEMA, SENSORS
 _PATH_RE = r"([^/]+)/([^/]+)\.csv$"
 
 
+def _room(path):
+    """The room folder's name. File paths are URL-encoded; a plus sign stands
+    for itself there, which ``url_decode`` would read as a space."""
+    return F.url_decode(F.replace(F.regexp_extract(path, _PATH_RE, 1), F.lit("+"), F.lit("%2B")))
+
+
 def sensor_file_glob(root: str) -> str:
     return f"{root.rstrip('/')}/*/*.csv"
 
 
-HIVE_SCHEMA = "ts_min_bignt string, sensor_value string, room string, sensor string"
+HIVE_SCHEMA = "room string, ts_min_bignt string, sensor_value string, sensor string"
 
 
 def read_raw_hive_tree(spark: SparkSession, root: str, sensors=SENSORS,
                        with_line_order: bool = False) -> DataFrame:
-    """The same readings stored as ``<root>/room=<room>/sensor=<sensor>/*.csv``
-    (what ``partitionBy("room", "sensor")`` writes). Room and sensor are
-    partition columns, kept as text; filters on them prune folders."""
+    """The same readings stored as ``<root>/sensor=<sensor>/*.csv`` with the room
+    as first column: five folders, however many rooms there are. A filter on
+    the sensor prunes folders."""
     df = spark.read.schema(HIVE_SCHEMA).option("sep", ",").option("header", False).csv(root)
     df = df.filter(F.col("sensor").isin(list(sensors)))
     cols = ["room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
@@ -45,13 +51,11 @@ def _line_order():
 
 
 def write_raw_hive_tree(raw: DataFrame, root: str) -> None:
-    """Raw text readings (``room, sensor, ts_raw, value_raw``) as a CSV tree
-    partitioned by room and sensor, one distributed write. The rebalance hint
-    lets AQE group each folder's rows into few files and split a hot
-    (room, sensor) over several tasks."""
-    (raw.select("ts_raw", "value_raw", "room", "sensor")
-        .hint("rebalance", "room", "sensor")
-        .write.mode("overwrite").partitionBy("room", "sensor").option("header", False)
+    """Raw text readings (``room, sensor, ts_raw, value_raw``) as CSV files
+    partitioned by sensor, one distributed write without a shuffle: every task
+    writes at most five files."""
+    (raw.select("room", "ts_raw", "value_raw", "sensor")
+        .write.mode("overwrite").partitionBy("sensor").option("header", False)
         .csv(root))
 
 
@@ -69,7 +73,7 @@ def read_raw_tree(spark: SparkSession, root: str, sensors=SENSORS,
           .option("mode", "PERMISSIVE").csv(sensor_file_glob(root)))
     path = F.col("_metadata.file_path")
     df = df.filter(F.regexp_extract(path, _PATH_RE, 2).isin(list(sensors)))
-    cols = [F.regexp_extract(path, _PATH_RE, 1).alias("room"),
+    cols = [_room(path).alias("room"),
             F.regexp_extract(path, _PATH_RE, 2).alias("sensor"),
             F.col("ts_min_bignt").alias("ts_raw"),
             F.col("sensor_value").alias("value_raw"),
@@ -89,7 +93,7 @@ def read_tree_stream(spark: SparkSession, root: str, sensors=SENSORS,
                      layout: str = "folders") -> DataFrame:
     """The same tree as a file stream: each new file is read once.
     ``layout``: ``folders`` (``<room>/<sensor>.csv``) or ``hive``
-    (``room=<room>/sensor=<sensor>/*.csv``)."""
+    (``sensor=<sensor>/*.csv`` with the room as first column)."""
     r = spark.readStream.option("sep", ",")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -101,7 +105,7 @@ def read_tree_stream(spark: SparkSession, root: str, sensors=SENSORS,
     else:
         df = r.schema(RAW_FILE_SCHEMA).csv(sensor_file_glob(root))
         out = df.select(
-            F.regexp_extract(path, _PATH_RE, 1).alias("room"),
+            _room(path).alias("room"),
             F.regexp_extract(path, _PATH_RE, 2).alias("sensor"),
             F.col("ts_min_bignt").alias("ts_raw"),
             F.col("sensor_value").alias("value_raw"),

@@ -135,3 +135,62 @@ def test_broker_format_without_connector_fails_clearly(spark):
         read_messages(spark, "kafka", options={"kafka.bootstrap.servers": "localhost:1",
                                                "subscribe": "office-input"})
     assert "kafka" in str(info.value).lower()
+
+
+def test_room_names_are_decoded(spark, tmp_path):
+    from sensorflow.sources.sensor_files import read_tree_stream
+    from sensorflow.streaming.sinks import run_available, start
+    root, names = str(tmp_path / "odd"), {"room 5", "a%b", "c+d", "e%20f", "ü"}
+    for name in names:
+        for s in SENSORS:
+            _write(root, name, s, ["100,1"])
+    assert {r.room for r in build_wide(spark, root).collect()} == names
+    assert read_raw_tree(spark, root).filter(F.col("room") == "c+d").count() == len(SENSORS)
+    q = start(read_tree_stream(spark, root), "memory", str(tmp_path / "ck"),
+              trigger={"availableNow": True}, query_name="odd_rooms")
+    run_available(q)
+    assert {r.room for r in spark.table("odd_rooms").collect()} == names
+
+
+def test_folder_layout_equals_sql(spark, tmp_path):
+    """The reference's layout (a folder per room, a file per sensor) against DuckDB."""
+    import duckdb
+    from sensorflow.plans import oracle as O
+    from .conftest import SF_SMALL
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{SF_SMALL}/events.parquet'")
+    root = str(tmp_path / "rooms")
+    lines = con.execute(f"WITH {O.RAW_CTE} SELECT room, sensor, ts_raw, value_raw "
+                        "FROM raw_readings ORDER BY ALL").fetchall()
+    by_file = {}
+    for room, sensor, ts, value in lines:
+        by_file.setdefault((room, sensor), []).append(f"{ts},{'' if value is None else value}")
+    for (room, sensor), content in by_file.items():
+        _write(root, room, sensor, content)
+    want = con.execute(f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide").fetchall()
+    for hot in (None, 4):
+        got = [tuple(r) for r in build_wide(spark, root, hot_key_rows=hot).collect()]
+        assert sorted(got) == sorted(want)
+
+
+def test_keep_latest_keeps_readings_without_instant(spark):
+    rows = [("a", "co2", None, 1.0, 1), ("a", "co2", None, 2.0, 2), ("b", "co2", None, 3.0, 3),
+            ("a", "co2", 100, 4.0, 4), ("a", "co2", 100, 5.0, 5)]
+    long = spark.createDataFrame(rows, "room string, sensor string, ts_min_bignt long, "
+                                       "sensor_value double, n long")
+    assert sorted(r.sensor_value for r in Q.keep_latest(long, "n").collect()) == [1, 2, 3, 5]
+
+
+def test_sorted_series_is_in_order(spark):
+    from sensorflow.operators.analytics import sorted_series
+    from sensorflow.sources import events as ev
+    from .conftest import SF_MID
+    got = [(r.room, r.ts_min_bignt) for r in sorted_series(wide_readings(ev.readings(spark, SF_MID))).collect()]
+    assert got == sorted(got) and len(got) > 1000
+
+
+def test_published_text_is_what_the_file_says(spark, tmp_path):
+    from sensorflow.plans.publish import read_table
+    path = tmp_path / "codes.csv"
+    path.write_text("code,n\n007,1.50\n")
+    assert tuple(read_table(spark, str(path)).first()) == ("007", "1.50")

@@ -38,18 +38,57 @@ def test_salted_equals_plain_on_hot_key(spark):
     assert plain.count() == 40 * 3 * 2 + 30
     assert _rows(salted) == _rows(plain)
     hk = hot_keys(long, 5).collect()
-    # ceil(40 / 5) = 8 buckets would bring co2 under the threshold, but the
-    # 7 rows of the other sensors are copied per bucket: at most 40 // 7 = 5.
-    assert [(r.room, r._split, r._buckets) for r in hk] == [("hot", "co2", 5)]
+    # a part holds about a fifth of 5 rows: co2's 40 rows make 40 parts
+    assert [(r.room, r._row_sensor, r._rows, r._columns) for r in hk] == [("hot", "co2", 40, 3)]
 
 
-def test_hot_key_cap_keeps_result_exact(spark):
+def test_every_key_hot_keeps_result_exact(spark):
     long = _skewed(spark)
-    capped = wide_readings(long, row_id="rid", hot_key_rows=1)  # every key is hot
-    assert _rows(capped) == _rows(wide_readings(long))
-    from sensorflow.operators.wide import join_sensors_salted
-    few = join_sensors_salted(long, "rid", hot_key_rows=1, max_hot_keys=3)
-    assert few.count() == wide_readings(long, round_digits=None).count()
+    salted = wide_readings(long, row_id="rid", hot_key_rows=1)
+    assert _rows(salted) == _rows(wide_readings(long))
+    assert _rows(wide_readings(long, hot_key_rows=1)) == _rows(wide_readings(long))
+
+
+def test_balanced_hot_key_is_split_over_two_sensors(spark):
+    rows = [("hot", s, 100, float(i)) for s in SENSORS for i in range(6)]
+    long = spark.createDataFrame(rows, "room string, sensor string, ts_min_bignt long, "
+                                       "sensor_value double")
+    (key,) = hot_keys(long, 15).collect()
+    assert key._rows == key._columns == 2 and key._row_sensor != key._column_sensor
+    salted = wide_readings(long, hot_key_rows=15)
+    assert salted.count() == 6 ** 5
+    assert _rows(salted) == _rows(wide_readings(long))
+
+
+def test_every_side_reads_its_own_sensor_only(spark, tmp_path):
+    from sensorflow.plans.ingest import build_wide
+    from sensorflow.sources import events as ev
+    from sensorflow.sources.sensor_files import write_raw_hive_tree
+    from .conftest import SF_SMALL
+    hive, folders = str(tmp_path / "hive"), tmp_path / "folders"
+    write_raw_hive_tree(ev.raw_readings(spark, SF_SMALL), hive)
+    for s in SENSORS:
+        (folders / "room 5").mkdir(parents=True, exist_ok=True)
+        (folders / "room 5" / f"{s}.csv").write_text("100,1\n")
+    for hot in (None, 10):
+        plan = build_wide(spark, hive, layout="hive", hot_key_rows=hot) \
+            ._jdf.queryExecution().optimizedPlan().toString()
+        for s in SENSORS:
+            assert f"= {s})" in plan
+        wide = build_wide(spark, hive, layout="hive", hot_key_rows=hot)
+        wide.collect()
+        final = wide._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        scans = [line for line in final.splitlines() if "FileScan csv" in line]
+        # the hot keys are counted once, whatever number of sides joins them
+        assert len(scans) == (10 if hot else 5)
+        assert all("PartitionFilters: [" in x and "sensor#" in x.split("PartitionFilters")[1]
+                   for x in scans)
+        plan = build_wide(spark, str(folders), hot_key_rows=hot) \
+            ._jdf.queryExecution().executedPlan().toString()
+        for s in SENSORS:  # the file path filter of each side's scan
+            assert f"= {s})" in plan
+    (row,) = build_wide(spark, str(folders), hot_key_rows=1).collect()
+    assert row.room == "room 5"
 
 
 def test_latest_equals_join_on_unique_keys(spark):
@@ -117,19 +156,3 @@ def test_bucketed_long_table_joins_without_shuffle(spark, tmp_path):
     files = [f for _, _, fs in os.walk(str(tmp_path / "long_b")) for f in fs
              if f.endswith(".parquet")]
     assert len(files) <= 5 * 4  # one file per bucket and sensor
-
-
-def test_salting_gate_follows_size_estimate(spark):
-    from sensorflow.operators.wide import estimated_bytes
-    from sensorflow.sources import events as ev
-    from .conftest import SF_SMALL
-    long = ev.readings(spark, SF_SMALL)
-    size = estimated_bytes(long)
-    assert size and size > 0
-
-    def salted(rows):
-        plan = wide_readings(long, row_id="event_id", hot_key_rows=rows) \
-            ._jdf.queryExecution().executedPlan().toString()
-        return "TakeOrderedAndProject" in plan  # the hot-key table
-    assert salted(max(1, size // 32))          # input larger than rows * 16 bytes
-    assert not salted(size)                    # input smaller: plain join chain
