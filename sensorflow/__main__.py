@@ -87,23 +87,41 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--trigger", default="10 seconds")
         p.add_argument("--available-now", action="store_true")
         p.add_argument("--checkpoint")
-        p.add_argument("--dedupe-delay", help='drop re-sent messages within e.g. "2 days"')
+        p.add_argument("--distinct", action="store_true",
+                       help="drop messages equal to one written before")
         if name == "score-stream":
             p.add_argument("--model", required=True)
             p.add_argument("--invalid", choices=("skip", "quarantine"), default="skip")
+            p.add_argument("--message-format", help="send predictions as messages: json, kafka ...")
+            p.add_argument("--message-option", action="append", help="writer option key=value")
         else:
             p.add_argument("--quarantine", action="store_true")
+            p.add_argument("--time-as", choices=("epoch_ms", "timestamp", "text"),
+                           default="epoch_ms")
+            p.add_argument("--keep-nulls", action="store_true", help="no 0.0 for null readings")
     return ap
 
 
 def main(argv=None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
-    from sensorflow.plans import jobs as J
+    from sensorflow.streaming.sinks import Totals
 
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"sensorflow-{args.job}").getOrCreate()
     t0 = time.time()
+    totals = Totals()
+    spark.streams.addListener(totals)
+    try:
+        _run(spark, args, t0, totals)
+    finally:
+        spark.streams.removeListener(totals)
+    return 0
+
+
+def _run(spark, args, t0, totals) -> None:
+    from sensorflow.plans import jobs as J
+
     if args.job == "ingest":
         res = J.run_ingest(spark, args.root, table_path=args.table, csv_path=args.csv,
                            version=args.version, layout=args.layout,
@@ -116,7 +134,7 @@ def main(argv=None, spark=None) -> int:
         q = J.run_long_ingest_stream(spark, args.root, args.table, _trigger(args),
                                      args.checkpoint, args.max_files_per_trigger,
                                      layout=args.layout)
-        _finish_stream(spark, q, args)
+        _finish_stream(q, args, totals)
     elif args.job == "train":
         hold = dt.datetime.fromisoformat(args.holdout_from) if args.holdout_from else None
         res = J.run_training(spark, args.table, args.model, holdout_from=hold)
@@ -136,33 +154,30 @@ def main(argv=None, spark=None) -> int:
         common = dict(source_options=_options(args.option), starting=args.starting,
                       max_per_trigger=args.max_per_trigger, trigger=_trigger(args),
                       checkpoint=args.checkpoint, payload_format=args.payload_format)
-        common["dedupe_delay"] = args.dedupe_delay
+        common["distinct"] = args.distinct
         if args.job == "index-stream":
             q, _ = J.run_index_stream(spark, args.source_format, args.source, args.target,
-                                      quarantine=args.quarantine, **common)
+                                      quarantine=args.quarantine, time_as=args.time_as,
+                                      fill_value=None if args.keep_nulls else 0.0, **common)
         else:
             q, _ = J.run_scoring_stream(spark, args.model, args.source_format, args.source,
-                                        args.target, invalid=args.invalid, **common)
-        _finish_stream(spark, q, args)
-    return 0
-
+                                        args.target, invalid=args.invalid,
+                                        message_format=args.message_format,
+                                        message_options=_options(args.message_option), **common)
+        _finish_stream(q, args, totals)
 
-def _finish_stream(spark, q, args) -> None:
-    """Drain (``--available-now``) or run until stopped, then report."""
-    from pyspark.sql import functions as F
 
-    from sensorflow.streaming.sinks import progress_frame, run_available
+def _finish_stream(q, args, totals) -> None:
+    """Drain (``--available-now``) or run until stopped, then report every
+    batch of the run."""
+    from sensorflow.streaming.sinks import run_available
     if args.available_now:
         run_available(q)
     else:
         q.awaitTermination()
-    prog = progress_frame(spark, q).agg(F.count(F.lit(1)).alias("batches"),
-                                        F.sum("input_rows").alias("rows"),
-                                        F.sum("seconds").alias("seconds")).first()
-    rows, sec = int(prog.rows or 0), float(prog.seconds or 0.0)
-    print(json.dumps({"job": args.job, "batches": prog.batches, "rows": rows,
-                      "seconds": round(sec, 3),
-                      "rows_per_second": round(rows / sec, 1) if sec > 0 else None}))
+    got = totals.of(q)
+    rate = round(got["rows"] / got["seconds"], 1) if got["seconds"] > 0 else None
+    print(json.dumps({"job": args.job, **got, "rows_per_second": rate}))
 
 
 if __name__ == "__main__":

@@ -9,7 +9,6 @@ import datetime as _dt
 import time
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,9 @@ from sensorflow.plans.ingest import build_wide, export_csv, write_wide_table
 from sensorflow.plans.publish import publish_frame, read_table, write_messages
 from sensorflow.sources.streams import read_messages
 from sensorflow.streaming.index_stream import start_index_stream
-from sensorflow.streaming.scoring import start_scoring_stream
+from sensorflow.schema import WIDE_SCHEMA
+from sensorflow.session import scratch_path
+from sensorflow.streaming.scoring import start_prediction_messages, start_scoring_stream
 from sensorflow.sources.sensor_files import read_tree_stream
 from sensorflow.streaming.sinks import checkpoint_for, start
 
@@ -46,7 +47,7 @@ def run_ingest(spark: SparkSession, root: str, table_path: str | None = None,
     wide = build_wide(spark, root, version=version, layout=layout)
     send = bool(messages_path) or messages_format == "kafka"
     if not table_path and csv_path and send:
-        wide = wide.persist(StorageLevel.MEMORY_AND_DISK)  # two writes, no table to reread
+        table_path = scratch_path(spark, "wide")  # two outputs: join once, read back twice
     obs = Observation("ingested")
     counted = wide.observe(obs, F.count(F.lit(1)).alias("rows"))
     written = False  # the first write goes through ``counted``
@@ -76,8 +77,9 @@ def run_training(spark: SparkSession, table_path: str, model_path: str,
                  ) -> TrainingResult:
     """Entry point C, first half: read the wide table, fit, save, evaluate
     in-sample (as the reference) and on a time hold-out (when given: the fit
-    then uses only the rows before it)."""
-    wide = read_table(spark, table_path, fmt=table_format)
+    then uses only the rows before it). A delimited table is read with the wide
+    schema, not an inferred one."""
+    wide = read_table(spark, table_path, fmt=table_format, schema=WIDE_SCHEMA)
     cutoff = int(holdout_from.replace(tzinfo=holdout_from.tzinfo or _dt.timezone.utc)
                  .timestamp()) if holdout_from else None
     train, test = (M.time_split(wide, cutoff) if cutoff is not None else (wide, None))
@@ -108,41 +110,52 @@ def run_index_stream(spark: SparkSession, source_format: str, source: str | None
                      target: str, payload_format: str = "csv", source_options: dict | None = None,
                      starting: str = "latest", max_per_trigger: int | None = None,
                      trigger: dict | None = None, checkpoint: str | None = None,
-                     name: str = "index_stream", quarantine: bool = False,
-                     dedupe_delay: str | None = None):
+                     quarantine: bool = False, distinct: bool = False,
+                     time_as: str = "epoch_ms", fill_value: float | None = 0.0):
     """Entry point B: messages -> documents, one folder per micro-batch."""
     msgs = read_messages(spark, source_format, source, source_options, starting, max_per_trigger)
-    return start_index_stream(msgs, target, checkpoint_for(spark, name, checkpoint),
+    return start_index_stream(msgs, target, checkpoint_for(spark, target, checkpoint),
                               payload_format=payload_format, trigger=trigger,
-                              quarantine=quarantine, dedupe_delay=dedupe_delay)
+                              quarantine=quarantine, distinct=distinct, time_as=time_as,
+                              fill_value=fill_value)
 
 
 def run_scoring_stream(spark: SparkSession, model_path: str, source_format: str,
                        source: str | None, target: str, payload_format: str = "csv",
                        source_options: dict | None = None, starting: str = "latest",
                        max_per_trigger: int | None = None, trigger: dict | None = None,
-                       checkpoint: str | None = None, name: str = "scoring_stream",
-                       invalid: str = "skip", dedupe_delay: str | None = None):
-    """Entry point C, second half: score messages, route by class."""
-    model = M.load(model_path)
+                       checkpoint: str | None = None, invalid: str = "skip",
+                       distinct: bool = False, message_format: str | None = None,
+                       message_options: dict | None = None, topics: dict | None = None):
+    """Entry point C, second half: score messages, route by class. With
+    ``message_format`` the predictions go out as messages with a topic: to
+    folders under ``target`` for a file format, to the broker that
+    ``message_options`` name otherwise (``target`` then only keeps the
+    checkpoint)."""
+    model = M.linear_of(M.load(model_path))
     msgs = read_messages(spark, source_format, source, source_options, starting, max_per_trigger)
-    return start_scoring_stream(msgs, M.linear_of(model), target,
-                                checkpoint_for(spark, name, checkpoint),
+    checkpoint = checkpoint_for(spark, target, checkpoint)
+    if message_format:
+        files = message_format in ("parquet", "json", "orc", "csv")
+        return start_prediction_messages(
+            msgs, model, checkpoint, message_format, target if files else None, message_options,
+            payload_format, trigger, topics=topics)
+    return start_scoring_stream(msgs, model, target, checkpoint,
                                 payload_format=payload_format, trigger=trigger,
-                                invalid=invalid, dedupe_delay=dedupe_delay)
+                                invalid=invalid, distinct=distinct)
 
 
 def run_long_ingest_stream(spark: SparkSession, root: str, table_path: str,
                            trigger: dict | None = None, checkpoint: str | None = None,
                            max_files_per_trigger: int | None = None,
-                           name: str = "long_ingest", layout: str = "folders"):
+                           layout: str = "folders"):
     """Continuous ingest (W5 re-aimed): new sensor files -> the long table,
     partitioned by sensor, appended by a file sink. Each file is read once
     (the reference re-read every room every 30 s); the file sink's commit log
     makes a replayed batch invisible to readers of the table folder."""
     long = read_tree_stream(spark, root, max_files_per_trigger=max_files_per_trigger,
                             layout=layout)
-    return start(long.drop("source_file"), "parquet", checkpoint_for(spark, name, checkpoint),
+    return start(long.drop("source_file"), "parquet", checkpoint_for(spark, table_path, checkpoint),
                  trigger=trigger or {"processingTime": "30 seconds"},
                  options={"path": table_path}, partition_by=("sensor",))
 

@@ -28,19 +28,16 @@ MB = 1024 * 1024
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 * MB,
-                shuffle_expansion: float = 1.0, max_partitions: int = 200_000) -> dict:
+                shuffle_expansion: float = 1.0) -> dict:
     """Settings sized for an input of ``input_bytes`` (compressed files).
 
     Scan splits and shuffle partitions aim at ``partition_bytes`` each. The
     shuffled bytes are taken as ``shuffle_expansion`` times the input: the
     join sides carry three projected columns, about the compressed size of a
-    reading. The partition count is capped (map-output bookkeeping grows with
-    maps x partitions); at 100 TB the cap gives about 500 MB per partition,
-    which sort-based shuffles spill, and AQE splits skewed partitions and
-    merges small ones. The RocksDB state store keeps streaming state (E1, E2)
+    reading. Map-output bookkeeping grows with maps x partitions; a caller who
+    wants fewer partitions asks for larger ones. The RocksDB state store keeps streaming state (E1, E2)
     off the JVM heap."""
-    shuffle = int(min(max_partitions,
-                      max(200, -(-int(input_bytes * shuffle_expansion) // partition_bytes))))
+    shuffle = max(200, -(-int(input_bytes * shuffle_expansion) // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
@@ -102,6 +99,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for one job's output."""
+    """A fresh folder under the shared checkpoint root for one job's output,
+    removed when the session's JVM ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return path
+
+
+def path_exists(spark: SparkSession, pattern: str) -> bool:
+    """Whether a path (a glob) matches anything, on whatever store it names."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder)
+    return found is not None and len(found) > 0

@@ -1,7 +1,8 @@
 """Event-time operators added for replays and time windows.
 
-E1 drops readings delivered again (a replayed batch, a re-ingested file)
-within the watermark delay; state is bounded by the watermark. E2 computes
+E1 drops readings delivered again within the watermark delay (state is bounded
+by the watermark, and rows behind it are dropped too); the jobs drop re-sent
+messages without a watermark instead (``sinks.BatchDirSink(distinct=...)``). E2 computes
 windowed metrics on the stream and emits each window once the watermark has
 passed it (append mode); open windows are not emitted yet.
 """
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.operators.analytics import _r
+from sensorflow.operators.analytics import _avg, _r
 
 
 def with_event_time(df: DataFrame, seconds_col: str = "ts_min_bignt",
@@ -28,17 +29,6 @@ def drop_replays(df: DataFrame, keys, delay: str = "2 days",
     return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def drop_resent(df: DataFrame, keys, delay: str, seconds_col: str = "ts_min_bignt") -> DataFrame:
-    """E1 on parsed messages: rows with an instant are de-duplicated within the
-    watermark delay; rows without one (unparsable) cannot be placed in event
-    time and pass through unchanged, so nothing is lost (they reach the
-    quarantine where there is one)."""
-    timed = df.filter(F.col(seconds_col).isNotNull())
-    untimed = df.filter(F.col(seconds_col).isNull())
-    kept = drop_replays(with_event_time(timed, seconds_col), keys, delay).drop("event_time")
-    return kept.unionByName(untimed)
-
-
 def windowed_metrics(df: DataFrame, window: str = "4 days", delay: str = "2 days",
                      time_col: str = "event_time", by_room: bool = True) -> DataFrame:
     """Per window (and room) counts and means, emitted when closed."""
@@ -47,9 +37,9 @@ def windowed_metrics(df: DataFrame, window: str = "4 days", delay: str = "2 days
         keys.append(F.col("room"))
     agg = (df.withWatermark(time_col, delay).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        _r(F.avg("co2")).alias("avg_co2"),
-        _r(F.avg("temp")).alias("avg_temp"),
-        _r(F.avg("humidity")).alias("avg_humidity")))
+        _avg("co2").alias("avg_co2"),
+        _avg("temp").alias("avg_temp"),
+        _avg("humidity").alias("avg_humidity")))
     return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"),
                       *([F.col("room")] if by_room else []), "n", "avg_co2", "avg_temp",
                       "avg_humidity")

@@ -3,8 +3,8 @@
 ``index_documents`` is a plain transformation, so the same code serves a
 bounded frame and a stream. ``start_index_stream`` writes each micro-batch
 into its own folder (replays overwrite, nothing is collected to the driver);
-an external search index would be fed from that table, or through a
-connector with ``doc_id`` as the document id for idempotent upserts.
+an external search index would be fed from that table, with ``content_id``
+(``distinct=True``) as the document id for idempotent upserts.
 """
 
 from __future__ import annotations
@@ -18,14 +18,13 @@ from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import invalid_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
-from sensorflow.streaming.event_time import drop_resent
 from sensorflow.streaming.sinks import BatchDirSink, start
 
 
 def index_documents(messages: DataFrame, payload_format: str = "csv",
                     now: _dt.datetime | None = None, fill_value: float | None = 0.0,
                     time_as: str = "epoch_ms", with_reason: bool = False,
-                    dedupe_delay: str | None = None) -> DataFrame:
+                    with_day: bool = False) -> DataFrame:
     """P12 -> P13/P15 -> P7 -> P19 -> P14.
 
     ``time_as='epoch_ms'`` follows the first version (text time parsed to
@@ -33,16 +32,15 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
     (a timestamp, null when unparsable); ``'text'`` keeps the text.
     ``with_reason`` adds ``reason``: the fields that were missing or
     unparsable in the message (null when none), found before any fill.
-    ``dedupe_delay`` (e.g. ``"2 days"``) drops messages whose eight fields
-    equal a message seen before, within that event-time delay (E1; on a
-    stream the state is bounded by the watermark)."""
+    ``with_day`` adds ``event_date``, the UTC day of the message's instant."""
     parsed = parse_payload(messages, payload_format)
-    if dedupe_delay:
-        parsed = drop_resent(parsed, WIDE_COLUMNS, dedupe_delay)
     keep = ()
+    if with_day:
+        parsed = parsed.withColumn("event_date", F.to_date(F.timestamp_seconds("ts_min_bignt")))
+        keep = ("event_date",)
     if with_reason:
         parsed = parsed.withColumn("reason", invalid_reason(parsed, WIDE_COLUMNS))
-        keep = ("reason",)
+        keep += ("reason",)
     if time_as == "epoch_ms":
         parsed = time_to_epoch_ms(parsed, now)
     elif time_as == "timestamp":
@@ -53,12 +51,6 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
     return search_document(with_movement(parsed), fill_value=fill_value, keep=keep)
 
 
-def with_doc_id(docs: DataFrame) -> DataFrame:
-    """Content hash of a document (for an external index that upserts by id).
-    Equal documents share an id, so a replayed batch cannot add copies."""
-    return docs.withColumn("doc_id", F.sha2(F.to_json(F.struct(*DOCUMENT_FIELDS)), 256))
-
-
 def with_status(docs: DataFrame) -> DataFrame:
     """``status`` = ``ok`` or ``quarantine`` from ``reason``."""
     return docs.withColumn("status", F.when(F.col("reason").isNull(), F.lit("ok"))
@@ -68,16 +60,20 @@ def with_status(docs: DataFrame) -> DataFrame:
 def start_index_stream(messages: DataFrame, target: str, checkpoint: str,
                        payload_format: str = "csv", trigger: dict | None = None,
                        now: _dt.datetime | None = None, query_name: str | None = None,
-                       quarantine: bool = False, dedupe_delay: str | None = None):
+                       quarantine: bool = False, distinct: bool = False,
+                       time_as: str = "epoch_ms", fill_value: float | None = 0.0):
     """Run the index pipeline on a stream into ``target/batch_id=N``.
 
     With ``quarantine``, every batch is still written once, partitioned by
     ``status``: complete documents under ``status=ok``, rows with missing or
-    unparsable fields (and their ``reason``) under ``status=quarantine``."""
+    unparsable fields (and their ``reason``) under ``status=quarantine``.
+    ``distinct`` (E1) drops documents equal to one that this or an earlier
+    batch wrote. ``time_as`` and ``fill_value`` as in ``index_documents``."""
     docs = index_documents(messages, payload_format, now=now, with_reason=quarantine,
-                           dedupe_delay=dedupe_delay)
-    sink = BatchDirSink(target, partition_by=("status",), transform=with_status) if quarantine \
-        else BatchDirSink(target)
+                           with_day=distinct, time_as=time_as, fill_value=fill_value)
+    sink = BatchDirSink(target, partition_by=("status",) if quarantine else (),
+                        transform=with_status if quarantine else None,
+                        distinct=DOCUMENT_FIELDS if distinct else ())
     q = start(docs, sink, checkpoint, trigger=trigger or {"processingTime": "20 seconds"},
               query_name=query_name)
     return q, sink

@@ -28,8 +28,10 @@ def with_route(scored: DataFrame, positive: str = ROUTE_POSITIVE,
         .otherwise(F.lit(invalid)))
 
 
-def prediction_messages(scored: DataFrame) -> DataFrame:
-    """``route, value`` with the prediction message as JSON."""
-    routed = with_route(scored)
-    return routed.select("route", F.to_json(F.struct(*[F.col(c) for c in PREDICTION_FIELDS]))
-                         .alias("value"))
+def prediction_messages(rows: DataFrame, topics: dict | None = None) -> DataFrame:
+    """``topic, value`` of routed prediction rows, the value as JSON (P16,
+    P9). ``topics`` maps routes to topic names; others keep the route's name."""
+    topic = F.col("route")
+    for route, name in (topics or {}).items():
+        topic = F.when(F.col("route") == route, F.lit(name)).otherwise(topic)
+    return rows.select(topic.alias("topic"), F.to_json(F.struct(*PREDICTION_FIELDS)).alias("value"))

@@ -9,22 +9,30 @@ table partitioned by ``batch_id``.
 
 from __future__ import annotations
 
+import threading
 import time
-from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from sensorflow.session import ensure_checkpoint_dir
+from sensorflow.session import path_exists
 
 
-def checkpoint_for(spark: SparkSession, name: str, explicit: str | None = None) -> str:
-    """A stable checkpoint folder per query under the shared root."""
-    if explicit:
-        return explicit
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+def checkpoint_for(spark: SparkSession, target: str, explicit: str | None = None) -> str:
+    """The checkpoint of a target stands beside its data, in the hidden
+    folder ``<target>/_checkpoint``, so the same target always continues its
+    own offsets and no other's. Refuses to start from a checkpoint without
+    offsets over a target that holds batches: batch numbers would begin at 0
+    again and replace them."""
+    path = explicit or f"{target.rstrip('/')}/_checkpoint"
+    if not path_exists(spark, f"{path}/offsets/*") and \
+            path_exists(spark, f"{target.rstrip('/')}/batch_id=*"):
+        raise ValueError(f"{target} holds batches, but {path} no offsets: "
+                         "name their checkpoint or another target")
+    return path
 
 
 class BatchDirSink:
@@ -32,19 +40,28 @@ class BatchDirSink:
 
     ``transform`` runs on the batch frame first; ``partition_by`` splits the
     one write (e.g. by route). ``observe`` collects aggregate metrics over the
-    incoming rows during that write, with no extra job; the last 1,000
-    batches are kept in ``metrics``.
+    incoming rows during that write, with no extra job: ``last`` holds the
+    latest batch's, ``totals`` their sums over all batches of this run.
+
+    ``distinct`` (E1) names the columns that make two messages the same: a
+    batch drops its own repeats and messages that an earlier batch wrote. It
+    looks only into the target's folders of the days that the batch holds
+    (``event_date``, from ``ts_min_bignt``; messages without an instant share
+    one folder). The batch is read from the source once.
     """
 
     def __init__(self, target: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 observe: Callable[[], list] | None = None):
+                 observe: Callable[[], list] | None = None,
+                 distinct: tuple[str, ...] = ()):
         self.target = target.rstrip("/")
         self.fmt = fmt
         self.partition_by = partition_by
         self.transform = transform
         self.observe = observe
-        self.metrics: deque[dict] = deque(maxlen=1000)
+        self.distinct = distinct
+        self.last: dict = {}
+        self.totals: dict = {"batches": 0, "seconds": 0.0}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         t0 = time.time()
@@ -53,15 +70,79 @@ class BatchDirSink:
             # Observed on the incoming rows, before ``transform`` may drop some.
             obs = Observation(f"batch_{batch_id}")
             batch = batch.observe(obs, *self.observe())
+        held = None
+        if self.distinct:
+            held = self._identified(batch).persist()
+            batch = self._unseen(held, batch_id)
         out = self.transform(batch) if self.transform else batch
         w = out.write.mode("overwrite").format(self.fmt)
-        if self.partition_by:
-            w = w.partitionBy(*self.partition_by)
+        days = ("event_date",) if self.distinct else ()
+        if days or self.partition_by:
+            w = w.partitionBy(*days, *self.partition_by)
         w.save(f"{self.target}/batch_id={batch_id}")
-        rec = {"batch_id": batch_id, "seconds": round(time.time() - t0, 3)}
+        if held is not None:
+            held.unpersist()
+        self.last = {"batch_id": batch_id, "seconds": round(time.time() - t0, 3)}
         if obs is not None:
-            rec.update(obs.get)
-        self.metrics.append(rec)
+            self.last.update(obs.get)
+        for k, v in self.last.items():
+            if k != "batch_id":
+                self.totals[k] = self.totals.get(k, 0) + v
+        self.totals["batches"] += 1
+
+    def _identified(self, batch: DataFrame) -> DataFrame:
+        day = F.to_date(F.timestamp_seconds(F.col("ts_min_bignt"))) \
+            if "ts_min_bignt" in batch.columns else F.col("event_date")
+        return (batch.withColumn("content_id",
+                                 F.sha2(F.to_json(F.struct(*self.distinct)), 256))
+                     .withColumn("event_date", F.coalesce(day.cast("string"), F.lit("none")))
+                     .dropDuplicates(["event_date", "content_id"]))
+
+    def _unseen(self, batch: DataFrame, batch_id: int) -> DataFrame:
+        spark = batch.sparkSession
+        if not path_exists(spark, f"{self.target}/batch_id=*/event_date=*"):
+            return batch
+        # a batch's days: calendar days, so few
+        days = [r[0] for r in batch.select("event_date").distinct().collect()]
+        seen = (spark.read.format(self.fmt).load(self.target)
+                     .filter((F.col("batch_id") < batch_id)
+                             & F.col("event_date").cast("string").isin(days))
+                     .select(F.col("event_date").cast("string"), "content_id"))
+        return batch.join(seen, ["event_date", "content_id"], "left_anti")
+
+
+class Totals(StreamingQueryListener):
+    """Batches, rows and seconds of every query of a session, summed
+    from each progress event (``recentProgress`` keeps about the last 100)."""
+
+    def __init__(self) -> None:
+        self._sums: dict[str, list] = {}
+        self._ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self._end(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        sums = self._sums.setdefault(str(p.runId), [0, 0, 0.0])
+        sums[0] += 1
+        sums[1] += p.numInputRows
+        sums[2] += p.durationMs.get("triggerExecution", 0) / 1000.0
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._end(str(event.runId)).set()
+
+    def _end(self, run_id: str) -> threading.Event:
+        return self._ended.setdefault(run_id, threading.Event())
+
+    def of(self, query: StreamingQuery, timeout_s: float = 30.0) -> dict:
+        """The sums of an ended query; events arrive in order, its end last."""
+        self._end(str(query.runId)).wait(timeout_s)
+        n, rows, seconds = self._sums.get(str(query.runId), (0, 0, 0.0))
+        return {"batches": n, "rows": rows, "seconds": round(seconds, 3)}
 
 
 def start(df: DataFrame, sink: Callable | str, checkpoint: str, trigger: dict | None = None,
@@ -124,21 +205,22 @@ def read_batches(spark: SparkSession, target: str, fmt: str = "parquet") -> Data
 
 def compact_batches(spark: SparkSession, target: str, dest: str, first_batch: int | None = None,
                     last_batch: int | None = None, fmt: str = "parquet",
-                    partition_by: tuple[str, ...] = ()) -> int:
+                    partition_by: tuple[str, ...] = ("event_date",)) -> int:
     """Rewrite a range of per-batch folders as one table with few, larger
-    files (frequent triggers leave many small ones). The batch range is a
-    partition filter, so only those folders are read; the rebalance hint
-    lets AQE size the output files. Returns the rows written (observed)."""
+    files (frequent triggers leave many small ones), partitioned by day where
+    the batches know it; ``batch_id`` becomes a column. The batch range is a
+    partition filter, so only those folders are read; the rebalance hint lets
+    AQE size the output files. Appends; returns the rows written (observed)."""
     df = read_batches(spark, target, fmt)
     if first_batch is not None:
         df = df.filter(F.col("batch_id") >= first_batch)
     if last_batch is not None:
         df = df.filter(F.col("batch_id") <= last_batch)
-    cols = ("batch_id", *partition_by)
+    cols = [c for c in partition_by if c in df.columns]
     obs = Observation("compacted")
-    (df.hint("rebalance", *cols).observe(obs, F.count(F.lit(1)).alias("n"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*cols).format(fmt).save(dest))
+    out = df.hint("rebalance", *cols).observe(obs, F.count(F.lit(1)).alias("n"))
+    w = out.write.mode("append").format(fmt)
+    (w.partitionBy(*cols) if cols else w).save(dest)
     return int(obs.get["n"])
 
 

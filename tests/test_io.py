@@ -77,9 +77,11 @@ def test_no_local_paths_in_library():
     root = os.path.join(os.path.dirname(os.path.dirname(__file__)), "sensorflow")
     for dirpath, _, files in os.walk(root):
         for f in files:
-            if f.endswith(".py") and f != "session.py":
+            if f.endswith(".py"):
                 text = open(os.path.join(dirpath, f)).read()
-                assert "/tmp" not in text and "tempfile" not in text, f
+                assert "/tmp" not in text, f
+                # only for a local master, and to hand the package to Spark
+                assert "tempfile" not in text or f in ("session.py", "common.py"), f
 
 
 def test_publish_key_by_position(spark):

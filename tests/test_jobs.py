@@ -24,7 +24,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     res = J.run_ingest(spark, root, table_path=table, csv_path=csv, layout="hive",
                        messages_path=inbox, payload_format="json")
     wide = res.wide
-    expected = wide_readings(clean_readings(raw), row_id="event_id")
+    expected = wide_readings(clean_readings(raw))
     assert res.rows == expected.count() and res.seconds > 0
     assert sorted(map(tuple, spark.read.parquet(table).collect())) == \
         sorted(map(tuple, expected.collect()))
@@ -42,7 +42,7 @@ def test_pipeline_end_to_end(spark, tmp_path):
     out = read_batches(spark, routes)
     assert out.count() == expected.count()
     counts = {r.route: r.n for r in J.routed_counts(out).collect()}
-    assert sum(counts.values()) == sink.metrics[-1]["rows"]
+    assert sum(counts.values()) == sink.last["rows"]
 
     published = str(tmp_path / "published")
     n = J.run_publish(spark, table, "text", published, exclude=("pir",), key_col="room",
@@ -89,7 +89,7 @@ def test_ingest_csv_and_messages_without_table(spark, tmp_path):
     write_raw_hive_tree(raw, root)
     res = J.run_ingest(spark, root, csv_path=str(tmp_path / "csv"), layout="hive",
                        messages_path=str(tmp_path / "msgs"))
-    n = wide_readings(clean_readings(raw), row_id="event_id").count()
+    n = wide_readings(clean_readings(raw)).count()
     assert res.rows == n == spark.read.json(str(tmp_path / "msgs")).count()
     res.wide.unpersist()
 

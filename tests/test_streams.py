@@ -85,7 +85,7 @@ def test_scoring_stream_routes_and_counts(spark, tmp_path):
     out = read_batches(spark, target)
     expect = prediction_rows(score(wide, MODEL))
     assert _sorted(out.select(*expect.columns)) == _sorted(expect)
-    m = sink.metrics[-1]
+    m = sink.last
     by_route = {r.route: r["count"] for r in out.groupBy("route").count().collect()}
     assert m["movement"] == by_route.get("activity", 0)
     assert m["no_movement"] == by_route.get("no_activity", 0)
@@ -161,7 +161,7 @@ def test_compact_batches(spark, tmp_path):
     assert n == 2 * wide.count()
     back = read_batches(spark, str(tmp_path / "c"))
     assert sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [1, 2]
-    files = [f for f in os.listdir(str(tmp_path / "c" / "batch_id=1")) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(str(tmp_path / "c")) if f.endswith(".parquet")]
     before = [f for f in os.listdir(str(tmp_path / "t" / "batch_id=1")) if f.endswith(".parquet")]
     assert len(files) < len(before)
 
@@ -173,12 +173,18 @@ def test_index_stream_drops_resent_messages(spark, tmp_path):
     inbox = str(tmp_path / "inbox")
     _drop_messages(spark, inbox, latest)
     _drop_messages(spark, inbox, latest)  # re-ingested: the same rows again
-    q, _ = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
-                              str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
-                              dedupe_delay="2 days")
+    q, sink = start_index_stream(read_messages(spark, "text", inbox, max_per_trigger=1),
+                                 str(tmp_path / "docs"), str(tmp_path / "ck"),
+                                 trigger={"availableNow": True}, now=NOW, distinct=True)
     run_available(q)
-    out = read_batches(spark, str(tmp_path / "docs")).drop("batch_id")
+    out = read_batches(spark, str(tmp_path / "docs"))
     assert out.count() == latest.count() < 2 * latest.count()
+    assert sink.totals["batches"] > 1
+    # each source row is read once
+    read = sum(p["numInputRows"] for p in q.recentProgress)
+    assert read == 2 * latest.count()
+    sink(index_documents(read_messages_batch(spark, "text", inbox), now=NOW, with_day=True), 0)
+    assert read_batches(spark, str(tmp_path / "docs")).filter("batch_id = 0").count() == latest.count()
     assert wide.count() >= latest.count()
 
 
@@ -187,10 +193,11 @@ def test_prediction_messages_json(spark):
     from sensorflow.streaming.routing import prediction_messages
     wide = wide_readings(ev.readings(spark, SF_SMALL))
     scored = score(wide, MODEL)
-    msgs = prediction_messages(scored)
-    back = msgs.select("route", F.from_json("value", PREDICTION_SCHEMA).alias("m")) \
-        .select("route", "m.*")
-    expect = prediction_rows(scored)
+    msgs = prediction_messages(prediction_rows(scored), {"activity": "moving"})
+    back = msgs.select("topic", F.from_json("value", PREDICTION_SCHEMA).alias("m")) \
+        .select("topic", "m.*")
+    expect = prediction_rows(scored).withColumnRenamed("route", "topic").replace(
+        {"activity": "moving"}, subset=["topic"])
     assert _sorted(back.select(*expect.columns)) == _sorted(expect)
 
 
@@ -209,7 +216,7 @@ def test_scoring_stream_counts_and_quarantines_invalid_rows(spark, tmp_path):
         run_available(q)
         out = read_batches(spark, target)
         assert {r.route for r in out.select("route").distinct().collect()} == expect
-        m = sink.metrics[-1]
+        m = sink.last
         assert (m["rows"], m["movement"], m["invalid"]) == (3, 1, 2)
 
 
@@ -222,7 +229,7 @@ def test_scoring_stream_drops_resent_messages(spark, tmp_path):
     q, sink = start_scoring_stream(read_messages(spark, "json", inbox), MODEL,
                                    str(tmp_path / "routes"), str(tmp_path / "ck"),
                                    payload_format="json", trigger={"availableNow": True},
-                                   dedupe_delay="2 days")
+                                   distinct=True)
     run_available(q)
     assert read_batches(spark, str(tmp_path / "routes")).count() == latest.count()
 
@@ -234,8 +241,68 @@ def test_dedupe_keeps_messages_without_instant(spark, tmp_path):
     spark.createDataFrame([(good,), (good,), (no_ts,)], "value string").write.text(inbox)
     q, _ = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
                               str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
-                              quarantine=True, dedupe_delay="2 days")
+                              quarantine=True, distinct=True)
     run_available(q)
     out = read_batches(spark, str(tmp_path / "docs"))
     by = {r.status: r["count"] for r in out.groupBy("status").count().collect()}
     assert by == {"ok": 1, "quarantine": 1}
+
+
+def test_two_rooms_one_after_another_lose_nothing(spark, tmp_path):
+    inbox, docs = str(tmp_path / "inbox"), str(tmp_path / "docs")
+    for room, day in (("a", 20), ("b", 2), ("c", 11)):  # days apart, out of order
+        rows = [f"2013-01-{day:02d} 00:00:{i:02d},{1356998400 + 86400 * (day - 1) + i},{room},"
+                "575.0,102.0,24.06,48.09,1.0" for i in range(8)]
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1) \
+            .write.mode("append").text(inbox)
+    q, _ = start_index_stream(read_messages(spark, "text", inbox, max_per_trigger=1), docs,
+                              str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW,
+                              quarantine=True, distinct=True)
+    run_available(q)
+    by = {r.room: r["count"] for r in read_batches(spark, docs).groupBy("room").count().collect()}
+    assert by == {"a": 8, "b": 8, "c": 8}
+
+
+def test_restart_without_a_checkpoint_argument(spark, tmp_path):
+    """A second session (its own SQL state) goes on where the first stopped."""
+    import pytest
+    from sensorflow.plans.jobs import run_index_stream
+    inbox, a, b = (str(tmp_path / n) for n in ("inbox", "a", "b"))
+    rows = [f"2013-08-26 22:12:1{i},137755513{i},413,575.0,102.0,24.06,48.09,0.0" for i in range(4)]
+
+    def put(values):
+        spark.createDataFrame([(v,) for v in values], "value string").repartition(len(values)) \
+            .write.mode("append").text(inbox)
+
+    def run(session, target):
+        q, _ = run_index_stream(session, "text", inbox, target, max_per_trigger=1,
+                                trigger={"availableNow": True})
+        run_available(q)
+        return sorted(r.event_ts_min for r in read_batches(session, target).collect())
+
+    put(rows[:3])
+    assert len(run(spark, a)) == 3
+    put(rows[3:])
+    other = spark.newSession()
+    assert len(set(run(other, a))) == len(run(other, a)) == 4
+    assert len(run(other, b)) == 4  # another target has offsets of its own
+    with pytest.raises(ValueError, match="holds batches"):
+        run_index_stream(spark, "text", inbox, a, checkpoint=str(tmp_path / "fresh"))
+
+
+def test_totals_count_every_batch(spark, tmp_path):
+    from sensorflow.streaming.sinks import Totals
+    inbox = str(tmp_path / "inbox")
+    spark.range(0, 105, 1, 105).selectExpr("cast(id as string) as value").write.text(inbox)
+    totals = Totals()
+    spark.streams.addListener(totals)
+    try:
+        sink = BatchDirSink(str(tmp_path / "out"), observe=lambda: [F.count(F.lit(1)).alias("rows")])
+        q = start(read_messages(spark, "text", inbox, max_per_trigger=1), sink,
+                  str(tmp_path / "ck"), trigger={"availableNow": True})
+        run_available(q)
+        got = totals.of(q)
+    finally:
+        spark.streams.removeListener(totals)
+    assert got["batches"] == 105 and got["rows"] == 105
+    assert sink.totals["batches"] == sink.totals["rows"] == 105
