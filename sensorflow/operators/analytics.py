@@ -21,6 +21,17 @@ def _r(c, digits=6):
     return F.round(c, digits)
 
 
+#: Readings are averaged as decimals of so many places: sums of doubles depend
+#: on their order, sums of decimals don't.
+PLACES = 6
+
+
+def _avg(c):
+    """The mean to ``PLACES`` places, half up, the same in any order of rows."""
+    total = F.sum(F.col(c).cast(f"decimal(28,{PLACES})")).cast("double")
+    return F.floor(total / F.count(c) * 10.0**PLACES + 0.5) / 10.0**PLACES
+
+
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     """A1."""
     return df.agg(F.count(F.lit(1)).alias(name))
@@ -48,11 +59,11 @@ def env_windows(wide: DataFrame, window_seconds: int = 4 * 86400,
         keys.append(F.col("room"))
     agg = wide.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        _r(F.avg("co2")).alias("avg_co2"), F.min("co2").alias("min_co2"),
+        _avg("co2").alias("avg_co2"), F.min("co2").alias("min_co2"),
         F.max("co2").alias("max_co2"),
-        _r(F.avg("temp")).alias("avg_temp"), F.min("temp").alias("min_temp"),
+        _avg("temp").alias("avg_temp"), F.min("temp").alias("min_temp"),
         F.max("temp").alias("max_temp"),
-        _r(F.avg("humidity")).alias("avg_humidity"), F.min("humidity").alias("min_humidity"),
+        _avg("humidity").alias("avg_humidity"), F.min("humidity").alias("min_humidity"),
         F.max("humidity").alias("max_humidity"))
     start = F.unix_seconds(F.col("w.start"))
     return agg.select(start.alias("window_start"), epoch_to_text(start).alias("window_start_text"),
@@ -64,7 +75,7 @@ def sensor_windows(long: DataFrame, duration: str = "1 hour", ts_col: str = "ts"
     """A6 on long readings: per sensor and event-time window."""
     agg = long.groupBy(F.window(F.col(ts_col), duration).alias("w"), "sensor").agg(
         F.count(F.lit(1)).alias("n"),
-        _r(F.avg("sensor_value")).alias("avg_value"),
+        _avg("sensor_value").alias("avg_value"),
         F.min("sensor_value").alias("min_value"),
         F.max("sensor_value").alias("max_value"))
     return agg.select(F.date_format(F.col("w.start"), "yyyy-MM-dd HH:mm:ss").alias("window_start"),
@@ -76,8 +87,8 @@ def room_stats(wide: DataFrame) -> DataFrame:
     moving = (movement_flag("pir") == MOVEMENT).cast("double")
     return wide.groupBy("room").agg(
         F.count(F.lit(1)).alias("n"),
-        _r(F.avg("co2")).alias("avg_co2"), _r(F.avg("light")).alias("avg_light"),
-        _r(F.avg("temp")).alias("avg_temp"), _r(F.avg("humidity")).alias("avg_humidity"),
+        _avg("co2").alias("avg_co2"), _avg("light").alias("avg_light"),
+        _avg("temp").alias("avg_temp"), _avg("humidity").alias("avg_humidity"),
         _r(F.avg(moving)).alias("movement_rate"))
 
 
@@ -149,10 +160,11 @@ def _epoch(t) -> int:
 def sorted_series(wide: DataFrame, key: str = "room", order: str = "ts_min_bignt") -> DataFrame:
     """O1: each room's rows together and in time order.
 
-    A sort on (room, time): Spark range-partitions on sampled bounds, so a
-    room with a third of all rows is spread over several consecutive
-    partitions instead of landing in one task (as hash partitioning by room
-    would do); each partition is then sorted locally."""
+    A global sort on (room, time): Spark range-partitions on sampled bounds, so
+    a room with a third of all rows is spread over several consecutive
+    partitions instead of landing in one task; each partition is then sorted.
+    The bounds are sampled by a first pass over the input, so give it a stored
+    table, not a join."""
     return wide.orderBy(key, order)
 
 
@@ -164,6 +176,9 @@ def preview(wide: DataFrame, n: int = 5, order=("room", "ts_min_bignt")) -> Data
 
 
 def shuffled(df: DataFrame, seed: int = 0, key_cols=None) -> DataFrame:
-    """O3: rows in a random but repeatable order (hash of the row and seed)."""
-    cols = [F.col(c) for c in (key_cols or df.columns)]
-    return df.orderBy(F.xxhash64(F.lit(seed), *cols))
+    """O3: rows in a random but repeatable order: dealt to partitions by a hash
+    of the row and the seed, and ordered by it inside each. One shuffle and no
+    sampling pass; a topic keeps no order between partitions anyway."""
+    order = F.xxhash64(F.lit(seed), *[F.col(c) for c in (key_cols or df.columns)])
+    return (df.withColumn("_order", order).repartition("_order")
+              .sortWithinPartitions("_order").drop("_order"))

@@ -107,7 +107,10 @@ def _without_training_summary(model: PipelineModel, spark) -> PipelineModel:
     from sensorflow.session import scratch_path
     path = scratch_path(spark, "fitted-model")
     save(model, path)
-    return load(path)
+    loaded = load(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return loaded
 
 
 def linear_of(model: PipelineModel) -> LinearModel:

@@ -66,7 +66,11 @@ def keep_latest(long: DataFrame, order_col: str, key=(*KEY, "sensor")) -> DataFr
     """Q4 keep-latest: one reading per key, the one with the largest
     ``order_col`` (ties: any one of them). ``max_by`` aggregates partially on
     the map side, so a hot key costs one row per task, never its whole
-    group."""
-    return long.groupBy(*key).agg(
+    group. Readings with a null in the key belong to no instant: they all stay."""
+    keyed = F.lit(True)
+    for k in key:
+        keyed = keyed & F.col(k).isNotNull()
+    latest = long.filter(keyed).groupBy(*key).agg(
         F.max(F.col(order_col)).alias(order_col),
         F.max_by(F.col("sensor_value"), F.col(order_col)).alias("sensor_value"))
+    return latest.unionByName(long.filter(~keyed).select(*latest.columns))

@@ -66,7 +66,6 @@ def _clean(spark, sf_dir, keep_raw=False, by_type=False):
 # on its type; queries over all readings read them in one pass.
 
 def _wide(spark, sf_dir, **kw):
-    kw.setdefault("row_id", "event_id")  # hot keys are salted (none at test scale)
     by_type = kw.get("how", "join") == "join"
     return wide_readings(_readings(spark, sf_dir, by_type), **kw)
 
@@ -74,13 +73,19 @@ def _wide(spark, sf_dir, **kw):
 def _wide_v2(spark, sf_dir):
     """Version-2 wide rows from raw text: no rounding, incomplete rows kept."""
     return wide_readings(_clean(spark, sf_dir, by_type=True), round_digits=None,
-                         drop_incomplete=False, row_id="event_id")
+                         drop_incomplete=False)
 
 
 def _scored(spark, sf_dir):
     return score(with_label(_wide(spark, sf_dir)), FIXED_MODEL)
 
 
+def _avg(column: str) -> str:
+    """The SQL of ``analytics._avg``: exact decimal sums, half up."""
+    total = f"CAST(sum(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
+    return f"floor({total} / count({column}) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE"
+
+
 WIDE = f"WITH {O.READINGS_CTE}, {O.wide_cte()}"
 WIDE_V2 = f"WITH {O.RAW_CTE}, {O.wide_cte('clean', rounded=False, complete=False, name='wide2')}"
 _MARGIN = " + ".join([repr(FIXED_MODEL.intercept)] +
@@ -116,7 +121,7 @@ def q_wide_using(spark, sf_dir):
 @register("wide_raw", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
 def q_wide_raw(spark, sf_dir):
     """P1, P3, J1, F1 on text with spaces, nulls and bad numbers."""
-    return wide_readings(_clean(spark, sf_dir, by_type=True), row_id="event_id")
+    return wide_readings(_clean(spark, sf_dir, by_type=True))
 
 
 @register("wide_latest", f"""WITH {O.READINGS_CTE},
@@ -130,10 +135,9 @@ def q_wide_latest(spark, sf_dir):
 
 @register("wide_salted", f"{WIDE} SELECT * FROM wide")
 def q_wide_salted(spark, sf_dir):
-    """J1 with hot (room, instant) keys spread over salt buckets. The
-    threshold is low and more copies are allowed than by default, so that the
-    test tables, where no sensor dominates a key, really get split."""
-    return _wide(spark, sf_dir, row_id="event_id", hot_key_rows=2, max_copy_ratio=4.0)
+    """J1 with hot (room, instant) keys spread over salt buckets; the threshold
+    is low, so that most keys of the test tables really get split."""
+    return _wide(spark, sf_dir, row_id="event_id", hot_key_rows=2)
 
 
 # ---- P1-P3, P5-P7: cleaning and time ------------------------------------
@@ -256,10 +260,62 @@ def q_accuracy(spark, sf_dir):
 @register("class_counts", f"""{SCORED}
 SELECT prediction, CAST(count(*) AS BIGINT) AS n FROM pred GROUP BY prediction""")
 def q_class_counts(spark, sf_dir):
-    """A3, F2."""
+    """A3."""
     return A.class_counts(_scored(spark, sf_dir))
 
 
+_PREDICTED = "room, ts_min_bignt, label, prediction, round(probability, 6) AS confidence FROM pred"
+
+
+def _predicted(scored):
+    return scored.select("room", "ts_min_bignt", "label", "prediction",
+                         F.round("confidence", 6).alias("confidence"))
+
+
+@register("class_rows", f"{SCORED} SELECT {_PREDICTED} WHERE prediction = 1.0")
+def q_class_rows(spark, sf_dir):
+    """rows predicted as movement."""
+    return _predicted(A.by_class(_scored(spark, sf_dir), 1.0))
+
+
+@register("correct_rows", f"{SCORED} SELECT {_PREDICTED} WHERE prediction = label")
+def q_correct_rows(spark, sf_dir):
+    """rows whose prediction equals the label."""
+    return _predicted(A.correct_predictions(_scored(spark, sf_dir)))
+
+
+@register("fit_and_score", f"""{WIDE_V2},
+w AS (SELECT *, co2 IS NOT NULL AND light IS NOT NULL AND temp IS NOT NULL
+             AND humidity IS NOT NULL AS usable FROM wide2)
+SELECT CAST(count(*) AS BIGINT) AS n_rows,
+  CAST(count(*) FILTER (WHERE NOT usable) AS BIGINT) AS n_skipped,
+  CAST(count(*) FILTER (WHERE usable AND pir > 0) AS BIGINT) AS n_movement,
+  CAST(count(*) FILTER (WHERE usable) AS BIGINT) AS n_scored,
+  CAST(count(*) FILTER (WHERE usable) AS BIGINT) AS n_agree FROM w""")
+def q_fit_and_score(spark, sf_dir):
+    """Fit on the stored wide rows, save, load, score. Compared
+    are the numbers that don't depend on the coefficients: rows, skipped rows,
+    movement labels, scored rows, and rows on which the loaded model's
+    ``transform`` and its closed form agree."""
+    from sensorflow.operators import model as M
+    from sensorflow.session import scratch_path
+    path = scratch_path(spark, "fit-and-score")
+    _wide_v2(spark, sf_dir).write.parquet(f"{path}/wide")
+    wide = spark.read.parquet(f"{path}/wide")
+    report = M.fit(wide)
+    M.save(report.model, f"{path}/model")
+    model = M.load(f"{path}/model")
+    both = M.score(M.score(wide, model, method="transform")
+                   .withColumnRenamed("confidence", "by_transform")
+                   .drop("probability", "prediction"), model)
+    agree = F.abs(F.col("by_transform") - F.col("confidence")) < 1e-9
+    return both.agg(F.lit(report.rows).cast("bigint").alias("n_rows"),
+                    F.lit(report.skipped_rows).cast("bigint").alias("n_skipped"),
+                    F.lit(report.positives).cast("bigint").alias("n_movement"),
+                    F.count(F.lit(1)).alias("n_scored"),
+                    F.count(F.when(agree, F.lit(1))).alias("n_agree"))
+
+
 @register("routed_predictions", f"""{SCORED}
 SELECT CASE WHEN prediction = 1.0 THEN 'activity' ELSE 'no_activity' END AS route,
   event_ts_min, room, co2, light, temp, humidity, prediction,
@@ -296,7 +352,7 @@ def q_motion_distribution(spark, sf_dir):
 
 @register("sensor_hourly", f"""WITH {O.READINGS_CTE}
 SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, sensor,
-  CAST(count(*) AS BIGINT) AS n, round(avg(sensor_value), 6) AS avg_value,
+  CAST(count(*) AS BIGINT) AS n, {_avg('sensor_value')} AS avg_value,
   min(sensor_value) AS min_value, max(sensor_value) AS max_value
 FROM readings GROUP BY 1, 2""")
 def q_sensor_hourly(spark, sf_dir):
@@ -308,9 +364,9 @@ def q_sensor_hourly(spark, sf_dir):
 SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
   {_sql_text(f'floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS}')} AS window_start_text,
   CAST(count(*) AS BIGINT) AS n,
-  round(avg(co2), 6) AS avg_co2, min(co2) AS min_co2, max(co2) AS max_co2,
-  round(avg(temp), 6) AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
-  round(avg(humidity), 6) AS avg_humidity, min(humidity) AS min_humidity,
+  {_avg('co2')} AS avg_co2, min(co2) AS min_co2, max(co2) AS max_co2,
+  {_avg('temp')} AS avg_temp, min(temp) AS min_temp, max(temp) AS max_temp,
+  {_avg('humidity')} AS avg_humidity, min(humidity) AS min_humidity,
   max(humidity) AS max_humidity
 FROM wide GROUP BY 1, 2""")
 def q_env_windows(spark, sf_dir):
@@ -319,9 +375,9 @@ def q_env_windows(spark, sf_dir):
 
 
 @register("room_stats", f"""{WIDE}
-SELECT room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
-  round(avg(light), 6) AS avg_light, round(avg(temp), 6) AS avg_temp,
-  round(avg(humidity), 6) AS avg_humidity,
+SELECT room, CAST(count(*) AS BIGINT) AS n, {_avg('co2')} AS avg_co2,
+  {_avg('light')} AS avg_light, {_avg('temp')} AS avg_temp,
+  {_avg('humidity')} AS avg_humidity,
   round(avg(CASE WHEN pir > 0 THEN 1.0 ELSE 0.0 END), 6) AS movement_rate
 FROM wide GROUP BY room""")
 def q_room_stats(spark, sf_dir):
@@ -369,10 +425,20 @@ def q_time_filter(spark, sf_dir):
     return A.room_time_filter(_wide(spark, sf_dir), start=FILTER_FROM, end=FILTER_TO)
 
 
+@register("room_filter", f"{WIDE} SELECT * FROM wide WHERE room IN ('1', '2', '3', '5', '8')")
+def q_room_filter(spark, sf_dir):
+    """rooms in a set."""
+    return A.room_time_filter(_wide(spark, sf_dir), rooms=("1", "2", "3", "5", "8"))
+
+
 @register("series_sorted", f"{WIDE} SELECT * FROM wide")
 def q_series_sorted(spark, sf_dir):
-    """O1: rooms kept together and in time order (no global sort)."""
-    return A.sorted_series(_wide(spark, sf_dir))
+    """O1: rooms kept together and in time order: a global sort of the stored
+    rows, whose sampling pass reads the table and not the join again."""
+    from sensorflow.session import scratch_path
+    path = scratch_path(spark, "series")
+    _wide(spark, sf_dir).write.parquet(path)
+    return A.sorted_series(spark.read.parquet(path))
 
 
 @register("preview", f"""{WIDE}
@@ -397,7 +463,7 @@ SELECT 'events' AS source, * FROM w1 UNION ALL SELECT 'raw_text' AS source, * FR
 def q_union_sources(spark, sf_dir):
     """Union by name of wide rows from two sources, duplicates kept."""
     a = _wide(spark, sf_dir).select(F.lit("events").alias("source"), "*")
-    b = wide_readings(_clean(spark, sf_dir, by_type=True), row_id="event_id") \
+    b = wide_readings(_clean(spark, sf_dir, by_type=True)) \
         .select(F.lit("raw_text").alias("source"), "*")
     return union_frames([a, b])
 
@@ -449,30 +515,51 @@ def q_latest_readings(spark, sf_dir):
 
 # ---- SQL surface --------------------------------------------------------
 
-@register("views_sql", f"""{WIDE}
-SELECT event_ts_min, co2, humidity, light, temp, room, pir, {FLAG.format(p='pir')} AS if_movement
-FROM wide""")
+@register("views_sql", f"""{WIDE},
+l AS (SELECT room, count(*) AS n_readings, max(ts_min_bignt) AS last_instant
+      FROM readings GROUP BY room),
+m AS (SELECT room, count(*) AS n_wide, count(*) FILTER (WHERE pir > 0) AS n_moving
+      FROM wide GROUP BY room)
+SELECT l.room, CAST(n_readings AS BIGINT) AS n_readings, last_instant,
+  CAST(coalesce(n_wide, 0) AS BIGINT) AS n_wide, CAST(coalesce(n_moving, 0) AS BIGINT) AS n_moving
+FROM l LEFT JOIN m ON l.room = m.room""")
 def q_views_sql(spark, sf_dir):
-    """The flag query as SQL over registered views."""
-    register_views(spark, _readings(spark, sf_dir))
+    """Movement per room beside the room's readings, in SQL over the views."""
+    register_views(spark, _readings(spark, sf_dir, by_type=True))
     return spark.sql("""
-        SELECT event_ts_min, co2, humidity, light, temp, room, pir,
-               CASE WHEN pir > 0.0 THEN 'movement' ELSE 'no_movement' END AS if_movement
-        FROM sensor_wide""")
+        WITH moving AS (
+          SELECT room, count(*) AS n_wide, count_if(if_movement = 'movement') AS n_moving
+          FROM sensor_flagged GROUP BY room)
+        SELECT r.room, count(*) AS n_readings, max(r.ts_min_bignt) AS last_instant,
+               coalesce(first(m.n_wide), 0L) AS n_wide, coalesce(first(m.n_moving), 0L) AS n_moving
+        FROM sensor_readings r LEFT JOIN moving m ON r.room = m.room
+        GROUP BY r.room""")
 
 
 # ---- through files and streams (written under the shared checkpoint folder)
 
 @register("file_tree_wide", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
 def q_file_tree_wide(spark, sf_dir):
-    """S1, S2, P1, P3, J1, F1 through real files: the raw text readings are
-    written as a CSV tree partitioned by room and sensor, then read back."""
+    """P1, P3, J1, F1 through real files: the raw text readings are written as
+    CSV files partitioned by sensor, then read back. (The reference's layout,
+    a folder per room, is compared in pytest on small trees.)"""
+    from sensorflow.plans.ingest import build_wide
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.sensor_files import write_raw_hive_tree
+    root = scratch_path(spark, "sensor-tree")
+    write_raw_hive_tree(ev.raw_readings(spark, sf_dir), root)
+    return build_wide(spark, root, layout="hive")
+
+
+@register("file_tree_salted", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
+def q_file_tree_salted(spark, sf_dir):
+    """The same with hot keys split: each side still reads its own files only."""
+    from sensorflow.plans.ingest import build_wide
     from sensorflow.session import scratch_path
-    from sensorflow.sources.sensor_files import read_raw_hive_tree, write_raw_hive_tree
+    from sensorflow.sources.sensor_files import write_raw_hive_tree
     root = scratch_path(spark, "sensor-tree")
     write_raw_hive_tree(ev.raw_readings(spark, sf_dir), root)
-    long = clean_readings(read_raw_hive_tree(spark, root, with_line_order=True))
-    return wide_readings(long, row_id="line_order")
+    return build_wide(spark, root, layout="hive", hot_key_rows=4)
 
 
 @register("long_table_wide", f"{WIDE} SELECT * FROM wide")
@@ -483,7 +570,7 @@ def q_long_table_wide(spark, sf_dir):
     from sensorflow.session import scratch_path
     path = scratch_path(spark, "long-table")
     write_long_table(_readings(spark, sf_dir).drop("ts"), path)
-    return wide_readings(read_long_table(spark, path), row_id="event_id")
+    return wide_readings(read_long_table(spark, path))
 
 
 @register("stream_index_documents", ORACLE["index_documents"])
@@ -501,6 +588,50 @@ def q_stream_index_documents(spark, sf_dir):
     return read_batches(spark, f"{base}/docs").drop("batch_id")
 
 
+@register("stream_index_documents_json", f"""{WIDE_V2}
+SELECT ts_min_bignt AS event_ts_min, co2, humidity, light,
+  temp AS temperature, room, pir, {FLAG.format(p='pir')} AS if_movement
+FROM wide2""")
+def q_stream_index_documents_json(spark, sf_dir):
+    """The second version's index stream: JSON messages, a typed time (null when
+    unparsable), null readings kept."""
+    from sensorflow.plans.jobs import run_index_stream
+    from sensorflow.session import scratch_path
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "index-json")
+    PL.to_messages(_wide_v2(spark, sf_dir), "json", with_key=False).write.json(f"{base}/inbox")
+    q, _ = run_index_stream(spark, "json", f"{base}/inbox", f"{base}/docs", "json",
+                            trigger={"availableNow": True}, time_as="timestamp", fill_value=None)
+    run_available(q)
+    out = read_batches(spark, f"{base}/docs").drop("batch_id")
+    return out.withColumn("event_ts_min", F.unix_seconds("event_ts_min"))
+
+
+@register("stream_dedupe", f"""{WIDE_V2}
+SELECT DISTINCT ts_min_bignt * 1000 AS event_ts_min, coalesce(co2, 0.0) AS co2,
+  coalesce(humidity, 0.0) AS humidity, coalesce(light, 0.0) AS light,
+  coalesce(temp, 0.0) AS temperature, room, coalesce(pir, 0.0) AS pir,
+  {FLAG.format(p='pir')} AS if_movement
+FROM wide2""")
+def q_stream_dedupe(spark, sf_dir):
+    """Every message is written twice, rooms one after another, and read in
+    several batches; each document arrives once and none is lost."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.index_stream import start_index_stream
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "dedupe-stream")
+    wide = _wide_v2(spark, sf_dir).repartitionByRange(3, "room")
+    msgs = PL.to_messages(wide, with_key=False)
+    for _ in range(2):
+        msgs.write.mode("append").text(f"{base}/inbox")
+    source = read_messages(spark, "text", f"{base}/inbox", max_per_trigger=2)
+    q, _ = start_index_stream(source, f"{base}/docs", f"{base}/checkpoint", now=FIXED_NOW,
+                              trigger={"availableNow": True}, distinct=True)
+    run_available(q)
+    return read_batches(spark, f"{base}/docs").drop("batch_id", "event_date", "content_id")
+
+
 @register("stream_index_quarantine", f"""{WIDE_V2}
 SELECT * FROM (
   SELECT ts_min_bignt * 1000 AS event_ts_min, room, coalesce(co2, 0.0) AS co2,
@@ -546,6 +677,32 @@ def q_stream_routed_predictions(spark, sf_dir):
                                  for c in PREDICTION_FIELDS])
 
 
+@register("stream_prediction_messages", f"""{SCORED}
+SELECT CASE WHEN prediction = 1.0 THEN 'moving' ELSE 'no_activity' END AS topic,
+  event_ts_min, room, co2, light, temp, humidity, prediction,
+  round(probability, 6) AS confidence FROM pred""")
+def q_stream_prediction_messages(spark, sf_dir):
+    """Predictions sent as JSON messages to their route's topic;
+    the parsed fields are compared."""
+    from sensorflow.schema import PREDICTION_SCHEMA
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.scoring import start_prediction_messages
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "prediction-messages")
+    # the text time is spoilt on purpose: the sent time comes from the seconds
+    late = _wide(spark, sf_dir).withColumn("event_ts_min", F.lit("late"))
+    PL.to_messages(late, "json").write.json(f"{base}/inbox")
+    q, _ = start_prediction_messages(
+        read_messages(spark, "json", f"{base}/inbox"), FIXED_MODEL, f"{base}/checkpoint", "json",
+        f"{base}/topics", payload_format="json", trigger={"availableNow": True},
+        topics={"activity": "moving"})
+    run_available(q)
+    parsed = F.from_json("value", PREDICTION_SCHEMA)
+    out = read_batches(spark, f"{base}/topics", "json").select("topic", parsed.alias("p"))
+    return out.select("topic", "p.*").withColumn("confidence", F.round("confidence", 6))
+
+
 @register("holdout_accuracy", f"""{SCORED}
 SELECT CAST(count(*) AS BIGINT) AS total,
   CAST(sum(CASE WHEN prediction = label THEN 1 ELSE 0 END) AS BIGINT) AS correct,
@@ -561,8 +718,8 @@ def q_holdout_accuracy(spark, sf_dir):
 
 @register("room_windows", f"""{WIDE}
 SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
-  room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
-  round(avg(temp), 6) AS avg_temp, round(avg(humidity), 6) AS avg_humidity
+  room, CAST(count(*) AS BIGINT) AS n, {_avg('co2')} AS avg_co2,
+  {_avg('temp')} AS avg_temp, {_avg('humidity')} AS avg_humidity
 FROM wide GROUP BY 1, 2""")
 def q_room_windows(spark, sf_dir):
     """E2 in batch form: per room and 4-day window."""
@@ -573,8 +730,8 @@ def q_room_windows(spark, sf_dir):
 @register("stream_room_windows", f"""{WIDE},
 w AS (
   SELECT CAST(floor(ts_min_bignt / {WINDOW_SECONDS}) * {WINDOW_SECONDS} AS BIGINT) AS window_start,
-    room, CAST(count(*) AS BIGINT) AS n, round(avg(co2), 6) AS avg_co2,
-    round(avg(temp), 6) AS avg_temp, round(avg(humidity), 6) AS avg_humidity
+    room, CAST(count(*) AS BIGINT) AS n, {_avg('co2')} AS avg_co2,
+    {_avg('temp')} AS avg_temp, {_avg('humidity')} AS avg_humidity
   FROM wide GROUP BY 1, 2)
 SELECT * FROM w
 WHERE window_start + {WINDOW_SECONDS} <= (SELECT max(ts_min_bignt) FROM wide) - {WATERMARK_SECONDS}""")

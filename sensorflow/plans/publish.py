@@ -20,11 +20,13 @@ from sensorflow.operators.wide import repeat_rows
 def read_table(spark: SparkSession, path: str, fmt: str | None = None, sep: str = ",",
                schema=None) -> DataFrame:
     """A delimited file with header, or Parquet for any other
-    extension (as the reference decides by extension)."""
+    extension (as the reference decides by extension). Without a schema a
+    delimited file's fields stay text: no pass to infer types, and what is
+    published is what the file says (``007`` stays ``007``)."""
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "csv":
         r = spark.read.option("header", True).option("sep", sep)
-        r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
+        r = r.schema(schema) if schema is not None else r
         return r.csv(path)
     return spark.read.parquet(path)
 

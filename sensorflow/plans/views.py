@@ -14,7 +14,10 @@ VIEW_FLAGGED = "sensor_flagged"
 
 
 def register_views(spark: SparkSession, long: DataFrame, **wide_options) -> dict[str, DataFrame]:
-    """Register the three views over ``long`` readings; returns the frames."""
+    """Register the three views over ``long`` readings; returns the frames.
+
+    Give ``long`` with the sensor as a stored or partition column, or as a
+    union of one frame per sensor: each join side then reads its own only."""
     wide = wide_readings(long, **wide_options)
     flagged = with_movement(wide)
     frames = {VIEW_LONG: long, VIEW_WIDE: wide, VIEW_FLAGGED: flagged}

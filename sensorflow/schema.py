@@ -38,26 +38,17 @@ RAW_FILE_SCHEMA = T.StructType([
     T.StructField("sensor_value", T.StringType(), True),
 ])
 
-# Long (one reading per row) form after cleaning.
-LONG_SCHEMA = T.StructType([
-    T.StructField("room", T.StringType(), True),
-    T.StructField("sensor", T.StringType(), True),
-    T.StructField("ts_min_bignt", T.LongType(), True),
-    T.StructField("sensor_value", T.DoubleType(), True),
-])
-
 # The wide reading. Times are epoch seconds; the text time is kept
 # for the delimited interchange format.
-WIDE_SCHEMA = T.StructType([
-    T.StructField("event_ts_min", T.StringType(), True),
-    T.StructField("ts_min_bignt", T.LongType(), True),
-    T.StructField("room", T.StringType(), True),
-    T.StructField("co2", T.DoubleType(), True),
-    T.StructField("light", T.DoubleType(), True),
-    T.StructField("temp", T.DoubleType(), True),
-    T.StructField("humidity", T.DoubleType(), True),
-    T.StructField("pir", T.DoubleType(), True),
-])
+_TYPES = {"event_ts_min": T.StringType(), "room": T.StringType(), "ts_min_bignt": T.LongType()}
+
+
+def _fields(names) -> T.StructType:
+    """Texts and epoch seconds by name; every other field is a double."""
+    return T.StructType([T.StructField(n, _TYPES.get(n, T.DoubleType()), True) for n in names])
+
+
+WIDE_SCHEMA = _fields(WIDE_COLUMNS)
 
 # JSON payload with the same eight names. Doubles, not floats: through
 # float 24.06 turns into 24.059999465942383 and training and scoring would
@@ -65,16 +56,7 @@ WIDE_SCHEMA = T.StructType([
 JSON_PAYLOAD_SCHEMA = WIDE_SCHEMA
 
 # Prediction message.
-PREDICTION_SCHEMA = T.StructType([
-    T.StructField("event_ts_min", T.StringType(), True),
-    T.StructField("room", T.StringType(), True),
-    T.StructField("co2", T.DoubleType(), True),
-    T.StructField("light", T.DoubleType(), True),
-    T.StructField("temp", T.DoubleType(), True),
-    T.StructField("humidity", T.DoubleType(), True),
-    T.StructField("prediction", T.DoubleType(), True),
-    T.StructField("confidence", T.DoubleType(), True),
-])
+PREDICTION_SCHEMA = _fields(PREDICTION_FIELDS)
 
 # Topic-like message: what a broker source delivers, reduced to what we use.
 MESSAGE_SCHEMA = T.StructType([
@@ -82,6 +64,3 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), True),
 ])
 
-
-def wide_ddl() -> str:
-    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in WIDE_SCHEMA.fields)

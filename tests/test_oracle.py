@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from sensorflow.plans.catalog import ORACLE, QUERIES
 
 from .conftest import SF_SMALL
 
@@ -47,14 +48,14 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql():
-    missing = set(queries()) - set(oracle_sql())
-    assert missing == set()
+    assert set(QUERIES) == set(ORACLE)
+    assert QUERIES.items() <= queries().items() and ORACLE.items() <= oracle_sql().items()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    sdf = queries()[name](spark, SF_SMALL).toPandas()
-    sql = oracle_sql().get(name)
+    sdf = QUERIES[name](spark, SF_SMALL).toPandas()
+    sql = ORACLE.get(name)
     if sql is None:
         pytest.skip("rows-only query")
     ddf = duck.execute(sql).df()
