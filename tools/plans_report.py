@@ -19,7 +19,8 @@ DETAIL = ("wide_join", "wide_salted", "wide_latest", "long_table_wide", "scored"
           "missing_sensors", "index_documents")
 SIDE_EFFECTS = {"file_tree_wide", "long_table_wide", "stream_index_documents",
                 "stream_routed_predictions", "stream_room_windows", "stream_windowed_accuracy",
-                "stream_index_quarantine"}
+                "stream_index_quarantine", "file_tree_salted", "stream_index_documents_json",
+                "stream_dedupe", "stream_prediction_messages", "fit_and_score", "series_sorted"}
 
 
 def summary(plan: str) -> dict:
@@ -37,12 +38,12 @@ def summary(plan: str) -> dict:
 
 
 def main(argv):
-    from __spark_entry__ import queries
+    from sensorflow.plans.catalog import QUERIES
     from sensorflow.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.1"
     spark = build_session("local[8]", "plans-report")
-    qs = queries()
+    qs = QUERIES
     out = ["# PLANS", "",
            f"Physical plans at `{sf_dir}` with `spark.sql.autoBroadcastJoinThreshold=-1`",
            "(no table counts as small), AQE on, before runtime re-planning. Generated by",
