@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorflow.llm.common import ship
@@ -237,16 +238,12 @@ def top_k(
     hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
         search, "query_id bigint, vec_id bigint, score bigint"
     )
-    # the k best per query; a struct orders by score, then by the smaller id
-    ranked = (
+    # the limit on the rank is pushed before the shuffle: a task hands on k rows a query
+    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return (
         hits.groupBy("query_id", "vec_id")
         .agg(F.max("score").alias("score"))
-        .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("low"), "vec_id"))).alias("hits"))
-    )
-    return ranked.select("query_id", F.posexplode(F.slice("hits", 1, k)).alias("at", "hit")).select(
-        "query_id",
-        (F.col("at") + 1).cast("int").alias("rank"),
-        F.col("hit.vec_id").alias("vec_id"),
-        (-F.col("hit.low")).alias("score"),
+        .withColumn("rank", F.row_number().over(best))
+        .where(F.col("rank") <= k)
+        .select("query_id", "rank", "vec_id", "score")
     )
