@@ -49,8 +49,3 @@ def complete(cols) -> Column:
     that holds the column."""
     return reduce(lambda a, b: a & b,
                   [F.col(c).isNotNull() & ~F.isnan(F.col(c)) for c in cols])
-
-
-def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
-    """drop rows with any null (or NaN) column, as ``dropna('any')``."""
-    return df.dropna(how="any", subset=list(subset) if subset else None)
