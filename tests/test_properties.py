@@ -69,8 +69,7 @@ def test_join_matches_brute_force(spark, rows):
     for drop in (True, False):
         want = sorted(_brute_join(rows, drop), key=_key)
         plain = wide_readings(long, drop_incomplete=drop)
-        salted = wide_readings(long, drop_incomplete=drop, row_id="rid", hot_key_rows=1,
-                               max_copy_ratio=8.0)
+        salted = wide_readings(long, drop_incomplete=drop, row_id="rid", hot_key_rows=1)
         assert _spark_rows(plain) == want
         assert _spark_rows(salted) == want
 
