@@ -192,7 +192,9 @@ def score_documents(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     docs = documents.select("doc_id", "text")
     vocab = vocabulary(docs)
     marks = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    flagged = docs.join(marks.withColumn("is_target", F.lit(True)), "doc_id", "left")
+    # target ids grow with the corpus: merged at every size, never broadcast
+    marks = marks.withColumn("is_target", F.lit(True)).hint("merge")
+    flagged = docs.join(marks, "doc_id", "left")
     target, background = fit(gather(flagged, vocab), vocab)
     shared = spark.sparkContext.broadcast((vocab, target, background))
 
