@@ -2,19 +2,20 @@
 
 Equal texts (by md5) are one node. A node's words are cut into five-word
 k-mers, each labelled with its occurrence number. For each of ``SKETCHES`` hash
-functions the ``TAKEN`` labelled k-mers with the least hashes are taken and kept
-in the order of the text: two texts agree in a sketch when they share these
-k-mers *and* their order, which follows edit rather than set similarity.
-
-Nodes that agree in a sketch are a bucket. Its members are aligned with the
-bucket's least member (edit distance over words in a band that doubles up to
-the allowed number of edits); those with an edit similarity of ``SIMILARITY`` or
-more are linked. A bucket with a member that fails goes into another round, as a
-whole, under a key longer by one more sketch and with the greatest and least
-member in turn to be compared with, until no bucket holds a failure. So the work
-is linear in a bucket's size each round, texts that merely share a passage part
-after a few sketches, and no partner is capped. Classes are the connected
-components of the links.
+functions the labelled k-mer with the least hash is a node's key, and the
+``TAKEN`` k-mers with the least hashes, in the order of the text, are its ordered
+sketch: two texts agree in a sketch when they share these k-mers *and* their
+order, which follows edit rather than set similarity.
+
+Ordered sketches link most near copies in linear work: nodes that agree in one
+are aligned with the least of them (edit distance over words in a band that
+doubles up to the allowed number of edits), and linked at an edit similarity of
+``SIMILARITY`` or more. Keys then decide what is a candidate, as more pairs agree
+in them. Where a key's nodes are not all connected by now, each two of them that
+are not connected are compared, in blocks of about ``BLOCK`` nodes: first by word
+counts in ``BINS`` bins, a bound that no similar pair fails, and what passes is
+aligned. So every pair that agrees in a key is connected, ruled out or aligned.
+Classes are the connected components of the links.
 
 Null texts count as empty, and all empty texts are one class. Texts of fewer
 than five words are one k-mer; texts without words have only equal texts as
@@ -40,6 +41,10 @@ SKETCHES = 32
 TAKEN = 2
 SIMILARITY = 0.8
 CACHED_WORDS = 500_000
+#: Bins of the word counts, nodes of a block, and rows of a group of blocks.
+BINS = 128
+BLOCK = 2048
+GROUP = 8192
 #: Pairs aligned side by side, narrowest band, and most cells held at once.
 SIDE_BY_SIDE = 64
 BAND = 8
@@ -67,10 +72,11 @@ def word_hashes(text: str, seen: dict[str, int]) -> np.ndarray:
     return np.fromiter(map(seen.__getitem__, found), np.uint64, len(found))
 
 
-def sketches(words: np.ndarray, count: int = SKETCHES) -> np.ndarray:
-    """``count`` order-sensitive sketches of a sequence of word hashes."""
+def keys_and_sketches(words: np.ndarray, count: int = SKETCHES) -> tuple[np.ndarray, np.ndarray]:
+    """``count`` keys and ``count`` order-sensitive sketches of a sequence of
+    word hashes."""
     if not len(words):
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     n = max(1, len(words) - WORDS + 1)
     kmers = np.zeros(n, dtype=np.uint64)
     for k in range(min(WORDS, len(words))):
@@ -82,7 +88,7 @@ def sketches(words: np.ndarray, count: int = SKETCHES) -> np.ndarray:
     nth = np.empty(n, dtype=np.uint64)
     nth[order] = (np.arange(n) - first).astype(np.uint64)
     labelled = _mix(kmers + nth * np.uint64(0x9E3779B97F4A7C15))
-    out = np.empty(count, dtype=np.uint64)
+    least, out = np.empty(count, dtype=np.uint64), np.empty(count, dtype=np.uint64)
     rows = max(1, min(count, 500_000 // n))  # bounds the hashes laid out at once
     for i in range(0, count, rows):
         seeds = _SEEDS[i : min(i + rows, count), None]
@@ -94,12 +100,51 @@ def sketches(words: np.ndarray, count: int = SKETCHES) -> np.ndarray:
         for t in range(places.shape[1]):
             places[:, t] = values.argmin(axis=1)
             values[at, places[:, t]] = np.iinfo(np.uint64).max
+        least[i : i + rows] = labelled[places[:, 0]]
         places.sort(axis=1)  # the order of the text
         mixed = np.zeros(len(seeds), dtype=np.uint64)
         for t in range(places.shape[1]):
             mixed = _mix(mixed + kmers[places[:, t]])
         out[i : i + rows] = mixed
-    return out.view(np.int64)
+    return least.view(np.int64), out.view(np.int64)
+
+
+def sketches(words: np.ndarray, count: int = SKETCHES) -> np.ndarray:
+    """``count`` order-sensitive sketches of a sequence of word hashes."""
+    return keys_and_sketches(words, count)[1]
+
+
+def binned(words: np.ndarray) -> np.ndarray:
+    """Counts of the words in ``BINS`` bins, up to 255 each."""
+    return np.minimum(np.bincount(words % BINS, minlength=BINS), 255).astype(np.uint8)
+
+
+def unlike(n_a, bins_a, n_b, bins_b) -> np.ndarray:
+    """Which pairs cannot be similar, by their numbers of words and bins: words
+    of one bin count as shared, and so do all that a full bin leaves out."""
+    longer = np.maximum(n_a, n_b)
+    shared = np.minimum(bins_a, bins_b).sum(axis=1, dtype=np.int64)
+    shared += np.minimum(n_a - bins_a.sum(axis=1, dtype=np.int64), n_b - bins_b.sum(axis=1, dtype=np.int64))
+    return longer - shared > np.floor((1 - SIMILARITY) * longer + 1e-9)
+
+
+def candidates(node, root, n, bins, left, right) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of places, one from each of ``left`` and ``right``, of different
+    roots and not ruled out by their bins."""
+    for i in range(0, len(left), 256):
+        rows = left[i : i + 256]
+        low = np.minimum(n[rows][:, None], n[right][None]) + np.floor(
+            (1 - SIMILARITY) * np.maximum(n[rows][:, None], n[right][None]) + 1e-9
+        )
+        near = (root[rows][:, None] != root[right][None]) & (
+            np.maximum(n[rows][:, None], n[right][None]) <= low
+        )
+        x, y = np.nonzero(near)
+        x, y = rows[x], right[y]
+        for k in range(0, len(x), 65_536):
+            a, b = x[k : k + 65_536], y[k : k + 65_536]
+            good = ~unlike(n[a], bins[a], n[b], bins[b])
+            yield node[a[good]], node[b[good]]
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,85 +266,119 @@ def _written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def aligned(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
+    """(a, b, ok) for the pairs (a, b) of ids of ``sequences``."""
+    words = sequences.select("id", "words")
+    sides = pairs.join(words.toDF("a", "x"), "a").join(words.toDF("b", "y"), "b")
+
+    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i in range(0, len(batch), 1024):
+                part = batch.iloc[i : i + 1024]
+                turned = [
+                    (np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
+                    for x, y in zip(part["x"], part["y"])
+                ]
+                yield pd.DataFrame({"a": part["a"], "b": part["b"], "ok": similar(turned)})
+
+    return sides.mapInPandas(align, "a bigint, b bigint, ok boolean")
+
+
+def _unconnected(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
+    """Pairs (a, b) that agree in a key, differ in their root and are not ruled
+    out by their bins."""
+    known = sequences.select("id", "keys").join(roots.toDF("id", "root"), "id", "left")
+    members = known.select(
+        "id", F.coalesce("root", "id").alias("root"), F.posexplode("keys").alias("j", "key")
+    ).select("id", "root", F.xxhash64("j", "key").alias("key"))
+    several = (
+        members.groupBy("key")
+        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low != high")
+        .select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), "n")
+    )
+    buckets = _written(several, folder, "buckets")
+    groups = 64 + (buckets.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // GROUP
+    counts = sequences.select("id", F.col("n").cast("bigint").alias("words"), "bins")
+    dealt = (
+        members.join(buckets.select("key", "blocks"), "key")
+        .withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
+        .join(counts, "id")
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+        .withColumn("unit", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+        .withColumn("group", F.pmod("unit", F.lit(groups)))
+        .select("group", "unit", "key", "id", "root", "words", "bins", "own", "other")
+    )
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part["low"], part["high"] = part[["own", "other"]].min(axis=1), part[["own", "other"]].max(axis=1)
+        part = part.sort_values(["key", "low", "high"], kind="stable")
+        unit = part[["key", "low", "high"]].to_numpy()
+        starts = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(axis=1)])
+        node, root, n = (part[c].to_numpy(np.int64) for c in ("id", "root", "words"))
+        own, low = part["own"].to_numpy(), part["low"].to_numpy()
+        bins = np.frombuffer(b"".join(part["bins"]), np.uint8).reshape(len(part), BINS)
+        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for start, end in zip(starts, np.r_[starts[1:], len(part)]):
+            if (root[start:end] == root[start]).all():
+                continue
+            at = np.arange(start, end)
+            first = own[at] == low[at]
+            left, right = (at, at) if first.all() else (at[first], at[~first])
+            for a, b in candidates(node, root, n, bins, left, right):
+                found.append((np.minimum(a, b), np.maximum(a, b)))
+        a, b = (np.concatenate([f[side] for f in found]) for side in (0, 1))
+        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+
+    return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint").distinct()
+
+
 def links(nodes: DataFrame, folder: str) -> DataFrame:
     """Linked pairs (a, b) among ``nodes`` (node, text of distinct nodes)."""
-    spark = nodes.sparkSession
-    ship(spark)
+    ship(nodes.sparkSession)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
         for batch in batches:
             words = [word_hashes(t, seen) for t in batch["text"]]
+            both = [keys_and_sketches(w) for w in words]
+            words = [w.astype(np.uint32) for w in words]
             yield pd.DataFrame(
                 {
+                    "id": batch["id"],
                     "node": batch["node"],
-                    "words": [w.astype(np.uint32).tobytes() for w in words],
-                    "sketches": [sketches(w) for w in words],
+                    "n": [len(w) for w in words],
+                    "words": [w.tobytes() for w in words],
+                    "bins": [binned(w).tobytes() for w in words],
+                    "keys": [k for k, _ in both],
+                    "sketches": [s for _, s in both],
                 }
             )
 
+    # short ids, fixed once they are written
     sequences = _written(
-        nodes.mapInPandas(sketch, "node string, words binary, sketches array<bigint>"),
+        nodes.select(F.monotonically_increasing_id().alias("id"), "node", "text").mapInPandas(
+            sketch,
+            "id bigint, node string, n int, words binary, bins binary,"
+            " keys array<bigint>, sketches array<bigint>",
+        ),
         folder, "sequences",
     )
-    members = sequences.select("node", F.posexplode("sketches").alias("j", "key"))
-    members = members.select("node", "j", F.xxhash64("j", "key").alias("key"))
-    verified = None
-    for turn in range(1, SKETCHES + 1):
-        other = F.min("node") if turn % 2 else F.max("node")
-        buckets = members.groupBy("key").agg(F.count("*").alias("n"), other.alias("other")).where("n > 1")
-        pairs = _written(
-            members.join(buckets.select("key", "other"), "key").where("node != other"),
-            folder, f"pairs-{turn}",
-        )
-        wanted = pairs.select(
-            F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
-        ).distinct()
-        if verified is not None:
-            wanted = wanted.join(verified, ["a", "b"], "left_anti")
-        words = sequences.select("node", "words")
-        sides = wanted.join(words.toDF("a", "x"), "a").join(words.toDF("b", "y"), "b")
-
-        def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for batch in batches:
-                for i in range(0, len(batch), 1024):
-                    part = batch.iloc[i : i + 1024]
-                    turned = [
-                        (np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32))
-                        for x, y in zip(part["x"], part["y"])
-                    ]
-                    yield pd.DataFrame({"a": part["a"], "b": part["b"], "ok": similar(turned)})
-
-        now = _written(
-            sides.mapInPandas(align, "a string, b string, ok boolean"), folder, f"verified-{turn}"
-        )
-        verified = now if verified is None else verified.union(now)
-        if turn == SKETCHES:
-            break
-        failed = verified.where("NOT ok").select("a", "b")
-        failing = (
-            pairs.select(
-                "key", F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
-            )
-            .join(failed, ["a", "b"], "left_semi")
-            .select("key")
-            .distinct()
-        )
-        more = sequences.select("node", "sketches")
-        members = _written(
-            members.join(failing, "key", "left_semi")
-            .join(more, "node")
-            .select(
-                "node",
-                "j",
-                F.xxhash64("key", F.get("sketches", (F.col("j") + turn) % SKETCHES)).alias("key"),
-            ),
-            folder,
-            f"members-{turn + 1}",
-        )
-        if members.isEmpty():
-            break
-    return verified.where("ok").select("a", "b")
+    members = sequences.select("id", F.posexplode("sketches").alias("j", "key"))
+    members = members.select("id", F.xxhash64("j", "key").alias("key"))
+    least = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1")
+    stars = members.join(least.select("key", "a"), "key").where("id != a")
+    first = _written(
+        aligned(stars.select("a", F.col("id").alias("b")).distinct(), sequences), folder, "first"
+    )
+    roots = components(first.where("ok").select("a", "b"))
+    rest = _unconnected(sequences, roots, folder).join(first.select("a", "b"), ["a", "b"], "left_anti")
+    second = _written(aligned(rest, sequences), folder, "second")
+    name = sequences.select("id", "node")
+    linked = first.union(second).where("ok")
+    return linked.join(name.toDF("a", "x"), "a").join(name.toDF("b", "y"), "b").select(
+        F.col("x").alias("a"), F.col("y").alias("b")
+    )
 
 
 def classes(documents: DataFrame) -> DataFrame:

@@ -153,6 +153,46 @@ def test_near_duplicates_against_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(i) for i in root})
 
 
+def substituted(rng, words, share):
+    out = list(words)
+    for k in rng.sample(range(len(out)), int(share * len(out))):
+        out[k] = f"n{rng.randrange(10**9)}"
+    return out
+
+
+def test_pairs_behind_an_unlike_text_are_linked(spark):
+    """Each pair shares a long passage with all, so that one text that is like
+    none of them leads their buckets."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage = [word() for _ in range(100)]
+    rows = []
+    for i in range(40):
+        own = [word() for _ in range(200)]
+        rows.append((2 * i, " ".join(passage + own)))
+        rows.append((2 * i + 1, " ".join(passage + substituted(rng, own, 0.28))))
+    docs = spark.createDataFrame([(*r, None, None, 1) for r in rows], SCHEMA).repartition(3)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_duplicates(docs).collect()}
+    assert got == {i: i - i % 2 for i in range(80)}
+
+
+def test_near_duplicates_in_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(*r, None, None, 1) for r in near_rows()], SCHEMA)
+    want = {tuple(r) for r in near_dedup.near_duplicates(docs).collect()}
+    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    assert {tuple(r) for r in near_dedup.near_duplicates(docs).collect()} == want
+
+
+def test_bins_rule_out_no_similar_pair():
+    rng = np.random.default_rng(5)
+    for n in (5, 300, 60_000):
+        a = rng.integers(0, 50, n).astype(np.uint32)
+        b = a.copy()
+        b[: int(0.2 * n)] = 10**6 + np.arange(int(0.2 * n), dtype=np.uint32)
+        n_words, bins = np.array([n]), [near_dedup.binned(w)[None] for w in (a, b)]
+        assert not near_dedup.unlike(n_words, bins[0], n_words, bins[1])[0]
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == 12
