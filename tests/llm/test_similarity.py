@@ -183,6 +183,18 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert {tuple(r) for r in near_dedup.near_duplicates(docs).collect()} == want
 
 
+@pytest.mark.parametrize("share", [0.15, 0.2])
+def test_keys_find_pairs_at_the_threshold(share):
+    rng = random.Random(6)
+    missed = 0
+    for _ in range(300):
+        a = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+        b = substituted(rng, a, share)
+        x, y = (near_dedup.keys_and_sketches(near_dedup.word_hashes(" ".join(t), {}))[0] for t in (a, b))
+        missed += not (x == y).any()
+    assert missed <= 6
+
+
 def test_bins_rule_out_no_similar_pair():
     rng = np.random.default_rng(5)
     for n in (5, 300, 60_000):
