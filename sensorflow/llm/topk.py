@@ -15,7 +15,7 @@ seed only prunes: results are exact.
 Vectors that are null, or hold a null or non-finite component, take no part;
 vectors are matched with vectors of their own length only. Components become
 floor(64 x). Repeated rows (equal id and vector) count once; rows of one id
-never match each other. Scores tie to the smaller id.
+never match each other, and an id's best row counts. Scores tie to the smaller id.
 """
 
 from __future__ import annotations
@@ -96,6 +96,7 @@ class Search:
 
     def __init__(self, queries, query_ids, worst, candidates, candidate_ids, k: int = K) -> None:
         self.q, self.q_ids, self.c, self.c_ids, self.k = queries, query_ids, candidates, candidate_ids, k
+        self.repeated = len(np.unique(candidate_ids)) < len(candidate_ids)
         self.worst = worst.copy()  # a candidate below it cannot be among the k best
         self.best: list[tuple[np.ndarray, np.ndarray]] = [
             (np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in queries
@@ -141,7 +142,10 @@ class Search:
             q, good = q_rows[row], hopeful[row]
             s = np.concatenate([self.best[q][0], scores[row][good]])
             i = np.concatenate([self.best[q][1], ids[good]])
-            top = np.lexsort((i, -s))[: self.k]
+            top = np.lexsort((i, -s))
+            if self.repeated:  # the best row of each id
+                top = top[np.sort(np.unique(i[top], return_index=True)[1])]
+            top = top[: self.k]
             self.best[q] = (s[top], i[top])
             if len(top) == self.k:
                 self.worst[q] = max(self.worst[q], s[top][-1])
@@ -190,9 +194,9 @@ def top_k(
     c_blocks = max(1, -(-n_points // candidates_per_block))
     q_blocks = max(1, -(-n_queries // queries_per_block))
 
-    # a bounded sample by the id's hash; it only starts the thresholds
+    # a bounded sample by the row's hash; it only starts the thresholds
     share = min(1.0, seed_rows / max(1, n_points))
-    sampled = points.where(F.xxhash64("vec_id", F.lit(1)) / F.lit(2.0**64) + 0.5 < share)
+    sampled = points.where(F.xxhash64("vec_id", "v", F.lit(1)) / F.lit(2.0**64) + 0.5 < share)
     seed = [(r["dim"], r["vec_id"], r["v"]) for r in sampled.limit(2 * seed_rows).collect()]
     by_dim: dict[int, tuple] = {}
     for dim in {d for d, _, _ in seed}:
@@ -214,7 +218,8 @@ def top_k(
             yield batch.assign(floor=floor)
 
     started = queries.mapInPandas(start, "vec_id bigint, v array<bigint>, dim int, floor bigint")
-    block = lambda n, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(n))
+    # by id and vector, so that the rows of a frequent id are spread
+    block = lambda n, salt: F.pmod(F.xxhash64("vec_id", "v", F.lit(salt)), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
     right = points.withColumn("c", block(c_blocks, 2)).withColumn("q", every(q_blocks))
     left = started.withColumn("q", block(q_blocks, 3)).withColumn("c", every(c_blocks))

@@ -253,6 +253,26 @@ def test_top_k_against_brute_force(spark, spread):
     assert result == want
 
 
+def test_top_k_counts_ids_and_not_rows(spark):
+    """One id holds a third of the rows, with different and good vectors."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(200)]
+    rows += [(7, (3 + 0.1 * rng.normal(size=4)).tolist()) for _ in range(100)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = topk.top_k(frame, lambda i: i % 20 == 0, k=20, candidates_per_block=64, queries_per_block=6, seed_rows=80)
+    result = {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()}
+    points = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows]
+    want = set()
+    for q, v in (p for p in points if p[0] % 20 == 0):
+        best = {}
+        for c, w in points:
+            if c != q:
+                best[c] = max(best.get(c, -(2**62)), int(v @ w))
+        ranked = sorted((-s, c) for c, s in best.items())[:20]
+        want |= {(q, n + 1, c, -s) for n, (s, c) in enumerate(ranked)}
+    assert result == want
+
+
 def test_top_k_with_large_numbers_and_no_rows(spark):
     rows = [(i, [float(2**27 * (i % 5)), float(3 * i)]) for i in range(0, 60, 3)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
