@@ -6,7 +6,8 @@ more characters), ``access`` (an AKIA key of 20 or more characters) and ``hex``
 more key characters whose characters per token, under a tiktoken vocabulary,
 stay below ``ratio``. Natural words are few tokens; random strings are many.
 Excluded are digests of known length, UUIDs, numbers and identifiers (words of
-letters, also joined by ``_``, ``-`` or ``/``), and runs inside a base span.
+letters, also joined by ``_``, ``-`` or ``/``, that take few tokens in lower
+case), and runs inside a base span.
 
 Null texts count as empty and have no spans. Offsets are code points, ends
 exclusive.
@@ -48,6 +49,7 @@ _NUMBER = re.compile(r"[0-9+/_=-]+")
 _IDENTIFIER = re.compile(
     r"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}[+/_=-]+)*(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}[+/_=-]*"
 )
+_LETTERS = re.compile(r"[A-Za-z]{3,}")
 
 
 @lru_cache(maxsize=2)
@@ -57,19 +59,26 @@ def vocabulary(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def is_known(run: str) -> bool:
-    """Digests of known length, UUIDs, numbers and identifiers."""
-    if len(run) in _DIGEST_LENGTHS and _DIGEST.fullmatch(run):
-        return True
-    return any(p.fullmatch(run) for p in (_UUID, _NUMBER, _IDENTIFIER))
-
-
 def chars_per_token(run: str, enc: tiktoken.Encoding) -> float:
     """Over steps of 256 characters, so long runs cost linear time."""
     steps = [run[i : i + STEP] for i in range(0, len(run), STEP)]
     return len(run) / sum(len(enc.encode_ordinary(s)) for s in steps)
 
 
+def is_known(run: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> bool:
+    """Digests of known length, UUIDs, numbers and identifiers of words; letters
+    that take many tokens are no words, parts of one or two letters may be."""
+    if len(run) in _DIGEST_LENGTHS and _DIGEST.fullmatch(run):
+        return True
+    if _UUID.fullmatch(run) or _NUMBER.fullmatch(run):
+        return True
+    if not _IDENTIFIER.fullmatch(run):
+        return False
+    words = [w.lower() for w in _LETTERS.findall(run)]
+    tokens = sum(len(w) / chars_per_token(w, enc) for w in words)
+    return sum(map(len, words)) >= ratio * tokens
+
+
 def find_spans(text: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     """(start, kind, end) ascending; kinds by their place in KINDS."""
     found: list[tuple[int, int, int]] = []
@@ -87,7 +96,7 @@ def find_spans(text: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> list[
         s, e = m.span()
         while at < len(base) and base[at][0] <= s:
             reach, at = max(reach, base[at][1]), at + 1
-        if e > reach and not is_known(m[0]) and chars_per_token(m[0], enc) < ratio:
+        if e > reach and not is_known(m[0], enc, ratio) and chars_per_token(m[0], enc) < ratio:
             found.append((s, 3, e))
     return sorted(found)
 

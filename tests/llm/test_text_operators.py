@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import string
 import zlib
 
 import numpy as np
@@ -120,6 +121,18 @@ def test_secrets_base_and_random():
     assert kinds[3] == ["random"] and kinds[4] == ["hex"] and kinds[5] == [] and kinds[7] == []
 
 
+def test_secrets_of_one_letter_case():
+    enc = secrets.vocabulary(RANKS_FILE)
+    rng = random.Random(3)
+    for letters in (string.ascii_lowercase, string.ascii_uppercase):
+        keys = ["".join(rng.choices(letters, k=32)) for _ in range(100)]
+        texts = keys + [f"{k[:16]}-{k[16:]}42" for k in keys]
+        assert sum(secrets.find_spans(f"a {t} b", enc) == [(2, 3, 2 + len(t))] for t in texts) >= 170
+    for name in ("internationalization", "INTERNATIONALIZATION", "a_b_c_d_e_f_g_h_i_j_k_l", "MAX_CONNECTION_TIMEOUT_SECONDS",
+                 "get_default_configuration_value", "http/server/handler/request"):
+        assert secrets.find_spans(name, enc) == []
+
+
 def test_scan_and_redact(spark, odd, empty):
     docs = spark.createDataFrame(
         [(i, t, 5) for i, t in enumerate(SECRETS)] + [(None, None, None)],
