@@ -4,7 +4,9 @@ Base kinds: ``assign`` (a keyword, an equals sign or colon, a value of six or
 more characters), ``access`` (an AKIA key of 20 or more characters) and ``hex``
 (24 or more lower-case hex digits). The method adds ``random``: a run of 20 or
 more key characters whose characters per token, under a tiktoken vocabulary,
-stay below ``ratio``. Natural words are few tokens; random strings are many.
+stay below ``ratio``. Natural words are few tokens; random strings are many. If
+a run passes, its parts between ``/`` and ``=`` are tested, and in those that pass
+the parts of letters and digits, each if it has 20 or more characters.
 Excluded are digests of known length, UUIDs, numbers and identifiers (words of
 letters, also joined by ``_``, ``-`` or ``/``, that take few tokens in lower
 case), and runs inside a base span.
@@ -49,6 +51,8 @@ _NUMBER = re.compile(r"[0-9+/_=-]+")
 _IDENTIFIER = re.compile(
     r"[+/_=-]*(?:(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}[+/_=-]+)*(?:[A-Z]?[a-z]+|[A-Z]+)[0-9]{0,4}[+/_=-]*"
 )
+#: Parts of a run, the longer ones first.
+_PARTS = (re.compile(rf"[^/=]{{{MIN_RUN},}}"), re.compile(rf"[A-Za-z0-9]{{{MIN_RUN},}}"))
 _LETTERS = re.compile(r"[A-Za-z]{3,}")
 
 
@@ -79,6 +83,19 @@ def is_known(run: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> bool:
     return sum(map(len, words)) >= ratio * tokens
 
 
+def random_parts(run: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int]]:
+    """The run if it takes many tokens, else its longest parts that do."""
+    todo, found = [(0, len(run), 0)], []
+    while todo:
+        s, e, level = todo.pop()
+        part = run[s:e]
+        if not is_known(part, enc, ratio) and chars_per_token(part, enc) < ratio:
+            found.append((s, e))
+        elif level < len(_PARTS):
+            todo += [(s + m.start(), s + m.end(), level + 1) for m in _PARTS[level].finditer(part)]
+    return sorted(found)
+
+
 def find_spans(text: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> list[tuple[int, int, int]]:
     """(start, kind, end) ascending; kinds by their place in KINDS."""
     found: list[tuple[int, int, int]] = []
@@ -93,11 +110,12 @@ def find_spans(text: str, enc: tiktoken.Encoding, ratio: float = RATIO) -> list[
     base = sorted((s, e) for s, _, e in found)
     at, reach = 0, -1
     for m in _RUN.finditer(text):
-        s, e = m.span()
-        while at < len(base) and base[at][0] <= s:
-            reach, at = max(reach, base[at][1]), at + 1
-        if e > reach and not is_known(m[0], enc, ratio) and chars_per_token(m[0], enc) < ratio:
-            found.append((s, 3, e))
+        for s, e in random_parts(m[0], enc, ratio):
+            s, e = m.start() + s, m.start() + e
+            while at < len(base) and base[at][0] <= s:
+                reach, at = max(reach, base[at][1]), at + 1
+            if e > reach:
+                found.append((s, 3, e))
     return sorted(found)
 
 

@@ -133,6 +133,20 @@ def test_secrets_of_one_letter_case():
         assert secrets.find_spans(name, enc) == []
 
 
+@pytest.mark.parametrize("before", ["config/production/settings/database/", "https//example/download/files/", "production-database-connection_"])
+def test_secrets_beside_words(before):
+    enc = secrets.vocabulary(RANKS_FILE)
+    rng = random.Random(5)
+    for size in (24, 40):
+        found = 0
+        for _ in range(100):
+            key = "".join(rng.choices(string.ascii_letters + string.digits, k=size))
+            spans = secrets.find_spans(f"see {before}{key} here", enc)
+            found += any(s <= 4 + len(before) and e == 4 + len(before) + size for s, _, e in spans)
+        assert found >= 98
+    assert secrets.find_spans(f"see {before}123e4567-e89b-12d3-a456-426614174000 or {before}12345678901234567890123", enc) == []
+
+
 def test_scan_and_redact(spark, odd, empty):
     docs = spark.createDataFrame(
         [(i, t, 5) for i, t in enumerate(SECRETS)] + [(None, None, None)],
