@@ -1,26 +1,26 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models share one vocabulary, the ``VOCABULARY`` most frequent words
-of the corpus and one unknown word: the target model counts the target
-documents, the background model all documents. They are matched: background
-counts are scaled to the target's number of tokens before both are smoothed
-alike. The ``HEAD`` most frequent words, the rest and a text's beginning are the
-classes of a class-based bigram, mixed with the unigram distribution:
+Two word-bigram models share one vocabulary, all words of the corpus and one
+unknown word: the target model counts the target documents, the background model
+all documents. They are matched: background counts are scaled to the target's
+number of tokens before both are smoothed alike. A text's beginning counts as a
+word before its first:
 
-    p(w | v) = mix * c(V, W) / c(V) * p(w | W) + (1 - mix) * p(w)
+    p(w | v) = mix * c(v, w) / c(v) + (1 - mix) * p(w)
 
 A document's score is the mean over its tokens of the target model's loss less
 the background model's, in nats: below zero it is more like the target.
 
-All counts cover all documents. What a model holds is bounded by the vocabulary
-and the square of the classes. A document without words has losses and score 0;
+All bigrams of all documents are counted, as a table; nothing is pruned. Words,
+bigrams and texts are told apart by 64-bit hashes. Documents' bigrams are joined
+with the table, but for the ``HOT`` most frequent ones, whose losses are broadcast.
+A document without words has losses and score 0;
 if no target document has a word, both models are uniform and every score is 0.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,12 +30,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.llm.common import ship
+from sensorflow.llm.near_dedup import word_hashes
+from sensorflow.session import scratch_path
 
+#: Sizes of the class-based form (Coder, Model), which the scores no longer use.
 VOCABULARY = 65_000
 HEAD = 2046
 MIX = 0.7
-#: Entries a task counts before it hands them on.
-HELD = 500_000
+#: Bigrams whose losses are broadcast, and tokens a task counts at once.
+HOT = 200_000
+TOKENS = 2_000_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -44,31 +48,6 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def vocabulary(texts: DataFrame, size: int = VOCABULARY) -> list[str]:
-    """The ``size`` most frequent words of ``text``, ties by the word."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[str] = Counter()
-        for batch in batches:
-            for text in batch["text"]:
-                held.update(words(text))
-                if len(held) > HELD:
-                    yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-                    held.clear()
-        if held:
-            yield pd.DataFrame({"word": list(held), "n": list(held.values())})
-
-    counted = texts.select("text").where(F.col("text").isNotNull())
-    top = (
-        counted.mapInPandas(count, "word string, n bigint")
-        .groupBy("word")
-        .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(size)
-    )
-    return [r["word"] for r in top.collect()]
-
-
 class Coder:
     """Words to ids (0 is unknown), ids to classes, and bigrams of classes."""
 
@@ -97,52 +76,6 @@ class Coder:
         return flat, before * self.classes + cls
 
 
-def gather(flagged: DataFrame, vocab: list[str], head: int = HEAD) -> dict[str, np.ndarray]:
-    """Unigram and class-bigram counts of all rows and of the target rows of
-    ``flagged`` (text, is_target). Tasks count in dense arrays and hand on the
-    cells that aren't empty; the driver receives one row per cell of the model."""
-    spark = flagged.sparkSession
-    shared = spark.sparkContext.broadcast(vocab)
-    cells = Coder(vocab, head).classes ** 2
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coder = Coder(shared.value, head)
-        n = np.zeros((2, cells + len(shared.value) + 1), dtype=np.int64)
-        for batch in batches:
-            for flag in (False, True):
-                part = batch["text"][batch["is_target"].to_numpy(dtype=bool) == flag]
-                for i in range(0, len(part), 512):
-                    flat, pairs = coder.bigrams([coder.ids_of(t) for t in part.iloc[i : i + 512]])
-                    for cell in (pairs, flat + cells):
-                        at, times = np.unique(cell, return_counts=True)
-                        n[int(flag), at] += times
-        filled = np.flatnonzero(n.any(axis=0))
-        for i in range(0, len(filled), HELD):
-            at = filled[i : i + HELD]
-            yield pd.DataFrame({"cell": at, "rest": n[0, at], "target": n[1, at]})
-
-    counted = (
-        flagged.where(F.col("text").isNotNull())
-        .select("text", F.coalesce("is_target", F.lit(False)).alias("is_target"))
-        .mapInPandas(count, "cell bigint, rest bigint, target bigint")
-        .groupBy("cell")
-        .agg(F.sum("rest").alias("rest"), F.sum("target").alias("target"))
-    )
-    got = counted.toArrow()
-    at = got["cell"].to_numpy()
-    target, background = np.zeros(cells + len(vocab) + 1), np.zeros(cells + len(vocab) + 1)
-    target[at] = got["target"].to_numpy()
-    background[at] = got["rest"].to_numpy()
-    background += target
-    side = int(cells**0.5)
-    return {
-        "target_pairs": target[:cells].reshape(side, side),
-        "target_words": target[cells:],
-        "background_pairs": background[:cells].reshape(side, side),
-        "background_words": background[cells:],
-    }
-
-
 @dataclass
 class Model:
     """Class-bigram probabilities, word probabilities, and p(word | class)."""
@@ -169,55 +102,141 @@ class Model:
         return -np.log(MIX * p + (1 - MIX) * self.word[ids])
 
 
-def fit(gathered: dict[str, np.ndarray], vocab: list[str], head: int = HEAD) -> tuple[Model, Model]:
-    """The matched target and background models."""
-    classes = Coder(vocab, head).classes
-    n_target, n_all = gathered["target_words"].sum(), gathered["background_words"].sum()
+def pairs_of(texts: list[str], seen: dict[str, int]) -> tuple[np.ndarray, ...]:
+    """The text's number, the word before (0 at a beginning), the word and the
+    bigram of every token."""
+    words = [word_hashes(t or "", seen).view(np.int64) for t in texts]
+    n = np.array([len(w) for w in words], dtype=np.int64)
+    flat = np.concatenate([np.zeros(0, np.int64), *words])
+    before = np.zeros_like(flat)
+    before[1:] = flat[:-1]
+    before[(np.cumsum(n) - n)[n > 0]] = 0
+    mixed = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + flat.view(np.uint64)
+    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.repeat(np.arange(len(texts)), n), before, flat, (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
+
+
+def bigrams(flagged: DataFrame) -> DataFrame:
+    """gram, before, word and its counts in all rows and in the target rows of
+    ``flagged`` (text, is_target)."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[str, int] = {}
+        held, size = [], 0
+
+        def summed() -> pd.DataFrame:
+            before, word, gram, target = (np.concatenate(c) for c in zip(*held))
+            gram, at, code = np.unique(gram, return_index=True, return_inverse=True)
+            n = np.bincount(code, minlength=len(gram))
+            hits = np.bincount(code[target], minlength=len(gram))
+            return pd.DataFrame({"gram": gram, "before": before[at], "word": word[at], "n": n, "target": hits})
+
+        for batch in batches:
+            flags = batch["is_target"].to_numpy(dtype=bool)
+            for i in range(0, len(batch), 512):
+                owner, before, word, gram = pairs_of(list(batch["text"].iloc[i : i + 512]), seen)
+                held.append((before, word, gram, flags[i : i + 512][owner]))
+                size += len(gram)
+                if size > TOKENS:
+                    yield summed()
+                    held, size = [], 0
+        if size:
+            yield summed()
+
+    counted = flagged.where(F.col("text").isNotNull()).select(
+        "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
+    )
+    return (
+        counted.mapInPandas(count, "gram bigint, before bigint, word bigint, n bigint, target bigint")
+        .groupBy("gram")
+        .agg(F.min("before").alias("before"), F.min("word").alias("word"),
+             F.sum("n").alias("n"), F.sum("target").alias("target"))
+    )
+
+
+def losses_of(counts: DataFrame) -> DataFrame:
+    """gram, n, and both models' losses of every bigram of ``counts``."""
+    by = lambda c, n, t: counts.groupBy(c).agg(F.sum("n").alias(n), F.sum("target").alias(t))
+    words = by("word", "n_word", "t_word")
+    size, n_all, n_target = words.agg(F.count("*"), F.sum("n_word"), F.sum("t_word")).first()
+    n_all, n_target = n_all or 0, n_target or 0
     scale = n_target / n_all if n_all else 0.0
+
+    def loss(pair, before, word, by_scale):
+        one = (F.col(word) * by_scale + 1) / (n_target + size + 1)
+        two = F.when(F.col(before) > 0, F.col(pair) / F.col(before)).otherwise(one)
+        if not n_target:
+            two = one
+        return -F.log(two * MIX + one * (1 - MIX))
+
     return (
-        Model.of(gathered["target_pairs"], gathered["target_words"], 1.0, classes),
-        Model.of(gathered["background_pairs"], gathered["background_words"], scale, classes),
-    )
+        counts.join(words.hint("merge"), "word")
+        .join(by("before", "n_before", "t_before").hint("merge"), "before")
+        .select(
+            "gram", "n",
+            loss("target", "t_before", "t_word", 1.0).alias("lt"),
+            loss("n", "n_before", "n_word", scale).alias("lb"),
+        )
+    )
 
 
 def score_documents(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background, score of every document;
     the target are the documents whose doc_id stands in ``target_ids``.
 
-    Three scans: the vocabulary, the counts (whose join with the target ids is
-    the one shuffle of texts), and the scores.
+    Two scans: the counts (whose join with the target ids shuffles texts), and
+    the scores (whose bigrams are joined with the counted ones).
     """
     spark = documents.sparkSession
     ship(spark)
-    docs = documents.select("doc_id", "text")
-    vocab = vocabulary(docs)
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     marks = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
     # target ids grow with the corpus: merged at every size, never broadcast
     marks = marks.withColumn("is_target", F.lit(True)).hint("merge")
-    flagged = docs.join(marks, "doc_id", "left")
-    target, background = fit(gather(flagged, vocab), vocab)
-    shared = spark.sparkContext.broadcast((vocab, target, background))
-
-    @F.pandas_udf("n_tokens bigint, loss_target double, loss_background double")
-    def losses(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        vocab, target, background = shared.value
-        coder = Coder(vocab)
-        for batch in texts:
-            rows = np.zeros((len(batch), 3))
+    folder = scratch_path(spark, "lm-scoring")
+    bigrams(docs.join(marks, "doc_id", "left")).write.parquet(f"{folder}/counts")
+    losses_of(spark.read.parquet(f"{folder}/counts")).write.parquet(f"{folder}/losses")
+    table = spark.read.parquet(f"{folder}/losses")
+    hot = table.orderBy(F.desc("n"), "gram").limit(HOT).select("gram", "lt", "lb").toArrow().sort_by("gram")
+    shared = spark.sparkContext.broadcast(tuple(hot[c].to_numpy() for c in ("gram", "lt", "lb")))
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grams, lt, lb = shared.value
+        seen: dict[str, int] = {}
+        for batch in batches:
             for i in range(0, len(batch), 512):
-                ids = [coder.ids_of(t or "") for t in batch.iloc[i : i + 512]]
-                flat, cells = coder.bigrams(ids)
-                n = np.array([len(x) for x in ids])
-                owner = np.repeat(np.arange(len(ids)), n)
-                rows[i : i + len(ids), 0] = n
-                for column, model in ((1, target), (2, background)):
-                    total = np.bincount(owner, model.losses(flat, cells), minlength=len(ids))
-                    rows[i : i + len(ids), column] = total / np.maximum(n, 1)
-            out = pd.DataFrame(rows, columns=["n_tokens", "loss_target", "loss_background"])
-            yield out.astype({"n_tokens": "int64"})
-
+                part = batch.iloc[i : i + 512]
+                keys = part["key"].to_numpy(np.int64)
+                owner, _, _, gram = pairs_of(list(part["text"]), seen)
+                at = np.minimum(np.searchsorted(grams, gram), max(0, len(grams) - 1))
+                known = grams[at] == gram if len(grams) else np.zeros(len(gram), bool)
+                sums = [np.bincount(owner[known], x[at[known]], minlength=len(part)) for x in (lt, lb)]
+                # one row a text, whose gram of no count spreads the rows
+                yield pd.DataFrame({"key": keys, "gram": keys, "n": 0, "lt0": sums[0], "lb0": sums[1],
+                                    "tokens": np.bincount(owner, minlength=len(part)), "copies": 1})
+                rest = pd.DataFrame({"key": keys[owner[~known]], "gram": gram[~known]})
+                rest = rest.groupby(["key", "gram"], sort=False).size().reset_index(name="n")
+                yield rest.assign(lt0=0.0, lb0=0.0, tokens=0, copies=0)
+
+    keyed = docs.withColumn("key", F.xxhash64("text"))
+    spread_rows = keyed.select("key", "text").mapInPandas(
+        spread, "key bigint, gram bigint, n bigint, lt0 double, lb0 double, tokens bigint, copies bigint"
+    )
+    joined = spread_rows.join(table.select("gram", "lt", "lb").hint("merge"), "gram", "left")
+    total = lambda c: F.sum(F.col(f"{c}0") + F.coalesce(F.col("n") * F.col(c), F.lit(0.0)))
+    # equal texts share a key; their means are the text's
+    scored = joined.groupBy("key").agg(
+        F.sum("tokens").alias("tokens"), F.sum("copies").alias("copies"), total("lt").alias("lt"), total("lb").alias("lb")
+    )
+    n = F.greatest("tokens", F.lit(1))
     return (
-        docs.withColumn("found", losses("text"))
-        .select("doc_id", "found.*")
+        keyed.select("doc_id", "key")
+        .join(scored, "key")
+        .select(
+            "doc_id",
+            (F.col("tokens") / F.col("copies")).cast("bigint").alias("n_tokens"),
+            (F.col("lt") / n).alias("loss_target"),
+            (F.col("lb") / n).alias("loss_background"),
+        )
         .withColumn("score", F.col("loss_target") - F.col("loss_background"))
     )

@@ -220,6 +220,18 @@ def test_lm_scores_against_brute_force(spark, odd, empty):
     assert lm_scoring.score_documents(empty, target).count() == 0
 
 
+def test_lm_bigrams_of_rare_words_count(spark, monkeypatch):
+    """Documents that differ only in the order of two rare words, with all but
+    one bigram joined."""
+    monkeypatch.setattr(lm_scoring, "HOT", 1, raising=False)
+    common = " ".join(f"w{i} w{i} w{i} w{i} w{i} w{i} w{i} w{i}" for i in range(2200))
+    rows = [(0, common), (1, "w1 aa bb w2"), (2, "w1 bb aa w2"), (3, "w1 aa bb w2 w3"), (4, "w1 bb aa w2 w3")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    target = docs.where("doc_id IN (0, 1)").select("doc_id")
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(docs, target).collect()}
+    assert got[3] < got[4] - 0.1
+
+
 def test_lm_unknown_words_share_the_rest_class():
     vocab = ["a", "b", "c"]
     coder = lm_scoring.Coder(vocab, head=1)
