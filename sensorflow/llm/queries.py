@@ -13,8 +13,11 @@ from sensorflow.llm import (
     lm_scoring,
     near_dedup,
     packing,
+    pieces,
     quality,
+    resampling,
     secrets,
+    spelling,
     topk,
     toxicity,
 )
@@ -22,6 +25,7 @@ from sensorflow.llm.common import id_remainder, labelled_sample, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANKS_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 #: Contract values: modulus and held-out remainder of the id's crc32, threshold.
@@ -106,6 +110,20 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"), RANKS_FILE)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), PIECES_FILE)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_fingerprints": op2_fingerprints,
@@ -117,6 +135,9 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_packing": op9_packing,
     "op10_secrets": op10_secrets,
+    "op11_spelling": op11_spelling,
+    "op12_resampling": op12_resampling,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLE: dict[str, str] = {

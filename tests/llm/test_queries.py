@@ -19,13 +19,16 @@ COLUMNS = {
     "op8_": {"doc_id", "class_id"},
     "op9_": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
     "op10_": {"doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"},
+    "op11_": {"word", "form", "root", "n", "n_near", "form_n"},
+    "op12_": {"doc_id", "n_features", "weight", "score", "rank"},
+    "op13_": {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"},
 }
 
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert QUERIES.keys() <= names.keys() and "pipeline" in names
-    assert [sum(n.startswith(p) for n in QUERIES) for p in COLUMNS] == [1] * 10
+    assert [sum(n.startswith(p) for n in QUERIES) for p in COLUMNS] == [1] * len(COLUMNS)
 
 
 @pytest.mark.parametrize("name", QUERIES)
