@@ -13,8 +13,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.time import text_to_epoch_ms
-from sensorflow.schema import JSON_PAYLOAD_SCHEMA, WIDE_COLUMNS
+from sensorflow.functions.cleaning import valid_reading
+from sensorflow.functions.time import text_to_epoch_ms, valid_epoch
+from sensorflow.schema import JSON_PAYLOAD_SCHEMA, READING_COLUMNS, WIDE_COLUMNS
 
 _TYPES = {f.name: f.dataType for f in JSON_PAYLOAD_SCHEMA.fields}
 
@@ -84,12 +85,17 @@ def parse_json(df: DataFrame, value_col: str = "value", schema=JSON_PAYLOAD_SCHE
 
 def parse_payload(df: DataFrame, payload_format: str = "csv", value_col: str = "value",
                   sep: str = ",", keep_value: bool = False) -> DataFrame:
+    """Messages in either format -> the eight fields. An instant or a reading
+    out of range is null like an unparsable one, so quarantine (Q3) sees it."""
     df = value_as_string(df, value_col)
     if payload_format == "csv":
-        return parse_csv(df, value_col, sep, keep_value=keep_value)
-    if payload_format == "json":
-        return parse_json(df, value_col, keep_value=keep_value)
-    raise ValueError(f"unknown payload format {payload_format!r}")
+        parsed = parse_csv(df, value_col, sep, keep_value=keep_value)
+    elif payload_format == "json":
+        parsed = parse_json(df, value_col, keep_value=keep_value)
+    else:
+        raise ValueError(f"unknown payload format {payload_format!r}")
+    return parsed.withColumns({"ts_min_bignt": valid_epoch("ts_min_bignt"),
+                               **{c: valid_reading(c) for c in READING_COLUMNS}})
 
 
 def time_to_epoch_ms(df: DataFrame, now: _dt.datetime | None = None,

@@ -16,11 +16,23 @@ from sensorflow.schema import TIME_FORMAT
 
 _EPOCH_NTZ = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
+#: Epoch seconds that count as an instant: the years 1 to 9999 (UTC). Spark's
+#: time functions raise beyond what a timestamp holds, so one such message would
+#: stop a job; every helper here gives null instead.
+FIRST_SECOND = -62_135_596_800
+LAST_SECOND = 253_402_300_799
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def valid_epoch(seconds) -> Column:
+    """Epoch seconds, or null where they are no instant of the years 1 to 9999."""
+    c = _col(seconds)
+    return F.when(c.between(FIRST_SECOND, LAST_SECOND), c)
+
+
 def epoch_seconds_of_ntz(ts) -> Column:
     """Whole epoch seconds of a ``timestamp_ntz`` read as UTC wall clock."""
     return F.timestamp_diff("SECOND", F.expr(_EPOCH_NTZ), _col(ts))
@@ -28,12 +40,17 @@ def epoch_seconds_of_ntz(ts) -> Column:
 
 def epoch_to_text(seconds) -> Column:
     """P5: epoch seconds -> ``yyyy-MM-dd HH:mm:ss`` (UTC)."""
-    return F.date_format(F.timestamp_add("SECOND", _col(seconds), F.expr(_EPOCH_NTZ)), TIME_FORMAT)
+    return F.date_format(F.timestamp_add("SECOND", valid_epoch(seconds), F.expr(_EPOCH_NTZ)), TIME_FORMAT)
 
 
 def epoch_to_timestamp(seconds) -> Column:
     """Epoch seconds -> timestamp (an instant; no text round trip)."""
-    return F.timestamp_seconds(_col(seconds))
+    return F.timestamp_seconds(valid_epoch(seconds))
+
+
+def epoch_to_date(seconds) -> Column:
+    """Epoch seconds -> calendar day (UTC), whatever the session zone."""
+    return F.to_date(F.timestamp_add("SECOND", valid_epoch(seconds), F.expr(_EPOCH_NTZ)))
 
 
 def text_to_epoch_seconds(text) -> Column:

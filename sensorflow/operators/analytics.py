@@ -12,8 +12,9 @@ import datetime as _dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sensorflow.functions.cleaning import valid_reading
 from sensorflow.functions.features import movement_flag
-from sensorflow.functions.time import epoch_to_text
+from sensorflow.functions.time import epoch_to_text, epoch_to_timestamp
 from sensorflow.schema import MOVEMENT
 
 
@@ -27,9 +28,12 @@ PLACES = 6
 
 
 def _avg(c):
-    """The mean to ``PLACES`` places, half up, the same in any order of rows."""
-    total = F.sum(F.col(c).cast(f"decimal(28,{PLACES})")).cast("double")
-    return F.floor(total / F.count(c) * 10.0**PLACES + 0.5) / 10.0**PLACES
+    """The mean of the valid readings of ``c`` (not null, NaN, infinite or out of
+    range) to ``PLACES`` places, half up, the same in any order of rows. Each
+    reading is first rounded to ``PLACES`` places; sum and quotient are decimals."""
+    reading = valid_reading(c)
+    total = F.sum(reading.cast(f"decimal(28,{PLACES})"))
+    return F.try_divide(total, F.count(reading)).cast(f"decimal(38,{PLACES})").cast("double")
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -53,7 +57,7 @@ def motion_distribution(flagged: DataFrame) -> DataFrame:
 def env_windows(wide: DataFrame, window_seconds: int = 4 * 86400,
                 ts_col: str = "ts_min_bignt", by_room: bool = False) -> DataFrame:
     """CO2, temperature, humidity per tumbling time window (epoch-aligned)."""
-    ts = F.timestamp_seconds(F.col(ts_col))
+    ts = epoch_to_timestamp(ts_col)
     keys = [F.window(ts, f"{window_seconds} seconds").alias("w")]
     if by_room:
         keys.append(F.col("room"))
@@ -106,7 +110,7 @@ def windowed_accuracy(scored: DataFrame, window_seconds: int = 4 * 86400,
                       ts_col: str = "ts_min_bignt", label: str = "label") -> DataFrame:
     """Accuracy per tumbling window (batch form; the stream uses E2)."""
     hit = (F.col("prediction") == F.col(label)).cast("long")
-    agg = scored.groupBy(F.window(F.timestamp_seconds(F.col(ts_col)),
+    agg = scored.groupBy(F.window(epoch_to_timestamp(ts_col),
                                   f"{window_seconds} seconds").alias("w")).agg(
         F.count(F.lit(1)).alias("total"), F.sum(hit).alias("correct"))
     start = F.unix_seconds(F.col("w.start"))

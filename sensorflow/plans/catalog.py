@@ -81,9 +81,10 @@ def _scored(spark, sf_dir):
 
 
 def _avg(column: str) -> str:
-    """The SQL of ``analytics._avg``: exact decimal sums, half up."""
-    total = f"CAST(sum(CAST({column} AS DECIMAL(28,6))) AS DOUBLE)"
-    return f"floor({total} / count({column}) * 1e6::DOUBLE + 0.5::DOUBLE) / 1e6::DOUBLE"
+    """The mean to six places, half away from zero, in whole millionths."""
+    whole = f"CAST(sum(CAST({column} AS DECIMAL(28,6))) * 1000000 AS HUGEINT)"
+    mean = f"(2 * abs({whole}) + count({column})) // (2 * count({column}))"
+    return f"CAST(sign({whole}) * {mean} AS DOUBLE) / 1e6::DOUBLE"
 
 
 WIDE = f"WITH {O.READINGS_CTE}, {O.wide_cte()}"

@@ -10,11 +10,11 @@ tasks at once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sensorflow.operators.wide import wide_readings
 from sensorflow.schema import WIDE_SCHEMA
 from sensorflow.functions.cleaning import clean_readings
+from sensorflow.functions.time import epoch_to_date
 from sensorflow.sources.sensor_files import read_raw_hive_tree, read_raw_tree
 
 
@@ -54,9 +54,7 @@ def write_wide_table(wide: DataFrame, path: str, mode: str = "overwrite",
 
 def with_event_date(wide: DataFrame, ts_col: str = "ts_min_bignt") -> DataFrame:
     """``event_date``: the UTC calendar day of the instant (zone-independent)."""
-    return wide.withColumn(
-        "event_date", F.to_date(F.timestamp_add("SECOND", F.col(ts_col),
-                                                F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))))
+    return wide.withColumn("event_date", epoch_to_date(ts_col))
 
 
 def export_csv(wide: DataFrame, path: str, single_file: bool = False) -> None:

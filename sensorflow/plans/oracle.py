@@ -19,16 +19,30 @@ readings AS (
 RAW_CTE = READINGS_CTE + """,
 raw_readings AS (
   SELECT event_id, room, sensor,
-    ' ' || CAST(ts_min_bignt AS VARCHAR) || ' ' AS ts_raw,
+    CASE WHEN event_id % 67 = 0 THEN '253402300800'
+         WHEN event_id % 61 = 0 THEN ' -9223372036854775808 '
+         WHEN event_id % 59 = 0 THEN '9223372036854775807'
+         ELSE ' ' || CAST(ts_min_bignt AS VARCHAR) || ' ' END AS ts_raw,
     CASE WHEN event_id % 23 = 0 THEN 'bad'
          WHEN event_id % 17 = 0 THEN NULL
+         WHEN event_id % 53 = 0 THEN '-inf'
+         WHEN event_id % 47 = 0 THEN '1e30'
+         WHEN event_id % 43 = 0 THEN ' Infinity'
+         WHEN event_id % 41 = 0 THEN 'NaN'
          ELSE ' ' || CAST(sensor_value AS VARCHAR) END AS value_raw
   FROM readings),
+typed AS (
+  SELECT event_id, room, sensor,
+    TRY_CAST(trim(ts_raw) AS BIGINT) AS seconds,
+    TRY_CAST(trim(value_raw) AS DOUBLE) AS reading
+  FROM raw_readings),
 clean AS (
   SELECT event_id, room, sensor,
-    TRY_CAST(trim(ts_raw) AS BIGINT) AS ts_min_bignt,
-    TRY_CAST(trim(value_raw) AS DOUBLE) AS sensor_value
-  FROM raw_readings)"""
+    CASE WHEN seconds >= epoch(TIMESTAMP '0001-01-01') AND seconds < epoch(TIMESTAMP '10000-01-01')
+      THEN seconds END AS ts_min_bignt,
+    CASE WHEN isfinite(reading) AND reading > -1e12 AND reading < 1e12 THEN reading END
+      AS sensor_value
+  FROM typed)"""
 
 
 def text_time(col: str) -> str:
@@ -55,8 +69,8 @@ JOIN (SELECT room, ts_min_bignt, sensor_value AS temp FROM {src} WHERE sensor =
 
 
 COMPLETE = ("co2 IS NOT NULL AND light IS NOT NULL AND temp IS NOT NULL "
-            "AND humidity IS NOT NULL AND pir IS NOT NULL AND NOT isnan(co2) AND NOT isnan(light) "
-            "AND NOT isnan(temp) AND NOT isnan(humidity) AND NOT isnan(pir)")
+            "AND humidity IS NOT NULL AND pir IS NOT NULL AND isfinite(co2) AND isfinite(light) "
+            "AND isfinite(temp) AND isfinite(humidity) AND isfinite(pir)")
 
 
 def wide_cte(src: str = "readings", rounded: bool = True, complete: bool = True,

@@ -28,6 +28,8 @@ PIR_ZERO_AT_OR_BELOW = 25.0
 # kept, some values are spoiled.
 BAD_VALUE_EVERY = 23
 NULL_VALUE_EVERY = 17
+ODD_VALUE_EVERY = {41: "NaN", 43: " Infinity", 47: "1e30", 53: "-inf"}
+ODD_TIME_EVERY = {59: "9223372036854775807", 61: " -9223372036854775808 ", 67: "253402300800"}
 # end of fixed values
 
 
@@ -79,14 +81,21 @@ def readings_from_events(events: DataFrame, by_type: bool = False) -> DataFrame:
 
 def raw_readings_from_readings(readings: DataFrame) -> DataFrame:
     """Readings as the text a sensor file would hold: spaces around both
-    fields, some values unparsable (``bad``), some missing."""
+    fields, some values unparsable (``bad``), missing, not finite or too large,
+    some instants beyond any calendar."""
     eid = F.col("event_id")
+    ts_raw = F.concat(F.lit(" "), F.col("ts_min_bignt").cast("string"), F.lit(" "))
+    for every, text in ODD_TIME_EVERY.items():
+        ts_raw = F.when(eid % every == 0, F.lit(text)).otherwise(ts_raw)
+    value_raw = F.concat(F.lit(" "), F.col("sensor_value").cast("string"))
+    for every, text in ODD_VALUE_EVERY.items():
+        value_raw = F.when(eid % every == 0, F.lit(text)).otherwise(value_raw)
     return readings.select(
         "event_id", "room", "sensor",
-        F.concat(F.lit(" "), F.col("ts_min_bignt").cast("string"), F.lit(" ")).alias("ts_raw"),
+        ts_raw.alias("ts_raw"),
         F.when(eid % BAD_VALUE_EVERY == 0, F.lit("bad"))
         .when(eid % NULL_VALUE_EVERY == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit(" "), F.col("sensor_value").cast("string")))
+        .otherwise(value_raw)
         .alias("value_raw"),
     )
 

@@ -12,12 +12,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorflow.functions.time import epoch_to_timestamp
 from sensorflow.operators.analytics import _avg, _r
 
 
 def with_event_time(df: DataFrame, seconds_col: str = "ts_min_bignt",
                     out: str = "event_time") -> DataFrame:
-    return df.withColumn(out, F.timestamp_seconds(F.col(seconds_col)))
+    return df.withColumn(out, epoch_to_timestamp(seconds_col))
 
 
 def drop_replays(df: DataFrame, keys, delay: str = "2 days",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import invalid_reason, parse_payload, time_to_epoch_ms
-from sensorflow.functions.time import text_to_epoch_seconds
+from sensorflow.functions.time import epoch_to_date, epoch_to_timestamp, text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
 from sensorflow.streaming.sinks import BatchDirSink, start
 
@@ -36,7 +36,7 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
     parsed = parse_payload(messages, payload_format)
     keep = ()
     if with_day:
-        parsed = parsed.withColumn("event_date", F.to_date(F.timestamp_seconds("ts_min_bignt")))
+        parsed = parsed.withColumn("event_date", epoch_to_date("ts_min_bignt"))
         keep = ("event_date",)
     if with_reason:
         parsed = parsed.withColumn("reason", invalid_reason(parsed, WIDE_COLUMNS))
@@ -45,7 +45,7 @@ def index_documents(messages: DataFrame, payload_format: str = "csv",
         parsed = time_to_epoch_ms(parsed, now)
     elif time_as == "timestamp":
         parsed = parsed.withColumn(
-            "event_ts_min", F.timestamp_seconds(text_to_epoch_seconds("event_ts_min")))
+            "event_ts_min", epoch_to_timestamp(text_to_epoch_seconds("event_ts_min")))
     elif time_as != "text":
         raise ValueError(f"unknown time_as {time_as!r}")
     return search_document(with_movement(parsed), fill_value=fill_value, keep=keep)

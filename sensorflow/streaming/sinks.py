@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from sensorflow.functions.time import epoch_to_date
 from sensorflow.session import path_exists
 
 
@@ -91,7 +92,7 @@ class BatchDirSink:
         self.totals["batches"] += 1
 
     def _identified(self, batch: DataFrame) -> DataFrame:
-        day = F.to_date(F.timestamp_seconds(F.col("ts_min_bignt"))) \
+        day = epoch_to_date("ts_min_bignt") \
             if "ts_min_bignt" in batch.columns else F.col("event_date")
         return (batch.withColumn("content_id",
                                  F.sha2(F.to_json(F.struct(*self.distinct)), 256))

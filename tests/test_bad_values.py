@@ -1,0 +1,89 @@
+"""Instants and readings out of range: null, counted and quarantined, never fatal."""
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from sensorflow.functions import payload as PL
+from sensorflow.functions import time as T
+from sensorflow.functions.cleaning import clean_readings, complete
+from sensorflow.operators import analytics as A
+from sensorflow.operators.model import LinearModel
+from sensorflow.sources.streams import read_messages
+from sensorflow.streaming.index_stream import start_index_stream
+from sensorflow.streaming.scoring import start_scoring_stream
+from sensorflow.streaming.sinks import read_batches, run_available
+
+HUGE = 2**63 - 1
+GOOD = "2024-01-02 00:00:00,1704153600,1,400.0,1.0,20.0,40.0,0.0"
+POISON = [GOOD, GOOD.replace("1704153600", str(HUGE)), GOOD.replace("1704153600", str(-HUGE - 1)),
+          GOOD.replace("400.0", "NaN"), GOOD.replace("400.0", "Infinity"), GOOD.replace("400.0", "1e30")]
+
+
+@pytest.mark.parametrize("seconds, text", [
+    (0, "1970-01-01 00:00:00"), (HUGE, None), (-HUGE - 1, None), (None, None),
+    (T.FIRST_SECOND, "0001-01-01 00:00:00"), (T.FIRST_SECOND - 1, None),
+    (T.LAST_SECOND, "9999-12-31 23:59:59"), (T.LAST_SECOND + 1, None)])
+def test_time_helpers_never_raise(spark, seconds, text):
+    df = spark.createDataFrame([(seconds,)], "s bigint")
+    r = df.select(T.epoch_to_text("s").alias("t"), F.unix_seconds(T.epoch_to_timestamp("s")).alias("u"),
+                  T.epoch_to_date("s").cast("string").alias("d")).first()
+    assert r["t"] == text and r["u"] == (None if text is None else seconds)
+    assert r["d"] == (None if text is None else text[:10])
+
+
+def test_raw_text_out_of_range_is_null(spark):
+    rows = [(str(HUGE), "1"), ("0", " NaN "), ("0", "-Infinity"), ("0", "1e30"), ("0", "999999999999"), ("x", "-2")]
+    got = clean_readings(spark.createDataFrame(rows, "ts_raw string, value_raw string")).collect()
+    assert [tuple(r) for r in got] == [(None, 1.0), (0, None), (0, None), (0, None), (0, 999999999999.0), (None, -2.0)]
+
+
+def test_averages_leave_out_what_is_no_reading(spark):
+    rows = [("a", x) for x in (math.nan, 2.0, math.inf, -math.inf, 1e14, 1e23, None, 3.0)]
+    rows += [("b", None), ("b", math.nan), ("c", -0.0000015), ("c", -0.000001), ("d", 1e11), ("d", 3e11)]
+    got = dict(map(tuple, spark.createDataFrame(rows, "k string, x double").groupBy("k").agg(A._avg("x")).collect()))
+    assert got == {"a": 2.5, "b": None, "c": -0.000002, "d": 2e11}
+
+
+def test_complete_rejects_infinite_readings(spark):
+    rows = [(1.0,), (math.inf,), (-math.inf,), (math.nan,), (None,), (1e12,)]
+    df = spark.createDataFrame(rows, "x double")
+    assert [r[0] for r in df.filter(complete(["x"])).collect()] == [1.0]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_payload_reason_names_the_field(spark, fmt):
+    df = spark.createDataFrame([(GOOD,), (POISON[1],), (POISON[4],)], "value string")
+    if fmt == "json":
+        parsed = PL.parse_csv(df)
+        df = parsed.select(PL.json_payload().alias("value"))
+    _, bad = PL.quarantine(PL.parse_payload(df, fmt))
+    assert sorted(r["reason"] for r in bad.collect()) == ["co2", "ts_min_bignt"]
+
+
+def test_streams_drain_and_quarantine_poison(spark, tmp_path):
+    spark.createDataFrame([(v,) for v in POISON], "value string").write.text(f"{tmp_path}/in")
+    source = read_messages(spark, "text", f"{tmp_path}/in")
+    q, _ = start_index_stream(source, f"{tmp_path}/docs", f"{tmp_path}/c1", quarantine=True, distinct=True,
+                              trigger={"availableNow": True})
+    run_available(q)
+    docs = read_batches(spark, f"{tmp_path}/docs")
+    assert docs.filter("status = 'ok'").count() == 1
+    # equal after parsing: the two bad instants, and the three bad readings
+    assert sorted(r["reason"] for r in docs.filter("status = 'quarantine'").select("reason").distinct().collect()) \
+        == ["co2", "ts_min_bignt"]
+    q, sink = start_scoring_stream(source, LinearModel(0.1, (0.1, 0.1, 0.1, 0.1)), f"{tmp_path}/routes",
+                                   f"{tmp_path}/c2", invalid="quarantine", trigger={"availableNow": True})
+    run_available(q)
+    assert sink.totals["rows"] == 6 and sink.totals["invalid"] == 3
+    assert read_batches(spark, f"{tmp_path}/routes").count() == 6
+
+
+def test_windows_over_bad_instants(spark):
+    rows = [(0, "1", 1.0), (HUGE, "1", 2.0), (None, "1", 3.0)]
+    wide = spark.createDataFrame(rows, "ts_min_bignt bigint, room string, co2 double")
+    for c in ("temp", "humidity", "light", "pir"):
+        wide = wide.withColumn(c, F.col("co2"))
+    got = A.env_windows(wide, 86400).collect()
+    assert [(r["window_start"], r["n"]) for r in got] == [(0, 1)]
