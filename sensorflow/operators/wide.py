@@ -48,7 +48,9 @@ def _side(long: DataFrame, sensor: str) -> DataFrame:
                 .select(*KEY, F.col("sensor_value").alias(WIDE_NAME[sensor])))
 
 
-def _finish(joined: DataFrame, round_digits: int | None, drop_incomplete: bool) -> DataFrame:
+def finish_wide(joined: DataFrame, round_digits: int | None, drop_incomplete: bool,
+                keep=()) -> DataFrame:
+    """Aligned readings -> the wide columns (and ``keep``): F1, P5, P4."""
     if drop_incomplete:
         # F1. Room and instant cannot be null after the inner join (null keys
         # never match) and the text time is derived from the instant, so
@@ -58,9 +60,9 @@ def _finish(joined: DataFrame, round_digits: int | None, drop_incomplete: bool)
         joined = joined.filter(complete(READING_COLUMNS))
     out = joined.select(
         epoch_to_text("ts_min_bignt").alias("event_ts_min"),
-        "ts_min_bignt", "room", *READING_COLUMNS)
+        "ts_min_bignt", "room", *READING_COLUMNS, *keep)
     out = round_columns(out, READING_COLUMNS, round_digits)
-    return out.select(*WIDE_COLUMNS)
+    return out.select(*WIDE_COLUMNS, *keep)
 
 
 def join_sensors(long: DataFrame) -> DataFrame:
@@ -171,7 +173,7 @@ def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None =
         joined = latest_per_sensor_wide(long, order_col)
     else:
         raise ValueError(f"unknown strategy {how!r}")
-    return _finish(joined, round_digits, drop_incomplete)
+    return finish_wide(joined, round_digits, drop_incomplete)
 
 
 def union_frames(frames) -> DataFrame:

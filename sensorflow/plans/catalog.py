@@ -552,6 +552,31 @@ def q_file_tree_wide(spark, sf_dir):
     return build_wide(spark, root, layout="hive")
 
 
+@register("wide_incremental", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
+def q_wide_incremental(spark, sf_dir):
+    """K2, J1 kept up to date: a first build, then files are appended and others
+    deleted; each refresh joins the touched days only."""
+    from sensorflow.plans.maintain import list_files, refresh
+    from sensorflow.session import remove_path, scratch_path
+    from sensorflow.sources.sensor_files import write_raw_hive_tree
+    base = scratch_path(spark, "incremental")
+    root, table = f"{base}/tree", f"{base}/wide"
+    raw = ev.raw_readings(spark, sf_dir)
+    older = raw.filter(F.col("event_id") % 3 != 0)
+    write_raw_hive_tree(older, root)
+    refresh(spark, root, table, layout="hive")
+    known = {r["path"] for r in list_files(spark, root, "hive").collect()}
+    # a wrong delivery, then its removal together with the missing readings
+    write_raw_hive_tree(raw.filter(F.col("event_id") % 5 == 0), root, "append")
+    refresh(spark, root, table, layout="hive")
+    for r in list_files(spark, root, "hive").collect():
+        if r["path"] not in known:
+            remove_path(spark, r["path"])
+    write_raw_hive_tree(raw.filter(F.col("event_id") % 3 == 0), root, "append")
+    refresh(spark, root, table, layout="hive")
+    return spark.read.parquet(table).drop("event_date")
+
+
 @register("file_tree_salted", f"WITH {O.RAW_CTE}, {O.wide_cte('clean')} SELECT * FROM wide")
 def q_file_tree_salted(spark, sf_dir):
     """The same with hot keys split: each side still reads its own files only."""
@@ -574,6 +599,27 @@ def q_long_table_wide(spark, sf_dir):
     return wide_readings(read_long_table(spark, path))
 
 
+@register("stream_wide", f"{WIDE} SELECT * FROM wide")
+def q_stream_wide(spark, sf_dir):
+    """J1 on a stream (W5): the readings arrive sensor by sensor, in several
+    batches, and are aligned by chained stream-stream joins."""
+    from sensorflow.schema import SENSORS
+    from sensorflow.session import scratch_path
+    from sensorflow.streaming.align import start_align_stream
+    from sensorflow.streaming.sinks import read_batches, run_available
+    base = scratch_path(spark, "align-stream")
+    long = _readings(spark, sf_dir).select("room", "sensor", "ts_min_bignt", "sensor_value")
+    for sensor in SENSORS:  # one delivery after another
+        long.filter(F.col("sensor") == sensor).write.mode("append").parquet(f"{base}/inbox")
+    files = len(spark.read.parquet(f"{base}/inbox").inputFiles())
+    source = spark.readStream.schema(long.schema).option("maxFilesPerTrigger", max(1, files // 3)) \
+        .parquet(f"{base}/inbox")
+    q, _ = start_align_stream(source, f"{base}/wide", f"{base}/checkpoint",
+                              trigger={"availableNow": True})
+    run_available(q)
+    return read_batches(spark, f"{base}/wide").drop("batch_id")
+
+
 @register("stream_index_documents", ORACLE["index_documents"])
 def q_stream_index_documents(spark, sf_dir):
     """Entry point B on a drained file stream: equals the batch form."""

@@ -108,6 +108,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, on whatever store it lies."""
+    gone = spark._jvm.org.apache.hadoop.fs.Path(path)
+    gone.getFileSystem(spark._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def path_exists(spark: SparkSession, pattern: str) -> bool:
     """Whether a path (a glob) matches anything, on whatever store it names."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(pattern)

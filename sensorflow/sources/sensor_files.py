@@ -31,14 +31,19 @@ HIVE_SCHEMA = "room string, ts_min_bignt string, sensor_value string, sensor str
 
 
 def read_raw_hive_tree(spark: SparkSession, root: str, sensors=SENSORS,
-                       with_line_order: bool = False) -> DataFrame:
+                       with_line_order: bool = False, files: list[str] | None = None,
+                       with_source: bool = False) -> DataFrame:
     """The same readings stored as ``<root>/sensor=<sensor>/*.csv`` with the room
     as first column: five folders, however many rooms there are. A filter on
-    the sensor prunes folders."""
-    df = spark.read.schema(HIVE_SCHEMA).option("sep", ",").option("header", False).csv(root)
+    the sensor prunes folders. ``files`` reads only these files of the tree;
+    ``with_source`` adds ``source_file``."""
+    df = (spark.read.schema(HIVE_SCHEMA).option("sep", ",").option("header", False)
+          .option("basePath", root).csv(files or root))
     df = df.filter(F.col("sensor").isin(list(sensors)))
     cols = ["room", "sensor", F.col("ts_min_bignt").alias("ts_raw"),
             F.col("sensor_value").alias("value_raw")]
+    if with_source:
+        cols.append(F.col("_metadata.file_path").alias("source_file"))
     if with_line_order:
         cols.append(_line_order())
     return df.select(*cols)
@@ -50,19 +55,20 @@ def _line_order():
                     F.monotonically_increasing_id().alias("row")).alias("line_order")
 
 
-def write_raw_hive_tree(raw: DataFrame, root: str) -> None:
+def write_raw_hive_tree(raw: DataFrame, root: str, mode: str = "overwrite") -> None:
     """Raw text readings (``room, sensor, ts_raw, value_raw``) as CSV files
     partitioned by sensor, one distributed write without a shuffle: every task
     writes at most five files."""
     (raw.select("room", "ts_raw", "value_raw", "sensor")
-        .write.mode("overwrite").partitionBy("sensor").option("header", False)
+        .write.mode(mode).partitionBy("sensor").option("header", False)
         .csv(root))
 
 
 def read_raw_tree(spark: SparkSession, root: str, sensors=SENSORS,
-                  with_line_order: bool = False) -> DataFrame:
+                  with_line_order: bool = False, files: list[str] | None = None) -> DataFrame:
     """S1 + S2: ``room, sensor, ts_raw, value_raw, source_file`` for every
-    line of every known sensor file (unknown names are ignored).
+    line of every known sensor file (unknown names are ignored), or of the
+    ``files`` of the tree that are named.
 
     ``with_line_order`` adds ``line_order`` for keep-latest by file position:
     the block offset orders the splits of one file, the row id orders lines
@@ -70,7 +76,7 @@ def read_raw_tree(spark: SparkSession, root: str, sensors=SENSORS,
     filters written after it are not pushed into the scan; it is off by
     default."""
     df = (spark.read.schema(RAW_FILE_SCHEMA).option("sep", ",").option("header", False)
-          .option("mode", "PERMISSIVE").csv(sensor_file_glob(root)))
+          .option("mode", "PERMISSIVE").csv(files or sensor_file_glob(root)))
     path = F.col("_metadata.file_path")
     df = df.filter(F.regexp_extract(path, _PATH_RE, 2).isin(list(sensors)))
     cols = [_room(path).alias("room"),

@@ -113,8 +113,9 @@ class BatchDirSink:
 
 
 class Totals(StreamingQueryListener):
-    """Batches, rows and seconds of every query of a session, summed
-    from each progress event (``recentProgress`` keeps about the last 100)."""
+    """Batches, rows, seconds and late rows (dropped behind the
+    watermark) of every query of a session, summed from each progress event
+    (``recentProgress`` keeps about the last 100)."""
 
     def __init__(self) -> None:
         self._sums: dict[str, list] = {}
@@ -125,10 +126,11 @@ class Totals(StreamingQueryListener):
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        sums = self._sums.setdefault(str(p.runId), [0, 0, 0.0])
+        sums = self._sums.setdefault(str(p.runId), [0, 0, 0.0, 0])
         sums[0] += 1
         sums[1] += p.numInputRows
         sums[2] += p.durationMs.get("triggerExecution", 0) / 1000.0
+        sums[3] += sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -142,8 +144,8 @@ class Totals(StreamingQueryListener):
     def of(self, query: StreamingQuery, timeout_s: float = 30.0) -> dict:
         """The sums of an ended query; events arrive in order, its end last."""
         self._end(str(query.runId)).wait(timeout_s)
-        n, rows, seconds = self._sums.get(str(query.runId), (0, 0, 0.0))
-        return {"batches": n, "rows": rows, "seconds": round(seconds, 3)}
+        n, rows, seconds, late = self._sums.get(str(query.runId), (0, 0, 0.0, 0))
+        return {"batches": n, "rows": rows, "seconds": round(seconds, 3), "late": late}
 
 
 def start(df: DataFrame, sink: Callable | str, checkpoint: str, trigger: dict | None = None,
