@@ -1,25 +1,33 @@
 """Near-duplicate classes by Order MinHash and banded alignment.
 
-Equal texts (by md5) are one node. A node's words are cut into five-word
-k-mers, each labelled with its occurrence number. For each of ``SKETCHES`` hash
-functions the labelled k-mer with the least hash is a node's key, and the
-``TAKEN`` k-mers with the least hashes, in the order of the text, are its ordered
-sketch: two texts agree in a sketch when they share these k-mers *and* their
-order, which follows edit rather than set similarity.
-
-Ordered sketches link most near copies in linear work: nodes that agree in one
-are aligned with the least of them (edit distance over words in a band that
-doubles up to the allowed number of edits), and linked at an edit similarity of
-``SIMILARITY`` or more. Keys then decide what is a candidate, as more pairs agree
-in them. Where a key's nodes are not all connected by now, each two of them that
-are not connected are compared, in blocks of about ``BLOCK`` nodes: first by word
-counts in ``BINS`` bins, a bound that no similar pair fails, and what passes is
-aligned. So every pair that agrees in a key is connected, ruled out or aligned.
+Equal texts (by md5) are one node. A node's words are cut into k-mers of
+``WORDS`` words, each labelled with its occurrence number. For each of
+``SKETCHES`` hash functions the ``TAKEN`` labelled k-mers with the least hashes,
+in the order of the text, are an ordered sketch: two texts agree in a sketch
+when they share these k-mers *and* their order, which follows edit rather than
+set similarity. Texts that agree in a sketch are candidates, and every two
+candidates are connected, ruled out by a bound that holds, or aligned (edit
+distance over words in a band that doubles up to the allowed number of edits),
+and linked at an edit similarity of ``SIMILARITY`` or more:
+
+1. The texts of a sketch are aligned with the least of them: linear work, which
+   connects most near copies.
+2. Where the texts of a sketch are not all connected by now, they meet, with
+   their words, in blocks of about ``BLOCK_WORDS`` words (every two blocks of a
+   sketch in one task's unit). There, two texts are compared only if their
+   rarest words have one in common (two similar texts must agree in one of the
+   least ``1 - SIMILARITY`` of their words by any one order, here that of
+   frequency in the unit) and their exact word bags allow the similarity. What
+   passes is aligned, and links are joined in a local union-find, so a unit
+   returns fewer links than it has texts; no pair is ever a row.
+
 Classes are the connected components of the links.
 
 Null texts count as empty, and all empty texts are one class. Texts of fewer
-than five words are one k-mer; texts without words have only equal texts as
-partners. Repeated rows share a class.
+than ``WORDS`` words are one k-mer; texts without words have only equal texts as
+partners. Repeated rows share a class; the smallest doc_id names it (null only
+if there is no other). Extra columns are dropped by ``near_duplicates`` and kept
+by ``deduplicate``.
 """
 
 from __future__ import annotations
@@ -36,15 +44,14 @@ from pyspark.sql import functions as F
 from sensorflow.llm.common import ship
 from sensorflow.session import scratch_path
 
-WORDS = 5
-SKETCHES = 32
+WORDS = 3
+SKETCHES = 48
 TAKEN = 2
 SIMILARITY = 0.8
 CACHED_WORDS = 500_000
-#: Bins of the word counts, nodes of a block, and rows of a group of blocks.
-BINS = 128
-BLOCK = 2048
-GROUP = 8192
+#: Words of a block, and of the units that are dealt to one group.
+BLOCK_WORDS = 1 << 19
+GROUP_WORDS = 1 << 21
 #: Pairs aligned side by side, narrowest band, and most cells held at once.
 SIDE_BY_SIDE = 64
 BAND = 8
@@ -72,23 +79,17 @@ def word_hashes(text: str, seen: dict[str, int]) -> np.ndarray:
     return np.fromiter(map(seen.__getitem__, found), np.uint64, len(found))
 
 
-def keys_and_sketches(words: np.ndarray, count: int = SKETCHES) -> tuple[np.ndarray, np.ndarray]:
-    """``count`` keys and ``count`` order-sensitive sketches of a sequence of
-    word hashes."""
+def sketches(words: np.ndarray, count: int | None = None) -> np.ndarray:
+    """``count`` order-sensitive sketches of a sequence of word hashes."""
+    count = SKETCHES if count is None else count
     if not len(words):
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.int64)
     n = max(1, len(words) - WORDS + 1)
     kmers = np.zeros(n, dtype=np.uint64)
     for k in range(min(WORDS, len(words))):
         kmers = _mix(kmers + words[k : k + n])
-    order = np.argsort(kmers, kind="stable")
-    ranked = kmers[order]
-    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
-    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    nth = np.empty(n, dtype=np.uint64)
-    nth[order] = (np.arange(n) - first).astype(np.uint64)
-    labelled = _mix(kmers + nth * np.uint64(0x9E3779B97F4A7C15))
-    least, out = np.empty(count, dtype=np.uint64), np.empty(count, dtype=np.uint64)
+    labelled = _mix(kmers + _occurrence(kmers).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    out = np.empty(count, dtype=np.uint64)
     rows = max(1, min(count, 500_000 // n))  # bounds the hashes laid out at once
     for i in range(0, count, rows):
         seeds = _SEEDS[i : min(i + rows, count), None]
@@ -100,51 +101,91 @@ def keys_and_sketches(words: np.ndarray, count: int = SKETCHES) -> tuple[np.ndar
         for t in range(places.shape[1]):
             places[:, t] = values.argmin(axis=1)
             values[at, places[:, t]] = np.iinfo(np.uint64).max
-        least[i : i + rows] = labelled[places[:, 0]]
         places.sort(axis=1)  # the order of the text
         mixed = np.zeros(len(seeds), dtype=np.uint64)
         for t in range(places.shape[1]):
             mixed = _mix(mixed + kmers[places[:, t]])
         out[i : i + rows] = mixed
-    return least.view(np.int64), out.view(np.int64)
+    return out.view(np.int64)
 
 
-def sketches(words: np.ndarray, count: int = SKETCHES) -> np.ndarray:
-    """``count`` order-sensitive sketches of a sequence of word hashes."""
-    return keys_and_sketches(words, count)[1]
-
-
-def binned(words: np.ndarray) -> np.ndarray:
-    """Counts of the words in ``BINS`` bins, up to 255 each."""
-    return np.minimum(np.bincount(words % BINS, minlength=BINS), 255).astype(np.uint8)
-
-
-def unlike(n_a, bins_a, n_b, bins_b) -> np.ndarray:
-    """Which pairs cannot be similar, by their numbers of words and bins: words
-    of one bin count as shared, and so do all that a full bin leaves out."""
-    longer = np.maximum(n_a, n_b)
-    shared = np.minimum(bins_a, bins_b).sum(axis=1, dtype=np.int64)
-    shared += np.minimum(n_a - bins_a.sum(axis=1, dtype=np.int64), n_b - bins_b.sum(axis=1, dtype=np.int64))
-    return longer - shared > np.floor((1 - SIMILARITY) * longer + 1e-9)
-
-
-def candidates(node, root, n, bins, left, right) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of places, one from each of ``left`` and ``right``, of different
-    roots and not ruled out by their bins."""
-    for i in range(0, len(left), 256):
-        rows = left[i : i + 256]
-        low = np.minimum(n[rows][:, None], n[right][None]) + np.floor(
-            (1 - SIMILARITY) * np.maximum(n[rows][:, None], n[right][None]) + 1e-9
-        )
-        near = (root[rows][:, None] != root[right][None]) & (
-            np.maximum(n[rows][:, None], n[right][None]) <= low
-        )
-        x, y = np.nonzero(near)
-        x, y = rows[x], right[y]
-        for k in range(0, len(x), 65_536):
-            a, b = x[k : k + 65_536], y[k : k + 65_536]
-            good = ~unlike(n[a], bins[a], n[b], bins[b])
-            yield node[a[good]], node[b[good]]
+def _occurrence(values: np.ndarray) -> np.ndarray:
+    """How many equal values stand before each."""
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    ranked = values[order]
+    new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
+    first = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    nth = np.empty(n, dtype=np.int64)
+    nth[order] = np.arange(n) - first
+    return nth
+
+
+def allowed_edits(n, at_least: float | None = None):
+    """Edits (words) that texts of at most ``n`` words may have."""
+    at_least = SIMILARITY if at_least is None else at_least
+    return np.floor((1 - at_least) * n + 1e-9).astype(np.int64)
+
+
+def unit_links(
+    ids: np.ndarray, roots: np.ndarray, words: list[np.ndarray], first: np.ndarray | None = None
+) -> list[tuple[int, int]]:
+    """Links that connect the texts of a unit: for every two of different roots
+    that are similar, a path of links. With ``first`` (the texts of the unit's
+    first block) only pairs of a text of each block are compared.
+
+    A link is returned only when it joins two sets, so there are fewer than texts.
+    """
+    _, label = np.unique(roots, return_inverse=True)
+    n = np.array([len(w) for w in words], dtype=np.int64)
+    if label.max(initial=0) == 0:
+        return []
+    flat = np.concatenate(words).astype(np.uint64)
+    owner = np.repeat(np.arange(len(words)), n)
+    # a bag as a set: each word with the number of equal ones before it in its text
+    nth = _occurrence((flat << np.uint64(31)) ^ owner.astype(np.uint64))
+    _, code, frequency = np.unique(
+        (flat << np.uint64(32)) | nth.astype(np.uint64), return_inverse=True, return_counts=True
+    )
+    starts = np.r_[0, np.cumsum(n)]
+    bags = [code[a:b] for a, b in zip(starts, starts[1:])]
+    # rarest first; a text's least (1 - SIMILARITY) share decides whom it can be like
+    order = np.lexsort((code, frequency[code], owner))
+    place = np.arange(len(code)) - starts[owner]
+    taken = order[(place <= allowed_edits(n)[owner]) & (frequency[code[order]] > 1)]
+    by_word = taken[np.argsort(code[taken], kind="stable")]
+    holders, held = owner[by_word], code[by_word]
+    low = np.searchsorted(held, np.arange(len(frequency)))
+    high = np.searchsorted(held, np.arange(len(frequency)), side="right")
+    rare = [code[t] for t in np.split(taken, np.searchsorted(owner[taken], np.arange(1, len(words))))]
+    mark = np.zeros(len(frequency), dtype=bool)
+    found = []
+    for i in range(len(words)):
+        lists = [holders[low[c] : high[c]] for c in rare[i] if high[c] - low[c] > 1]
+        if not lists:
+            continue
+        near = np.unique(np.concatenate(lists))
+        near = near[(near < i) & (label[near] != label[i])]
+        if first is not None:
+            near = near[first[near] != first[i]]
+        longer = np.maximum(n[near], n[i])
+        near = near[longer - np.minimum(n[near], n[i]) <= allowed_edits(longer)]
+        if not len(near):
+            continue
+        mark[bags[i]] = True
+        shared = np.array([np.count_nonzero(mark[bags[j]]) for j in near])
+        mark[bags[i]] = False
+        longer = np.maximum(n[near], n[i])
+        near = near[longer - shared <= allowed_edits(longer)]
+        while len(near := near[label[near] != label[i]]):
+            # one text of each set that i isn't in yet
+            _, at = np.unique(label[near], return_index=True)
+            for j, ok in zip(near[at], similar([(words[i], words[j]) for j in near[at]])):
+                if ok:
+                    found.append((int(ids[i]), int(ids[j])))
+                    label[label == label[j]] = label[i]
+            near = np.delete(near, at)
+    return found
 
 
 def _trimmed(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -200,7 +241,7 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], at_least: float = SIMILA
     result = np.zeros(len(pairs), dtype=bool)
     open_pairs = []
     for i, (a, b) in enumerate(pairs):
-        allowed = int(np.floor((1 - at_least) * max(len(a), len(b)) + 1e-9))
+        allowed = int(allowed_edits(max(len(a), len(b)), at_least))
         if abs(len(a) - len(b)) > allowed:
             continue
         x, y = _trimmed(a, b)
@@ -284,53 +325,43 @@ def aligned(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
     return sides.mapInPandas(align, "a bigint, b bigint, ok boolean")
 
 
-def _unconnected(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
-    """Pairs (a, b) that agree in a key, differ in their root and are not ruled
-    out by their bins."""
-    known = sequences.select("id", "keys").join(roots.toDF("id", "root"), "id", "left")
+def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
+    """Links (a, b) among the texts that agree in a sketch and are not connected
+    by ``roots`` (id, root)."""
+    known = sequences.select("id", "n", "sketches").join(roots.toDF("id", "root"), "id", "left")
     members = known.select(
-        "id", F.coalesce("root", "id").alias("root"), F.posexplode("keys").alias("j", "key")
-    ).select("id", "root", F.xxhash64("j", "key").alias("key"))
-    several = (
+        "id", F.col("n").cast("bigint").alias("n"), F.coalesce("root", "id").alias("root"),
+        F.posexplode("sketches").alias("j", "key"),
+    ).select("id", "n", "root", F.xxhash64("j", "key").alias("key"))
+    open_ = (
         members.groupBy("key")
-        .agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .agg(F.sum("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low != high")
-        .select("key", F.ceil(F.col("n") / BLOCK).alias("blocks"), "n")
+        .select("key", F.ceil(F.col("n") / BLOCK_WORDS).alias("blocks"), "n")
     )
-    buckets = _written(several, folder, "buckets")
-    groups = 64 + (buckets.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // GROUP
-    counts = sequences.select("id", F.col("n").cast("bigint").alias("words"), "bins")
+    buckets = _written(open_, folder, "buckets")
+    groups = 64 + (buckets.agg(F.sum(F.col("n") * F.col("blocks"))).first()[0] or 0) // GROUP_WORDS
     dealt = (
         members.join(buckets.select("key", "blocks"), "key")
         .withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
-        .join(counts, "id")
+        .select("id", "root", "key", "own", "blocks")
+        .join(sequences.select("id", "words"), "id")
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
-        .withColumn("unit", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-        .withColumn("group", F.pmod("unit", F.lit(groups)))
-        .select("group", "unit", "key", "id", "root", "words", "bins", "own", "other")
+        .withColumn("low", F.least("own", "other"))
+        .withColumn("high", F.greatest("own", "other"))
+        .withColumn("group", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
+        .select("group", "key", "low", "high", "id", "root", "words", (F.col("own") == F.col("low")).alias("first"))
     )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part["low"], part["high"] = part[["own", "other"]].min(axis=1), part[["own", "other"]].max(axis=1)
-        part = part.sort_values(["key", "low", "high"], kind="stable")
-        unit = part[["key", "low", "high"]].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (unit[1:] != unit[:-1]).any(axis=1)])
-        node, root, n = (part[c].to_numpy(np.int64) for c in ("id", "root", "words"))
-        own, low = part["own"].to_numpy(), part["low"].to_numpy()
-        bins = np.frombuffer(b"".join(part["bins"]), np.uint8).reshape(len(part), BINS)
-        found = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
-        for start, end in zip(starts, np.r_[starts[1:], len(part)]):
-            if (root[start:end] == root[start]).all():
-                continue
-            at = np.arange(start, end)
-            first = own[at] == low[at]
-            left, right = (at, at) if first.all() else (at[first], at[~first])
-            for a, b in candidates(node, root, n, bins, left, right):
-                found.append((np.minimum(a, b), np.maximum(a, b)))
-        a, b = (np.concatenate([f[side] for f in found]) for side in (0, 1))
-        return pd.DataFrame({"a": a, "b": b}).drop_duplicates()
-
-    return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint").distinct()
+        found: list[tuple[int, int]] = []
+        for (_, low, high), unit in part.groupby(["key", "low", "high"], sort=False):
+            words = [np.frombuffer(w, np.uint32) for w in unit["words"]]
+            sides = None if low == high else unit["first"].to_numpy()
+            found += unit_links(unit["id"].to_numpy(), unit["root"].to_numpy(), words, sides)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
 
 
 def links(nodes: DataFrame, folder: str) -> DataFrame:
@@ -341,26 +372,20 @@ def links(nodes: DataFrame, folder: str) -> DataFrame:
         seen: dict[str, int] = {}
         for batch in batches:
             words = [word_hashes(t, seen) for t in batch["text"]]
-            both = [keys_and_sketches(w) for w in words]
-            words = [w.astype(np.uint32) for w in words]
             yield pd.DataFrame(
                 {
                     "id": batch["id"],
                     "node": batch["node"],
                     "n": [len(w) for w in words],
-                    "words": [w.tobytes() for w in words],
-                    "bins": [binned(w).tobytes() for w in words],
-                    "keys": [k for k, _ in both],
-                    "sketches": [s for _, s in both],
+                    "words": [w.astype(np.uint32).tobytes() for w in words],
+                    "sketches": [sketches(w) for w in words],
                 }
             )
 
     # short ids, fixed once they are written
     sequences = _written(
         nodes.select(F.monotonically_increasing_id().alias("id"), "node", "text").mapInPandas(
-            sketch,
-            "id bigint, node string, n int, words binary, bins binary,"
-            " keys array<bigint>, sketches array<bigint>",
+            sketch, "id bigint, node string, n int, words binary, sketches array<bigint>"
         ),
         folder, "sequences",
     )
@@ -369,14 +394,12 @@ def links(nodes: DataFrame, folder: str) -> DataFrame:
     least = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1")
     stars = members.join(least.select("key", "a"), "key").where("id != a")
     first = _written(
-        aligned(stars.select("a", F.col("id").alias("b")).distinct(), sequences), folder, "first"
-    )
-    roots = components(first.where("ok").select("a", "b"))
-    rest = _unconnected(sequences, roots, folder).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = _written(aligned(rest, sequences), folder, "second")
+        aligned(stars.select("a", F.col("id").alias("b")).distinct(), sequences).where("ok").select("a", "b"),
+        folder, "first",
+    )
+    second = _written(block_links(sequences, components(first), folder), folder, "second")
     name = sequences.select("id", "node")
-    linked = first.union(second).where("ok")
-    return linked.join(name.toDF("a", "x"), "a").join(name.toDF("b", "y"), "b").select(
+    return first.union(second).join(name.toDF("a", "x"), "a").join(name.toDF("b", "y"), "b").select(
         F.col("x").alias("a"), F.col("y").alias("b")
     )
 

@@ -9,7 +9,7 @@ import pytest
 
 from sensorflow.llm import fingerprints, near_dedup, topk
 
-from .conftest import SCHEMA, prose
+from .conftest import ENGLISH, SCHEMA, prose
 
 
 def shingles(text):
@@ -179,30 +179,81 @@ def test_pairs_behind_an_unlike_text_are_linked(spark):
 def test_near_duplicates_in_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(*r, None, None, 1) for r in near_rows()], SCHEMA)
     want = {tuple(r) for r in near_dedup.near_duplicates(docs).collect()}
-    monkeypatch.setattr(near_dedup, "BLOCK", 4)
+    monkeypatch.setattr(near_dedup, "BLOCK_WORDS", 600)
     assert {tuple(r) for r in near_dedup.near_duplicates(docs).collect()} == want
 
 
-@pytest.mark.parametrize("share", [0.15, 0.2])
-def test_keys_find_pairs_at_the_threshold(share):
+@pytest.mark.parametrize("share, most", [(0.1, 0), (0.15, 3), (0.2, 9)])
+def test_sketches_find_pairs_at_the_threshold(share, most):
     rng = random.Random(6)
     missed = 0
     for _ in range(300):
         a = [f"w{rng.randrange(10**6)}" for _ in range(300)]
         b = substituted(rng, a, share)
-        x, y = (near_dedup.keys_and_sketches(near_dedup.word_hashes(" ".join(t), {}))[0] for t in (a, b))
+        x, y = (near_dedup.sketches(near_dedup.word_hashes(" ".join(t), {})) for t in (a, b))
         missed += not (x == y).any()
-    assert missed <= 6
-
-
-def test_bins_rule_out_no_similar_pair():
-    rng = np.random.default_rng(5)
-    for n in (5, 300, 60_000):
-        a = rng.integers(0, 50, n).astype(np.uint32)
-        b = a.copy()
-        b[: int(0.2 * n)] = 10**6 + np.arange(int(0.2 * n), dtype=np.uint32)
-        n_words, bins = np.array([n]), [near_dedup.binned(w)[None] for w in (a, b)]
-        assert not near_dedup.unlike(n_words, bins[0], n_words, bins[1])[0]
+    assert missed <= most
+
+
+def unit_of(texts):
+    words = [near_dedup.word_hashes(t, {}).astype(np.uint32) for t in texts]
+    return np.arange(len(texts)), words
+
+
+def joined(n, pairs):
+    label = list(range(n))
+    for a, b in pairs:
+        label = [label[a] if x == label[b] else x for x in label]
+    return [[i for i in range(n) if label[i] == x] for x in sorted(set(label))]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_unit_links_connect_all_similar_texts(seed):
+    """Against all pairs, for unlike texts with a common passage, chains of near
+    copies, repeated words and known roots."""
+    rng = random.Random(seed)
+    pool = [f"w{k}" for k in range(40 if seed % 2 else 5000)]
+    passage = rng.choices(pool, k=30)
+    texts = []
+    for _ in range(12):
+        own = passage + rng.choices(pool, k=rng.randrange(5, 80))
+        for _ in range(rng.randrange(1, 5)):
+            texts.append(" ".join(own))
+            own = substituted(rng, own, rng.choice([0.02, 0.15, 0.25]))
+    ids, words = unit_of(texts)
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if near_dedup.similar([(words[i], words[j])])[0]]
+    got = near_dedup.unit_links(ids, ids, words)
+    assert joined(len(texts), got) == joined(len(texts), pairs)
+    assert len(got) == len(texts) - len(joined(len(texts), pairs)) and set(got) <= set(pairs)
+    roots = np.array([i // 2 for i in ids])
+    some = [(2 * k, 2 * k + 1) for k in range(len(ids) // 2)]
+    got = near_dedup.unit_links(ids, roots, words)
+    assert joined(len(texts), got + some) == joined(len(texts), pairs + some)
+    first = ids % 3 == 0
+    got = near_dedup.unit_links(ids, ids, words, first)
+    assert joined(len(texts), got) == joined(len(texts), [p for p in pairs if first[p[0]] != first[p[1]]])
+
+
+def test_unlike_texts_with_a_passage_give_no_pairs(spark, monkeypatch, tmp_path):
+    """Twice as many unlike texts around one passage: links leave the units, not
+    pairs, and alignments do not grow with the square."""
+    rng = random.Random(8)
+    passage = [f"p{rng.randrange(10**6)}" for _ in range(40)]
+    tried = {}
+    for n in (200, 400):
+        texts = [" ".join(rng.choices(ENGLISH.split(), k=600) + passage + [f"w{rng.randrange(10**6)}" for _ in range(360)])
+                 for _ in range(n)]
+        ids, words = unit_of(texts)
+        count = []
+        real = near_dedup.similar
+        monkeypatch.setattr(near_dedup, "similar", lambda pairs: count.append(len(pairs)) or real(pairs))
+        assert near_dedup.unit_links(ids, ids, words) == []
+        monkeypatch.setattr(near_dedup, "similar", real)
+        tried[n] = sum(count)
+        nodes = spark.createDataFrame([(f"{i:04d}", t) for i, t in enumerate(texts)], "node string, text string")
+        (tmp_path / str(n)).mkdir()
+        assert near_dedup.links(nodes, str(tmp_path / str(n))).count() == 0
+    assert tried == {200: 0, 400: 0}
 
 
 def test_near_duplicates_of_odd_rows(odd, empty):
