@@ -679,6 +679,34 @@ def q_stream_dedupe(spark, sf_dir):
     return read_batches(spark, f"{base}/docs").drop("batch_id", "event_date", "content_id")
 
 
+@register("stream_upserts", f"""WITH {O.READINGS_CTE},
+latest AS (SELECT room, sensor, ts_min_bignt, arg_max(sensor_value, event_id) AS sensor_value
+           FROM readings GROUP BY room, sensor, ts_min_bignt),
+{O.wide_cte('latest')}
+SELECT ts_min_bignt * 1000 AS event_ts_min, humidity, light, temp AS temperature, room, pir,
+  CASE WHEN CAST(room AS BIGINT) % 3 = 0 THEN co2 ELSE 1.0::DOUBLE END AS co2,
+  {FLAG.format(p='pir')} AS if_movement
+FROM wide""")
+def q_stream_upserts(spark, sf_dir):
+    """K6: documents by key. Every document arrives with a wrong reading, then a
+    third of the rooms again with the right one, which replaces it."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.index_stream import start_document_upserts
+    from sensorflow.streaming.sinks import run_available
+    base = scratch_path(spark, "upserts")
+    wide = _wide(spark, sf_dir, how="latest", order_col="event_id")
+    wrong = wide.withColumn("co2", F.lit(1.0))
+    right = wide.filter(F.col("room").cast("bigint") % 3 == 0)
+    for delivery in (wrong, right):
+        PL.to_messages(delivery.repartition(2), with_key=False).write.mode("append").text(f"{base}/inbox")
+    q, table = start_document_upserts(
+        read_messages(spark, "text", f"{base}/inbox", max_per_trigger=2), f"{base}/docs",
+        f"{base}/checkpoint", trigger={"availableNow": True}, now=FIXED_NOW)
+    run_available(q)
+    return table.read(spark).drop("event_date")
+
+
 @register("stream_index_quarantine", f"""{WIDE_V2}
 SELECT * FROM (
   SELECT ts_min_bignt * 1000 AS event_ts_min, room, coalesce(co2, 0.0) AS co2,
@@ -827,6 +855,27 @@ def q_stream_windowed_accuracy(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_running_accuracy", ORACLE["windowed_accuracy"])
+def q_stream_running_accuracy(spark, sf_dir):
+    """A9 as it runs: update mode into a keyed table, so every window counts,
+    also those still open; each batch refines them."""
+    from sensorflow.session import scratch_path
+    from sensorflow.sources.streams import read_messages
+    from sensorflow.streaming.event_time import with_event_time
+    from sensorflow.streaming.scoring import score_messages, start_running_accuracy
+    from sensorflow.streaming.sinks import run_available
+    base = scratch_path(spark, "running-accuracy")
+    for part in _wide(spark, sf_dir).randomSplit([0.5, 0.5], 3):
+        PL.to_messages(part.repartition(2), "json").write.mode("append").json(f"{base}/inbox")
+    scored = with_label(score_messages(
+        read_messages(spark, "json", f"{base}/inbox", max_per_trigger=2), FIXED_MODEL, "json"))
+    q, table = start_running_accuracy(with_event_time(scored), f"{base}/accuracy", f"{base}/checkpoint",
+                                      "4 days", f"{30 * WATERMARK_SECONDS} seconds",
+                                      trigger={"availableNow": True})
+    run_available(q)
+    return table.read(spark).drop("event_date")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events -> long readings -> five-way join -> movement flag."""
     return with_movement(_wide(spark, sf_dir))

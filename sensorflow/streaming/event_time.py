@@ -1,10 +1,9 @@
 """Event-time operators added for replays and time windows.
 
-E1 drops readings delivered again within the watermark delay (state is bounded
-by the watermark, and rows behind it are dropped too); the jobs drop re-sent
-messages without a watermark instead (``sinks.BatchDirSink(distinct=...)``). E2 computes
-windowed metrics on the stream and emits each window once the watermark has
-passed it (append mode); open windows are not emitted yet.
+E1 drops messages that were sent before. E2 computes windowed metrics on the
+stream; in append mode each window is emitted once the watermark has passed it, in
+update mode into a keyed table (``upsert.KeyedTable``) open windows are visible
+and refined.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorflow.functions.time import epoch_to_timestamp
+from sensorflow.functions.time import epoch_to_date, epoch_to_timestamp
 from sensorflow.operators.analytics import _avg, _r
 
 
@@ -21,13 +20,22 @@ def with_event_time(df: DataFrame, seconds_col: str = "ts_min_bignt",
     return df.withColumn(out, epoch_to_timestamp(seconds_col))
 
 
-def drop_replays(df: DataFrame, keys, delay: str = "2 days",
-                 time_col: str = "event_time") -> DataFrame:
-    """``dropDuplicatesWithinWatermark`` on the given keys.
+def drop_resent(df: DataFrame, columns, keep: str = "30 days") -> DataFrame:
+    """Messages of a day that are equal in ``columns`` pass once, with ``content_id``
+    (their hash) and ``event_date`` (the day of their instant, or ``none``).
 
-    Equal rows cannot be told from replays, so use it on keys that are unique
-    in one delivery (after keep-latest)."""
-    return df.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+    Spark keeps the ids as keyed state, so a batch looks up its own ids only,
+    however many batches came before. The state's time is the arrival, not the
+    instant: nothing is ever late, and rooms that are delivered one after another
+    or without an instant lose nothing. An id is forgotten ``keep`` after its
+    arrival at the earliest; a message sent again later passes again."""
+    day = epoch_to_date("ts_min_bignt") if "ts_min_bignt" in df.columns else F.col("event_date")
+    marked = df.withColumns({
+        "content_id": F.sha2(F.to_json(F.struct(*columns)), 256),
+        "event_date": F.coalesce(day.cast("string"), F.lit("none")),
+        "_arrival": F.current_timestamp()})
+    return (marked.withWatermark("_arrival", keep).dropDuplicatesWithinWatermark(["event_date", "content_id"])
+                  .drop("_arrival"))
 
 
 def windowed_metrics(df: DataFrame, window: str = "4 days", delay: str = "2 days",

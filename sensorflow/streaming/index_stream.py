@@ -18,7 +18,9 @@ from sensorflow.functions.features import search_document, with_movement
 from sensorflow.functions.payload import invalid_reason, parse_payload, time_to_epoch_ms
 from sensorflow.functions.time import epoch_to_date, epoch_to_timestamp, text_to_epoch_seconds
 from sensorflow.schema import DOCUMENT_FIELDS, WIDE_COLUMNS
+from sensorflow.streaming.event_time import drop_resent
 from sensorflow.streaming.sinks import BatchDirSink, start
+from sensorflow.streaming.upsert import KeyedTable
 
 
 def index_documents(messages: DataFrame, payload_format: str = "csv",
@@ -67,13 +69,30 @@ def start_index_stream(messages: DataFrame, target: str, checkpoint: str,
     With ``quarantine``, every batch is still written once, partitioned by
     ``status``: complete documents under ``status=ok``, rows with missing or
     unparsable fields (and their ``reason``) under ``status=quarantine``.
-    ``distinct`` (E1) drops documents equal to one that this or an earlier
-    batch wrote. ``time_as`` and ``fill_value`` as in ``index_documents``."""
+    ``distinct`` (E1) drops documents equal to one that arrived before
+    (``event_time.drop_resent``). ``time_as`` and ``fill_value`` as in ``index_documents``."""
     docs = index_documents(messages, payload_format, now=now, with_reason=quarantine,
                            with_day=distinct, time_as=time_as, fill_value=fill_value)
-    sink = BatchDirSink(target, partition_by=("status",) if quarantine else (),
-                        transform=with_status if quarantine else None,
-                        distinct=DOCUMENT_FIELDS if distinct else ())
+    if distinct:
+        docs = drop_resent(docs, DOCUMENT_FIELDS)
+    sink = BatchDirSink(target, partition_by=(("event_date",) if distinct else ())
+                        + (("status",) if quarantine else ()),
+                        transform=with_status if quarantine else None)
     q = start(docs, sink, checkpoint, trigger=trigger or {"processingTime": "20 seconds"},
               query_name=query_name)
     return q, sink
+
+
+def start_document_upserts(messages: DataFrame, target: str, checkpoint: str,
+                           payload_format: str = "csv", trigger: dict | None = None,
+                           now: _dt.datetime | None = None, key=("room", "event_ts_min"),
+                           query_name: str | None = None, time_as: str = "epoch_ms",
+                           fill_value: float | None = 0.0):
+    """The index pipeline into a table with one document per ``key`` (K6): a
+    corrected reading replaces the earlier document."""
+    docs = index_documents(messages, payload_format, now=now, with_day=True, time_as=time_as,
+                           fill_value=fill_value)
+    table = KeyedTable(target, key)
+    q = start(docs, table, checkpoint, trigger=trigger or {"processingTime": "20 seconds"},
+              query_name=query_name)
+    return q, table

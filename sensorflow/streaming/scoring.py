@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from sensorflow.functions.payload import parse_payload
 from sensorflow.operators.model import LinearModel, linear_of, score
 from sensorflow.schema import PREDICTION_FIELDS, WIDE_COLUMNS
-from sensorflow.functions.time import epoch_to_text
+from sensorflow.functions.time import epoch_to_date, epoch_to_text
+from sensorflow.streaming.event_time import drop_resent, windowed_accuracy
 from sensorflow.streaming.routing import prediction_messages, with_route
 from sensorflow.streaming.sinks import BatchDirSink, class_count_metrics, start
+from sensorflow.streaming.upsert import KeyedTable
 
 
 def score_messages(messages: DataFrame, model: PipelineModel | LinearModel,
@@ -50,16 +52,17 @@ def start_scoring_stream(messages: DataFrame, model, target: str, checkpoint: st
     ``invalid='skip'`` drops rows with a null feature (counted as
     ``invalid`` in the batch metrics); ``'quarantine'`` writes them under
     ``route=invalid`` in the same write. ``distinct`` (E1) drops messages equal
-    to one that this or an earlier batch wrote."""
+    to one that arrived before (``event_time.drop_resent``)."""
     if invalid not in ("skip", "quarantine"):
         raise ValueError(f"unknown invalid handling {invalid!r}")
     lin = model if isinstance(model, LinearModel) else linear_of(model)
     scored = score_messages(messages, lin, payload_format, skip_invalid=False)
     keep = invalid == "quarantine"
-    sink = BatchDirSink(target, partition_by=("route",),
+    if distinct:
+        scored = drop_resent(scored, WIDE_COLUMNS)
+    sink = BatchDirSink(target, partition_by=("event_date", "route") if distinct else ("route",),
                         transform=lambda b: prediction_rows(b, keep_invalid=keep),
-                        observe=class_count_metrics,
-                        distinct=WIDE_COLUMNS if distinct else ())
+                        observe=class_count_metrics)
     q = start(scored, sink, checkpoint, trigger=trigger or {"processingTime": "10 seconds"},
               query_name=query_name)
     return q, sink
@@ -88,3 +91,17 @@ def start_prediction_messages(messages: DataFrame, model, checkpoint: str, fmt:
     q = start(scored, sink, checkpoint, trigger=trigger or {"processingTime": "10 seconds"},
               query_name=query_name)
     return q, sink
+
+
+def start_running_accuracy(scored: DataFrame, target: str, checkpoint: str, window: str = "4 days",
+                           delay: str = "2 days", trigger: dict | None = None,
+                           query_name: str | None = None):
+    """A9 as it runs: correct predictions per event-time window, in update mode
+    into a keyed table by window, so that open windows are visible and refined by
+    each batch. A window's state goes once the watermark has passed it."""
+    accuracy = windowed_accuracy(scored, window, delay).withColumn(
+        "event_date", epoch_to_date("window_start"))
+    table = KeyedTable(target, ("window_start",))
+    q = start(accuracy, table, checkpoint, trigger=trigger or {"processingTime": "10 seconds"},
+              query_name=query_name, output_mode="update")
+    return q, table

@@ -12,14 +12,14 @@ from __future__ import annotations
 import threading
 import time
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
-from sensorflow.functions.time import epoch_to_date
-from sensorflow.session import path_exists
+from sensorflow.session import path_exists, remove_path
 
 
 def checkpoint_for(spark: SparkSession, target: str, explicit: str | None = None) -> str:
@@ -43,24 +43,16 @@ class BatchDirSink:
     one write (e.g. by route). ``observe`` collects aggregate metrics over the
     incoming rows during that write, with no extra job: ``last`` holds the
     latest batch's, ``totals`` their sums over all batches of this run.
-
-    ``distinct`` (E1) names the columns that make two messages the same: a
-    batch drops its own repeats and messages that an earlier batch wrote. It
-    looks only into the target's folders of the days that the batch holds
-    (``event_date``, from ``ts_min_bignt``; messages without an instant share
-    one folder). The batch is read from the source once.
     """
 
     def __init__(self, target: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 observe: Callable[[], list] | None = None,
-                 distinct: tuple[str, ...] = ()):
+                 observe: Callable[[], list] | None = None):
         self.target = target.rstrip("/")
         self.fmt = fmt
         self.partition_by = partition_by
         self.transform = transform
         self.observe = observe
-        self.distinct = distinct
         self.last: dict = {}
         self.totals: dict = {"batches": 0, "seconds": 0.0}
 
@@ -71,18 +63,11 @@ class BatchDirSink:
             # Observed on the incoming rows, before ``transform`` may drop some.
             obs = Observation(f"batch_{batch_id}")
             batch = batch.observe(obs, *self.observe())
-        held = None
-        if self.distinct:
-            held = self._identified(batch).persist()
-            batch = self._unseen(held, batch_id)
         out = self.transform(batch) if self.transform else batch
         w = out.write.mode("overwrite").format(self.fmt)
-        days = ("event_date",) if self.distinct else ()
-        if days or self.partition_by:
-            w = w.partitionBy(*days, *self.partition_by)
+        if self.partition_by:
+            w = w.partitionBy(*self.partition_by)
         w.save(f"{self.target}/batch_id={batch_id}")
-        if held is not None:
-            held.unpersist()
         self.last = {"batch_id": batch_id, "seconds": round(time.time() - t0, 3)}
         if obs is not None:
             self.last.update(obs.get)
@@ -91,26 +76,6 @@ class BatchDirSink:
                 self.totals[k] = self.totals.get(k, 0) + v
         self.totals["batches"] += 1
 
-    def _identified(self, batch: DataFrame) -> DataFrame:
-        day = epoch_to_date("ts_min_bignt") \
-            if "ts_min_bignt" in batch.columns else F.col("event_date")
-        return (batch.withColumn("content_id",
-                                 F.sha2(F.to_json(F.struct(*self.distinct)), 256))
-                     .withColumn("event_date", F.coalesce(day.cast("string"), F.lit("none")))
-                     .dropDuplicates(["event_date", "content_id"]))
-
-    def _unseen(self, batch: DataFrame, batch_id: int) -> DataFrame:
-        spark = batch.sparkSession
-        if not path_exists(spark, f"{self.target}/batch_id=*/event_date=*"):
-            return batch
-        # a batch's days: calendar days, so few
-        days = [r[0] for r in batch.select("event_date").distinct().collect()]
-        seen = (spark.read.format(self.fmt).load(self.target)
-                     .filter((F.col("batch_id") < batch_id)
-                             & F.col("event_date").cast("string").isin(days))
-                     .select(F.col("event_date").cast("string"), "content_id"))
-        return batch.join(seen, ["event_date", "content_id"], "left_anti")
-
 
 class Totals(StreamingQueryListener):
     """Batches, rows, seconds and late rows (dropped behind the
@@ -208,25 +173,59 @@ def read_batches(spark: SparkSession, target: str, fmt: str = "parquet") -> Data
 
 def compact_batches(spark: SparkSession, target: str, dest: str, first_batch: int | None = None,
                     last_batch: int | None = None, fmt: str = "parquet",
-                    partition_by: tuple[str, ...] = ("event_date",)) -> int:
-    """Rewrite a range of per-batch folders as one table with few, larger
-    files (frequent triggers leave many small ones), partitioned by day where
-    the batches know it; ``batch_id`` becomes a column. The batch range is a
+                    partition_by: tuple[str, ...] = ("event_date",), drop_source: bool = False) -> int:
+    """Rewrite a range of per-batch folders as one table with few, larger files
+    (frequent triggers leave many small ones), partitioned by day where the
+    batches know it; ``batch_id`` becomes a column. The batch range is a
     partition filter, so only those folders are read; the rebalance hint lets
-    AQE size the output files. Appends; returns the rows written (observed)."""
-    df = read_batches(spark, target, fmt)
-    if first_batch is not None:
-        df = df.filter(F.col("batch_id") >= first_batch)
-    if last_batch is not None:
-        df = df.filter(F.col("batch_id") <= last_batch)
+    AQE size the output files.
+
+    The range has a folder of its own under ``dest``, ``merged=<first>-<last>``,
+    that a repeated run replaces; nothing is doubled. ``drop_source`` removes the
+    merged batch folders once it is written: read both with ``read_compacted``.
+    Returns the rows written (observed)."""
+    target = target.rstrip("/")
+    held = [n for n in _batch_ids(spark, target)
+            if (first_batch is None or n >= first_batch) and (last_batch is None or n <= last_batch)]
+    if not held:
+        return 0
+    df = read_batches(spark, target, fmt).filter(F.col("batch_id").between(held[0], held[-1]))
     cols = [c for c in partition_by if c in df.columns]
     obs = Observation("compacted")
     out = df.hint("rebalance", *cols).observe(obs, F.count(F.lit(1)).alias("n"))
-    w = out.write.mode("append").format(fmt)
-    (w.partitionBy(*cols) if cols else w).save(dest)
+    w = out.write.mode("overwrite").format(fmt)
+    (w.partitionBy(*cols) if cols else w).save(f"{dest.rstrip('/')}/merged={held[0]}-{held[-1]}")
+    if drop_source:
+        for n in held:
+            remove_path(spark, f"{target}/batch_id={n}")
     return int(obs.get["n"])
 
 
+def _batch_ids(spark: SparkSession, target: str) -> list[int]:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/batch_id=*")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
+    return sorted(int(s.getPath().getName().split("=")[1]) for s in found)
+
+
+def read_compacted(spark: SparkSession, target: str, dest: str, fmt: str = "parquet") -> DataFrame:
+    """The merged ranges under ``dest`` and the batches that are in none of them;
+    each batch once, whether its folder was dropped or not."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{dest.rstrip('/')}/merged=*/_SUCCESS")
+    found = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder) or []
+    ranges = sorted(tuple(map(int, s.getPath().getParent().getName().split("=")[1].split("-"))) for s in found)
+    parts, upto = [], -1
+    for first, last in ranges:  # of ranges that overlap the later batches count
+        part = spark.read.format(fmt).load(f"{dest.rstrip('/')}/merged={first}-{last}")
+        parts.append(part.filter(F.col("batch_id") > upto))
+        upto = max(upto, last)
+    rest = [n for n in _batch_ids(spark, target.rstrip("/")) if not any(a <= n <= b for a, b in ranges)]
+    if rest:
+        parts.append(read_batches(spark, target, fmt).filter(F.col("batch_id").isin(rest)))
+    if not parts:
+        return read_batches(spark, target, fmt)
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def class_count_metrics() -> list:
     """Observed per-batch counts of the two classes and of rows that could not
     be scored (a null feature; A3 without extra jobs)."""

@@ -3,6 +3,7 @@ stream = batch, restart from a checkpoint, replayed batch, routing, event time."
 
 import datetime as dt
 import os
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -108,8 +109,8 @@ def test_event_time_dedup_equals_batch_distinct(spark, tmp_path):
     wide.write.mode("append").parquet(inbox)
     wide.write.mode("append").parquet(inbox)  # delivered twice
     stream = spark.readStream.schema(wide.schema).parquet(inbox)
-    dedup = E.drop_replays(E.with_event_time(stream), ["room", "ts_min_bignt"])
-    q = start(dedup.drop("event_time"), "memory", str(tmp_path / "ck"),
+    dedup = E.drop_resent(stream, ["room", "ts_min_bignt"])
+    q = start(dedup.drop("content_id", "event_date"), "memory", str(tmp_path / "ck"),
               trigger={"availableNow": True}, query_name="dedup_out")
     run_available(q)
     got = spark.table("dedup_out")
@@ -151,19 +152,32 @@ def test_index_stream_quarantine_branch(spark, tmp_path):
 
 
 def test_compact_batches(spark, tmp_path):
-    from sensorflow.streaming.sinks import compact_batches
+    from sensorflow.streaming.sinks import compact_batches, read_compacted
     wide = wide_readings(ev.readings(spark, SF_SMALL))
     docs = index_documents(PL.to_messages(wide, with_key=False), now=NOW).repartition(6)
     sink = BatchDirSink(str(tmp_path / "t"))
     for b in range(3):
         sink(docs, b)
-    n = compact_batches(spark, str(tmp_path / "t"), str(tmp_path / "c"), first_batch=1)
-    assert n == 2 * wide.count()
-    back = read_batches(spark, str(tmp_path / "c"))
+    t, c = str(tmp_path / "t"), str(tmp_path / "c")
+    for _ in range(2):  # a repeated run replaces the first
+        assert compact_batches(spark, t, c, first_batch=1) == 2 * wide.count()
+    back = read_batches(spark, c)
+    assert back.count() == 2 * wide.count()
     assert sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [1, 2]
-    files = [f for f in os.listdir(str(tmp_path / "c")) if f.endswith(".parquet")]
+    files = [f for f in os.listdir(f"{c}/merged=1-2") if f.endswith(".parquet")]
     before = [f for f in os.listdir(str(tmp_path / "t" / "batch_id=1")) if f.endswith(".parquet")]
     assert len(files) < len(before)
+    want = {b: wide.count() for b in range(3)}
+
+    def per_batch():
+        return {r.batch_id: r["count"] for r in read_compacted(spark, t, c).groupBy("batch_id").count().collect()}
+
+    assert per_batch() == want
+    compact_batches(spark, t, c, first_batch=1, drop_source=True)
+    assert per_batch() == want and sorted(os.listdir(t)) == ["batch_id=0"]
+    assert compact_batches(spark, t, c, first_batch=1) == 0
+    sink(docs, 3)
+    assert per_batch() == want | {3: wide.count()}
 
 
 def test_index_stream_drops_resent_messages(spark, tmp_path):
@@ -183,8 +197,15 @@ def test_index_stream_drops_resent_messages(spark, tmp_path):
     # each source row is read once
     read = sum(p["numInputRows"] for p in q.recentProgress)
     assert read == 2 * latest.count()
-    sink(index_documents(read_messages_batch(spark, "text", inbox), now=NOW, with_day=True), 0)
-    assert read_batches(spark, str(tmp_path / "docs")).filter("batch_id = 0").count() == latest.count()
+    # ids are kept as state: a batch needs none of the folders written before
+    for b in range(sink.totals["batches"]):
+        shutil.rmtree(tmp_path / "docs" / f"batch_id={b}")
+    _drop_messages(spark, inbox, latest)
+    q, sink = start_index_stream(read_messages(spark, "text", inbox), str(tmp_path / "docs"),
+                                 str(tmp_path / "ck"), trigger={"availableNow": True}, now=NOW, distinct=True)
+    run_available(q)
+    assert sum(p["numInputRows"] for p in q.recentProgress) == latest.count()
+    assert not [f for _, _, fs in os.walk(tmp_path / "docs") for f in fs if f.endswith(".parquet")]
     assert wide.count() >= latest.count()
 
 
