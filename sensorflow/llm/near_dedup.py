@@ -128,10 +128,10 @@ def allowed_edits(n, at_least: float | None = None):
 
 
 def unit_links(
-    ids: np.ndarray, roots: np.ndarray, words: list[np.ndarray], first: np.ndarray | None = None
+    roots: np.ndarray, words: list[np.ndarray], first: np.ndarray | None = None
 ) -> list[tuple[int, int]]:
-    """Links that connect the texts of a unit: for every two of different roots
-    that are similar, a path of links. With ``first`` (the texts of the unit's
+    """Links (of places) that connect the texts of a unit: for every two of different
+    roots that are similar, a path of links. With ``first`` (the texts of the unit's
     first block) only pairs of a text of each block are compared.
 
     A link is returned only when it joins two sets, so there are fewer than texts.
@@ -182,7 +182,7 @@ def unit_links(
             _, at = np.unique(label[near], return_index=True)
             for j, ok in zip(near[at], similar([(words[i], words[j]) for j in near[at]])):
                 if ok:
-                    found.append((int(ids[i]), int(ids[j])))
+                    found.append((i, int(j)))
                     label[label == label[j]] = label[i]
             near = np.delete(near, at)
     return found
@@ -326,8 +326,8 @@ def aligned(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
 
 
 def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
-    """Links (a, b) among the texts that agree in a sketch and are not connected
-    by ``roots`` (id, root)."""
+    """Links (a, b) of roots: those of texts that agree in a sketch and are not
+    connected by ``roots`` (id, root)."""
     known = sequences.select("id", "n", "sketches").join(roots.toDF("id", "root"), "id", "left")
     members = known.select(
         "id", F.col("n").cast("bigint").alias("n"), F.coalesce("root", "id").alias("root"),
@@ -358,14 +358,16 @@ def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFram
         for (_, low, high), unit in part.groupby(["key", "low", "high"], sort=False):
             words = [np.frombuffer(w, np.uint32) for w in unit["words"]]
             sides = None if low == high else unit["first"].to_numpy()
-            found += unit_links(unit["id"].to_numpy(), unit["root"].to_numpy(), words, sides)
+            roots = unit["root"].to_numpy()
+            found += [(roots[i], roots[j]) for i, j in unit_links(roots, words, sides)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
 
 
-def links(nodes: DataFrame, folder: str) -> DataFrame:
-    """Linked pairs (a, b) among ``nodes`` (node, text of distinct nodes)."""
+def connected(nodes: DataFrame, folder: str) -> DataFrame:
+    """(node, root) for ``nodes`` (node, text of distinct nodes) that are linked to
+    another: the root stands for the class."""
     ship(nodes.sparkSession)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -397,10 +399,15 @@ def links(nodes: DataFrame, folder: str) -> DataFrame:
         aligned(stars.select("a", F.col("id").alias("b")).distinct(), sequences).where("ok").select("a", "b"),
         folder, "first",
     )
-    second = _written(block_links(sequences, components(first), folder), folder, "second")
-    name = sequences.select("id", "node")
-    return first.union(second).join(name.toDF("a", "x"), "a").join(name.toDF("b", "y"), "b").select(
-        F.col("x").alias("a"), F.col("y").alias("b")
+    roots = _written(components(first), folder, "roots").toDF("id", "root")
+    second = _written(block_links(sequences, roots, folder), folder, "second")
+    # the second links are few and join roots, so only these are followed again
+    further = components(second)
+    named = sequences.select("id", "node").join(roots, "id", "left").withColumn("own", F.coalesce("root", "id"))
+    return (
+        named.join(further.toDF("own", "last"), "own", "left")
+        .where("root IS NOT NULL OR last IS NOT NULL")
+        .select("node", F.coalesce("last", "own").cast("string").alias("root"))
     )
 
 
@@ -416,7 +423,7 @@ def classes(documents: DataFrame) -> DataFrame:
     least = nodes.groupBy("node").agg(F.min("doc_id").alias("least_id"))
     # one row for each distinct text: equal texts are merged before they are shuffled
     distinct = nodes.where("text != ''").select("node", "text").dropDuplicates(["node", "text"])
-    roots = components(links(distinct, folder))
+    roots = connected(distinct, folder)
     named = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("least_id").alias("class_id"))
     return named.join(smallest, "root")

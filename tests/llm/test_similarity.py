@@ -222,15 +222,15 @@ def test_unit_links_connect_all_similar_texts(seed):
             own = substituted(rng, own, rng.choice([0.02, 0.15, 0.25]))
     ids, words = unit_of(texts)
     pairs = [(i, j) for i in range(len(texts)) for j in range(i) if near_dedup.similar([(words[i], words[j])])[0]]
-    got = near_dedup.unit_links(ids, ids, words)
+    got = near_dedup.unit_links(ids, words)
     assert joined(len(texts), got) == joined(len(texts), pairs)
     assert len(got) == len(texts) - len(joined(len(texts), pairs)) and set(got) <= set(pairs)
     roots = np.array([i // 2 for i in ids])
     some = [(2 * k, 2 * k + 1) for k in range(len(ids) // 2)]
-    got = near_dedup.unit_links(ids, roots, words)
+    got = near_dedup.unit_links(roots, words)
     assert joined(len(texts), got + some) == joined(len(texts), pairs + some)
     first = ids % 3 == 0
-    got = near_dedup.unit_links(ids, ids, words, first)
+    got = near_dedup.unit_links(ids, words, first)
     assert joined(len(texts), got) == joined(len(texts), [p for p in pairs if first[p[0]] != first[p[1]]])
 
 
@@ -247,12 +247,12 @@ def test_unlike_texts_with_a_passage_give_no_pairs(spark, monkeypatch, tmp_path)
         count = []
         real = near_dedup.similar
         monkeypatch.setattr(near_dedup, "similar", lambda pairs: count.append(len(pairs)) or real(pairs))
-        assert near_dedup.unit_links(ids, ids, words) == []
+        assert near_dedup.unit_links(ids, words) == []
         monkeypatch.setattr(near_dedup, "similar", real)
         tried[n] = sum(count)
         nodes = spark.createDataFrame([(f"{i:04d}", t) for i, t in enumerate(texts)], "node string, text string")
         (tmp_path / str(n)).mkdir()
-        assert near_dedup.links(nodes, str(tmp_path / str(n))).count() == 0
+        assert near_dedup.connected(nodes, str(tmp_path / str(n))).count() == 0
     assert tried == {200: 0, 400: 0}
 
 
