@@ -24,20 +24,22 @@ Hot keys in ``join``: AQE splits skewed partitions of the first join only
 of salt buckets. Its largest sensor is dealt over the grid's rows, its second
 largest over the columns, the other sensors are copied to every bucket; so a
 key that is balanced over the sensors is split as well. Which keys are hot is
-found by a grouped count; their table is joined like any other (Spark's own
-size check decides on a broadcast).
+found by a grouped count, of those that have all five sensors (others give no
+row and are not copied); their table is written once and joined like any other
+(Spark's own size check decides on a broadcast).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorflow.functions.cleaning import complete, round_columns
 from sensorflow.functions.time import epoch_to_text
 from sensorflow.schema import KEY, READING_COLUMNS, SENSORS, WIDE_COLUMNS, WIDE_NAME
+from sensorflow.session import scratch_path
 
 # Join order of the reference (co2, humidity, light, pir, temperature).
 JOIN_ORDER = SENSORS
@@ -72,8 +74,8 @@ def join_sensors(long: DataFrame) -> DataFrame:
 
 
 def hot_keys(long: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Keys with more than ``hot_key_rows`` readings: their two largest sensors
-    and the parts each of these is dealt to, so that a part holds about a
+    """Keys with all sensors and more than ``hot_key_rows`` readings: their two
+    largest sensors and the parts each of these is dealt to, so that a part holds about a
     fifth of ``hot_key_rows`` (five sensors meet in a bucket)."""
     if hot_key_rows < 1:
         raise ValueError("hot_key_rows must be >= 1")
@@ -88,7 +90,8 @@ def hot_keys(long: DataFrame, hot_key_rows: int) -> DataFrame:
                   for n, s in zip(counts, SENSORS)]).alias("by_sensor"))
     part = hot_key_rows / len(SENSORS)
     ranked = F.sort_array("by_sensor", asc=False)
-    return (sized.filter(F.col("total") > hot_key_rows)
+    all_there = F.forall("by_sensor", lambda x: x["n"] > 0)
+    return (sized.filter((F.col("total") > hot_key_rows) & all_there)
                  .select(*KEY, ranked[0].alias("first"), ranked[1].alias("second"))
                  .select(*KEY,
                          F.col("first.sensor").alias("_row_sensor"),
@@ -97,20 +100,27 @@ def hot_keys(long: DataFrame, hot_key_rows: int) -> DataFrame:
                          F.greatest(F.ceil(F.col("second.n") / part), F.lit(1)).alias("_columns")))
 
 
-def join_sensors_salted(long: DataFrame, hot_key_rows: int, row_id: str | None = None) -> DataFrame:
+def join_sensors_salted(long: DataFrame, hot_key_rows: int,
+                        row_id: str | Column | None = None) -> DataFrame:
     """J1 with hot keys split over salt buckets; same rows as ``join_sensors``.
 
-    Each side is filtered to its sensor first; rows are dealt by a hash of
-    ``row_id`` or, without one, of a row number that is added after the filter
-    (so the filter reaches the scan). Every output row is produced once: the
+    Each side is filtered to its sensor first (so the filter reaches the scan);
+    rows are dealt by a hash of ``row_id``, a column or an expression, or without
+    one of all their columns (equal rows then stay together). A task that is run
+    again must find the same ids: a row number is one only over a plain scan.
+    The hot keys are found by a first pass and written under the session's
+    checkpoint folder. Every output row is produced once: the
     two dealt sensors meet in one bucket, the others are copied to all. Other
     keys have one bucket and pass through unchanged."""
-    hot = hot_keys(long, hot_key_rows)
+    path = scratch_path(long.sparkSession, "hot-keys")
+    hot_keys(long, hot_key_rows).write.parquet(path)
+    hot = long.sparkSession.read.parquet(path)
     rows, columns = (F.coalesce(F.col(c), F.lit(1)) for c in ("_rows", "_columns"))
 
     def salted(sensor: str) -> DataFrame:
         side = long.filter(F.col("sensor") == sensor)
-        own = F.col(row_id) if row_id else F.monotonically_increasing_id()
+        own = F.xxhash64(*long.columns) if row_id is None else \
+            F.col(row_id) if isinstance(row_id, str) else row_id
         side = side.select(*KEY, F.col("sensor_value").alias(WIDE_NAME[sensor]), own.alias("_row"))
         place = F.xxhash64("_row")
 
@@ -153,7 +163,8 @@ def latest_per_sensor_wide(long: DataFrame, order_col: str) -> DataFrame:
 
 def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None = 6,
                   drop_incomplete: bool = True, order_col: str | None = None,
-                  hot_key_rows: int | None = None, row_id: str | None = None) -> DataFrame:
+                  hot_key_rows: int | None = None,
+                  row_id: str | Column | None = None) -> DataFrame:
     """Long readings -> wide rows ``event_ts_min, ts_min_bignt, room, co2,
     light, temp, humidity, pir``.
 
@@ -161,7 +172,7 @@ def wide_readings(long: DataFrame, how: str = "join", round_digits: int | None =
     ``round_digits=None, drop_incomplete=False`` is version 2.
 
     ``hot_key_rows`` asks for the salted join: keys with more readings are
-    split (``row_id`` may name a column that tells the rows of a key apart).
+    split (``row_id`` tells the rows of a key apart).
     The rows are the same with and without.
     """
     if how == "join":

@@ -397,6 +397,71 @@ def q_movement_by_hour(spark, sf_dir):
     return A.movement_by_hour(r.filter(F.col("sensor") == "pir"))
 
 
+@register("movement_episodes", f"""WITH {O.READINGS_CTE},
+m AS (SELECT room, ts, event_id, sensor_value > 0 AS moving FROM readings WHERE sensor = 'pir'),
+d AS (SELECT *, lag(moving) OVER w AS before, epoch_us(ts) - epoch_us(lag(ts) OVER w) AS pause
+      FROM m WINDOW w AS (PARTITION BY room ORDER BY ts, event_id)),
+r AS (SELECT *, sum(CASE WHEN moving AND (before IS NULL OR NOT before OR pause > 864000000000)
+        THEN 1 ELSE 0 END) OVER (PARTITION BY room ORDER BY ts, event_id) AS run FROM d)
+SELECT room, epoch_us(min(ts)) AS start_us, epoch_us(max(ts)) AS end_us,
+  CAST(count(*) AS BIGINT) AS n_readings
+FROM r WHERE moving GROUP BY room, run""")
+def q_movement_episodes(spark, sf_dir):
+    """Runs of movement per room, ended by a still reading or ten days' pause."""
+    from sensorflow.operators.ordered import movement_episodes
+    pir = _readings(spark, sf_dir).filter(F.col("sensor") == "pir")
+    found = movement_episodes(pir, max_gap_seconds=10 * 86400)
+
+    def micros(c):
+        return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(c))
+    return found.select("room", micros("episode_start").alias("start_us"),
+                        micros("episode_end").alias("end_us"), "n_readings")
+
+
+@register("cadence_gaps", f"""WITH {O.READINGS_CTE},
+i AS (SELECT DISTINCT room, sensor, ts_min_bignt AS t FROM readings),
+d AS (SELECT room, sensor, t AS gap_after, lead(t) OVER (PARTITION BY room, sensor ORDER BY t) AS gap_before
+      FROM i),
+c AS (SELECT sensor, gap_before - gap_after AS apart, count(*) AS n FROM d
+      WHERE gap_before IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT sensor, apart AS step FROM c
+      QUALIFY row_number() OVER (PARTITION BY sensor ORDER BY n DESC, apart) = 1)
+SELECT room, sensor, gap_after, gap_before, step,
+  CAST(ceil((gap_before - gap_after) / step) - 1 AS BIGINT) AS n_missing
+FROM d JOIN s USING (sensor) WHERE gap_before - gap_after > step""")
+def q_cadence_gaps(spark, sf_dir):
+    """Q1, Q2: silent spans per room and sensor against the sensor's usual step."""
+    from sensorflow.operators.ordered import cadence_gaps
+    return cadence_gaps(_readings(spark, sf_dir))
+
+
+@register("rank_accuracy", f"""{SCORED},
+h AS (SELECT round(probability, 2) AS s, label FROM pred WHERE ts_min_bignt >= {int(HOLDOUT_FROM.timestamp())}),
+r AS (SELECT label, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS place FROM h),
+t AS (SELECT count(*) FILTER (WHERE label = 1) AS p, count(*) FILTER (WHERE label = 0) AS n,
+        sum(place) FILTER (WHERE label = 1) AS places FROM r)
+SELECT CAST(p AS BIGINT) AS positives, CAST(n AS BIGINT) AS negatives,
+  round((places - p * (p + 1) / 2.0) / (p * n), 9) AS auc FROM t""")
+def q_rank_accuracy(spark, sf_dir):
+    """M3 without a threshold: area under the ROC curve of the held-out rows, with
+    ties, from counts per score."""
+    from sensorflow.operators.model import time_split
+    from sensorflow.operators.ordered import rank_accuracy
+    _, test = time_split(with_label(_wide(spark, sf_dir)), int(HOLDOUT_FROM.timestamp()))
+    scored = score(test, FIXED_MODEL).withColumn("confidence", F.round("confidence", 2))
+    return rank_accuracy(scored).withColumn("auc", F.round("auc", 9))
+
+
+@register("calibration", f"""{SCORED}
+SELECT CAST(least(floor(probability * 10), 9) AS INTEGER) AS bin, CAST(count(*) AS BIGINT) AS n,
+  CAST(sum(label) AS BIGINT) AS n_positive, round(sum(label) / count(*), 6) AS rate
+FROM pred GROUP BY 1""")
+def q_calibration(spark, sf_dir):
+    """M3: observed rate of movement per tenth of the predicted probability."""
+    from sensorflow.operators.ordered import calibration
+    return calibration(_scored(spark, sf_dir))
+
+
 @register("stage_counts", f"""WITH {O.RAW_CTE}, {O.wide_cte()}
 SELECT 'readings' AS stage, CAST(count(*) AS BIGINT) AS n FROM readings
 UNION ALL SELECT 'parsed', CAST(count(*) AS BIGINT) FROM clean

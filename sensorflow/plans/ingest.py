@@ -10,6 +10,7 @@ tasks at once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorflow.operators.wide import wide_readings
 from sensorflow.schema import WIDE_SCHEMA
@@ -28,6 +29,9 @@ def build_wide(spark: SparkSession, root: str, version: int = 1, layout: str = "
     opts = {"round_digits": 6, "drop_incomplete": True} if version == 1 else \
         {"round_digits": None, "drop_incomplete": False}
     opts.update(wide_options)
+    if opts.get("hot_key_rows"):
+        # the sides are plain scans, so a row's number in its task is stable
+        opts.setdefault("row_id", F.monotonically_increasing_id())
     reader = read_raw_hive_tree if layout == "hive" else read_raw_tree
     long = clean_readings(reader(spark, root))
     return wide_readings(long, **opts)

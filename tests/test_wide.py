@@ -49,6 +49,16 @@ def test_every_key_hot_keeps_result_exact(spark):
     assert _rows(wide_readings(long, hot_key_rows=1)) == _rows(wide_readings(long))
 
 
+def test_a_key_that_lacks_a_sensor_is_not_hot(spark):
+    """It gives no row, so nothing is copied for it."""
+    rows = [("two", s, 100, float(i)) for s in SENSORS[:2] for i in range(60)]
+    rows += [("all", s, 100, float(i)) for s in SENSORS for i in range(2)]
+    long = spark.createDataFrame(rows, "room string, sensor string, ts_min_bignt long, "
+                                       "sensor_value double")
+    assert [r.room for r in hot_keys(long, 5).collect()] == ["all"]
+    assert _rows(wide_readings(long, hot_key_rows=5)) == _rows(wide_readings(long))
+
+
 def test_balanced_hot_key_is_split_over_two_sensors(spark):
     rows = [("hot", s, 100, float(i)) for s in SENSORS for i in range(6)]
     long = spark.createDataFrame(rows, "room string, sensor string, ts_min_bignt long, "
