@@ -11,18 +11,29 @@ word before its first:
 A document's score is the mean over its tokens of the target model's loss less
 the background model's, in nats: below zero it is more like the target.
 
-All bigrams of all documents are counted, as a table; nothing is pruned. Words,
-bigrams and texts are told apart by 64-bit hashes. Documents' bigrams are joined
-with the table, but for the ``HOT`` most frequent ones, whose losses are broadcast.
-A document without words has losses and score 0;
-if no target document has a word, both models are uniform and every score is 0.
+All words and bigrams of all documents are counted; nothing is pruned. They are
+told apart by 64-bit hashes. The documents are dealt to chunks of about
+``CHUNK_CHARS`` characters, and what is shuffled are a chunk's *distinct* keys:
+
+1. every chunk counts its words, contexts and bigrams and sends each range of keys
+   (sorted, as differences) to the task that adds up that range;
+2. that task returns, to every chunk and in the chunk's own order, the totals;
+3. the chunk, with its texts and the totals of all its keys, scores its documents.
+
+So a bigram costs some bytes per chunk it occurs in, not per document, and no
+task sees more than a chunk or a range. Only the numbers of tokens and of distinct
+words reach the driver.
+
+A document without words has losses and score 0; if no target document has a
+word, both models are uniform and every score is 0. Null texts count as empty;
+repeated rows are scored, and counted, each; a null doc_id is never a target;
+extra columns are dropped.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -33,13 +44,12 @@ from sensorflow.llm.common import ship
 from sensorflow.llm.near_dedup import word_hashes
 from sensorflow.session import scratch_path
 
-#: Sizes of the class-based form (Coder, Model), which the scores no longer use.
-VOCABULARY = 65_000
-HEAD = 2046
 MIX = 0.7
-#: Bigrams whose losses are broadcast, and tokens a task counts at once.
-HOT = 200_000
-TOKENS = 2_000_000
+#: Characters of a chunk of documents, and of documents per range of keys.
+CHUNK_CHARS = 4_000_000
+RANGE_CHARS = 12_000_000
+#: Kinds of keys, in their two lowest bits.
+WORD, BEFORE, GRAM = 0, 1, 2
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -48,195 +58,152 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-class Coder:
-    """Words to ids (0 is unknown), ids to classes, and bigrams of classes."""
-
-    def __init__(self, vocab: list[str], head: int = HEAD) -> None:
-        self.ids = {w: i + 1 for i, w in enumerate(vocab)}
-        self.classes = min(head, len(vocab)) + 2  # 0: the rest; the last: a beginning
-
-    def ids_of(self, text: str) -> np.ndarray:
-        found = words(text)
-        get = self.ids.get
-        return np.fromiter((get(w, 0) for w in found), np.int64, len(found))
-
-    def class_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < self.classes - 1, ids, 0)
-
-    def bigrams(self, ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens, and the class pair that ends in each."""
-        ids = [i for i in ids if len(i)]
-        if not ids:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        flat = np.concatenate(ids)
-        cls = self.class_of(flat)
-        before = np.empty_like(cls)
-        before[1:] = cls[:-1]
-        before[np.cumsum([0] + [len(i) for i in ids[:-1]])] = self.classes - 1
-        return flat, before * self.classes + cls
-
-
-@dataclass
-class Model:
-    """Class-bigram probabilities, word probabilities, and p(word | class)."""
-
-    pairs: np.ndarray
-    word: np.ndarray
-    inside: np.ndarray
-
-    @classmethod
-    def of(cls, pairs: np.ndarray, uses: np.ndarray, scale: float, classes: int) -> Model:
-        uses, pairs = uses * scale, pairs * scale
-        word = (uses + 1) / (uses.sum() + len(uses))
-        rest = np.arange(len(uses)) >= classes - 1
-        rest[0] = True  # the unknown word
-        inside = np.where(rest, word / word[rest].sum(), 1.0)
-        of_class = np.bincount(np.where(rest, 0, np.arange(len(uses))), word, minlength=classes)
-        total = pairs.sum(axis=1, keepdims=True)
-        # a class never seen before another word falls back on the unigrams
-        chance = np.where(total > 0, pairs / np.maximum(total, 1e-300), of_class)
-        return cls(chance.astype(np.float32), word, inside)
-
-    def losses(self, ids: np.ndarray, cells: np.ndarray) -> np.ndarray:
-        p = self.pairs.ravel()[cells] * self.inside[ids]
-        return -np.log(MIX * p + (1 - MIX) * self.word[ids])
-
-
-def pairs_of(texts: list[str], seen: dict[str, int]) -> tuple[np.ndarray, ...]:
-    """The text's number, the word before (0 at a beginning), the word and the
-    bigram of every token."""
-    words = [word_hashes(t or "", seen).view(np.int64) for t in texts]
-    n = np.array([len(w) for w in words], dtype=np.int64)
-    flat = np.concatenate([np.zeros(0, np.int64), *words])
-    before = np.zeros_like(flat)
-    before[1:] = flat[:-1]
-    before[(np.cumsum(n) - n)[n > 0]] = 0
-    mixed = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + flat.view(np.uint64)
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return np.repeat(np.arange(len(texts)), n), before, flat, (mixed ^ (mixed >> np.uint64(32))).view(np.int64)
-
-
-def bigrams(flagged: DataFrame) -> DataFrame:
-    """gram, before, word and its counts in all rows and in the target rows of
-    ``flagged`` (text, is_target)."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: dict[str, int] = {}
-        held, size = [], 0
-
-        def summed() -> pd.DataFrame:
-            before, word, gram, target = (np.concatenate(c) for c in zip(*held))
-            gram, at, code = np.unique(gram, return_index=True, return_inverse=True)
-            n = np.bincount(code, minlength=len(gram))
-            hits = np.bincount(code[target], minlength=len(gram))
-            return pd.DataFrame({"gram": gram, "before": before[at], "word": word[at], "n": n, "target": hits})
-
-        for batch in batches:
-            flags = batch["is_target"].to_numpy(dtype=bool)
-            for i in range(0, len(batch), 512):
-                owner, before, word, gram = pairs_of(list(batch["text"].iloc[i : i + 512]), seen)
-                held.append((before, word, gram, flags[i : i + 512][owner]))
-                size += len(gram)
-                if size > TOKENS:
-                    yield summed()
-                    held, size = [], 0
-        if size:
-            yield summed()
-
-    counted = flagged.where(F.col("text").isNotNull()).select(
-        "text", F.coalesce("is_target", F.lit(False)).alias("is_target")
-    )
-    return (
-        counted.mapInPandas(count, "gram bigint, before bigint, word bigint, n bigint, target bigint")
-        .groupBy("gram")
-        .agg(F.min("before").alias("before"), F.min("word").alias("word"),
-             F.sum("n").alias("n"), F.sum("target").alias("target"))
-    )
+def _keys(x: np.ndarray, kind: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((x ^ (x >> np.uint64(32))) & ~np.uint64(3)) | np.uint64(kind)
+
 
+class Chunk:
+    """The tokens of some texts: the owner of each, its word's, context's and
+    bigram's key, and the distinct keys in order."""
 
-def losses_of(counts: DataFrame) -> DataFrame:
-    """gram, n, and both models' losses of every bigram of ``counts``."""
-    by = lambda c, n, t: counts.groupBy(c).agg(F.sum("n").alias(n), F.sum("target").alias(t))
-    words = by("word", "n_word", "t_word")
-    size, n_all, n_target = words.agg(F.count("*"), F.sum("n_word"), F.sum("t_word")).first()
-    n_all, n_target = n_all or 0, n_target or 0
-    scale = n_target / n_all if n_all else 0.0
-
-    def loss(pair, before, word, by_scale):
-        one = (F.col(word) * by_scale + 1) / (n_target + size + 1)
-        two = F.when(F.col(before) > 0, F.col(pair) / F.col(before)).otherwise(one)
-        if not n_target:
-            two = one
-        return -F.log(two * MIX + one * (1 - MIX))
-
-    return (
-        counts.join(words.hint("merge"), "word")
-        .join(by("before", "n_before", "t_before").hint("merge"), "before")
-        .select(
-            "gram", "n",
-            loss("target", "t_before", "t_word", 1.0).alias("lt"),
-            loss("n", "n_before", "n_word", scale).alias("lb"),
+    def __init__(self, texts: list[str]) -> None:
+        seen: dict[str, int] = {}
+        found = [word_hashes(t or "", seen) for t in texts]
+        n = np.array([len(w) for w in found], dtype=np.int64)
+        word = np.concatenate([np.zeros(0, np.uint64), *found])
+        before = np.zeros_like(word)  # 0 at a beginning
+        before[1:] = word[:-1]
+        before[(np.cumsum(n) - n)[n > 0]] = 0
+        gram = before * np.uint64(0x9E3779B97F4A7C15) + word
+        self.n, self.owner = n, np.repeat(np.arange(len(texts)), n)
+        parts = [_keys(word, WORD), _keys(before, BEFORE), _keys(gram, GRAM)]
+        self.keys, places = np.unique(np.concatenate(parts), return_inverse=True)
+        self.word, self.before, self.gram = np.split(places, 3)
+
+    def counts(self, marked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How often each key occurs in all and in the marked texts."""
+        hit = marked[self.owner]
+        of = lambda keep: sum(
+            np.bincount(x[keep], minlength=len(self.keys)) for x in (self.word, self.before, self.gram)
         )
-    )
+        return of(slice(None)), of(hit)
+
+    def losses(self, n: np.ndarray, t: np.ndarray, size: int, n_all: int, n_target: int) -> tuple[np.ndarray, np.ndarray]:
+        """Each text's summed loss under the target and the background model, from
+        the totals ``n`` and ``t`` of its keys."""
+        out = []
+        for c, scale in ((t, 1.0), (n, n_target / n_all if n_all else 0.0)):
+            one = (c[self.word] * scale + 1) / (n_target + size + 1)
+            held = c[self.before]
+            two = np.where(held > 0, c[self.gram] / np.maximum(held, 1), one) if n_target else one
+            out.append(np.bincount(self.owner, -np.log(MIX * two + (1 - MIX) * one), minlength=len(self.n)))
+        return out[0], out[1]
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by byte planes: the planes of small numbers compress to nothing."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<u8").ravel()
+
+
+def _slices(keys: np.ndarray, ranges: int) -> Iterator[tuple[int, int, int]]:
+    """(range, start, end) of the sorted ``keys`` that lie in each range."""
+    width = (1 << 64) // ranges + 1
+    edges = np.array([min(i * width, (1 << 64) - 1) for i in range(ranges)], dtype=np.uint64)
+    at = np.searchsorted(keys, edges)
+    for i, (a, b) in enumerate(zip(at, [*at[1:], len(keys)])):
+        if b > a:
+            yield i, int(a), int(b)
+
+
+def count_chunk(part: pd.DataFrame, ranges: int) -> pd.DataFrame:
+    """A chunk's distinct keys and counts, a row for each range of keys."""
+    chunk = Chunk(list(part["text"]))
+    n, t = chunk.counts(part["is_target"].to_numpy(dtype=bool))
+    rows = []
+    for i, a, b in _slices(chunk.keys, ranges):
+        steps = np.diff(chunk.keys[a:b], prepend=np.uint64(0))
+        rows.append((i, int(part["chunk"].iloc[0]), _packed(steps), _packed(n[a:b]), _packed(t[a:b])))
+    return pd.DataFrame(rows, columns=["range", "chunk", "keys", "n", "t"])
+
+
+def total_range(part: pd.DataFrame) -> pd.DataFrame:
+    """The totals of a range's keys, for each chunk in the chunk's order; and, in
+    the first row, the range's distinct words, tokens and target tokens."""
+    keys = [np.cumsum(_unpacked(k), dtype=np.uint64) for k in part["keys"]]
+    known, at = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = []
+    for c in ("n", "t"):
+        sums.append(np.zeros(len(known), dtype=np.int64))
+        np.add.at(sums[-1], at, np.concatenate([_unpacked(x) for x in part[c]]).astype(np.int64))
+    is_word = known & np.uint64(3) == WORD
+    ends = np.cumsum([len(k) for k in keys])
+    out = part[["range", "chunk"]].copy()
+    for c, s in zip("nt", sums):
+        out[c] = [_packed(s[at[b - len(k) : b]]) for k, b in zip(keys, ends)]
+    out["words"], out["all"], out["target"] = 0, 0, 0
+    first = out.index[0]
+    out.loc[first, ["words", "all", "target"]] = [int(is_word.sum()), *(int(s[is_word].sum()) for s in sums)]
+    return out
+
+
+def score_chunk(part: pd.DataFrame, totals: pd.DataFrame, size: int, n_all: int, n_target: int) -> pd.DataFrame:
+    """The losses of a chunk's documents."""
+    chunk = Chunk(list(part["text"]))
+    totals = totals.sort_values("range")
+    n, t = (np.concatenate([np.zeros(0, "<u8"), *map(_unpacked, totals[c])]).astype(np.float64) for c in "nt")
+    target, background = chunk.losses(n, t, size, n_all, n_target)
+    each = np.maximum(chunk.n, 1)
+    return pd.DataFrame(
+        {
+            "doc_id": part["doc_id"].array,
+            "n_tokens": chunk.n,
+            "loss_target": target / each,
+            "loss_background": background / each,
+        }
+    )
 
 
 def score_documents(documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background, score of every document;
-    the target are the documents whose doc_id stands in ``target_ids``.
-
-    Two scans: the counts (whose join with the target ids shuffles texts), and
-    the scores (whose bigrams are joined with the counted ones).
-    """
+    the target are the documents whose doc_id stands in ``target_ids``."""
     spark = documents.sparkSession
     ship(spark)
-    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    marks = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
+    folder = scratch_path(spark, "lm-scoring")
     # target ids grow with the corpus: merged at every size, never broadcast
+    marks = target_ids.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
     marks = marks.withColumn("is_target", F.lit(True)).hint("merge")
-    folder = scratch_path(spark, "lm-scoring")
-    bigrams(docs.join(marks, "doc_id", "left")).write.parquet(f"{folder}/counts")
-    losses_of(spark.read.parquet(f"{folder}/counts")).write.parquet(f"{folder}/losses")
-    table = spark.read.parquet(f"{folder}/losses")
-    hot = table.orderBy(F.desc("n"), "gram").limit(HOT).select("gram", "lt", "lb").toArrow().sort_by("gram")
-    shared = spark.sparkContext.broadcast(tuple(hot[c].to_numpy() for c in ("gram", "lt", "lb")))
-
-    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        grams, lt, lb = shared.value
-        seen: dict[str, int] = {}
-        for batch in batches:
-            for i in range(0, len(batch), 512):
-                part = batch.iloc[i : i + 512]
-                keys = part["key"].to_numpy(np.int64)
-                owner, _, _, gram = pairs_of(list(part["text"]), seen)
-                at = np.minimum(np.searchsorted(grams, gram), max(0, len(grams) - 1))
-                known = grams[at] == gram if len(grams) else np.zeros(len(gram), bool)
-                sums = [np.bincount(owner[known], x[at[known]], minlength=len(part)) for x in (lt, lb)]
-                # one row a text, whose gram of no count spreads the rows
-                yield pd.DataFrame({"key": keys, "gram": keys, "n": 0, "lt0": sums[0], "lb0": sums[1],
-                                    "tokens": np.bincount(owner, minlength=len(part)), "copies": 1})
-                rest = pd.DataFrame({"key": keys[owner[~known]], "gram": gram[~known]})
-                rest = rest.groupby(["key", "gram"], sort=False).size().reset_index(name="n")
-                yield rest.assign(lt0=0.0, lb0=0.0, tokens=0, copies=0)
-
-    keyed = docs.withColumn("key", F.xxhash64("text"))
-    spread_rows = keyed.select("key", "text").mapInPandas(
-        spread, "key bigint, gram bigint, n bigint, lt0 double, lb0 double, tokens bigint, copies bigint"
-    )
-    joined = spread_rows.join(table.select("gram", "lt", "lb").hint("merge"), "gram", "left")
-    total = lambda c: F.sum(F.col(f"{c}0") + F.coalesce(F.col("n") * F.col(c), F.lit(0.0)))
-    # equal texts share a key; their means are the text's
-    scored = joined.groupBy("key").agg(
-        F.sum("tokens").alias("tokens"), F.sum("copies").alias("copies"), total("lt").alias("lt"), total("lb").alias("lb")
+    docs = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(marks, "doc_id", "left")
+    chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
+    chunks, ranges = 1 + chars // CHUNK_CHARS, 1 + chars // RANGE_CHARS
+    # ids pass through Python as text, as nulls would turn numbers to doubles; a row's
+    # number is fixed once it is written, and deals equal ids and texts apart
+    docs.select(
+        F.col("doc_id").cast("string").alias("doc_id"), "text", F.coalesce("is_target", F.lit(False)).alias("is_target"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).alias("chunk"),
+    ).write.parquet(f"{folder}/chunks")
+    dealt = spark.read.parquet(f"{folder}/chunks")
+    counted = dealt.select("chunk", "text", "is_target").groupBy("chunk").applyInPandas(
+        lambda part: count_chunk(part, ranges), "range bigint, chunk bigint, keys binary, n binary, t binary"
     )
-    n = F.greatest("tokens", F.lit(1))
-    return (
-        keyed.select("doc_id", "key")
-        .join(scored, "key")
-        .select(
-            "doc_id",
-            (F.col("tokens") / F.col("copies")).cast("bigint").alias("n_tokens"),
-            (F.col("lt") / n).alias("loss_target"),
-            (F.col("lb") / n).alias("loss_background"),
+    counted.groupBy("range").applyInPandas(
+        total_range, "range bigint, chunk bigint, n binary, t binary, words bigint, all bigint, target bigint"
+    ).write.parquet(f"{folder}/totals")
+    totals = spark.read.parquet(f"{folder}/totals")
+    size, n_all, n_target = (x or 0 for x in totals.agg(F.sum("words"), F.sum("all"), F.sum("target")).first())
+    scored = (
+        dealt.select("chunk", "doc_id", "text").groupBy("chunk")
+        .cogroup(totals.select("chunk", "range", "n", "t").groupBy("chunk"))
+        .applyInPandas(
+            lambda part, own: score_chunk(part, own, size, n_all, n_target),
+            "doc_id string, n_tokens bigint, loss_target double, loss_background double",
         )
-        .withColumn("score", F.col("loss_target") - F.col("loss_background"))
+    )
+    return scored.withColumn("doc_id", F.col("doc_id").cast(documents.schema["doc_id"].dataType)).withColumn(
+        "score", F.col("loss_target") - F.col("loss_background")
     )

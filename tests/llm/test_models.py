@@ -180,7 +180,7 @@ def test_lm_scores_against_brute_force(spark, odd, empty):
     got = {r["doc_id"]: r for r in lm_scoring.score_documents(docs, target).collect()}
     texts = {i: lm_scoring.words(t or "") for i, t in rows}
     counts = Counter(w for ws in texts.values() for w in ws)
-    vocab = sorted(counts, key=lambda w: (-counts[w], w))[: lm_scoring.VOCABULARY]
+    vocab = sorted(counts)
     ids = {w: i + 1 for i, w in enumerate(vocab)}
 
     def model(keys, scale):
@@ -221,9 +221,8 @@ def test_lm_scores_against_brute_force(spark, odd, empty):
 
 
 def test_lm_bigrams_of_rare_words_count(spark, monkeypatch):
-    """Documents that differ only in the order of two rare words, with all but
-    one bigram joined."""
-    monkeypatch.setattr(lm_scoring, "HOT", 1, raising=False)
+    """Documents that differ only in the order of two rare words."""
+    monkeypatch.setattr(lm_scoring, "CHUNK_CHARS", 5000)
     common = " ".join(f"w{i} w{i} w{i} w{i} w{i} w{i} w{i} w{i}" for i in range(2200))
     rows = [(0, common), (1, "w1 aa bb w2"), (2, "w1 bb aa w2"), (3, "w1 aa bb w2 w3"), (4, "w1 bb aa w2 w3")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
@@ -232,14 +231,30 @@ def test_lm_bigrams_of_rare_words_count(spark, monkeypatch):
     assert got[3] < got[4] - 0.1
 
 
-def test_lm_unknown_words_share_the_rest_class():
-    vocab = ["a", "b", "c"]
-    coder = lm_scoring.Coder(vocab, head=1)
-    assert coder.ids_of("a b z c").tolist() == [1, 2, 0, 3]
-    assert coder.class_of(coder.ids_of("a b z c")).tolist() == [1, 0, 0, 0]
-    model = lm_scoring.Model.of(np.zeros((3, 3)), np.array([1.0, 4, 2, 0]), 1.0, coder.classes)
-    assert model.word.sum() == pytest.approx(1)
-    assert model.inside[[0, 2, 3]].sum() == pytest.approx(1)  # words within their class
+def test_lm_scores_do_not_depend_on_chunks_and_ranges(spark, odd, monkeypatch):
+    target = odd.where("doc_id IN (0, 5, 6)").select("doc_id")
+
+    def scores():
+        rows = lm_scoring.score_documents(odd, target).collect()
+        return sorted(((r["doc_id"], r["n_tokens"], round(r["loss_target"], 9), round(r["score"], 9)) for r in rows), key=str)
+
+    want = scores()
+    assert len(want) == odd.count() and any(r[3] for r in want)
+    monkeypatch.setattr(lm_scoring, "CHUNK_CHARS", 700)
+    monkeypatch.setattr(lm_scoring, "RANGE_CHARS", 2000)
+    assert scores() == want
+
+
+def test_lm_packing_and_ranges():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 1000):
+        x = rng.integers(0, 2**64, n, dtype=np.uint64)
+        assert lm_scoring._unpacked(lm_scoring._packed(x)).tolist() == x.tolist()
+        x.sort()
+        for ranges in (1, 3, 64):
+            parts = list(lm_scoring._slices(x, ranges))
+            assert [v for _, a, b in parts for v in x[a:b].tolist()] == x.tolist()
+            assert len({i for i, _, _ in parts}) == len(parts)
 
 
 def test_english_and_german_fixture_words_differ():
