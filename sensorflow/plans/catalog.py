@@ -462,6 +462,32 @@ def q_calibration(spark, sf_dir):
     return calibration(_scored(spark, sf_dir))
 
 
+ROLLUP_FROM, ROLLUP_TO = 1704250800, 1706032800  # 2024-01-03 03:00 to 2024-01-23 18:00
+
+
+@register("rollup_range", f"""WITH {O.READINGS_CTE}
+SELECT room, sensor, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(sensor_value) AS BIGINT) AS n,
+  {_avg('sensor_value')} AS avg_value, min(sensor_value) AS min_value, max(sensor_value) AS max_value
+FROM readings WHERE epoch(ts) >= {ROLLUP_FROM} AND epoch(ts) < {ROLLUP_TO} GROUP BY 1, 2""")
+def q_rollup_range(spark, sf_dir):
+    """A6, A7 from partial aggregates: readings arrive as a stream in several
+    batches, then a range with ragged ends is answered from days and hours."""
+    from sensorflow.functions.time import epoch_seconds_of_ntz
+    from sensorflow.operators.rollup import Rollup
+    from sensorflow.session import scratch_path
+    from sensorflow.streaming.sinks import run_available, start
+    base = scratch_path(spark, "rollup")
+    long = _readings(spark, sf_dir).select(
+        "room", "sensor", F.floor(epoch_seconds_of_ntz("ts")).cast("bigint").alias("ts_min_bignt"), "sensor_value")
+    for half in (0, 1):  # deliveries that overlap in time
+        long.filter(F.pmod(F.xxhash64("room", "ts_min_bignt"), F.lit(2)) == half).repartition(2) \
+            .write.mode("append").parquet(f"{base}/inbox")
+    source = spark.readStream.schema(long.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/inbox")
+    rollup = Rollup(f"{base}/rollup")
+    run_available(start(source, rollup, f"{base}/checkpoint", trigger={"availableNow": True}))
+    return rollup.statistics(spark, ROLLUP_FROM, ROLLUP_TO, quantiles=())
+
+
 @register("stage_counts", f"""WITH {O.RAW_CTE}, {O.wide_cte()}
 SELECT 'readings' AS stage, CAST(count(*) AS BIGINT) AS n FROM readings
 UNION ALL SELECT 'parsed', CAST(count(*) AS BIGINT) FROM clean
