@@ -83,6 +83,28 @@ def parse_json(df: DataFrame, value_col: str = "value", schema=JSON_PAYLOAD_SCHE
     return parsed.select(*keep, *[F.col(f"_data.{f.name}").alias(f.name) for f in schema.fields])
 
 
+def parse_json_open(df: DataFrame, value_col: str = "value", schema=JSON_PAYLOAD_SCHEMA,
+                    keep_value: bool = False) -> DataFrame:
+    """P15 for payloads that drift: the known fields as ``parse_json`` gives them,
+    and ``extra``, a map of VARIANT values, with what the schema could not hold:
+    fields it does not know, and known ones that came with another type (their
+    column is null then). Messages without such fields have an empty map, text
+    that is no JSON object a null one. ``variant_get(extra['field'], path, type)``
+    reads them; VARIANT columns are stored in Parquet as they are."""
+    keep = [c for c in df.columns if c != value_col or keep_value]
+    typed = {f.name: f.dataType for f in schema.fields}
+    parsed = df.select(*keep, F.from_json(F.col(value_col), schema).alias("_data"),
+                       F.from_json(F.col(value_col), "map<string,variant>").alias("_all"))
+    def unheld(k, v):
+        known = F.lit(False)
+        for name in typed:
+            known = known | ((k == name) & F.col(f"_data.{name}").isNotNull())
+        return ~known & v.isNotNull() & ~F.is_variant_null(v)
+
+    return parsed.select(*keep, *[F.col(f"_data.{n}").alias(n) for n in typed],
+                         F.map_filter("_all", unheld).alias("extra"))
+
+
 def parse_payload(df: DataFrame, payload_format: str = "csv", value_col: str = "value",
                   sep: str = ",", keep_value: bool = False) -> DataFrame:
     """Messages in either format -> the eight fields. An instant or a reading

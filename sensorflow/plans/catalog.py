@@ -198,6 +198,36 @@ def q_json_fields(spark, sf_dir):
     return PL.parse_payload(msgs, "json")
 
 
+@register("payload_drift", f"""{WIDE_V2}
+SELECT room, ts_min_bignt, light, CASE WHEN ts_min_bignt % 345600 = 0 THEN NULL ELSE co2 END AS co2,
+  CASE WHEN ts_min_bignt % 345600 = 0 AND co2 IS NOT NULL THEN co2 END AS late_co2,
+  'fw-' || room AS firmware, CAST(length(room) AS BIGINT) AS battery,
+  CAST(CASE WHEN ts_min_bignt % 345600 = 0 AND co2 IS NOT NULL THEN 3 ELSE 2 END AS INTEGER) AS n_extra
+FROM wide2""")
+def q_payload_drift(spark, sf_dir):
+    """P15, Q3 on payloads that drift: two new fields, one nested, and co2 as text
+    in every second instant; all are kept as VARIANT, stored, and read back."""
+    from sensorflow.session import scratch_path
+    moved = F.col("ts_min_bignt") % 345600 == 0
+    wide = _wide_v2(spark, sf_dir).withColumns({
+        "text_co2": F.when(moved, F.col("co2").cast("string")),
+        "number_co2": F.when(~moved, F.col("co2"))})
+    cols = [c for c in wide.columns if c not in ("co2", "text_co2", "number_co2")]
+    device = [F.concat(F.lit("fw-"), "room").alias("firmware"),
+              F.struct(F.length("room").alias("level")).alias("battery")]
+    with_co2 = F.when(moved, F.to_json(F.struct(*cols, F.col("text_co2").alias("co2"), *device))) \
+        .otherwise(F.to_json(F.struct(*cols, F.col("number_co2").alias("co2"), *device)))
+    path = scratch_path(spark, "payload-drift")
+    PL.parse_json_open(wide.select(with_co2.alias("value"))).write.parquet(path)
+    out = spark.read.parquet(path)
+    return out.select(
+        "room", "ts_min_bignt", "light", "co2",
+        F.try_variant_get(F.col("extra")["co2"], "$", "double").alias("late_co2"),
+        F.variant_get(F.col("extra")["firmware"], "$", "string").alias("firmware"),
+        F.variant_get(F.col("extra")["battery"], "$.level", "bigint").alias("battery"),
+        F.size("extra").alias("n_extra"))
+
+
 @register("payload_quarantine", f"""{WIDE_V2}
 SELECT * FROM (
   SELECT room, ts_min_bignt,
