@@ -547,6 +547,20 @@ def q_time_filter(spark, sf_dir):
     return A.room_time_filter(_wide(spark, sf_dir), start=FILTER_FROM, end=FILTER_TO)
 
 
+@register("clustered_filter", f"""{WIDE}
+SELECT * FROM wide WHERE room IN ('1', '2', '3', '5', '8')
+  AND ts_min_bignt >= {int(FILTER_FROM.timestamp())} AND ts_min_bignt < {int(FILTER_TO.timestamp())}""")
+def q_clustered_filter(spark, sf_dir):
+    """F4 on a table clustered by room and time at once."""
+    from sensorflow.plans.ingest import write_clustered_table
+    from sensorflow.session import scratch_path
+    base = scratch_path(spark, "clustered")
+    _wide(spark, sf_dir).write.parquet(f"{base}/wide")
+    write_clustered_table(spark.read.parquet(f"{base}/wide"), f"{base}/clustered")
+    return A.room_time_filter(spark.read.parquet(f"{base}/clustered"), rooms=("1", "2", "3", "5", "8"),
+                              start=FILTER_FROM, end=FILTER_TO).drop("room_hash")
+
+
 @register("room_filter", f"{WIDE} SELECT * FROM wide WHERE room IN ('1', '2', '3', '5', '8')")
 def q_room_filter(spark, sf_dir):
     """rooms in a set."""

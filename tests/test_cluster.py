@@ -1,0 +1,70 @@
+"""The wide table clustered by room and time: what filters skip."""
+
+import glob
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from sensorflow.operators.analytics import room_time_filter
+from sensorflow.plans.ingest import _spread, with_cluster, write_clustered_table
+
+DAY = 86400
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    base = tmp_path_factory.mktemp("clustered")
+    rng = random.Random(1)
+    rows = [("hot" if i % 3 == 0 else f"r{rng.randrange(60)}", rng.randrange(100 * DAY), float(i)) for i in range(12_000)]
+    rows += [(None, 5, 1.0), ("r1", None, 2.0)]
+    df = spark.createDataFrame(rows, "room string, ts_min_bignt bigint, co2 double")
+    df.write.parquet(f"{base}/plain")
+    plain = spark.read.parquet(f"{base}/plain")
+    write_clustered_table(plain, f"{base}/clustered", rows_per_file=200)
+    return plain, f"{base}/clustered"
+
+
+def groups_read(path, rooms=None, start=None, end=None, hash_of=None):
+    """Row groups whose statistics let the filter through, of all."""
+    read = total = 0
+    for f in glob.glob(f"{path}/*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        names = {meta.schema.column(i).name: i for i in range(meta.num_columns)}
+        for g in range(meta.num_row_groups):
+            stats = {n: meta.row_group(g).column(i).statistics for n, i in names.items()}
+            h, t = stats["room_hash"], stats["ts_min_bignt"]
+            ok = rooms is None or any(h.min <= hash_of[r] <= h.max for r in rooms)
+            ok = ok and (start is None or t.max >= start) and (end is None or t.min < end)
+            read, total = read + ok, total + 1
+    return read, total
+
+
+@pytest.mark.parametrize("kw, most", [
+    ({"rooms": ["r7"]}, 0.35), ({"rooms": ["hot"]}, 0.6), ({"start": 20 * DAY, "end": 24 * DAY}, 0.35),
+    ({"rooms": ["r7"], "start": 20 * DAY, "end": 24 * DAY}, 0.12), ({"rooms": []}, 1.0), ({"rooms": ["none"]}, 0.35)])
+def test_same_rows_fewer_row_groups(spark, tables, kw, most):
+    plain, path = tables
+    clustered = spark.read.parquet(path)
+    assert clustered.count() == plain.count()
+    got = room_time_filter(clustered, **kw)
+    assert sorted(map(tuple, got.drop("room_hash").collect()), key=str) == \
+        sorted(map(tuple, room_time_filter(plain, **kw).collect()), key=str)
+    hash_of = {r: h for r, h in clustered.select("room", "room_hash").distinct().collect()}
+    hash_of["none"] = spark.range(1).select(F.expr("int(pmod(xxhash64('none'), 65536))")).first()[0]
+    read, total = groups_read(path, hash_of=hash_of, **kw)
+    assert total > 40 and read <= most * total
+
+
+def test_the_room_filter_reaches_the_scan(spark, tables):
+    plan = room_time_filter(spark.read.parquet(tables[1]), rooms=["r7", "r8"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "room_hash" in text.split("PushedFilters")[1].split("ReadSchema")[0]
+
+
+def test_bits_are_interleaved(spark):
+    rows = spark.createDataFrame([(x,) for x in (0, 1, 2, 3, 0x8000, 0xFFFF, 0x1234)], "x bigint")
+    for x, s in rows.select("x", _spread(F.col("x"))).collect():
+        assert s == sum(((x >> i) & 1) << (2 * i) for i in range(16))
+    assert with_cluster(spark.createDataFrame([], "room string, ts_min_bignt bigint")).count() == 0
