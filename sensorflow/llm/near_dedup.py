@@ -14,11 +14,12 @@ and linked at an edit similarity of ``SIMILARITY`` or more:
    connects most near copies.
 2. Where the texts of a sketch are not all connected by now, they meet, with
    their words, in blocks of about ``BLOCK_WORDS`` words (every two blocks of a
-   sketch in one task's unit). There, two texts are compared only if their
-   rarest words have one in common (two similar texts must agree in one of the
-   least ``1 - SIMILARITY`` of their words by any one order, here that of
-   frequency in the unit) and their exact word bags allow the similarity. What
-   passes is aligned, and links are joined in a local union-find, so a unit
+   sketch in one task's unit). There, two texts are compared only if enough of
+   their rarest words agree: by any one order of words, here that of frequency in
+   the unit, similar texts share at least k of their first ``d + k`` words, where
+   d is the number of words that they may lack (k is ``1 / RARE`` of a text). An
+   inverted index over these words counts the shared ones. If then the exact word
+   bags allow the similarity, they are aligned, and links are joined in a local union-find, so a unit
    returns fewer links than it has texts; no pair is ever a row.
 
 Classes are the connected components of the links.
@@ -49,6 +50,9 @@ SKETCHES = 48
 TAKEN = 2
 SIMILARITY = 0.8
 CACHED_WORDS = 500_000
+#: Similar texts are looked for by this share (one in so many) of their rarest words,
+#: beyond those that they may lack.
+RARE = 5
 #: Words of a block, and of the units that are dealt to one group.
 BLOCK_WORDS = 1 << 19
 GROUP_WORDS = 1 << 21
@@ -149,10 +153,11 @@ def unit_links(
     )
     starts = np.r_[0, np.cumsum(n)]
     bags = [code[a:b] for a, b in zip(starts, starts[1:])]
-    # rarest first; a text's least (1 - SIMILARITY) share decides whom it can be like
+    # rarest first; of its first words a text shares ``need`` with any it is like
+    need = np.maximum(1, n // RARE)
     order = np.lexsort((code, frequency[code], owner))
     place = np.arange(len(code)) - starts[owner]
-    taken = order[(place <= allowed_edits(n)[owner]) & (frequency[code[order]] > 1)]
+    taken = order[(place < (allowed_edits(n) + need)[owner]) & (frequency[code[order]] > 1)]
     by_word = taken[np.argsort(code[taken], kind="stable")]
     holders, held = owner[by_word], code[by_word]
     low = np.searchsorted(held, np.arange(len(frequency)))
@@ -164,8 +169,9 @@ def unit_links(
         lists = [holders[low[c] : high[c]] for c in rare[i] if high[c] - low[c] > 1]
         if not lists:
             continue
-        near = np.unique(np.concatenate(lists))
-        near = near[(near < i) & (label[near] != label[i])]
+        agree = np.bincount(np.concatenate(lists), minlength=i + 1)[:i]
+        near = np.flatnonzero((agree > 0) & (agree >= np.minimum(need[:i], need[i])))
+        near = near[label[near] != label[i]]
         if first is not None:
             near = near[first[near] != first[i]]
         longer = np.maximum(n[near], n[i])
