@@ -11,7 +11,10 @@ spliced from stretches of texts in different languages, so that the field sees
 switches, and the conditional likelihood is climbed with Adam in numpy.
 
 A text that is null or holds no letter is ``und`` with score 0, as is every
-text if no language could be learned.
+text if no language could be learned. Of equally likely languages the first by
+name counts. Every row is labelled by itself: repeated rows and equal texts get
+equal labels, extra columns stay, an empty table gives an empty one; rows without
+a language or text teach nothing.
 """
 
 from __future__ import annotations

@@ -6,7 +6,11 @@ embeddings are convolved with learned filters, each filter is max-pooled over
 its chunk, and a small dense layer over the maxima and the filled length gives the chunk's probability; the text's
 probability is their mean, weighted by the bytes each chunk adds.
 
-Texts that are null or empty get the training share of label 1.
+Texts that are null or empty get the training share of label 1. Every row is
+scored by itself: repeated rows and equal texts get equal scores, extra columns
+stay (one named as the score is replaced), an empty table gives an empty one. In
+training, rows without a label or text are left out, and a document labelled twice
+counts with the larger label.
 """
 
 from __future__ import annotations

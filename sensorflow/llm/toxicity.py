@@ -9,7 +9,10 @@ was never seen scores near the words it resembles.
 Averaging and softmax are linear, so a trained model folds into one number per
 subword: scoring sums these per distinct word and averages over all
 words of the whole text. A text that is null, empty or without a word scores
-the bias alone.
+the bias alone. Every row is scored by itself: repeated rows and equal texts get
+equal scores, extra columns stay (one named as the score is replaced), an empty
+table gives an empty one. In training, rows without a label or text are left out,
+and a document labelled twice counts with the larger label.
 """
 
 from __future__ import annotations
