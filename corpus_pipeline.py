@@ -3,6 +3,17 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; ``run`` writes
 every stage's result as Parquet in the folder that ``spark.checkpoint.dir``
 names and reads it back for the next.
+
+Odd rows: a null text counts as empty in every stage. The toxicity stage keeps a
+document below the threshold, so empty texts go or stay by the model's bias; the
+quality stage scores them with the share of label 1; all empty texts are one class
+of near duplicates, of which one row stays; nulls stay null through the secret
+scans; packing gives them the end id alone. Null ids and repeated rows are
+documents like any others until near duplicates are merged (the smallest id stays,
+null only if there is no other). Extra columns stay until packing, whatever their
+names. Without labels both classifiers are constant: toxicity and quality scores
+are 0.5, so toxicity rejects everything at its threshold of 0.3. Empty tables go
+through as empty tables.
 """
 
 from __future__ import annotations
