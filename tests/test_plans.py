@@ -14,7 +14,8 @@ SIDE_EFFECTS = {"file_tree_wide", "long_table_wide", "stream_index_documents",
                 "stream_routed_predictions", "stream_room_windows",
                 "stream_windowed_accuracy", "stream_index_quarantine", "file_tree_salted",
                 "stream_index_documents_json", "stream_dedupe", "stream_prediction_messages",
-                "fit_and_score", "series_sorted"}
+                "fit_and_score", "series_sorted", "stream_wide", "stream_upserts",
+                "stream_running_accuracy", "wide_incremental", "rollup_range"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECTS))
