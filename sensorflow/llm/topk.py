@@ -8,9 +8,14 @@ and a candidate node with centre d and radius s no product can exceed
 worst kth score among the node's queries. Blocks' results are merged by a
 partial top-k per query.
 
-Before the blocks, every query's kth score among a bounded seed of candidates
-is found; it starts the pruning in all blocks and bounds what they return. The
-seed only prunes: results are exact.
+Candidates take part in rounds: a small share first, by a hash of the row, then
+``GROWTH`` times as many, until all have. A round compares its own candidates only
+and merges what it finds with the k best so far; their kth score starts the
+pruning in all blocks of the next round. A query's kth score over one share lets
+about ``GROWTH * k`` rows of the next through, at any size of the table, so what
+the blocks return grows with the queries and the number of rounds, which is the
+logarithm of the size. The rounds only prune: every candidate is compared once,
+and results are exact.
 
 Vectors that are null, or hold a null or non-finite component, take no part;
 vectors are matched with vectors of their own length only. Components become
@@ -30,13 +35,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorflow.llm.common import ship
+from sensorflow.session import scratch_path
 
 K = 20
 SCALE = 64
 LEAF = 64
 FANOUT = 4
-#: Rows of a candidate block, of a query block, and of the seed.
-CANDIDATES, QUERIES, SEED = 1024, 1024, 2048
+#: Rows of a candidate block, of a query block, of the first round, and the factor
+#: from round to round.
+CANDIDATES, QUERIES, SEED, GROWTH = 2048, 8192, 4096, 16
 #: Products of components below this are exact in doubles.
 EXACT = 2.0**53
 
@@ -168,61 +175,35 @@ def top_k(
 ) -> DataFrame:
     """query_id, rank, vec_id, score over ``vectors`` (vec_id, embedding).
 
-    Candidates are copied to every block of queries and queries to every block
-    of candidates, in bounded blocks; pairs of rows exist only inside a task.
-    The broadcast seed holds at most ``seed_rows`` vectors of each length.
+    Of each round, candidates are copied to every block of queries and queries to
+    every block of candidates, in bounded blocks; pairs of rows exist only inside a
+    task. Nothing but counts reaches the driver.
     """
     spark = vectors.sparkSession
     ship(spark)
+    folder = scratch_path(spark, "top-k")
     infinite = (float("inf"), float("-inf"))
     whole = F.forall(
         "embedding",
         lambda x: x.isNotNull() & ~F.isnan(x) & ~x.cast("double").isin(*infinite),
     )
-    points = (
+    rows = (
         vectors.where(F.col("embedding").isNotNull() & whole & F.col("vec_id").isNotNull())
         .select(
             F.col("vec_id").cast("bigint").alias("vec_id"),
             F.transform("embedding", lambda x: F.floor(x.cast("double") * SCALE)).alias("v"),
         )
         .distinct()
-        .withColumn("dim", F.size("v"))
     )
-    queries = points.where(is_query(F.col("vec_id")))
-    n_queries = queries.count()
-    n_points = points.count()
-    c_blocks = max(1, -(-n_points // candidates_per_block))
-    q_blocks = max(1, -(-n_queries // queries_per_block))
-
-    # a bounded sample by the row's hash; it only starts the thresholds
-    share = min(1.0, seed_rows / max(1, n_points))
-    sampled = points.where(F.xxhash64("vec_id", "v", F.lit(1)) / F.lit(2.0**64) + 0.5 < share)
-    seed = [(r["dim"], r["vec_id"], r["v"]) for r in sampled.limit(2 * seed_rows).collect()]
-    by_dim: dict[int, tuple] = {}
-    for dim in {d for d, _, _ in seed}:
-        part = sorted((i, v) for d, i, v in seed if d == dim)
-        by_dim[dim] = (np.array([v for _, v in part], np.int64).reshape(len(part), dim), np.array([i for i, _ in part]))
-    shared = spark.sparkContext.broadcast(by_dim)
-
-    def start(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            floor = np.full(len(batch), LOWEST)
-            for dim, part in batch.reset_index(drop=True).groupby("dim"):
-                if dim in shared.value and len(shared.value[dim][1]) > k:
-                    c, ids = shared.value[dim]
-                    at = part.index.to_numpy()
-                    q = _matrix(part["v"])
-                    low = np.full(len(q), LOWEST)
-                    found = Search(q, part["vec_id"].to_numpy(), low, c, ids, k)
-                    floor[at] = found.worst
-            yield batch.assign(floor=floor)
-
-    started = queries.mapInPandas(start, "vec_id bigint, v array<bigint>, dim int, floor bigint")
-    # by id and vector, so that the rows of a frequent id are spread
+    # a row's place between 0 and 1; by id and vector, so the rows of a frequent id are spread
+    place = F.xxhash64("vec_id", "v", F.lit(1)) / F.lit(2.0**64) + 0.5
+    rows.withColumn("dim", F.size("v")).withColumn("place", place).write.parquet(f"{folder}/points")
+    points = lambda: spark.read.parquet(f"{folder}/points")
+    queries = points().where(is_query(F.col("vec_id"))).drop("place")
+    n_points, n_queries = points().count(), queries.count()
     block = lambda n, salt: F.pmod(F.xxhash64("vec_id", "v", F.lit(salt)), F.lit(n))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>"))
-    right = points.withColumn("c", block(c_blocks, 2)).withColumn("q", every(q_blocks))
-    left = started.withColumn("q", block(q_blocks, 3)).withColumn("c", every(c_blocks))
+    q_blocks = max(1, -(-n_queries // queries_per_block))
 
     def search(key, q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
@@ -240,15 +221,40 @@ def top_k(
         )
 
     by = ["dim", "c", "q"]
-    hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
-        search, "query_id bigint, vec_id bigint, score bigint"
-    )
     # the limit on the rank is pushed before the shuffle: a task hands on k rows a query
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
-        hits.groupBy("query_id", "vec_id")
-        .agg(F.max("score").alias("score"))
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
-    )
+    order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best: DataFrame | None = None
+    low, turn = 0.0, 0
+    while low < 1.0:
+        high = min(1.0, seed_rows * GROWTH**turn / max(1, n_points))
+        if high > 1.0 / GROWTH * 4:  # a small rest is no round of its own
+            high = 1.0
+        upper = F.col("place") < high if high < 1.0 else F.lit(True)
+        new = points().where((F.col("place") >= low) & upper) if low else points().where(upper)
+        c_blocks = max(1, -(-int(n_points * (high - low)) // candidates_per_block))
+        started = queries.withColumn("floor", F.lit(LOWEST))
+        if best is not None:
+            # the kth score so far, if there are k: it may only rise
+            kth = best.groupBy(F.col("query_id").alias("vec_id")).agg(
+                F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(LOWEST)).alias("floor")
+            )
+            started = queries.join(kth, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(LOWEST)))
+        left = started.select("vec_id", "v", "dim", "floor").withColumn("q", block(q_blocks, 3)).withColumn("c", every(c_blocks))
+        right = new.drop("place").withColumn("c", block(c_blocks, 2)).withColumn("q", every(q_blocks))
+        hits = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(
+            search, "query_id bigint, vec_id bigint, score bigint"
+        )
+        hits = hits if best is None else hits.unionByName(best.select("query_id", "vec_id", "score"))
+        ranked = (
+            hits.groupBy("query_id", "vec_id")
+            .agg(F.max("score").alias("score"))
+            .withColumn("rank", F.row_number().over(order))
+            .where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score")
+        )
+        if high >= 1.0:
+            return ranked
+        ranked.write.parquet(f"{folder}/best-{turn}")
+        best = spark.read.parquet(f"{folder}/best-{turn}")
+        low, turn = high, turn + 1
+    raise AssertionError("unreachable")

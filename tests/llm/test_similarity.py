@@ -285,8 +285,9 @@ def brute_top(points, queries, k):
     return out
 
 
-@pytest.mark.parametrize("spread", [1.0, 0.05])
-def test_top_k_against_brute_force(spark, spread):
+@pytest.mark.parametrize("spread, growth", [(1.0, 16), (0.05, 3)])
+def test_top_k_against_brute_force(spark, monkeypatch, spread, growth):
+    monkeypatch.setattr(topk, "GROWTH", growth)
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(6, 8))
     vectors = {i: (centres[i % 6] + spread * rng.normal(size=8)).tolist() for i in range(300)}
@@ -296,7 +297,7 @@ def test_top_k_against_brute_force(spark, spread):
     odd = [(1000, None), (1001, [float("nan")] * 8), (1002, [None] + [0.0] * 7), (1020, [float("inf")] * 8),
            (None, [0.0] * 8), (1040, [1.0, 2.0]), (1041, [3.0, 4.0]), (1060, [])]
     frame = spark.createDataFrame(rows + odd, "vec_id bigint, embedding array<double>").repartition(3)
-    got = topk.top_k(frame, lambda i: i % 20 == 0, k=20, candidates_per_block=64, queries_per_block=6, seed_rows=80)
+    got = topk.top_k(frame, lambda i: i % 20 == 0, k=20, candidates_per_block=64, queries_per_block=6, seed_rows=12)
     result = {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()}
     points = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in vectors.items()]
     points += [(1040, np.array([64, 128])), (1041, np.array([192, 256]))]
@@ -310,7 +311,7 @@ def test_top_k_counts_ids_and_not_rows(spark):
     rows = [(i, rng.normal(size=4).tolist()) for i in range(200)]
     rows += [(7, (3 + 0.1 * rng.normal(size=4)).tolist()) for _ in range(100)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
-    got = topk.top_k(frame, lambda i: i % 20 == 0, k=20, candidates_per_block=64, queries_per_block=6, seed_rows=80)
+    got = topk.top_k(frame, lambda i: i % 20 == 0, k=20, candidates_per_block=64, queries_per_block=6, seed_rows=12)
     result = {tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect()}
     points = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows]
     want = set()
