@@ -63,7 +63,7 @@ def build_session(master: str | None = None, app: str = "sensorflow",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
     conf.update(extra or {})
-    if "spark.checkpoint.dir" not in conf:
+    if "spark.checkpoint.dir" not in conf and _is_local(master or ""):
         conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
     for k, v in conf.items():
         b = b.config(k, v)
@@ -72,6 +72,11 @@ def build_session(master: str | None = None, app: str = "sensorflow",
     return spark
 
 
+def _is_local(master: str) -> bool:
+    """Whether driver and executors are one process of this machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def checkpoint_root(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir``, if any (also the
     directory set on the SparkContext, where the session has one)."""
@@ -91,7 +96,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster must name a shared folder itself."""
     root = checkpoint_root(spark)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local["):
+        if not _is_local(spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="sensorflow-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

@@ -32,3 +32,10 @@ def test_scratch_folder_needs_a_shared_root_on_a_cluster(monkeypatch):
     monkeypatch.setattr(session, "checkpoint_root", lambda _: None)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(Cluster())
+
+
+def test_local_masters():
+    from sensorflow.session import _is_local
+
+    assert [m for m in ("local", "local[4]", "local[*]", "local-cluster[3,2,1000]", "yarn", "") if _is_local(m)] == [
+        "local", "local[4]", "local[*]"]
