@@ -165,13 +165,15 @@ def unit_links(
     rare = [code[t] for t in np.split(taken, np.searchsorted(owner[taken], np.arange(1, len(words))))]
     mark = np.zeros(len(frequency), dtype=bool)
     found = []
-    for i in range(len(words)):
+    # a pair of two sets has a text outside the largest: these are compared with all
+    largest = label == np.bincount(label).argmax()
+    for i in np.flatnonzero(~largest):
         lists = [holders[low[c] : high[c]] for c in rare[i] if high[c] - low[c] > 1]
         if not lists:
             continue
-        agree = np.bincount(np.concatenate(lists), minlength=i + 1)[:i]
-        near = np.flatnonzero((agree > 0) & (agree >= np.minimum(need[:i], need[i])))
-        near = near[label[near] != label[i]]
+        agree = np.bincount(np.concatenate(lists), minlength=len(words))
+        near = np.flatnonzero((agree > 0) & (agree >= np.minimum(need, need[i])) & (label != label[i]))
+        near = near[(near < i) | largest[near]]
         if first is not None:
             near = near[first[near] != first[i]]
         longer = np.maximum(n[near], n[i])
@@ -179,18 +181,25 @@ def unit_links(
         if not len(near):
             continue
         mark[bags[i]] = True
-        shared = np.array([np.count_nonzero(mark[bags[j]]) for j in near])
+        shared = np.zeros(len(near), dtype=np.int64)
+        for x in range(0, len(near), 256):
+            some = near[x : x + 256]
+            hits = mark[np.concatenate([bags[j] for j in some])]
+            shared[x : x + 256] = np.add.reduceat(hits.astype(np.int64), np.cumsum(n[some]) - n[some])
         mark[bags[i]] = False
         longer = np.maximum(n[near], n[i])
-        near = near[longer - shared <= allowed_edits(longer)]
+        possible = longer - shared <= allowed_edits(longer)
+        # the likest first: once they link, the rest of their sets need no alignment
+        near = near[possible][np.argsort(-(shared / longer)[possible], kind="stable")]
+        step = 4
         while len(near := near[label[near] != label[i]]):
-            # one text of each set that i isn't in yet
-            _, at = np.unique(label[near], return_index=True)
-            for j, ok in zip(near[at], similar([(words[i], words[j]) for j in near[at]])):
-                if ok:
-                    found.append((i, int(j)))
+            head = near[:step]
+            head = head[np.sort(np.unique(label[head], return_index=True)[1])]
+            for j, ok in zip(head, similar([(words[i], words[j]) for j in head])):
+                if ok and label[j] != label[i]:
+                    found.append((int(i), int(j)))
                     label[label == label[j]] = label[i]
-            near = np.delete(near, at)
+            near, step = near[~np.isin(near, head)], step * 2
     return found
 
 
