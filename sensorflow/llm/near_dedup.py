@@ -10,10 +10,8 @@ candidates are connected, ruled out by a bound that holds, or aligned (edit
 distance over words in a band that doubles up to the allowed number of edits),
 and linked at an edit similarity of ``SIMILARITY`` or more:
 
-1. The texts of a sketch are aligned with the least of them, and for the first
-   ``CHAINED`` sketches each with its neighbour in an order of their own: linear
-   work, which connects most near copies, also where they are like many of their
-   group but not its least.
+1. The texts of a sketch are aligned with the least of them: linear work, which
+   connects most near copies.
 2. Where the texts of a sketch are not all connected by now, they meet, with
    their words, in blocks of about ``BLOCK_WORDS`` words (every two blocks of a
    sketch in one task's unit). There, two texts are compared only if enough of
@@ -55,8 +53,6 @@ CACHED_WORDS = 500_000
 #: Similar texts are looked for by this share (one in so many) of their rarest words,
 #: beyond those that they may lack.
 RARE = 5
-#: Sketches whose texts are also aligned with a neighbour.
-CHAINED = 12
 #: Words of a block, and of the units that are dealt to one group.
 BLOCK_WORDS = 1 << 19
 GROUP_WORDS = 1 << 21
@@ -384,21 +380,6 @@ def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFram
     return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint")
 
 
-def _neighbours(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of ids that follow each other under one key."""
-    before: tuple[int, int] | None = None
-    for batch in batches:
-        key, node = (batch[c].to_numpy(np.int64) for c in ("key", "id"))
-        if before is not None:
-            key, node = np.r_[before[0], key], np.r_[before[1], node]
-        if not len(key):
-            continue
-        same = (key[1:] == key[:-1]) & (node[1:] != node[:-1])
-        a, b = node[:-1][same], node[1:][same]
-        yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-        before = int(key[-1]), int(node[-1])
-
-
 def connected(nodes: DataFrame, folder: str) -> DataFrame:
     """(node, root) for ``nodes`` (node, text of distinct nodes) that are linked to
     another: the root stands for the class."""
@@ -426,18 +407,13 @@ def connected(nodes: DataFrame, folder: str) -> DataFrame:
         folder, "sequences",
     )
     members = sequences.select("id", F.posexplode("sketches").alias("j", "key"))
-    members = members.select("id", "j", F.xxhash64("j", "key").alias("key"))
+    members = members.select("id", F.xxhash64("j", "key").alias("key"))
     least = members.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("a")).where("n > 1")
-    shared = members.join(least.select("key", "a"), "key")
-    stars = shared.where("id != a").select("a", F.col("id").alias("b"))
-    in_order = (
-        shared.where(F.col("j") < CHAINED)
-        .select("key", F.xxhash64("id", "key").alias("place"), "id")
-        .repartitionByRange("key", "place")
-        .sortWithinPartitions("key", "place")
-    )
-    pairs = stars.union(in_order.mapInPandas(_neighbours, "a bigint, b bigint")).distinct()
-    first = _written(aligned(pairs, sequences).where("ok").select("a", "b"), folder, "first")
+    stars = members.join(least.select("key", "a"), "key").where("id != a")
+    first = _written(
+        aligned(stars.select("a", F.col("id").alias("b")).distinct(), sequences).where("ok").select("a", "b"),
+        folder, "first",
+    )
     roots = _written(components(first), folder, "roots").toDF("id", "root")
     second = _written(block_links(sequences, roots, folder), folder, "second")
     # the second links are few and join roots, so only these are followed again
