@@ -19,7 +19,8 @@ and linked at an edit similarity of ``SIMILARITY`` or more:
    the unit, similar texts share at least k of their first ``d + k`` words, where
    d is the number of words that they may lack (k is ``1 / RARE`` of a text). An
    inverted index over these words counts the shared ones. If then the exact word
-   bags allow the similarity, they are aligned, and links are joined in a local union-find, so a unit
+   bags, and those of runs of two and three words, allow the similarity, they are
+   aligned, and links are joined in a local union-find, so a unit
    returns fewer links than it has texts; no pair is ever a row.
 
 Classes are the connected components of the links.
@@ -222,6 +223,23 @@ def _not_shared(a: np.ndarray, b: np.ndarray) -> int:
     return max(len(a), len(b)) - int(np.minimum(in_a, in_b).sum())
 
 
+def _grams(words: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` words."""
+    n = max(0, len(words) - size + 1)
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(size):
+        out = _mix(out + words[k : k + n])
+    return out
+
+
+def _may_align(x: np.ndarray, y: np.ndarray, allowed: int) -> bool:
+    """Whether bags allow ``allowed`` edits: an edit changes at most one word and
+    q runs of q words. Runs tell long unlike texts of the same words apart."""
+    return _not_shared(x, y) <= allowed and all(
+        _not_shared(_grams(x, q), _grams(y, q)) <= q * allowed for q in (2, 3)
+    )
+
+
 def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     """Edit distances within ``band`` of the diagonal, pairs side by side; a
     value of at most ``band`` is the distance. Lengths must differ by at most
@@ -262,7 +280,7 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], at_least: float = SIMILA
         x, y = _trimmed(a, b)
         if max(len(x), len(y)) <= allowed:
             result[i] = True
-        elif _not_shared(x, y) <= allowed:
+        elif _may_align(x, y, allowed):
             open_pairs.append((i, x, y, allowed))
     open_pairs.sort(key=lambda p: len(p[1]))
     band = BAND
