@@ -194,13 +194,12 @@ def unit_links(
         near = near[possible][np.argsort(-(shared / longer)[possible], kind="stable")]
         step = 4
         while len(near := near[label[near] != label[i]]):
-            head = near[:step]
-            head = head[np.sort(np.unique(label[head], return_index=True)[1])]
+            head, near = near[:step], near[step:]
             for j, ok in zip(head, similar([(words[i], words[j]) for j in head])):
                 if ok and label[j] != label[i]:
                     found.append((int(i), int(j)))
                     label[label == label[j]] = label[i]
-            near, step = near[~np.isin(near, head)], step * 2
+            step = min(4 * step, 256)
     return found
 
 
