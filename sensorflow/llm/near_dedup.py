@@ -14,7 +14,9 @@ and linked at an edit similarity of ``SIMILARITY`` or more:
    connects most near copies.
 2. Where the texts of a sketch are not all connected by now, they meet, with
    their words, in blocks of about ``BLOCK_WORDS`` words (every two blocks of a
-   sketch in one task's unit). There, two texts are compared only if enough of
+   sketch in one task's unit). There, two texts are compared only if they agree in
+   no sketch before this one, where they have met or been connected already, so
+   every two are compared once at most; and only if enough of
    their rarest words agree: by any one order of words, here that of frequency in
    the unit, similar texts share at least k of their first ``d + k`` words, where
    d is the number of words that they may lack (k is ``1 / RARE`` of a text). An
@@ -57,12 +59,11 @@ RARE = 5
 #: Words of a block, and of the units that are dealt to one group.
 BLOCK_WORDS = 1 << 19
 GROUP_WORDS = 1 << 21
-#: Pairs aligned side by side, narrowest band, and most cells held at once.
-SIDE_BY_SIDE = 64
-BAND = 8
+#: Narrowest band, and the words from which runs of words are counted beforehand.
+BAND = 256
+LONG = 512
 
 _WORD = re.compile(r"[^\W_]+")
-_FAR = np.int32(1 << 28)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -133,11 +134,15 @@ def allowed_edits(n, at_least: float | None = None):
 
 
 def unit_links(
-    roots: np.ndarray, words: list[np.ndarray], first: np.ndarray | None = None
+    roots: np.ndarray,
+    words: list[np.ndarray],
+    first: np.ndarray | None = None,
+    earlier: np.ndarray | None = None,
 ) -> list[tuple[int, int]]:
     """Links (of places) that connect the texts of a unit: for every two of different
     roots that are similar, a path of links. With ``first`` (the texts of the unit's
-    first block) only pairs of a text of each block are compared.
+    first block) only pairs of a text of each block are compared; with ``earlier`` (a
+    row of other sketches for each text) only pairs that agree in none of them.
 
     A link is returned only when it joins two sets, so there are fewer than texts.
     """
@@ -179,6 +184,8 @@ def unit_links(
             near = near[first[near] != first[i]]
         longer = np.maximum(n[near], n[i])
         near = near[longer - np.minimum(n[near], n[i]) <= allowed_edits(longer)]
+        if earlier is not None:
+            near = near[~(earlier[near] == earlier[i]).any(axis=1)]
         if not len(near):
             continue
         mark[bags[i]] = True
@@ -233,45 +240,62 @@ def _grams(words: np.ndarray, size: int) -> np.ndarray:
 
 def _may_align(x: np.ndarray, y: np.ndarray, allowed: int) -> bool:
     """Whether bags allow ``allowed`` edits: an edit changes at most one word and
-    q runs of q words. Runs tell long unlike texts of the same words apart."""
-    return _not_shared(x, y) <= allowed and all(
-        _not_shared(_grams(x, q), _grams(y, q)) <= q * allowed for q in (2, 3)
+    q runs of q words. Runs tell long unlike texts of the same words apart; shorter
+    ones are aligned as fast."""
+    return _not_shared(x, y) <= allowed and (
+        min(len(x), len(y)) < LONG
+        or all(_not_shared(_grams(x, q), _grams(y, q)) <= q * allowed for q in (2, 3))
     )
 
 
-def banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
-    """Edit distances within ``band`` of the diagonal, pairs side by side; a
-    value of at most ``band`` is the distance. Lengths must differ by at most
-    ``band``."""
-    n = np.array([len(a) for a, _ in pairs])
-    m = np.array([len(b) for _, b in pairs])
-    top, width = int(n.max()), 2 * band + 1
-    left = np.full((len(pairs), top), -1, dtype=np.int64)
-    right = np.full((len(pairs), top + width + band), -2, dtype=np.int64)
-    for i, (a, b) in enumerate(pairs):
-        left[i, : len(a)] = a
-        keep = min(len(b), top + width)
-        right[i, band : band + keep] = b[:keep]
-    step = np.arange(width, dtype=np.int32)
-    row = np.where(step < band, _FAR, step - band).astype(np.int32)
-    row = np.repeat(row[None, :], len(pairs), axis=0)
-    out = np.where(n == 0, m, _FAR).astype(np.int64)
-    for i in range(1, top + 1):
-        cost = left[:, i - 1 : i] != right[:, i - 1 : i - 1 + width]
-        new = row + cost
-        np.minimum(new[:, :-1], row[:, 1:] + 1, out=new[:, :-1])
-        new = np.minimum.accumulate(new - step, axis=1) + step
-        row = np.minimum(new, _FAR)
-        for k in np.flatnonzero(n == i):
-            out[k] = row[k, m[k] - i + band]
-    return out
+def banded(a: list[int], b: list[int], band: int) -> int:
+    """Edit distance within ``band`` of the diagonal; a value of at most ``band`` is
+    the distance, a larger one says that it is larger.
+
+    A column of the band is two integers, whose bits say where the distance rises
+    or falls by one from a row to the next; so a column costs a few operations on
+    ``2 * band`` bits (Hyyrö's bit-parallel form of the banded alignment).
+    """
+    if len(a) < len(b):
+        a, b = b, a
+    n, m = len(a), len(b)
+    far, band = band + 1, min(band, n)
+    if n - m > band:
+        return far
+    places: dict[int, int] = {}
+    bit = 1
+    for x in a:
+        places[x] = places.get(x, 0) | bit
+        bit <<= 1
+    width = 2 * band + 2
+    full = (1 << width) - 1
+    rises, falls = full ^ ((1 << (band + 1)) - 1), 0
+    lowest, end = 1 << (width - 1), 1 << (width - 2)
+    # the distance at the band's lower edge, later in the last row; from either it
+    # can fall by one a column only, in the columns that are left at the edge's end
+    now, limit = band, 2 * band + m - n
+    for i, x in enumerate(b):
+        shift = i + band + 1 - width
+        same = places.get(x, 0)
+        same = (same >> shift if shift >= 0 else same << -shift) & full
+        level = ((((same & rises) + rises) ^ rises) | same | falls) & full
+        right_up, right_down = falls | (full ^ (level | rises)), level & rises
+        if i < n - band:
+            now += not level & lowest
+        else:
+            now += bool(right_up & end) - bool(right_down & end)
+            end >>= 1
+        if now > limit:
+            return far
+        level >>= 1
+        rises, falls = right_down | (full ^ (level | right_up)), level & right_up
+    return now
 
 
 def similar(pairs: list[tuple[np.ndarray, np.ndarray]], at_least: float = SIMILARITY) -> np.ndarray:
     """Whether each pair's edit similarity, 1 - distance / longer length, is at
     least ``at_least``; exact."""
     result = np.zeros(len(pairs), dtype=bool)
-    open_pairs = []
     for i, (a, b) in enumerate(pairs):
         allowed = int(allowed_edits(max(len(a), len(b)), at_least))
         if abs(len(a) - len(b)) > allowed:
@@ -280,22 +304,10 @@ def similar(pairs: list[tuple[np.ndarray, np.ndarray]], at_least: float = SIMILA
         if max(len(x), len(y)) <= allowed:
             result[i] = True
         elif _may_align(x, y, allowed):
-            open_pairs.append((i, x, y, allowed))
-    open_pairs.sort(key=lambda p: len(p[1]))
-    band = BAND
-    while open_pairs:
-        later = []
-        narrow = [p for p in open_pairs if abs(len(p[1]) - len(p[2])) <= band]
-        later += [p for p in open_pairs if abs(len(p[1]) - len(p[2])) > band]
-        for k in range(0, len(narrow), SIDE_BY_SIDE):
-            block = narrow[k : k + SIDE_BY_SIDE]
-            for p, d in zip(block, banded([(x, y) for _, x, y, _ in block], band)):
-                if d <= p[3]:
-                    result[p[0]] = True
-                elif d > band and band < p[3]:
-                    later.append(p)
-        open_pairs = sorted(later, key=lambda p: len(p[1]))
-        band *= 2
+            x, y, band = x.tolist(), y.tolist(), min(BAND, allowed)
+            while (d := banded(x, y, band)) > band and band < allowed:
+                band = min(2 * band, allowed)
+            result[i] = d <= allowed
     return result
 
 
@@ -359,12 +371,13 @@ def aligned(pairs: DataFrame, sequences: DataFrame) -> DataFrame:
 
 def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFrame:
     """Links (a, b) of roots: those of texts that agree in a sketch and are not
-    connected by ``roots`` (id, root)."""
+    connected by ``roots`` (id, root). Two texts are compared in the first sketch that
+    they agree in."""
     known = sequences.select("id", "n", "sketches").join(roots.toDF("id", "root"), "id", "left")
     members = known.select(
         "id", F.col("n").cast("bigint").alias("n"), F.coalesce("root", "id").alias("root"),
         F.posexplode("sketches").alias("j", "key"),
-    ).select("id", "n", "root", F.xxhash64("j", "key").alias("key"))
+    ).select("id", "n", "root", "j", F.xxhash64("j", "key").alias("key"))
     open_ = (
         members.groupBy("key")
         .agg(F.sum("n").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
@@ -376,22 +389,27 @@ def block_links(sequences: DataFrame, roots: DataFrame, folder: str) -> DataFram
     dealt = (
         members.join(buckets.select("key", "blocks"), "key")
         .withColumn("own", F.pmod(F.xxhash64("id", "key"), F.col("blocks")))
-        .select("id", "root", "key", "own", "blocks")
-        .join(sequences.select("id", "words"), "id")
+        .select("id", "root", "j", "key", "own", "blocks")
+        .join(sequences.select("id", "words", "sketches"), "id")
+        .withColumn("earlier", F.slice("sketches", F.lit(1), F.col("j")))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
         .withColumn("low", F.least("own", "other"))
         .withColumn("high", F.greatest("own", "other"))
         .withColumn("group", F.pmod(F.xxhash64("key", "low", "high"), F.lit(groups)))
-        .select("group", "key", "low", "high", "id", "root", "words", (F.col("own") == F.col("low")).alias("first"))
-    )
+        .select(
+            "group", "j", "key", "low", "high", "root", "words", "earlier",
+            (F.col("own") == F.col("low")).alias("first"),
+        )
+    )
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         found: list[tuple[int, int]] = []
-        for (_, low, high), unit in part.groupby(["key", "low", "high"], sort=False):
+        for (j, _, low, high), unit in part.groupby(["j", "key", "low", "high"], sort=False):
             words = [np.frombuffer(w, np.uint32) for w in unit["words"]]
             sides = None if low == high else unit["first"].to_numpy()
             roots = unit["root"].to_numpy()
-            found += [(roots[i], roots[j]) for i, j in unit_links(roots, words, sides)]
+            earlier = np.stack(unit["earlier"].tolist()) if j else None
+            found += [(roots[a], roots[b]) for a, b in unit_links(roots, words, sides, earlier)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return dealt.groupBy("group").applyInPandas(compare, "a bigint, b bigint")

@@ -234,6 +234,36 @@ def test_unit_links_connect_all_similar_texts(seed):
     assert joined(len(texts), got) == joined(len(texts), [p for p in pairs if first[p[0]] != first[p[1]]])
 
 
+@pytest.mark.parametrize("band", [0, 1, 3, 10, 40])
+def test_banded_gives_the_distance_within_its_band(band):
+    rng = random.Random(band)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 4) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        want, got = edit_distance(a, b), near_dedup.banded(a, b, band)
+        assert got == want if want <= band else got > band
+
+
+def test_two_texts_are_compared_in_their_first_sketch_only(monkeypatch):
+    """A group of near copies that its least text does not connect: no two are
+    aligned in more than one of the sketches that they share, and no link is lost."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    ids, words = unit_of([" ".join(substituted(rng, base, 0.11)) for _ in range(60)])
+    keys = np.stack([near_dedup.sketches(w.astype(np.uint64)) for w in words])
+    tried, found = [], []
+    real = near_dedup.similar
+    monkeypatch.setattr(near_dedup, "similar", lambda pairs: tried.extend(pairs) or real(pairs))
+    for j in range(near_dedup.SKETCHES):
+        for key in np.unique(keys[:, j]):
+            m = np.flatnonzero(keys[:, j] == key)
+            links = near_dedup.unit_links(ids[m], [words[i] for i in m], None, keys[m, :j] if j else None)
+            found += [(int(m[a]), int(m[b])) for a, b in links]
+    pairs = {frozenset((x.tobytes(), y.tobytes())) for x, y in tried}
+    assert len(tried) == len(pairs) > 60
+    agree = [(i, k) for i in ids for k in range(i) if (keys[i] == keys[k]).any() and real([(words[i], words[k])])[0]]
+    assert joined(len(ids), found) == joined(len(ids), agree)
+
+
 def test_unlike_texts_with_a_passage_give_no_pairs(spark, monkeypatch, tmp_path):
     """Twice as many unlike texts around one passage: links leave the units, not
     pairs, and alignments do not grow with the square."""
