@@ -1,9 +1,11 @@
 """Toxicity, quality, language and language-model scores."""
 
 import math
+import os
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sensorflow.llm import language, lm_scoring, quality, toxicity
@@ -245,6 +247,58 @@ def test_lm_scores_do_not_depend_on_chunks_and_ranges(spark, odd, monkeypatch):
     assert scores() == want
 
 
+def test_lm_texts_are_shuffled_once(spark, tmp_path):
+    """Texts are neither joined with the target ids nor written: both passes over the
+    chunks read one exchange."""
+    rows = [(i % 30 or None, prose(i % 45, 40)) for i in range(60)] + [(1, None), (None, "")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root))
+    scored = lm_scoring.score_documents(docs, docs.where("doc_id < 9").select("doc_id"))
+    assert len(scored.collect()) == len(rows)
+    plan = scored._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert set(os.listdir(root)) == before
+    assert [x for x in plan.splitlines() if "ReusedExchange" in x and "text#" in x]
+    assert plan.count("MapInArrow") == 1
+
+
+def test_lm_equal_rows_count_each(spark):
+    """Many equal rows weigh as many, and a batch sends them as one."""
+    rows = [(1, "aa bb cc")] * 200 + [(None, "aa cc")] * 50 + [(2, "cc bb aa dd"), (2, "aa dd")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    got = lm_scoring.score_documents(docs, docs.where("doc_id = 2").select("doc_id")).collect()
+    assert Counter(r["doc_id"] for r in got) == {1: 200, None: 50, 2: 2}
+    # "aa dd": 251 of 252 beginnings are aa, which dd follows 2 of 252 times; 706 tokens
+    # of four words, 6 of them the target's
+    loss = 0.0
+    for n_one, n_two, held in ((252, 251, 252), (2, 2, 252)):
+        one = (n_one * 6 / 706 + 1) / (6 + 4 + 1)
+        loss -= math.log(lm_scoring.MIX * n_two / held + (1 - lm_scoring.MIX) * one)
+    last = next(r for r in got if r["n_tokens"] == 2 and r["doc_id"] == 2)
+    assert last["loss_background"] == pytest.approx(loss / 2, abs=1e-9)
+    batch = pa.RecordBatch.from_pydict({"doc_id": ["1", "1", None, None], "text": ["a", "a", "", ""], "row": [5, 5, 5, 6]})
+    found = pa.Table.from_batches(lm_scoring.merged_rows([batch])).to_pylist()
+    assert sorted((r["row"], r["text"], r["times"]) for r in found) == [(5, "", 1), (5, "a", 2), (6, "", 1)]
+    chunk = lm_scoring.Chunk(["aa bb", "aa"])
+    n, t = chunk.counts(np.array([True, False]), np.array([3, 4]))
+    # words aa, bb; contexts: beginning, aa; bigrams: beginning aa, aa bb
+    assert sorted(n.tolist()) == [3, 3, 3, 7, 7, 7] and t.tolist() == [3] * 6
+
+
+def test_lm_numbers_take_the_bytes_they_need():
+    """A range's keys are sent as steps from its lower edge, without empty bytes."""
+    rng = np.random.default_rng(5)
+    x = np.sort(rng.integers(0, 2**64, 50_000, dtype=np.uint64))
+    assert len(lm_scoring._packed(np.ones(1000, dtype=np.int64))) <= 1001
+    for i, a, b in lm_scoring._slices(x, 7):
+        data = lm_scoring._packed(np.diff(x[a:b], prepend=lm_scoring._edge(i, 7)))
+        assert len(data) <= 7 * (b - a) + 1
+        assert (np.cumsum(np.r_[lm_scoring._edge(i, 7), lm_scoring._unpacked(data)], dtype=np.uint64)[1:] == x[a:b]).all()
+    for x in (np.zeros(3, np.uint64), np.zeros(0, np.uint64)):
+        assert lm_scoring._unpacked(lm_scoring._packed(x)).tolist() == x.tolist()
+
+
 def test_lm_packing_and_ranges():
     rng = np.random.default_rng(4)
     for n in (0, 1, 1000):
